@@ -50,7 +50,7 @@ def upsert(base: DataFrame, updates: DataFrame, key: str = "lead_id", defaults:
     ``Lead <key>``.
     """
     defaults = NEW_LEAD if defaults is None else defaults
-    cols = list(dict.fromkeys([*base.columns, *updates.columns]))
+    cols = list(dict.fromkeys([*base.columns, *updates.columns, *defaults]))
     b = base.select(key, F.struct(*base.columns).alias("b"))
     u = updates.select(key, F.struct(*updates.columns).alias("u"))
     both = b.join(u, key, "full_outer")
@@ -60,7 +60,7 @@ def upsert(base: DataFrame, updates: DataFrame, key: str = "lead_id", defaults:
             return F.col(key)
         parts = [F.col(f"u.`{c}`")] if c in updates.columns else []
         parts += [F.col(f"b.`{c}`")] if c in base.columns else []
-        out = F.coalesce(*parts)
+        out = F.coalesce(*parts) if parts else F.lit(None).cast("string")
         if c in defaults:
             out = F.when(F.col("b").isNull(), F.coalesce(out, F.lit(defaults[c]))).otherwise(out)
         return out.alias(c)

@@ -72,11 +72,11 @@ def iqr_outliers_approx(t):
     return Q.iqr_outliers(t.events, "value").groupBy("is_outlier").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT lead_id, round(coalesce(time_spent, (SELECT avg(time_spent) FROM leads)), 4) AS time_spent, round(coalesce(activity, (SELECT avg(activity) FROM leads)), 4) AS activity,
+@query("""SELECT lead_id, round(coalesce(time_spent, (SELECT avg(time_spent) FROM leads)), 6) AS time_spent, round(coalesce(activity, (SELECT avg(activity) FROM leads)), 4) AS activity,
  coalesce(lead_quality, 'Unknown') AS lead_quality FROM leads""", "leads")
 def impute_mean(t):
     df = Q.impute(Q.impute(V.leads(t), "mean", ["time_spent", "activity", "absent"]), "const", ["lead_quality"], "Unknown")
-    return df.select("lead_id", F.round("time_spent", 4).alias("time_spent"), F.round("activity", 4).alias("activity"), "lead_quality")
+    return df.select("lead_id", F.round("time_spent", 6).alias("time_spent"), F.round("activity", 4).alias("activity"), "lead_quality")
 
 
 @query("""SELECT lead_id, total_visits, coalesce(page_views, 0) AS page_views, activity FROM leads""", "leads")
@@ -94,9 +94,9 @@ def impute_median(t):
     return Q.impute(V.leads(t), "median", ["time_spent"]).agg(F.count("*").alias("n"), F.count("time_spent").alias("filled"))
 
 
-@query("""SELECT lead_id, round(CASE WHEN time_spent > q THEN q ELSE time_spent END, 4) AS time_spent FROM leads, (SELECT quantile_cont(time_spent, 0.99) AS q FROM leads)""", "leads")
+@query("""SELECT lead_id, round(CASE WHEN time_spent > q THEN q ELSE time_spent END, 6) AS time_spent FROM leads, (SELECT quantile_cont(time_spent, 0.99) AS q FROM leads)""", "leads")
 def winsorize(t):
-    return Q.winsorize(V.leads(t), "time_spent").select("lead_id", F.round("time_spent", 4).alias("time_spent"))
+    return Q.winsorize(V.leads(t), "time_spent").select("lead_id", F.round("time_spent", 6).alias("time_spent"))
 
 
 @query("""SELECT lead_quality, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM leads WHERE lead_quality IS NOT NULL GROUP BY 1""", "leads")
