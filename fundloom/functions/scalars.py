@@ -66,8 +66,8 @@ def clamp(c, lo: float, hi: float) -> Column:
 
 
 def round_even(c, digits: int) -> Column:
-    """Half-to-even rounding."""
-    return F.bround(as_col(c), digits)
+    """Half-to-even rounding; noise in the last bits (below 1e-9) does not decide a tie."""
+    return F.bround(F.round(as_col(c), 9), digits)
 
 
 def safe_div(a, b, default: float | None = None) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..sources.scratch import cut_lineage
 from .evaluation import silhouette
 from .filters import complete_cases
+from .ordered import global_rank
 
 
 def persona_pipeline(cols: list[str], k: int, scale: str = "minmax", seed: int = 42) -> Pipeline:
@@ -127,7 +128,6 @@ def density_cluster(df: DataFrame, key: str, cols: list[str], eps: float = 0.35,
     owned = core.join(comp.withColumnRenamed("node", "cell"), "cell")
     border = _meet(rest, owned, near, cells, _nearest_label(eps, chunk), "id {k}, component array<long>", df.schema[key].dataType)
     border = border.groupBy("id").agg(F.min("component").alias("component"))
-    from .ordered import global_rank
     numbers = global_rank(comp.select("component").distinct(), ["component"], "no").select("component", (F.col("no") - 1).alias("cluster"))
     named = labels.unionByName(border).join(numbers, "component").select("id", "cluster")
     return pts.select("id").join(named, "id", "left").select(
@@ -141,10 +141,11 @@ def _near_cells(cells: DataFrame, d: int, side: float, eps: float) -> DataFrame:
     span = int(np.ceil(eps / side)) + 1
     coarse = F.transform(F.slice("cell", 1, m), lambda v: F.floor(v / span))
     home = cells.select("cell", coarse.alias("grid"))
+    shift = lambda i: lambda v, j: v + F.when(j == i, F.col("s")).otherwise(0)
     around = home
     for i in range(m):
         around = around.withColumn("s", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))).withColumn(
-            "grid", F.transform("grid", lambda v, j, i=i: v + F.when(j == i, F.col("s")).otherwise(0))).drop("s")
+            "grid", F.transform("grid", shift(i))).drop("s")
     pairs = around.join(home.withColumnRenamed("cell", "other"), "grid").drop("grid")
     gap = F.aggregate(F.zip_with("cell", "other", lambda a, b: F.pow(
         F.greatest(F.abs(a - b) - 1, F.lit(0)).cast("double") * side, F.lit(2.0))), F.lit(0.0), lambda acc, v: acc + v)

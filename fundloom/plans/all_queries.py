@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("leads_queries", "profile_queries", "join_queries", "series_queries", "market_queries")
+MODULES = ("leads_queries", "profile_queries", "join_queries", "series_queries", "market_queries", "text_queries", "model_queries", "file_queries")
 
 
 def load() -> None:

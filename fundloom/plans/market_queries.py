@@ -68,8 +68,8 @@ big AS (SELECT portfolio, max(v) AS big FROM (SELECT portfolio, coalesce(sector,
 rk AS (SELECT ps.*, big, m.vix, m.change_pct, m.market_status, m.sentiment, m.volume_spike, round_even(bv / total * (vix / 20), 2) AS beta, round_even(total * 1.645::DOUBLE * (vix / 100), 2) AS var_95,
  round_even(CASE WHEN market_status = 'VOLATILE' THEN 0.15::DOUBLE WHEN vix > 20 THEN 0.12::DOUBLE WHEN vix > 15 THEN 0.08::DOUBLE ELSE 0.05::DOUBLE END * (0.5::DOUBLE + ev / total) * 100, 2) AS max_drawdown, round_even((rv / total - 6) / vix, 2) AS sharpe_ratio
  FROM ps JOIN big USING (portfolio) LEFT JOIN pmarket m ON m.portfolio = ps.portfolio),
-rs AS (SELECT *, least(100, round_even((beta * 20 + least(var_95 / 10000, 30) + max_drawdown * 1.5::DOUBLE) * CASE WHEN market_status = 'VOLATILE' THEN 1.3::DOUBLE WHEN sentiment = 'bearish' THEN 1.15::DOUBLE ELSE 1.0::DOUBLE END
- * CASE persona WHEN 'conservative' THEN 1.5::DOUBLE WHEN 'balanced' THEN 1.0::DOUBLE WHEN 'growth' THEN 0.8::DOUBLE ELSE 0.9::DOUBLE END, 1)) AS score FROM rk),
+rs AS (SELECT *, least(100, round_even(round((beta * 20 + least(var_95 / 10000, 30) + max_drawdown * 1.5::DOUBLE) * CASE WHEN market_status = 'VOLATILE' THEN 1.3::DOUBLE WHEN sentiment = 'bearish' THEN 1.15::DOUBLE ELSE 1.0::DOUBLE END
+ * CASE persona WHEN 'conservative' THEN 1.5::DOUBLE WHEN 'balanced' THEN 1.0::DOUBLE WHEN 'growth' THEN 0.8::DOUBLE ELSE 0.9::DOUBLE END, 9), 1)) AS score FROM rk),
 rl AS (SELECT *, CASE WHEN score < CASE persona WHEN 'conservative' THEN 30 WHEN 'balanced' THEN 40 WHEN 'growth' THEN 50 ELSE 35 END THEN 'low' WHEN score < CASE persona WHEN 'conservative' THEN 50 WHEN 'balanced' THEN 60 WHEN 'growth' THEN 70 ELSE 55 END THEN 'medium'
  WHEN score < CASE persona WHEN 'conservative' THEN 70 WHEN 'balanced' THEN 80 WHEN 'growth' THEN 85 ELSE 75 END THEN 'high' ELSE 'critical' END AS level FROM rs)"""
 RISK_VIEWS = "holdings pmarket"

@@ -182,14 +182,14 @@ def holdings(t: Tables) -> DataFrame:
 
 
 @view("market", """
-SELECT event_id AS snap, ts, (event_id * 7 % 250) / 10.0::DOUBLE + 10 AS vix, (event_id * 13 % 81 - 40) / 10.0::DOUBLE AS change_pct,
-       CASE WHEN abs((event_id * 13 % 81 - 40) / 10.0::DOUBLE) > 1.5 OR (event_id * 7 % 250) / 10.0::DOUBLE + 10 > 25 THEN 'VOLATILE' ELSE 'OPEN' END AS market_status,
-       CASE WHEN (event_id * 13 % 81 - 40) / 10.0::DOUBLE > 1 THEN 'bullish' WHEN (event_id * 13 % 81 - 40) / 10.0::DOUBLE < -1 THEN 'bearish' ELSE 'neutral' END AS sentiment,
-       event_type = 'error' AS volume_spike FROM events""")
+SELECT snap, ts, vix, change_pct, CASE WHEN abs(change_pct) > 1.5 OR vix > 25 THEN 'VOLATILE' ELSE 'OPEN' END AS market_status,
+       CASE WHEN change_pct > 1 THEN 'bullish' WHEN change_pct < -1 THEN 'bearish' ELSE 'neutral' END AS sentiment, volume_spike
+FROM (SELECT event_id AS snap, ts, (event_id * 7 % 250) / 10.0::DOUBLE + 10 + (event_id % 97 + 1) / 10007.0::DOUBLE AS vix,
+             (event_id * 13 % 81 - 40) / 10.0::DOUBLE + (event_id % 89 + 1) / 10007.0::DOUBLE AS change_pct, event_type = 'error' AS volume_spike FROM events)""")
 def market(t: Tables) -> DataFrame:
     from ..functions.rules import is_volatile, market_sentiment
     e = F.col("event_id")
-    out = t.events.select(e.alias("snap"), "ts", ((e * 7 % 250) / 10.0 + 10).alias("vix"), ((e * 13 % 81 - 40) / 10.0).alias("change_pct"),
+    out = t.events.select(e.alias("snap"), "ts", ((e * 7 % 250) / 10.0 + 10 + (e % 97 + 1) / 10007.0).alias("vix"), ((e * 13 % 81 - 40) / 10.0 + (e % 89 + 1) / 10007.0).alias("change_pct"),
                           (F.col("event_type") == "error").alias("volume_spike"))
     return out.withColumn("market_status", F.when(is_volatile("change_pct", "vix"), "VOLATILE").otherwise("OPEN")).withColumn(
         "sentiment", market_sentiment("change_pct"))
