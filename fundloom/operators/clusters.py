@@ -165,8 +165,8 @@ def _meet(left: DataFrame, right: DataFrame, near: DataFrame, cells: DataFrame,
     ks = ["cell", "other", "li", "ri"]
     if key_type is not None:
         schema = schema.format(k=key_type.simpleString())
-    cols = lambda df, extra: df.select(*ks, *[c for c in ("id", "x", "component") if c in df.columns])
-    a, b = cols(a, None), cols(b, None)
+    a = a.select(*ks, "id", "x")
+    b = b.select(*ks, F.col("x").alias("y"), *[F.col(c) for c in ("component",) if c in b.columns])
     tag = lambda df: df.withColumn("pair", F.to_json(F.struct(*ks)))
     return tag(a).groupBy("pair").cogroup(tag(b).groupBy("pair")).applyInPandas(fn, schema)
 
@@ -184,7 +184,7 @@ def _count_near(eps: float, step: int):
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"id": a["id"][:0], "n": pd.Series(dtype="int64")})
-        y = _mat(b["x"])
+        y = _mat(b["y"])
         n = [_close(_mat(a["x"].iloc[i:i + 256]), y, eps).sum(axis=1) for i in range(0, len(a), 256)]
         return pd.DataFrame({"id": a["id"].to_numpy(), "n": np.concatenate(n).astype("int64")})
     return run
@@ -195,7 +195,7 @@ def _touches(eps: float, step: int):
         none = pd.DataFrame({"a": pd.Series(dtype=object), "b": pd.Series(dtype=object)})
         if a.empty or b.empty:
             return none
-        y = _mat(b["x"])
+        y = _mat(b["y"])
         for i in range(0, len(a), 256):
             if _close(_mat(a["x"].iloc[i:i + 256]), y, eps).any():
                 return pd.DataFrame({"a": [list(a["cell"].iloc[0])], "b": [list(a["other"].iloc[0])]})
@@ -207,7 +207,7 @@ def _nearest_label(eps: float, step: int):
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out_id, out_c = [], []
         if len(a) and len(b):
-            y, comp = _mat(b["x"]), [tuple(c) for c in b["component"]]
+            y, comp = _mat(b["y"]), [tuple(c) for c in b["component"]]
             for i, row in zip(a["id"], a["x"]):
                 hit = np.flatnonzero(_close(np.asarray(row, dtype=np.float64)[None, :], y, eps)[0])
                 if len(hit):

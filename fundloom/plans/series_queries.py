@@ -124,7 +124,7 @@ un AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sig ORDER BY ts,
 @query(f"WITH {SCORED} SELECT event_id, sig AS signature, d AS direction FROM sc", "signals")
 def signal_scores(t):
     s = TS.scored_signals(V.signals(t).withColumn("confidence", F.col("conf_text")).withColumn("confidence", F.when(
-        F.col("conf_text") == "n/a", F.col("conf_text")).otherwise((F.col("conf_text").try_cast("double") / 100).cast("string"))))
+        F.col("conf_text") == "n/a", F.col("conf_text")).otherwise((F.col("conf_text").try_cast("double") / 97).cast("string"))))
     return s.select("event_id", "signature", "direction")
 
 

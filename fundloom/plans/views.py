@@ -209,7 +209,7 @@ SELECT event_id, ts, user_id, 'signal ' || (event_id % 50) || ' of ' || (event_i
        CASE WHEN event_type IN ('purchase', 'signup') THEN 'positive' WHEN event_type = 'error' THEN 'negative' ELSE 'neutral' END AS sentiment,
        CASE event_id % 5 WHEN 0 THEN 'bearish' WHEN 1 THEN 'bullish' ELSE NULL END AS market_impact,
        CASE WHEN event_id % 7 = 0 THEN 'n/a' ELSE CAST(event_id % 100 AS VARCHAR) END AS conf_text,
-       CASE WHEN event_id % 7 = 0 THEN 0.5::DOUBLE ELSE (event_id % 100) / 100.0::DOUBLE END AS confidence, props FROM events""")
+       CASE WHEN event_id % 7 = 0 THEN 0.5::DOUBLE ELSE (event_id % 100) / 97.0::DOUBLE END AS confidence, props FROM events""")
 def signals(t: Tables) -> DataFrame:
     e, kind = F.col("event_id"), F.col("event_type")
     return t.events.select(
@@ -217,7 +217,7 @@ def signals(t: Tables) -> DataFrame:
         kind.alias("source"), F.when(kind.isin("purchase", "signup"), "positive").when(kind == "error", "negative").otherwise("neutral").alias("sentiment"),
         F.when(e % 5 == 0, "bearish").when(e % 5 == 1, "bullish").alias("market_impact"),
         F.when(e % 7 == 0, F.lit("n/a")).otherwise((e % 100).cast("string")).alias("conf_text"),
-        F.when(e % 7 == 0, 0.5).otherwise((e % 100) / 100.0).alias("confidence"), "props")
+        F.when(e % 7 == 0, 0.5).otherwise((e % 100) / 97.0).alias("confidence"), "props")
 
 
 HEADLINES = [

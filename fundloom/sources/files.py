@@ -24,8 +24,10 @@ def read_csv_quarantine(spark: SparkSession, path: str, schema: T.StructType) ->
     """(good, bad) rows; bad ones keep their text in ``_corrupt_record``."""
     full = schema if CORRUPT in schema.names else T.StructType([*schema.fields]).add(CORRUPT, T.StringType())
     df = read_csv_tree(spark, path, full, columnNameOfCorruptRecord=CORRUPT)
+    # every column is read either way: with pruned columns Spark would not look at the cells that make a row bad
+    whole = F.length(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in df.columns if c != CORRUPT])) >= 0
     bad = F.col(CORRUPT).isNotNull()
-    return df.filter(~bad).drop(CORRUPT), df.filter(bad)
+    return df.filter(whole & ~bad).drop(CORRUPT), df.filter(whole & bad)
 
 
 def read_json_docs(spark: SparkSession, path: str, schema=None) -> DataFrame:
