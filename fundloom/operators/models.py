@@ -47,8 +47,12 @@ def lead_estimator(num: list[str], cat: list[str], label: str, algo: str = "rf",
 
 def fit_lead_model(df: DataFrame, num: list[str] = LEAD_NUMERIC, cat: list[str] = LEAD_CATEGORICAL, label: str = "converted",
                    algo: str = "rf", trees: int = 200, depth: int = 12, seed: int = 42) -> PipelineModel:
-    train = class_weights(feature_frame(df, num, cat), label)
-    return lead_estimator(num, cat, label, algo, trees, depth, seed).fit(train)
+    # every stage and every tree level passes over these columns again
+    train = class_weights(feature_frame(df, num, cat).select(*num, *cat, label), label).persist()
+    try:
+        return lead_estimator(num, cat, label, algo, trees, depth, seed).fit(train)
+    finally:
+        train.unpersist()
 
 
 def positive_probability(col: str = "probability") -> Column:
@@ -92,7 +96,11 @@ def grid_cv(df: DataFrame, estimator, grid: list[dict], label: str, key: str, fo
     cv = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid, numFolds=folds, foldCol="fold", parallelism=parallelism,
         evaluator=MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric))
-    fitted = cv.fit(stratified_folds(df, label, key, folds))
+    data = stratified_folds(df, label, key, folds).persist()
+    try:
+        fitted = cv.fit(data)
+    finally:
+        data.unpersist()
     rows = [(", ".join(f"{p.name}={v}" for p, v in sorted(g.items(), key=lambda t: t[0].name)), float(m))
             for g, m in zip(grid, fitted.avgMetrics)]
     return fitted, df.sparkSession.createDataFrame(rows, "params string, score double")
@@ -143,8 +151,12 @@ def fit_sentiment(df: DataFrame, text_col: str, label_col: str, max_features: in
     names = sorted(r[0] for r in df.select(F.col(label_col).cast("string")).filter(F.col(label_col).isNotNull()).distinct().limit(100).collect())
     back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=names)
     # the label is only needed for fitting: the scoring model leaves its indexer out
-    train = class_weights(df.withColumn(text_col, default(text_col, "")) if vector_col is None else df, label_col)
-    fitted = Pipeline(stages=[*stages, lr, back]).fit(train)
+    train = df.withColumn(text_col, default(text_col, "")) if vector_col is None else df
+    train = class_weights(train.select(vector_col or text_col, label_col), label_col).persist()
+    try:
+        fitted = Pipeline(stages=[*stages, lr, back]).fit(train)
+    finally:
+        train.unpersist()
     return PipelineModel(fitted.stages[1:])
 
 

@@ -60,40 +60,41 @@ def global_rank(df: DataFrame, order: list, name: str = "rank", by: list[str] =
     return running_totals(df, order, {name: F.lit(1).cast("bigint")}, by)
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 10_000) -> DataFrame:
     """Linear-interpolated quantiles of each column as (column, prob, value) rows; nulls and NaN are left out.
 
-    Equal values are counted together before anything is sorted, so a value holding most rows is one row here.
+    A sketch brackets each quantile first: its rank error is at most 1/accuracy, so three times that on either side
+    surely holds the wanted ranks. One pass then counts what lies below each bracket and keeps only the values inside
+    it, equal values counted together; just these few are ranked. A bracket that missed would raise, not mislead.
     """
-    pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
+    clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    margin = 3.0 / accuracy
+    ends = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketch = df.agg(F.struct(*[
+        F.struct(F.count(v).alias("n"), F.percentile_approx(v, ends, accuracy).alias("e")).alias(c) for c, v in clean.items()
+    ]).alias("s"))
+    spots = []
+    for c in cols:
+        for i, p in enumerate(probs):
+            lo, hi = F.col(f"_s.`{c}`.e")[2 * i], F.col(f"_s.`{c}`.e")[2 * i + 1]
+            v = F.col(f"_c.`{c}`")
+            spots.append(F.when(v <= hi, F.struct(
+                F.lit(c).alias("column"), F.lit(float(p)).alias("prob"), F.when(v >= lo, v).alias("value"))))
     counts = (
-        df.select(F.expr(f"stack({len(cols)}, {pairs}) as (column, value)"))
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column", "value").agg(F.count("*").alias("cnt"))
-    )
-    ranked = running_totals(counts, ["value"], {"cum": F.col("cnt")}, by=["column"], totals=True)
-    spots = F.array(*[
-        F.struct(
-            F.lit(float(p)).alias("prob"),
-            F.floor(F.lit(float(p)) * (F.col("cum_total") - 1)).alias("low"),
-            F.ceil(F.lit(float(p)) * (F.col("cum_total") - 1)).alias("high"),
-            (F.lit(float(p)) * (F.col("cum_total") - 1)).alias("pos"),
-        )
-        for p in probs
-    ])
-    start, end = F.col("cum") - F.col("cnt"), F.col("cum") - 1
-    hits = (
-        ranked.withColumn("_spots", spots).withColumn("_start", start).withColumn("_end", end)
-        .withColumn("_spot", F.explode(F.filter("_spots", lambda s: (
-            s["low"].between(F.col("_start"), F.col("_end")) | s["high"].between(F.col("_start"), F.col("_end"))
-        ))))
-        .select("column", "value", "_spot.*")
-    )
-    return (
-        hits.groupBy("column", "prob")
-        .agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.max(F.col("pos") - F.col("low")).alias("frac"))
-        .select("column", "prob", (F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("value"))
+        df.select(F.struct(*[v.alias(c) for c, v in clean.items()]).alias("_c"))
+        .withColumn("_s", sketch.scalar()).select(F.explode(F.array(*spots)).alias("k")).filter("k is not null")
+        .groupBy("k.column", "k.prob", "k.value").agg(F.count("*").alias("cnt"))
     )
+    ranked = running_totals(counts, ["value"], {"cum": F.col("cnt")}, by=["column", "prob"])
+    sizes = sketch.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s.`{c}`.n").alias("n")) for c in cols])))
+    hits = ranked.join(sizes, "column").withColumn("_pos", F.col("prob") * (F.col("n") - 1))
+    covers = lambda r: (F.col("cum") - F.col("cnt") <= r) & (r < F.col("cum"))
+    low, high = F.floor("_pos"), F.ceil("_pos")
+    found = hits.groupBy("column", "prob").agg(
+        F.max(F.when(covers(low) , F.col("value"))).alias("lo"), F.max(F.when(covers(high), F.col("value"))).alias("hi"),
+        F.max(F.col("_pos") - low).alias("frac"))
+    sure = F.when(F.col("lo").isNull() | F.col("hi").isNull(), F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+    return found.select("column", "prob", F.coalesce(sure, F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("value"))
 
 
 def quantile_of(df: DataFrame, col: str, probs: list[float]) -> Column:

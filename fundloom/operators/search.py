@@ -7,7 +7,7 @@ from math import ceil
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import terms, with_bigrams
 from .topk import topk
@@ -19,6 +19,8 @@ def english_stop_words() -> list[str]:
 
 
 def term_counts(docs: DataFrame, key: str, text_col: str, bigrams: bool = True, stop_words: list[str] | None = None) -> DataFrame:
+    # moving each text once is cheaper than moving its terms; the counts below then need no shuffle of their own
+    docs = docs.select(key, text_col).repartition(key)
     words = terms(text_col)
     if stop_words:
         stops = F.array(*[F.lit(w) for w in stop_words])
@@ -38,8 +40,8 @@ def inverse_document_frequency(counts: DataFrame, key: str, n_docs, min_df: int
 
 
 def _unit(weights: DataFrame, key: str) -> DataFrame:
-    size = weights.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_size"))
-    return weights.join(size, key).select(key, "term", (F.col("raw") / F.col("_size")).alias("weight"))
+    size = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
+    return weights.select(key, "term", (F.col("raw") / size).alias("weight"))
 
 
 def tfidf(docs: DataFrame, key: str, text_col: str, bigrams: bool = True, min_df: int = 1,
@@ -57,14 +59,13 @@ def tfidf_search(queries: DataFrame, corpus: DataFrame, qkey: str, qtext: str, k
     counts = term_counts(corpus, key, text_col, bigrams, stop_words)
     n = corpus.agg(F.count("*").alias("n")).scalar()
     idf = inverse_document_frequency(counts, key, n)
-    docs = _unit(counts.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw")), key)
+    raw = counts.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    # a document's length needs all its terms, its score only the asked ones
+    size = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_size"))
     asked = term_counts(queries, qkey, qtext, bigrams, stop_words).join(idf, "term")
     asked = _unit(asked.select(qkey, "term", (F.col("tf") * F.col("idf")).alias("raw")), qkey)
-    scores = (
-        docs.join(asked.withColumnRenamed("weight", "qw"), "term")
-        .groupBy(qkey, key).agg(F.round(F.sum(F.col("weight") * F.col("qw")) * 100, 2).alias("match_score"))
-        .filter("match_score > 0")
-    )
+    sums = raw.join(asked.withColumnRenamed("weight", "qw"), "term").groupBy(qkey, key).agg(F.sum(F.col("raw") * F.col("qw")).alias("_s"))
+    scores = sums.join(size, key).select(qkey, key, F.round(F.col("_s") / F.col("_size") * 100, 2).alias("match_score")).filter("match_score > 0")
     return topk(scores, [qkey], [F.desc("match_score"), F.col(key)], k, rank="rank")
 
 

@@ -30,16 +30,25 @@ def sma(df: DataFrame, n: int, key="scheme", date="date", col="nav", min_periods
     return df.withColumn(name or f"{col}_sma_{n}", out)
 
 
+def _to_next(df: DataFrame, key: str, date: str) -> DataFrame:
+    """Every row repeated for each day up to the entity's next row, as ``_day``: a calendar without a join."""
+    end = F.coalesce(F.date_sub(F.lead(date).over(_w(key, date)), 1), F.col(date))
+    return df.withColumn("_end", end).withColumn("_day", F.explode(F.sequence(date, "_end", F.expr("interval 1 day")))).drop("_end")
+
+
 def calendar(df: DataFrame, key="scheme", date="date") -> DataFrame:
-    """Every day from an entity's first to its last, with the columns of the days that have a row."""
-    days = df.groupBy(key).agg(F.min(date).alias("a"), F.max(date).alias("b")).select(
-        key, F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias(date))
-    return days.join(df, [key, date], "left")
+    """Every day from an entity's first to its last; days without a row have nulls in the other columns."""
+    rest = [c for c in df.columns if c not in (key, date)]
+    return _to_next(df, key, date).select(
+        key, F.col("_day").alias(date), *[F.when(F.col("_day") == F.col(date), F.col(c)).alias(c) for c in rest])
 
 
 def forward_fill(df: DataFrame, key="scheme", date="date", col="nav") -> DataFrame:
-    w = _w(key, date, Window.unboundedPreceding)
-    return calendar(df, key, date).withColumn(col, F.last(col, ignorenulls=True).over(w))
+    """The daily calendar with the last known value of ``col``; other columns are null on filled days."""
+    rest = [c for c in df.columns if c not in (key, date, col)]
+    known = df.withColumn(col, F.last(col, ignorenulls=True).over(_w(key, date, Window.unboundedPreceding)))
+    return _to_next(known, key, date).select(
+        key, F.col("_day").alias(date), col, *[F.when(F.col("_day") == F.col(date), F.col(c)).alias(c) for c in rest])
 
 
 def last_n(df: DataFrame, key: str, ts: str, n: int, ties: list[str] = ()) -> DataFrame:
@@ -114,9 +123,9 @@ def rank_allocation(df: DataFrame, by: list[str], order: list[Column]) -> DataFr
         "allocation_pct", F.greatest(F.lit(8), F.least(F.lit(40), 24 - (F.col("rank") - 1) * 4)))
 
 
-def minmax_by(df: DataFrame, key="scheme", col="nav", name: str | None = None) -> DataFrame:
-    """Values scaled to [0, 1] per entity; a constant series is 0."""
-    span = df.groupBy(key).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
+def minmax_by(df: DataFrame, key="scheme", col="nav", name: str | None = None, bounds: DataFrame | None = None) -> DataFrame:
+    """Values scaled to [0, 1] per entity; a constant series is 0. ``bounds`` may name a smaller frame with the same range."""
+    span = (df if bounds is None else bounds).groupBy(key).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
     return df.join(span, key).withColumn(
         name or f"{col}_scaled",
         F.when(F.col(col).isNotNull(), F.coalesce(safe_div(F.col(col) - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0)))
@@ -139,10 +148,12 @@ def inverse_minmax(scaled, lo, hi) -> Column:
 
 def nav_preprocess(nav: DataFrame, key="scheme", date="date", col="nav") -> DataFrame:
     """Per scheme: daily calendar with forward fill, 7- and 30-day means, scaling to [0, 1]. One job for all schemes."""
-    full = forward_fill(daily(nav, key, date), key, date, col)
+    one = daily(nav, key, date)
+    full = forward_fill(one, key, date, col)
     full = sma(full, 7, key, date, col, name="nav_sma_7")
     full = sma(full, 30, key, date, col, name="nav_sma_30")
-    return minmax_by(full, key, col, "nav_scaled")
+    # filling adds no new values, so the bounds come from the unfilled rows
+    return minmax_by(full, key, col, "nav_scaled", bounds=one)
 
 
 # ---- performance ---------------------------------------------------------------------------
