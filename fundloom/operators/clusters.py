@@ -95,123 +95,106 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
 
 
 def density_cluster(df: DataFrame, key: str, cols: list[str], eps: float = 0.35, min_pts: int = 10, chunk: int = 2048) -> DataFrame:
-    """DBSCAN labels (-1 is noise) without forming pairs of rows.
+    """DBSCAN labels (-1 is noise) without pairs of rows leaving a task.
 
-    Points fall into cells so small that any two points of a cell are neighbours, so a full cell needs no distances.
-    Only cells within ``eps`` of each other meet, in chunks of bounded size, and a meeting returns counts, one edge or
-    one label per point. Clusters are numbered by their smallest cell; a border point joins the smallest cluster near it.
+    Points lie in cells so small that all points of a cell are neighbours: a full cell is core without any distance.
+    For the rest, space is cut into tiles; a tile's points meet those of the tile and of an ``eps`` rim around it, in
+    chunks of bounded size, and a meeting returns one count, one label or one edge per cell pair. Clusters are numbered
+    by their smallest cell; a border point joins the smallest cluster in reach.
     """
-    d = len(cols)
+    d, kt = len(cols), df.schema[key].dataType.simpleString()
     side = eps / d ** 0.5 * (1 - 1e-9)
     pts = complete_cases(df, cols).select(F.col(key).alias("id"), F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
-    pts = pts.withColumn("cell", F.transform("x", lambda v: F.floor(v / side))).withColumn("slot", F.xxhash64("id"))
-    pts = cut_lineage(pts)
-    cells = pts.groupBy("cell").agg(F.count("*").alias("n"))
-    cells = cells.withColumn("parts", F.greatest(F.ceil(F.col("n") / chunk), F.lit(1)).cast("int"))
-    cells = cut_lineage(cells)
-    near = cut_lineage(_near_cells(cells, d, side, eps))
-
-    full = cells.filter(F.col("n") >= min_pts).select("cell")
-    sparse_pts = pts.join(cells.filter(F.col("n") < min_pts).select("cell"), "cell")
-    counts = _meet(sparse_pts, pts, near, cells, _count_near(eps, chunk), "id {k}, n long", df.schema[key].dataType)
-    core = pts.join(full, "cell").select("id", "x", "cell", "slot").unionByName(
-        sparse_pts.join(counts.groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_pts).select("id"), "id")
-        .select("id", "x", "cell", "slot"))
-    core = cut_lineage(core)
-    core_cells = core.select("cell").distinct()
-    half = near.filter(F.col("cell") < F.col("other")).join(core_cells, "cell").join(
-        core_cells.withColumnRenamed("cell", "other"), "other").select("cell", "other")
-    edges = _meet(core, core, half, cells, _touches(eps, chunk), "a array<long>, b array<long>", None, split_left=True)
-    comp = connected_components(core_cells.select(F.col("cell").alias("node")), edges.distinct())
-    labels = core.join(comp.withColumnRenamed("node", "cell"), "cell").select("id", F.col("component"))
-    rest = pts.join(core.select("id"), "id", "left_anti")
-    owned = core.join(comp.withColumnRenamed("node", "cell"), "cell")
-    border = _meet(rest, owned, near, cells, _nearest_label(eps, chunk), "id {k}, component array<long>", df.schema[key].dataType)
-    border = border.groupBy("id").agg(F.min("component").alias("component"))
-    numbers = global_rank(comp.select("component").distinct(), ["component"], "no").select("component", (F.col("no") - 1).alias("cluster"))
-    named = labels.unionByName(border).join(numbers, "component").select("id", "cluster")
-    return pts.select("id").join(named, "id", "left").select(
-        F.col("id").alias(key), F.coalesce(F.col("cluster"), F.lit(-1)).alias("cluster"))
-
-
-def _near_cells(cells: DataFrame, d: int, side: float, eps: float) -> DataFrame:
-    """(cell, other) for cells, itself included, whose boxes come within ``eps``; matched on a coarse grid of up to
-    three dimensions so the join is an equi-join."""
+    pts = pts.withColumn("cell", F.concat_ws(",", F.transform("x", lambda v: F.floor(v / side).cast("string"))))
     m = min(d, 3)
-    span = int(np.ceil(eps / side)) + 1
-    coarse = F.transform(F.slice("cell", 1, m), lambda v: F.floor(v / span))
-    home = cells.select("cell", coarse.alias("grid"))
-    shift = lambda i: lambda v, j: v + F.when(j == i, F.col("s")).otherwise(0)
-    around = home
-    for i in range(m):
-        around = around.withColumn("s", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))).withColumn(
-            "grid", F.transform("grid", shift(i))).drop("s")
-    pairs = around.join(home.withColumnRenamed("cell", "other"), "grid").drop("grid")
-    gap = F.aggregate(F.zip_with("cell", "other", lambda a, b: F.pow(
-        F.greatest(F.abs(a - b) - 1, F.lit(0)).cast("double") * side, F.lit(2.0))), F.lit(0.0), lambda acc, v: acc + v)
-    return pairs.filter(gap <= eps * eps)
-
-
-def _meet(left: DataFrame, right: DataFrame, near: DataFrame, cells: DataFrame, fn, schema: str, key_type, split_left: bool = False) -> DataFrame:
-    """Runs ``fn`` on (chunk of a left cell, chunk of a neighbouring right cell)."""
-    parts = cells.select("cell", "parts")
-    n = near.join(parts.withColumnRenamed("parts", "lp"), "cell").join(
-        parts.select(F.col("cell").alias("other"), F.col("parts").alias("rp")), "other")
-    n = n.withColumn("li", F.explode(F.sequence(F.lit(0), F.col("lp") - 1))).withColumn(
-        "ri", F.explode(F.sequence(F.lit(0), F.col("rp") - 1))).select("cell", "other", "li", "ri")
-    at = lambda df: df.join(parts, "cell").withColumn("part", F.pmod("slot", F.col("parts")).cast("int"))
-    a = at(left).withColumnRenamed("part", "li").join(n, ["cell", "li"])
-    b = at(right).withColumnRenamed("part", "ri").withColumnRenamed("cell", "other").join(n, ["other", "ri"])
-    ks = ["cell", "other", "li", "ri"]
-    if key_type is not None:
-        schema = schema.format(k=key_type.simpleString())
-    a = a.select(*ks, "id", "x")
-    b = b.select(*ks, F.col("x").alias("y"), *[F.col(c) for c in ("component",) if c in b.columns])
-    tag = lambda df: df.withColumn("pair", F.to_json(F.struct(*ks)))
-    return tag(a).groupBy("pair").cogroup(tag(b).groupBy("pair")).applyInPandas(fn, schema)
+    shape = df.agg(F.count("*"), *[F.max(c) - F.min(c) for c in cols[:m]]).first()
+    # tiles of about half a chunk each, but never thinner than eps
+    per_dim = max(1.0, (2 * (shape[0] or 1) / chunk) ** (1 / m))
+    sides = [max(eps, float(shape[i + 1] or 0.0) / per_dim) * (1 + 1e-9) for i in range(m)]
+    tile = F.array(*[F.floor(F.col("x")[i] / w) for i, w in enumerate(sides)])
+    size = pts.groupBy("cell").agg(F.count("*").alias("n"))
+    pts = cut_lineage(pts.join(size, "cell").withColumn("full", F.col("n") >= min_pts).withColumn("tile", tile).drop("n"))
+
+    counts = _meet(pts.filter("not full"), pts, sides, eps, chunk, _count_near(eps), f"id {kt}, n long")
+    counted = counts.groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_pts).select("id")
+    core = cut_lineage(pts.filter("full").unionByName(pts.filter("not full").join(counted, "id", "left_semi")))
+    edges = _meet(core, core, sides, eps, chunk, _touching(eps), "a string, b string")
+    comp = connected_components(core.select(F.col("cell").alias("node")).distinct(), edges)
+    owned = core.join(comp.withColumnRenamed("node", "cell"), "cell")
+    rest = pts.join(core.select("id"), "id", "left_anti")
+    border = _meet(rest, owned, sides, eps, chunk, _nearest_label(eps), f"id {kt}, component string")
+    named = owned.select("id", "component").unionByName(border.groupBy("id").agg(F.min("component").alias("component")))
+    numbers = global_rank(comp.select("component").distinct(), ["component"], "no")
+    named = named.join(numbers, "component").select("id", (F.col("no") - 1).alias("cluster"))
+    return pts.select("id").join(named, "id", "left").select(F.col("id").alias(key), F.coalesce("cluster", F.lit(-1)).alias("cluster"))
+
+
+def _meet(left: DataFrame, right: DataFrame, sides: list[float], eps: float, chunk: int, fn, schema: str) -> DataFrame:
+    """Runs ``fn`` on a chunk of a tile's left points and a chunk of the right points in the tile or its rim."""
+    l = left.select("id", "x", "cell", "tile")
+    r = right.select(F.col("id").alias("rid"), F.col("x").alias("y"), F.col("cell").alias("other"), "tile",
+                     *[F.col(c) for c in ("component",) if c in right.columns])
+    for i, w in enumerate(sides):
+        # a point within eps of a face also belongs to the rim of the tile behind it
+        steps = F.array_compact(F.array(F.lit(0), F.when(F.col("y")[i] - F.col("tile")[i] * w <= eps, F.lit(-1)),
+                                        F.when((F.col("tile")[i] + 1) * w - F.col("y")[i] <= eps, F.lit(1))))
+        r = r.withColumn("_s", F.explode(steps)).withColumn(f"_t{i}", F.col("tile")[i] + F.col("_s")).drop("_s")
+    r = r.withColumn("tile", F.array(*[F.col(f"_t{i}") for i in range(len(sides))])).drop(*[f"_t{i}" for i in range(len(sides))])
+    parts = lambda df, name: df.groupBy("tile").agg(F.ceil(F.count("*") / chunk).cast("int").alias(name))
+    n = parts(l, "lp").join(parts(r, "rp"), "tile")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    l = l.join(n, "tile").withColumn("li", F.pmod(F.xxhash64("id"), F.col("lp")).cast("int")).withColumn("ri", every("rp"))
+    r = r.join(n, "tile").withColumn("ri", F.pmod(F.xxhash64("rid"), F.col("rp")).cast("int")).withColumn("li", every("lp"))
+    ks = ["tile", "li", "ri"]
+    tag = lambda df: df.withColumn("pair", F.to_json(F.struct(*ks))).drop(*ks, "lp", "rp")
+    return tag(l).groupBy("pair").cogroup(tag(r).groupBy("pair")).applyInPandas(fn, schema)
 
 
 def _mat(col: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in col])
 
 
-def _close(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
-    sq = ((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)
-    return sq <= eps * eps
+def _near(a: pd.DataFrame, y: np.ndarray, eps: float, step: int = 256):
+    """(start, closeness matrix) for slices of the left points."""
+    x = _mat(a["x"])
+    for i in range(0, len(x), step):
+        yield i, ((x[i:i + step, None, :] - y[None, :, :]) ** 2).sum(axis=2) <= eps * eps
 
 
-def _count_near(eps: float, step: int):
+def _count_near(eps: float):
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"id": a["id"][:0], "n": pd.Series(dtype="int64")})
         y = _mat(b["y"])
-        n = [_close(_mat(a["x"].iloc[i:i + 256]), y, eps).sum(axis=1) for i in range(0, len(a), 256)]
-        return pd.DataFrame({"id": a["id"].to_numpy(), "n": np.concatenate(n).astype("int64")})
+        return pd.DataFrame({"id": a["id"].to_numpy(), "n": np.concatenate([c.sum(axis=1) for _, c in _near(a, y, eps)]).astype("int64")})
     return run
 
 
-def _touches(eps: float, step: int):
+def _touching(eps: float):
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"a": pd.Series(dtype=object), "b": pd.Series(dtype=object)})
-        if a.empty or b.empty:
-            return none
-        y = _mat(b["y"])
-        for i in range(0, len(a), 256):
-            if _close(_mat(a["x"].iloc[i:i + 256]), y, eps).any():
-                return pd.DataFrame({"a": [list(a["cell"].iloc[0])], "b": [list(a["other"].iloc[0])]})
-        return none
+        found = set()
+        if len(a) and len(b):
+            y = _mat(b["y"])
+            left, lnames = pd.factorize(a["cell"])
+            right, rnames = pd.factorize(b["other"])
+            hit = np.zeros((len(lnames), len(rnames)), dtype=bool)
+            for i, c in _near(a, y, eps):
+                p, q = np.nonzero(c)
+                hit[left[i + p], right[q]] = True
+            found = {(lnames[p], rnames[q]) for p, q in zip(*np.nonzero(hit)) if lnames[p] < rnames[q]}
+        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype=object)
     return run
 
 
-def _nearest_label(eps: float, step: int):
+def _nearest_label(eps: float):
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        out_id, out_c = [], []
+        ids, labels = [], []
         if len(a) and len(b):
-            y, comp = _mat(b["y"]), [tuple(c) for c in b["component"]]
-            for i, row in zip(a["id"], a["x"]):
-                hit = np.flatnonzero(_close(np.asarray(row, dtype=np.float64)[None, :], y, eps)[0])
-                if len(hit):
-                    out_id.append(i)
-                    out_c.append(list(min(comp[h] for h in hit)))
-        return pd.DataFrame({"id": pd.Series(out_id, dtype=a["id"].dtype), "component": pd.Series(out_c, dtype=object)})
+            b = b.sort_values("component")
+            y, comp = _mat(b["y"]), b["component"].to_numpy()
+            for i, c in _near(a, y, eps):
+                some = c.any(axis=1)
+                ids.extend(a["id"].to_numpy()[i:i + len(c)][some])
+                labels.extend(comp[c.argmax(axis=1)[some]])
+        return pd.DataFrame({"id": pd.Series(ids, dtype=a["id"].dtype), "component": pd.Series(labels, dtype=object)})
     return run

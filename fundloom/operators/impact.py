@@ -5,8 +5,6 @@ The words a group's text contains are kept as bits and combined with ``bit_or``:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import words as W
@@ -24,9 +22,9 @@ WORDS_PER = [VOCABULARY[i:i + BITS] for i in range(0, len(VOCABULARY), BITS)]
 PHRASES = [v for v in VOCABULARY if " " in v]
 
 
-def _mask(test, words: list[str]) -> Column:
-    return reduce(lambda a, b: a.bitwiseOR(b), [F.when(test(w), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
-                                               for i, w in enumerate(words)])
+def _mask(test: str, words: list[str]) -> Column:
+    """Bit i is set where ``test`` holds for word i. Written as SQL text: one parse instead of hundreds of calls."""
+    return F.expr(" | ".join(f"CASE WHEN {test.format(w=w)} THEN {1 << i}L ELSE 0L END" for i, w in enumerate(words)))
 
 
 def signal_text(signals: DataFrame) -> Column:
@@ -42,72 +40,63 @@ def group_words(signals: DataFrame, group: str, order: list[str]) -> DataFrame:
     beginning of the next one on its rank.
     """
     text = signals.select(group, *order, signal_text(signals).alias("text"))
-    inside = text.groupBy(group).agg(
-        F.count("*").alias("n"), *[F.bit_or(_mask(lambda w: F.col("text").contains(w), ws)).alias(f"w{i}")
-                                   for i, ws in enumerate(WORDS_PER)])
+    inside = text.groupBy(group).agg(F.count("*").alias("n"), *[
+        F.bit_or(_mask("contains(text, '{w}')", ws)).alias(f"w{i}") for i, ws in enumerate(WORDS_PER)])
     ranked = global_rank(text.filter("text <> ''"), order, "pos", by=[group])
-    halves = [p.split(" ", 1) for p in PHRASES]
-    ends = _mask(lambda p: F.col("text").endswith(p.split(" ", 1)[0]), PHRASES)
-    starts = _mask(lambda p: F.col("text").startswith(p.split(" ", 1)[1]), PHRASES)
-    left = ranked.filter(reduce(lambda a, b: a | b, [F.col("text").endswith(h[0]) for h in halves])).select(
-        group, (F.col("pos") + 1).alias("pos"), ends.alias("e"))
-    right = ranked.filter(reduce(lambda a, b: a | b, [F.col("text").startswith(h[1]) for h in halves])).select(
-        group, "pos", starts.alias("s"))
+    ends = _mask("endswith(text, split_part('{w}', ' ', 1))", PHRASES)
+    starts = _mask("startswith(text, split_part('{w}', ' ', 2))", PHRASES)
+    left = ranked.select(group, (F.col("pos") + 1).alias("pos"), ends.alias("e")).filter("e <> 0")
+    right = ranked.select(group, "pos", starts.alias("s")).filter("s <> 0")
     met = left.join(right, [group, "pos"]).groupBy(group).agg(F.bit_or(F.col("e").bitwiseAND(F.col("s"))).alias("met"))
     out = inside.join(met, group, "left").withColumn("met", default("met", 0))
-    for i, ws in enumerate(WORDS_PER):
-        extra = [F.when(F.col("met").bitwiseAND(F.lit(1 << PHRASES.index(w))) != 0, F.lit(1 << ws.index(w))).otherwise(F.lit(0)).cast("bigint")
-                 for w in ws if w in PHRASES]
-        if extra:
-            out = out.withColumn(f"w{i}", reduce(lambda a, b: a.bitwiseOR(b), extra, F.col(f"w{i}")))
-    return out.drop("met")
+    straddling = lambda i, ws: " | ".join([f"w{i}"] + [
+        f"CASE WHEN met & {1 << PHRASES.index(w)}L <> 0 THEN {1 << ws.index(w)}L ELSE 0L END" for w in ws if w in PHRASES])
+    return out.withColumns({f"w{i}": F.expr(straddling(i, ws)) for i, ws in enumerate(WORDS_PER)}).drop("met")
 
 
-def has(word: str) -> Column:
-    for i, ws in enumerate(WORDS_PER):
-        if word in ws:
-            return F.col(f"w{i}").bitwiseAND(F.lit(1 << ws.index(word)).cast("bigint")) != 0
-    raise KeyError(word)
+def has(word: str) -> str:
+    """SQL test that the group's texts contain the word."""
+    i, ws = next((i, ws) for i, ws in enumerate(WORDS_PER) if word in ws)
+    return f"(w{i} & {1 << ws.index(word)}L <> 0)"
 
 
-def _vix() -> Column:
-    return F.coalesce(F.nullif(F.col("m.vix"), F.lit(0.0)), F.lit(15.0))
+VIX = "coalesce(nullif(m.vix, 0D), 15D)"
+BIAS = "CASE lower(coalesce(m.sentiment, 'neutral')) WHEN 'bearish' THEN -0.15D WHEN 'bullish' THEN 0.15D ELSE 0D END"
 
 
-def _sector_score(sector: str) -> Column:
-    one = lambda cond, v: F.when(cond, v).otherwise(0.0)
-    score = reduce(lambda a, b: a + b, [one(has(k), 0.35) for k in W.SECTOR_KEYWORDS[sector]])
+def _sector_score(sector: str) -> str:
+    one = lambda cond, v: f"CASE WHEN {cond} THEN {v} ELSE 0D END"
+    score = " + ".join(one(has(k), "0.35D") for k in W.SECTOR_KEYWORDS[sector])
     if sector in ("Banking", "Large Cap"):
-        score = score + one(has("gdp") | has("earnings"), 0.25)
+        score += " + " + one(f"{has('gdp')} OR {has('earnings')}", "0.25D")
     if sector == "Debt":
-        score = score - one(has("rate hike") | has("inflation"), 0.5)
+        score += " - " + one(f"{has('rate hike')} OR {has('inflation')}", "0.5D")
     if sector == "Energy":
-        score = score + one(has("oil") | has("crude"), F.when(has("increase") | has("spike"), -0.35).otherwise(0.2))
-    mood = F.lower(default("m.sentiment", "neutral"))
-    bias = F.when(mood == "bearish", -0.15).when(mood == "bullish", 0.15).otherwise(0.0)
+        oil = f"CASE WHEN {has('increase')} OR {has('spike')} THEN -0.35D ELSE 0.2D END"
+        score += " + " + one(f"{has('oil')} OR {has('crude')}", oil)
     if sector in ("Mid Cap", "Large Cap", "IT"):
-        score = score + (bias - one(_vix() > 20, 0.1))
+        score += f" + ({BIAS} - {one(VIX + ' > 20', '0.1D')})"
     else:
-        score = score + bias * 0.5
-    return clamp(score, -1, 1)
+        score += f" + ({BIAS}) * 0.5D"
+    return f"greatest(-1D, least(1D, {score}))"
 
 
 def analysed(signals: DataFrame, market: DataFrame, group: str, order: list[str], on: str | None = None) -> DataFrame:
     """Per group: sentiment score, severity, confidence and the sector impacts as an array in sector order."""
     g = with_market(group_words(signals, group, order), market, on, "m")
-    count = lambda ws: reduce(lambda a, b: a + b, [has(w).cast("int") for w in ws])
-    pos, neg = count(W.IMPACT_POSITIVE), count(W.IMPACT_NEGATIVE)
-    g = g.withColumn("score", (pos - neg) / F.greatest(F.lit(1), pos + neg))
-    vix, s = _vix(), F.col("score")
-    sectors = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(name).alias("sector"), _sector_score(name).alias("impact"))
-                        for i, name in enumerate(W.SECTOR_KEYWORDS)])
+    count = lambda ws: "(" + " + ".join(f"cast({has(w)} as int)" for w in ws) + ")"
+    sectors = ", ".join(f"named_struct('ord', {i}, 'sector', '{n}', 'impact', {_sector_score(n)})" for i, n in enumerate(W.SECTOR_KEYWORDS))
+    g = g.select(group, "n", F.expr(f"{VIX} AS vix"), F.coalesce("m.vix", F.lit(0.0)).alias("_given"), F.expr(f"{count(W.IMPACT_POSITIVE)} AS pos"),
+                 F.expr(f"{count(W.IMPACT_NEGATIVE)} AS neg"), F.expr(f"array({sectors}) AS sectors"))
+    g = g.withColumn("score", F.expr("(pos - neg) / greatest(1, pos + neg)"))
+    vix, s = F.col("vix"), F.col("score")
     return g.select(
-        group, "n", "score", vix.alias("vix"),
+        group, "n", "score", "vix",
         F.when((s <= -0.6) | (vix >= 28), "critical").when((s <= -0.25) | (vix >= 22), "high")
         .when((s >= 0.45) & (vix <= 18), "positive").otherwise("moderate").alias("severity"),
-        F.round(clamp(0.55 + F.least("n", F.lit(8)) * 0.04 + F.when(default("m.vix", 0.0) != 0, 0.05).otherwise(0.0), 0.35, 0.95), 4)
+        F.round(clamp(0.55 + F.least("n", F.lit(8)) * 0.04 + F.when(F.col("_given") != 0, 0.05).otherwise(0.0), 0.35, 0.95), 4)
         .alias("confidence"),
-        sectors.alias("sectors"))
+        "sectors")
 
 
 def sector_impact(signals, market, group, order, on=None) -> DataFrame:
