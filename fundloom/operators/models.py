@@ -67,10 +67,9 @@ def with_prediction_fields(schema: T.StructType) -> T.StructType:
 def score_leads(df: DataFrame, model: PipelineModel, threshold: float = 0.5, num: list[str] = LEAD_NUMERIC,
                 cat: list[str] = LEAD_CATEGORICAL) -> DataFrame:
     """Probability and label per row; works on a batch or a stream, all in the JVM."""
-    keep = df.columns
-    made = [c for c in [*num, *cat] if c not in keep]
-    # features are built beside the input under a struct, so the input columns come back unchanged
-    packed = feature_frame(df.select("*", F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_in")), num, cat)
+    # features are built beside the input in a struct, so the input columns come back unchanged
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_in")
+    packed = feature_frame(df.select(whole, *[c for c in [*num, *cat] if c in df.columns]), num, cat)
     return model.transform(packed).select("_in.*", (positive_probability() >= threshold).cast("int").alias("pred_label"),
                                           positive_probability().alias("pred_proba"))
 
@@ -138,7 +137,7 @@ def top_features(model: PipelineModel, df: DataFrame, num: list[str], cat: list[
 def fit_sentiment(df: DataFrame, text_col: str, label_col: str, max_features: int = 20_000, min_df: int = 2,
                   max_iter: int = 200, vector_col: str | None = None) -> PipelineModel:
     """Word and bigram TF-IDF (or a given vector column) into a class-weighted multinomial regression."""
-    stages = [StringIndexer(inputCol=label_col, outputCol="label", handleInvalid="skip", stringOrderType="alphabetAsc")]
+    stages = [StringIndexer(inputCol=label_col, outputCol="_label", handleInvalid="skip", stringOrderType="alphabetAsc")]
     if vector_col is None:
         stages += [
             RegexTokenizer(inputCol=text_col, outputCol="w1", pattern=r"(?U)\b\w\w+\b", gaps=False),
@@ -147,7 +146,7 @@ def fit_sentiment(df: DataFrame, text_col: str, label_col: str, max_features: in
             CountVectorizer(inputCol="grams", outputCol="tf", vocabSize=max_features, minDF=min_df),
             IDF(inputCol="tf", outputCol="features"),
         ]
-    lr = LogisticRegression(maxIter=max_iter, weightCol="weight", regParam=1e-3, featuresCol=vector_col or "features", labelCol="label")
+    lr = LogisticRegression(maxIter=max_iter, weightCol="weight", regParam=1e-3, featuresCol=vector_col or "features", labelCol="_label")
     names = sorted(r[0] for r in df.select(F.col(label_col).cast("string")).filter(F.col(label_col).isNotNull()).distinct().limit(100).collect())
     back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=names)
     # the label is only needed for fitting: the scoring model leaves its indexer out
@@ -163,9 +162,9 @@ def fit_sentiment(df: DataFrame, text_col: str, label_col: str, max_features: in
 def score_sentiment(df: DataFrame, model: PipelineModel, text_col: str, positive: int = 1) -> DataFrame:
     """Label, its probability, and P(positive); blank text is 0.5."""
     keep = df.columns
-    packed = df.select("*", F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_in")).withColumn(text_col, default(text_col, ""))
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_in"), default(text_col, "").alias(text_col))
     prob = vector_to_array("probability")
-    blank = F.trim(F.col(text_col)) == ""
+    blank = F.trim(text_col) == ""
     return model.transform(packed).select(
         "_in.*", "predicted_label", F.array_max(prob).alias("confidence"),
         F.when(blank, 0.5).otherwise(F.coalesce(prob[positive], F.lit(0.5))).alias("p_positive"))
