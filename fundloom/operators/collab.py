@@ -40,7 +40,11 @@ def cooccurrence(pairs: DataFrame, user_block: int = 4096, item_block: int = 204
     matrix of a user block over two item blocks, of bounded size whatever the skew, and its product is already summed
     over the block's users when it leaves the task.
     """
-    nu, ni = blocks or _blocks(pairs, user_block, item_block)
+    if blocks is None:
+        # sized and then read: written once rather than derived twice
+        pairs = cut_lineage(pairs.select("user", "item"))
+        blocks = _blocks(pairs, user_block, item_block)
+    nu, ni = blocks
     keyed = pairs.select("user", "item", _slot("user", nu).alias("ub"), _slot("item", ni).alias("ib")).withColumn("other", _every(ni))
     keyed = keyed.select("user", "item", "ub", "ib", F.least("ib", "other").alias("a"), F.greatest("ib", "other").alias("b"))
 
@@ -69,6 +73,7 @@ def cooccurrence_scores(pairs: DataFrame, counts: DataFrame | None = None, mine:
     matrix product, so no row per (user, own item, candidate) is ever shuffled. While all items fit one block the task
     sees a user's every score and cuts to ``k`` itself.
     """
+    pairs = cut_lineage(pairs.select("user", "item"))
     blocks = _blocks(pairs, user_block, item_block)
     nu, ni = blocks
     counts = cooccurrence(pairs, blocks=blocks) if counts is None else counts
@@ -114,7 +119,7 @@ def cooccurrence_scores(pairs: DataFrame, counts: DataFrame | None = None, mine:
 
 def collab_recommend(pairs: DataFrame, users: DataFrame, k: int = 5) -> DataFrame:
     """Top ``k`` items per user by co-occurrence; users without history get the most popular items."""
-    pairs = cut_lineage(pairs.select("user", "item"))
+    pairs = pairs.select("user", "item")
     wanted = users.select(F.col("user").cast("string").alias("user")).distinct()
     mine = pairs.join(wanted, "user", "left_semi")
     own = topk(cooccurrence_scores(pairs, mine=mine, k=k), ["user"], [F.desc("score"), F.col("item")], k, rank="rank")

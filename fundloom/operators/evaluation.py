@@ -46,14 +46,14 @@ def score_counts(df: DataFrame, label: str, prob: str) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, label: str, prob: str) -> DataFrame:
-    r = running_totals(score_counts(df, label, prob), ["score"], {"below": F.col("n"), "pos": F.col("p")}, totals=True)
+    r = running_totals(score_counts(df, label, prob), ["score"], {"below": F.col("n"), "pos": F.col("p")}, totals=True, aggregated=True)
     wins = F.col("p") * (F.col("below") - F.col("n") + F.col("n") * 0.5)
     return r.agg(safe_div(F.sum(wins), F.max("pos_total").cast("double") * F.max("below_total")).alias("roc_auc"))
 
 
 def _descending(df: DataFrame, label: str, prob: str) -> DataFrame:
     c = score_counts(df, label, prob).withColumn("neg_score", -F.col("score"))
-    return running_totals(c, ["neg_score"], {"tp": F.col("p"), "fp": F.col("n")}, totals=True)
+    return running_totals(c, ["neg_score"], {"tp": F.col("p"), "fp": F.col("n")}, totals=True, aggregated=True)
 
 
 def average_precision(df: DataFrame, label: str, prob: str) -> DataFrame:

@@ -12,23 +12,29 @@ from ..functions.scalars import as_col
 from ..session import shuffle_width
 
 
-def range_bucket(df: DataFrame, key: list, n: int | None = None, name: str = "_bucket") -> DataFrame:
-    """Number of the key range each row lies in; at most ``n + 1`` ranges, balanced over distinct keys."""
+def range_bucket(df: DataFrame, key: list, n: int | None = None, name: str = "_bucket", aggregated: bool = False) -> DataFrame:
+    """Number of the key range each row lies in; at most ``n + 1`` ranges, balanced over distinct keys.
+
+    With ``aggregated`` the sample reads all columns, so that it asks for the very shuffle the rows come from and Spark
+    runs that shuffle once; leave it off for raw tables, where the sample then reads only the key.
+    """
     n = n or shuffle_width(df.sparkSession)
     keyed = df.withColumn("_key", F.struct(*[as_col(k) for k in key]))
     cuts = (
-        keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(n)
+        keyed.orderBy(F.xxhash64(*(df.columns if aggregated else ["_key"])), "_key").limit(n)
         .agg(F.array_sort(F.collect_set("_key")).alias("cuts"))
     )
     return (
         keyed.withColumn("_cuts", cuts.scalar())
-        .withColumn(name, F.size(F.filter("_cuts", lambda c: c < F.col("_key"))))
+        # never null, or the join on it would push a null test of this expression below the aggregation
+        .withColumn(name, F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_key"))), F.lit(0)))
         .drop("_cuts", "_key")
     )
 
 
 def running_totals(
-    df: DataFrame, order: list, sums: dict[str, Column], by: list[str] = (), totals: bool = False, n: int | None = None
+    df: DataFrame, order: list, sums: dict[str, Column], by: list[str] = (), totals: bool = False, n: int | None = None,
+    aggregated: bool = False,
 ) -> DataFrame:
     """Cumulative sums (inclusive) in ``order`` within ``by``; order keys must be unique within ``by``.
 
@@ -38,7 +44,7 @@ def running_totals(
     work = df
     for name, value in sums.items():
         work = work.withColumn(f"_v_{name}", value)
-    work = range_bucket(work, [*by, *order], n)
+    work = range_bucket(work, [*by, *order], n, aggregated=aggregated)
     part = by or [F.lit(0)]
     before = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*part)
@@ -85,9 +91,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
         .withColumn("_s", sketch.scalar()).select(F.explode(F.array(*spots)).alias("k")).filter("k is not null")
         .groupBy("k.column", "k.prob", "k.value").agg(F.count("*").alias("cnt"))
     )
-    ranked = running_totals(counts, ["value"], {"cum": F.col("cnt")}, by=["column", "prob"])
-    sizes = sketch.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s.`{c}`.n").alias("n")) for c in cols])))
-    hits = ranked.join(sizes, "column").withColumn("_pos", F.col("prob") * (F.col("n") - 1))
+    ranked = running_totals(counts, ["value"], {"cum": F.col("cnt")}, by=["column", "prob"], aggregated=True)
+    size = F
+    for c in cols:
+        size = size.when(F.col("column") == c, F.col(f"_s.`{c}`.n"))
+    hits = ranked.withColumn("_s", sketch.scalar()).withColumn("_pos", F.col("prob") * (size - 1))
     covers = lambda r: (F.col("cum") - F.col("cnt") <= r) & (r < F.col("cum"))
     low, high = F.floor("_pos"), F.ceil("_pos")
     found = hits.groupBy("column", "prob").agg(

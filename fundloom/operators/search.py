@@ -25,10 +25,10 @@ def term_counts(docs: DataFrame, key: str, text_col: str, bigrams: bool = True,
     if stop_words:
         stops = F.array(*[F.lit(w) for w in stop_words])
         words = F.filter(words, lambda w: ~F.array_contains(stops, w))
-    base = docs.select(F.col(key), words.alias("_w"))
     if bigrams:
-        base = base.withColumn("_w", with_bigrams(F.col("_w")))
-    return base.select(key, F.explode("_w").alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+        # inside a lambda the word list is a bound variable: the text is split once, not once per mention
+        words = F.transform(F.array(words), with_bigrams)[0]
+    return docs.select(key, F.explode(words).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def inverse_document_frequency(counts: DataFrame, key: str, n_docs, min_df: int = 1, max_features: int | None = None) -> DataFrame:
@@ -59,13 +59,10 @@ def tfidf_search(queries: DataFrame, corpus: DataFrame, qkey: str, qtext: str, k
     counts = term_counts(corpus, key, text_col, bigrams, stop_words)
     n = corpus.agg(F.count("*").alias("n")).scalar()
     idf = inverse_document_frequency(counts, key, n)
-    raw = counts.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw"))
-    # a document's length needs all its terms, its score only the asked ones
-    size = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_size"))
-    asked = term_counts(queries, qkey, qtext, bigrams, stop_words).join(idf, "term")
-    asked = _unit(asked.select(qkey, "term", (F.col("tf") * F.col("idf")).alias("raw")), qkey)
-    sums = raw.join(asked.withColumnRenamed("weight", "qw"), "term").groupBy(qkey, key).agg(F.sum(F.col("raw") * F.col("qw")).alias("_s"))
-    scores = sums.join(size, key).select(qkey, key, F.round(F.col("_s") / F.col("_size") * 100, 2).alias("match_score")).filter("match_score > 0")
+    unit = lambda c, k: _unit(c.join(idf, "term").select(k, "term", (F.col("tf") * F.col("idf")).alias("raw")), k)
+    asked = unit(term_counts(queries, qkey, qtext, bigrams, stop_words), qkey).withColumnRenamed("weight", "qw")
+    scores = unit(counts, key).join(asked, "term").groupBy(qkey, key).agg(
+        F.round(F.sum(F.col("weight") * F.col("qw")) * 100, 2).alias("match_score")).filter("match_score > 0")
     return topk(scores, [qkey], [F.desc("match_score"), F.col(key)], k, rank="rank")
 
 

@@ -217,7 +217,7 @@ def nav_metrics(nav: DataFrame, benchmark: DataFrame, rf: float = 0.06, key="sch
     )
     # how many schemes do better, from sums over key ranges rather than one global sort
     counts = out.filter(F.col("cagr").isNotNull()).groupBy("cagr").agg(F.count("*").alias("c"))
-    ranks = running_totals(counts, [F.col("cagr")], {"cum": F.col("c")}, totals=True).select(
+    ranks = running_totals(counts, [F.col("cagr")], {"cum": F.col("c")}, totals=True, aggregated=True).select(
         "cagr", (F.col("cum_total") - F.col("cum") + 1).alias("cagr_rank"))
     return out.join(ranks, "cagr", "left")
 
