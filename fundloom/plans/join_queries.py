@@ -112,11 +112,11 @@ PERSONA = "CASE {k} % 4 WHEN 0 THEN 'growth' WHEN 1 THEN 'conservative' WHEN 2 T
 
 
 @query(f"""SELECT i.investor_id, d.s_suppkey, d.p AS distributor_persona, CASE WHEN d.p = i.p THEN CAST(95 AS INTEGER) ELSE CAST(75 AS INTEGER) END AS match_score
-FROM (SELECT investor_id, {PERSONA.format(k='investor_id')} AS p FROM traits) i JOIN (SELECT s_suppkey, {PERSONA.format(k='s_suppkey')} AS p FROM supplier WHERE s_suppkey % 9 < 2) d ON d.p = i.p OR d.p = 'balanced'""", "traits")
+FROM (SELECT investor_id, {PERSONA.format(k='investor_id')} AS p FROM traits) i JOIN (SELECT s_suppkey, {PERSONA.format(k='s_suppkey')} AS p FROM supplier) d ON d.p = i.p OR d.p = 'balanced'""", "traits")
 def persona_distributors(t):
     persona = lambda c: F.when(F.col(c) % 4 == 0, "growth").when(F.col(c) % 4 == 1, "conservative").when(F.col(c) % 4 == 2, "balanced").otherwise("passive").alias("persona")
     inv = V.traits(t).select("investor_id", persona("investor_id"))
-    dist = t.supplier.filter("s_suppkey % 9 < 2").select("s_suppkey", persona("s_suppkey"))
+    dist = t.supplier.select("s_suppkey", persona("s_suppkey"))
     return J.distributors_for(inv, dist).select("investor_id", "s_suppkey", "distributor_persona", "match_score")
 
 
