@@ -70,7 +70,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
     """Linear-interpolated quantiles of each column as (column, prob, value) rows; nulls and NaN are left out.
 
     A sketch brackets each quantile first: its rank error is at most 1/accuracy, so three times that on either side
-    surely holds the wanted ranks. One pass then counts what lies below each bracket and keeps only the values inside
+    surely holds the wanted ranks (in a column of at most ``accuracy`` values, where rounding of ranks would matter, all
+    values count as inside). One pass then counts what lies below each bracket and keeps only the values inside
     it, equal values counted together; just these few are ranked. A bracket that missed would raise, not mislead.
     """
     clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
@@ -82,7 +83,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
     spots = []
     for c in cols:
         for i, p in enumerate(probs):
-            lo, hi = F.col(f"_s.`{c}`.e")[2 * i], F.col(f"_s.`{c}`.e")[2 * i + 1]
+            few = F.col(f"_s.`{c}`.n") <= accuracy
+            lo = F.when(few, float("-inf")).otherwise(F.col(f"_s.`{c}`.e")[2 * i])
+            hi = F.when(few, float("inf")).otherwise(F.col(f"_s.`{c}`.e")[2 * i + 1])
             v = F.col(f"_c.`{c}`")
             spots.append(F.when(v <= hi, F.struct(
                 F.lit(c).alias("column"), F.lit(float(p)).alias("prob"), F.when(v >= lo, v).alias("value"))))

@@ -45,6 +45,14 @@ def test_quantiles_equal_numpy(spark, seed):
         assert got["b", p] == pytest.approx(np.quantile(b, p), abs=1e-9)
 
 
+@pytest.mark.parametrize("n", [1, 2, 6, 137, 101, 102])
+def test_quantiles_of_few_rows(spark, n):
+    v = [float(i * i % 97) for i in range(n)]
+    df = spark.createDataFrame([(x,) for x in v], "a double")
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["a"], [0.01, 0.25, 0.5, 0.99], accuracy=100).collect()}
+    assert all(got[p] == pytest.approx(np.quantile(v, p)) for p in got) and len(got) == 4
+
+
 def test_quantile_of_one_row_and_nan(spark):
     df = spark.createDataFrame([(3.0,), (float("nan"),), (None,)], "a double")
     assert rows(exact_quantiles(df, ["a"], [0.5])) == [("a", 0.5, 3.0)]
