@@ -27,3 +27,9 @@ def llm_query(fn):
 def op9_minhash_near_dedup(t: Tables) -> DataFrame:
     from .neardup import near_duplicates
     return near_duplicates(t.documents, width=4, percent=80)
+
+
+@llm_query
+def op1_packing(t: Tables) -> DataFrame:
+    from .packing import pack
+    return pack(t.documents, with_ids=False)
