@@ -39,9 +39,12 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def fresh(df: DataFrame, *names: str) -> DataFrame:
-    """The frame without columns of these names, so that new ones cannot clash with columns of the input."""
-    return df.drop(*[n for n in names if n in df.columns])
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores in front as it takes not to clash with a column of the frame."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def batches(source, limit: int = 4 << 20):

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches, fresh, mix64, record, saved, text_of, worker_state
+from .common import batches, free_name, mix64, record, saved, text_of, worker_state
 from .components import components
 from .shingles import shingle_sets
 
@@ -224,8 +224,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coords:
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates; columns stay. Of rows that repeat a doc_id one stays."""
-    found = near_duplicates(docs, **options).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("_kept"), F.count("*").alias("_rows"))
-    named = fresh(docs, "_kept", "_rows")
-    out = named.join(found, "doc_id", "left").filter("coalesce(_kept, true)")
-    once, again = out.filter("coalesce(_rows, 1) = 1"), out.filter("_rows > 1").dropDuplicates(["doc_id"])
+    kept, rows = free_name(docs, "_kept"), free_name(docs, "_rows")
+    found = near_duplicates(docs, **options).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias(kept), F.count("*").alias(rows))
+    out = docs.join(found, "doc_id", "left").filter(F.coalesce(F.col(kept), F.lit(True)))
+    once, again = out.filter(F.coalesce(F.col(rows), F.lit(1)) == 1), out.filter(F.col(rows) > 1).dropDuplicates(["doc_id"])
     return once.unionByName(again).select(*docs.columns)

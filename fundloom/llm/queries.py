@@ -33,3 +33,11 @@ def op9_minhash_near_dedup(t: Tables) -> DataFrame:
 def op1_packing(t: Tables) -> DataFrame:
     from .packing import pack
     return pack(t.documents, with_ids=False)
+
+
+@llm_query
+def op8_quality_classifier(t: Tables) -> DataFrame:
+    from .quality import fit, score
+    scored = score(t.documents.select("doc_id", "text"), fit(t.documents, t.labels), "score")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

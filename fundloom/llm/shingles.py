@@ -10,14 +10,14 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 
 
-def _byte_codes() -> np.ndarray:
+def byte_codes() -> np.ndarray:
     """A random 64-bit number for each byte; A-Z have those of a-z."""
     codes = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
     codes[65:91] = codes[97:123]
     return codes
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """q**i and q**-i modulo 2**64 for i < n; q is odd, so it has an inverse."""
     q = 0x5851F42D4C957F2D
     out = []
@@ -35,7 +35,7 @@ def word_hashes(texts: list[bytes], state: dict) -> tuple[np.ndarray, np.ndarray
     difference of two running sums, divided by the power of its start.
     """
     if "codes" not in state:
-        state["codes"] = _byte_codes()
+        state["codes"] = byte_codes()
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     data = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
     hashes, firsts, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
@@ -43,7 +43,7 @@ def word_hashes(texts: list[bytes], state: dict) -> tuple[np.ndarray, np.ndarray
         end = _cut(data, at)
         part = data[at:end]
         if "powers" not in state or len(state["powers"][0]) < len(part):
-            state["powers"] = _powers(1 << int(len(part)).bit_length())
+            state["powers"] = powers(1 << int(len(part)).bit_length())
         up, down = state["powers"]
         blank = SPACE[part]
         starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
