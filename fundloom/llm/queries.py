@@ -41,3 +41,14 @@ def op8_quality_classifier(t: Tables) -> DataFrame:
     scored = score(t.documents.select("doc_id", "text"), fit(t.documents, t.labels), "score")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@llm_query
+def op7_pii(t: Tables) -> DataFrame:
+    from .pii import KINDS, find, fit
+    docs = t.documents.select("doc_id", "text")
+    marked = find(docs, fit(docs))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return marked.select(
+        "doc_id", *[F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS],
+        F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
