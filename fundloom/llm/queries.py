@@ -52,3 +52,18 @@ def op7_pii(t: Tables) -> DataFrame:
     return marked.select(
         "doc_id", *[F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS],
         F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+@llm_query
+def op2_chat_format(t: Tables) -> DataFrame:
+    from .chat import digests, format_turns
+    rows = t.conversations.select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = t.spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return digests(format_turns(rows.union(extra)))
+
+
+@llm_query
+def op3_mixing(t: Tables) -> DataFrame:
+    from .mixing import mix
+    return mix(t.documents).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability")
