@@ -67,3 +67,15 @@ def op2_chat_format(t: Tables) -> DataFrame:
 def op3_mixing(t: Tables) -> DataFrame:
     from .mixing import mix
     return mix(t.documents).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability")
+
+
+@llm_query
+def op4_embedding_near_dedup(t: Tables) -> DataFrame:
+    from .embdedup import near_vectors
+    return near_vectors(t.embeddings)
+
+
+@llm_query
+def op10_permutation_index(t: Tables) -> DataFrame:
+    from .ann import nearest
+    return nearest(t.embeddings, t.embeddings.filter("vec_id % 20 = 0"))
