@@ -79,3 +79,12 @@ def op4_embedding_near_dedup(t: Tables) -> DataFrame:
 def op10_permutation_index(t: Tables) -> DataFrame:
     from .ann import nearest
     return nearest(t.embeddings, t.embeddings.filter("vec_id % 20 = 0"))
+
+
+@llm_query
+def op6_rans_tokens(t: Tables) -> DataFrame:
+    from .common import scratch_path
+    from .rans import read_tokens, write_tokens
+    folder = scratch_path(t.spark, "tokens")
+    write_tokens(t.documents, folder)
+    return read_tokens(t.spark, folder, with_ids=False)
