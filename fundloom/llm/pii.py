@@ -191,8 +191,8 @@ def fit(docs: DataFrame, sample: int = 4_000, trees: int = 8, depth: int = 4, pr
     lowest at which the selected rows are right with ``precision``. Without such rows nothing but base spans is found.
     """
     found = base_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))).filter("size(base) > 0")
-    chosen = found.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(sample)
-    spans = _around(chosen, "text", "slice(base, 1, 64)", "near").select(F.xxhash64("doc_id", "text").alias("h"), F.explode("near").alias("s"))
+    near = _around(found, "text", "slice(base, 1, 64)", "near").select(F.xxhash64("doc_id", "text").alias("h"), "doc_id", "near")
+    spans = near.orderBy("h", "doc_id").limit(sample).select("h", F.explode("near").alias("s"))
     rows = spans.withColumn("v", F.explode(F.expr(_variants()))).select(
         F.expr("pmod(h, 5) = 0").alias("held"), F.col("v.y").alias("y"),
         F.expr("named_struct('kind', v.kind, 'text', v.text, 'before', s.before, 'after', s.after)").alias("c"))
@@ -244,9 +244,15 @@ def redacted(text: str = "text", spans: str = "spans") -> Column:
 
 
 def redact(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced; all rows and columns stay, and null texts stay null."""
+    """``docs`` with personal data in ``text`` replaced; all rows and columns stay, and null texts stay null.
+
+    Where there is a column n_chars, it follows texts that changed.
+    """
     held, row = free_name(docs, "_row"), "_text"
-    inner = docs.select(F.struct(*docs.columns).alias(held), text_of().alias(row))
-    marked = find(inner, fit(docs, **options), row)
-    new = F.when(F.col(f"{held}.text").isNull(), F.lit(None).cast("string")).otherwise(redacted(row))
-    return marked.select(*[new.alias(c) if c == "text" else F.col(held)[c].alias(c) for c in docs.columns])
+    marked = find(docs.select(F.struct(*docs.columns).alias(held), text_of().alias(row)), fit(docs, **options), row)
+    marked = marked.withColumn("_new", redacted(row))
+    hit = F.size("spans") > 0
+    new = {"text": F.when(hit, F.col("_new")).otherwise(F.col(held)["text"])}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(hit, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(held)["n_chars"])
+    return marked.select(*[new.get(c, F.col(held)[c]).alias(c) for c in docs.columns])

@@ -88,3 +88,9 @@ def op6_rans_tokens(t: Tables) -> DataFrame:
     folder = scratch_path(t.spark, "tokens")
     write_tokens(t.documents, folder)
     return read_tokens(t.spark, folder, with_ids=False)
+
+
+@llm_query
+def op5_token_counts(t: Tables) -> DataFrame:
+    from .tokencount import token_counts
+    return token_counts(t.documents)
