@@ -27,12 +27,14 @@ def clean_currency(c) -> Column:
 def parse_investment_amount(c) -> Column:
     """Rupee text (``45L``, ``2.5 Cr``, ``10k``, bare) to a number of rupees.
 
-    Blank text or text without digits counts as five lakh; a bare number below 1000 is in lakhs.
+    Blank text, text without digits and the number 0 (not its text) count as five lakh; a bare number below 1000 is in
+    lakhs.
     """
+    zero = (F.typeof(as_col(c)) != "string") & (as_col(c).cast("string").try_cast("double") == 0)
     text = F.lower(F.regexp_replace(as_col(c).cast("string"), "[ ,]", ""))
     number = F.regexp_extract(text, r"(\d+\.?\d*)", 1).try_cast("double")
     return (
-        F.when(number.isNull(), F.lit(500_000.0))
+        F.when(number.isNull() | zero, F.lit(500_000.0))
         .when(text.contains("cr"), number * 1e7)
         .when(text.contains("l"), number * 1e5)
         .when(text.contains("k"), number * 1e3)
@@ -151,10 +153,10 @@ def parse_ts(c, formats=("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", *DATE_F
     return F.coalesce(*[F.try_to_timestamp(as_col(c), F.lit(f)) for f in formats])
 
 
-def epoch_ts(c) -> Column:
-    """Epoch seconds, or milliseconds when the number is too large for seconds."""
+def epoch_ts(c, unit: str = "s") -> Column:
+    """Time stamp of an epoch number in seconds (``s``) or milliseconds (``ms``)."""
     n = as_col(c).cast("bigint")
-    return F.when(F.abs(n) >= 100_000_000_000, F.timestamp_millis(n)).otherwise(F.timestamp_seconds(n))
+    return {"s": F.timestamp_seconds, "ms": F.timestamp_millis}[unit](n)
 
 
 def minute_of_day(c) -> Column:

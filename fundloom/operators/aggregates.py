@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.rules import lead_tier
-from ..functions.scalars import default, parse_investment_amount, safe_div, to_number, clean_currency
+from ..functions.scalars import clean_currency, default, parse_investment_amount, round_even, safe_div, to_number
 from .ordered import exact_quantiles
 from .quality import numeric_columns
 
@@ -159,7 +159,7 @@ def sector_concentration(holdings: DataFrame, key: str = "portfolio") -> DataFra
     sector = F.coalesce(F.nullif(F.col("sector"), F.lit("")), fallback_sector("fund_name"))
     by_sector = holdings.groupBy(key, sector.alias("sector")).agg(F.sum("value").alias("v"))
     return by_sector.groupBy(key).agg(
-        F.round(F.coalesce(safe_div(F.max("v") * 100, F.sum("v")), F.lit(0.0)), 1).alias("sector_concentration_pct"),
+        round_even(F.coalesce(safe_div(F.max("v") * 100, F.sum("v")), F.lit(0.0)), 1).alias("sector_concentration_pct"),
         F.coalesce(safe_div(F.max("v"), F.sum("v")) > 0.5, F.lit(False)).alias("concentrated"),
     )
 
@@ -168,7 +168,7 @@ def fund_overlap(holdings: DataFrame, key: str = "portfolio") -> DataFrame:
     cats = holdings.groupBy(key, F.lower(default("category", "")).alias("c")).agg(F.count("*").alias("n"))
     n, d = F.sum("n"), F.count("*")
     return cats.groupBy(key).agg(
-        F.when(n > 1, F.round((1 - d / n) * 100, 1)).otherwise(0.0).alias("fund_overlap_pct"))
+        F.when(n > 1, round_even((1 - d / n) * 100, 1)).otherwise(0.0).alias("fund_overlap_pct"))
 
 
 def portfolio_totals(holdings: DataFrame, key: str = "portfolio", value="value", gain="gain") -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, MinMaxScaler, OneHotEncoder, RegexTokenizer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import safe_div
 from .aggregates import target_means
@@ -25,13 +25,10 @@ def onehot(df: DataFrame, cols: list[str], drop_first: bool = False) -> DataFram
 
 
 def dummies(df: DataFrame, col: str, values: list | None = None, drop_first: bool = False) -> DataFrame:
-    """0/1 columns per category in alphabetical order. Columns are part of the schema, so categories come from
-    ``values`` or from a distinct of at most 1000."""
+    """0/1 columns per category in alphabetical order. Columns are part of the schema, so the driver must know the
+    categories: from ``values`` or from a distinct. For very many, ``onehot`` gives a sparse vector instead."""
     if values is None:
-        seen = [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().limit(1001).collect()]
-        if len(seen) > 1000:
-            raise ValueError(f"{col} has more than 1000 categories; use onehot for a sparse vector")
-        values = sorted(seen)
+        values = sorted(r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().collect())
     values = values[1:] if drop_first else values
     return df.withColumns({f"{col}_{v}": F.coalesce((F.col(col) == v).cast("int"), F.lit(0)) for v in values})
 
@@ -84,10 +81,16 @@ def hashing_tfidf(df: DataFrame, text_col: str, features: int = 1 << 16) -> Pipe
 
 def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, seed: int = 42) -> DataFrame:
     """``is_test`` marks ceil(test * n) rows of every class, chosen by a hash of the key."""
-    n = df.groupBy(label).agg(F.ceil(F.count("*") * test).alias("_take"))
+    take = _by_class(df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.ceil(F.count("*") * test).alias("_take")), label, "_take")
     order = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
     ranked = global_rank(order, ["_h", key], "_rank", by=[label])
-    return ranked.join(n, label).withColumn("is_test", F.col("_rank") <= F.col("_take")).drop("_h", "_rank", "_take")
+    ranked = ranked.filter(F.col(label).isNotNull()).withColumn("_takes", take)
+    return ranked.withColumn("is_test", F.col("_rank") <= F.col("_takes")[F.col(label)]).drop("_h", "_rank", "_takes")
+
+
+def _by_class(per: DataFrame, label: str, value: str) -> Column:
+    """One value per class as a map in the plan, so that no row moves to the few tasks that a join on the label has."""
+    return per.agg(F.map_from_entries(F.collect_list(F.struct(label, value)))).scalar()
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed: int = 42) -> DataFrame:
@@ -99,10 +102,11 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 5, seed:
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """n / (classes * n_class) per row."""
-    per = df.groupBy(label).agg(F.count("*").alias("_n"))
+    per = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("_n"))
     whole = per.agg(F.struct(F.sum("_n").alias("n"), F.count("*").alias("k")).alias("s")).scalar()
     per = per.withColumn("_w", whole).select(label, (F.col("_w.n") / (F.col("_w.k") * F.col("_n"))).alias(name))
-    return df.join(per, label)
+    known = df.filter(F.col(label).isNotNull()).withColumn("_weights", _by_class(per, label, name))
+    return known.withColumn(name, F.col("_weights")[F.col(label)]).drop("_weights")
 
 
 def knn_impute(df: DataFrame, key: str, cols: list[str], k: int = 5, block: int = 8192) -> DataFrame:

@@ -142,8 +142,9 @@ def impact_actions(signals, market, group, order, profiles: DataFrame | None = N
 
 
 def impact_explain(signals, group, order, width: int = 140) -> DataFrame:
-    """Headline and opening text per group: a text takes at least two characters, so ``width / 2`` of them suffice."""
-    t = signals.select(group, *order, signal_text(signals).alias("text")).filter("text <> ''")
+    """Headline and opening text per group: a text takes at least two characters, so ``width / 2`` of them
+    suffice, each cut to ``width``."""
+    t = signals.select(group, *order, F.substring(signal_text(signals), 1, width).alias("text")).filter("text <> ''")
     first = topk(t, [group], [F.col(o) for o in order], width // 2, rank="pos")
     blob = F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda s: s["text"]))
     names = [F.nullif(F.col(c), F.lit("")) for c in ("title", "headline", "category") if c in signals.columns]

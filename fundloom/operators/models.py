@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import (IDF, CountVectorizer, IndexToString, NGram, OneHotEncoder, RegexTokenizer, SQLTransformer,
-                                StringIndexer, VectorAssembler)
+from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, HashingTF, IndexToString, NGram, Normalizer, OneHotEncoder,
+                                RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -90,11 +92,14 @@ def score_with_function(df: DataFrame, batch_fn, threshold: float = 0.5) -> Data
     return df.mapInPandas(run, with_prediction_fields(df.schema))
 
 
-def grid_cv(df: DataFrame, estimator, grid: list[dict], label: str, key: str, folds: int = 3, metric: str = "f1", parallelism: int = 4):
-    """Grid search over stratified folds; returns the fitted cross-validator and (params, score) rows."""
+def grid_cv(df: DataFrame, estimator, grid: list[dict], label: str, key: str, folds: int = 3, metric: str = "fMeasureByLabel", parallelism: int = 4):
+    """Grid search over stratified folds; returns the fitted cross-validator and (params, score) rows.
+
+    The score is F1 of the positive class; ``metric="f1"`` weighs all classes.
+    """
     cv = CrossValidator(
         estimator=estimator, estimatorParamMaps=grid, numFolds=folds, foldCol="fold", parallelism=parallelism,
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric))
+        evaluator=MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric, metricLabel=1.0))
     data = stratified_folds(df, label, key, folds).persist()
     try:
         fitted = cv.fit(data)
@@ -134,29 +139,40 @@ def top_features(model: PipelineModel, df: DataFrame, num: list[str], cat: list[
 
 # ---- sentiment model -----------------------------------------------------------------------
 
-def fit_sentiment(df: DataFrame, text_col: str, label_col: str, max_features: int = 20_000, min_df: int = 2,
-                  max_iter: int = 200, vector_col: str | None = None) -> PipelineModel:
-    """Word and bigram TF-IDF (or a given vector column) into a class-weighted multinomial regression."""
+def fit_sentiment(df: DataFrame, text_col: str, label_col: str, max_features: int | None = None, min_df: int = 2, max_iter: int = 200,
+                  vector_col: str | None = None, strength: float = 1.0, buckets: int = 1 << 18) -> PipelineModel:
+    """Word and bigram TF-IDF (or a given vector column) into a class-weighted multinomial regression.
+
+    Every term counts: terms are hashed into ``buckets``, so that no vocabulary goes through the driver; only with
+    ``max_features`` the commonest terms are kept instead. Weights are idf + 1 on rows of unit length, and the penalty is 1 / (``strength`` * rows).
+    """
     stages = [StringIndexer(inputCol=label_col, outputCol="_label", handleInvalid="skip", stringOrderType="alphabetAsc")]
     if vector_col is None:
         stages += [
             RegexTokenizer(inputCol=text_col, outputCol="w1", pattern=r"(?U)\b\w\w+\b", gaps=False),
             NGram(n=2, inputCol="w1", outputCol="w2"),
             SQLTransformer(statement="SELECT *, concat(w1, w2) AS grams FROM __THIS__"),
-            CountVectorizer(inputCol="grams", outputCol="tf", vocabSize=max_features, minDF=min_df),
-            IDF(inputCol="tf", outputCol="features"),
+            CountVectorizer(inputCol="grams", outputCol="tf", vocabSize=max_features, minDF=min_df) if max_features
+            else HashingTF(inputCol="grams", outputCol="tf", numFeatures=buckets),
         ]
-    lr = LogisticRegression(maxIter=max_iter, weightCol="weight", regParam=1e-3, featuresCol=vector_col or "features", labelCol="_label")
-    names = sorted(r[0] for r in df.select(F.col(label_col).cast("string")).filter(F.col(label_col).isNotNull()).distinct().limit(100).collect())
-    back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=names)
     # the label is only needed for fitting: the scoring model leaves its indexer out
     train = df.withColumn(text_col, default(text_col, "")) if vector_col is None else df
     train = class_weights(train.select(vector_col or text_col, label_col), label_col).persist()
     try:
-        fitted = Pipeline(stages=[*stages, lr, back]).fit(train)
+        shaped = Pipeline(stages=stages).fit(train)
+        rows, done = shaped.transform(train), list(shaped.stages)
+        if vector_col is None:
+            idf = IDF(inputCol="tf", outputCol="_idf").fit(rows)
+            seen = np.array(idf.docFreq) >= min_df
+            weigh = ElementwiseProduct(inputCol="tf", outputCol="_w", scalingVec=Vectors.dense(np.where(seen, idf.idf.toArray() + 1, 0.0)))
+            done += [weigh, Normalizer(inputCol="_w", outputCol="features", p=2.0)]
+            rows = PipelineModel(done[-2:]).transform(rows)
+        lr = LogisticRegression(maxIter=max_iter, weightCol="weight", regParam=1 / (strength * max(1, train.count())), featuresCol=vector_col or "features", labelCol="_label")
+        done.append(lr.fit(rows))
     finally:
         train.unpersist()
-    return PipelineModel(fitted.stages[1:])
+    # names by code come from the indexer, however many there are
+    return PipelineModel([*done[1:], IndexToString(inputCol="prediction", outputCol="predicted_label", labels=shaped.stages[0].labels)])
 
 
 def score_sentiment(df: DataFrame, model: PipelineModel, text_col: str, positive: int = 1) -> DataFrame:

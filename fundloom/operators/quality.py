@@ -193,11 +193,15 @@ def winsorize(df: DataFrame, col: str, upper: float = 0.99) -> DataFrame:
     return out.withColumn(col, F.when(F.col(col) > F.col("_cap"), F.col("_cap")).otherwise(F.col(col))).drop("_cap")
 
 
-def audit(df: DataFrame, sample: int | None = None, top: int = 15) -> dict[str, DataFrame]:
-    """Null profile (worst first), duplicate counts and column descriptions of a table or of a bounded sample."""
+def audit(df: DataFrame, sample: int | None = None, top: int | None = None) -> dict[str, DataFrame]:
+    """Null profile (worst first), duplicate counts and column descriptions of a table, or of a sample if one is asked for.
+
+    All columns are reported; ``top`` keeps the worst ones of the null profile only.
+    """
     part = df if sample is None else df.orderBy(F.xxhash64(*df.columns)).limit(sample)
+    missing = null_profile(part, sort=True)
     return {
-        "missing": null_profile(part, sort=True).limit(top),
+        "missing": missing if top is None else missing.limit(top),
         "duplicates": duplicate_stats(part),
-        "describe": describe_all(part).orderBy("column").limit(30),
+        "describe": describe_all(part).orderBy("column"),
     }

@@ -42,7 +42,7 @@ def csv_quarantine(t):
 def entity_folders(t):
     """One folder per entity, keyed by the path."""
     out = scratch(t, "entity")
-    t.customer.select("c_mktsegment", "c_acctbal").repartition("c_mktsegment").write.partitionBy("c_mktsegment").option("header", True).csv(out)
+    t.customer.select("c_mktsegment", "c_acctbal").write.partitionBy("c_mktsegment").option("header", True).csv(out)
     df = files.add_source_path(files.read_csv_tree(t.spark, out, "c_acctbal double"))
     return df.groupBy(F.regexp_extract("_source_file", "c_mktsegment=([^/]*)/", 1).alias("entity")).agg(F.count("*").alias("n"), F.max("c_acctbal").alias("top"))
 

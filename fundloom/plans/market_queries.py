@@ -119,8 +119,8 @@ def risk_alerts(t):
 @query(f"""WITH {RISK} SELECT rl.portfolio, score AS portfolio_risk_score, round_even(greatest(0, least(100, 100 - score)), 1) AS portfolio_health_score, fund_overlap_pct, conc AS sector_concentration_pct,
  round_even(greatest(50, least(100, 98 - vix * 0.5::DOUBLE)), 1) AS sip_consistency_score,
  round_even(greatest(5, least(95, vix * 1.5::DOUBLE + CASE persona WHEN 'conservative' THEN 25 WHEN 'balanced' THEN 10 ELSE 0 END + CASE WHEN sentiment = 'bearish' THEN 15 ELSE 0 END)), 1) AS panic_selling_probability
-FROM rl JOIN (SELECT portfolio, CASE WHEN count(*) > 1 THEN round((1 - count(DISTINCT lower(coalesce(category, ''))) / count(*)) * 100, 1) ELSE 0.0::DOUBLE END AS fund_overlap_pct FROM holdings GROUP BY 1) o ON o.portfolio = rl.portfolio
-JOIN (SELECT portfolio, round(max(v) * 100 / sum(v), 1) AS conc FROM (SELECT portfolio, coalesce(sector, 'Technology & Energy') AS s, sum(value) AS v FROM holdings GROUP BY 1, 2) GROUP BY 1) c ON c.portfolio = rl.portfolio""", RISK_VIEWS)
+FROM rl JOIN (SELECT portfolio, CASE WHEN count(*) > 1 THEN round_even(round((1 - count(DISTINCT lower(coalesce(category, ''))) / count(*)) * 100, 9), 1) ELSE 0.0::DOUBLE END AS fund_overlap_pct FROM holdings GROUP BY 1) o ON o.portfolio = rl.portfolio
+JOIN (SELECT portfolio, round_even(round(max(v) * 100 / sum(v), 9), 1) AS conc FROM (SELECT portfolio, coalesce(sector, 'Technology & Energy') AS s, sum(value) AS v FROM holdings GROUP BY 1, 2) GROUP BY 1) c ON c.portfolio = rl.portfolio""", RISK_VIEWS)
 def portfolio_health(t):
     return K.portfolio_health(V.holdings(t), V.portfolio_market(t), "portfolio")
 

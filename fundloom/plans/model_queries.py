@@ -90,7 +90,7 @@ def _lead_data(t):
 @query()
 def lead_model_scores(t):
     data = _lead_data(t)
-    model = M.fit_lead_model(data.filter("not is_test"), NUM, CAT, "converted", trees=20, depth=5)
+    model = M.fit_lead_model(data.filter("not is_test"), NUM, CAT, "converted")
     return M.score_leads(data.filter("is_test"), model, 0.5, NUM, CAT).select("lead_id", "converted", "pred_label", "pred_proba")
 
 
@@ -105,7 +105,7 @@ def boosted_lead_model(t):
 @query()
 def lead_feature_importance(t):
     data = V.leads(t)
-    return M.top_features(M.fit_lead_model(data, NUM, CAT, "converted", trees=20, depth=5), data, NUM, CAT, 10)
+    return M.top_features(M.fit_lead_model(data, NUM, CAT, "converted"), data, NUM, CAT, 10)
 
 
 @query()
@@ -127,7 +127,7 @@ def activity_scores(t):
 @query()
 def sentiment_model(t):
     data = t.documents.join(t.labels, "doc_id").withColumn("quality", F.col("quality").cast("string"))
-    model = M.fit_sentiment(data, "text", "quality", max_features=2000, max_iter=20)
+    model = M.fit_sentiment(data, "text", "quality")
     return M.score_sentiment(t.documents.select("doc_id", "text"), model, "text").select("doc_id", "predicted_label", "confidence", "p_positive")
 
 

@@ -111,8 +111,7 @@ def class_rate(t):
 
 @query("""SELECT p AS o_orderpriority, CAST(y AS INTEGER) AS year, n FROM (SELECT o_orderpriority AS p, year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY 1, 2)""")
 def melted_macro(t):
-    years = list(range(1995, 2002))
-    wide = t.orders.withColumn("year", F.year("o_orderdate")).groupBy("o_orderpriority").pivot("year", years).agg(F.count(F.lit(1)))
+    wide = t.orders.withColumn("year", F.year("o_orderdate")).groupBy("o_orderpriority").pivot("year").agg(F.count(F.lit(1)))
     long = A.melt(wide, ["o_orderpriority"], value="n").filter("n is not null")
     return long.withColumn("year", F.col("year").cast("int"))
 
@@ -120,9 +119,8 @@ def melted_macro(t):
 @query("""SELECT CAST(y AS INTEGER) AS year, CAST(count(*) FILTER (o_orderpriority = '1-URGENT') AS BIGINT) AS urgent, CAST(count(*) FILTER (o_orderpriority = '5-LOW') AS BIGINT) AS low
 FROM (SELECT *, year(o_orderdate) AS y FROM orders) GROUP BY 1""")
 def macro_tidy(t):
-    years = list(range(1995, 2002))
-    wide = t.orders.withColumn("y", F.year("o_orderdate")).groupBy(F.col("o_orderpriority").alias("series")).pivot("y", years).agg(F.count(F.lit(1)))
-    wide = wide.select("series", *[F.coalesce(F.col(str(y)), F.lit(0)).alias(f"YR{y}") for y in years])
+    wide = t.orders.withColumn("y", F.year("o_orderdate")).groupBy(F.col("o_orderpriority").alias("series")).pivot("y").agg(F.count(F.lit(1)))
+    wide = wide.select("series", *[F.coalesce(F.col(y), F.lit(0)).alias(f"YR{y}") for y in wide.columns[1:]])
     return A.macro_tidy(wide, "series", {"1-URGENT": "urgent", "5-LOW": "low"}).filter("urgent + low > 0")
 
 
@@ -177,14 +175,14 @@ def pivot_interactions(t):
     return p.select("user", F.col(f"`{items[0]}`").alias("a"), F.col(f"`{items[1]}`").alias("b"))
 
 
-@query("""SELECT portfolio, round(max(v) * 100 / sum(v), 1) AS sector_concentration_pct, max(v) / sum(v) > 0.5 AS concentrated FROM (
+@query("""SELECT portfolio, round_even(round(max(v) * 100 / sum(v), 9), 1) AS sector_concentration_pct, max(v) / sum(v) > 0.5 AS concentrated FROM (
  SELECT portfolio, coalesce(nullif(sector, ''), CASE WHEN fund_name LIKE '%liquid%' OR fund_name LIKE '%debt%' THEN 'Treasury & Debt' WHEN fund_name LIKE '%nifty%' OR fund_name LIKE '%index%' THEN 'Multi-Sector Index'
    WHEN fund_name LIKE '%magnum%' OR fund_name LIKE '%midcap%' THEN 'Financials & Auto' ELSE 'Technology & Energy' END) AS s, sum(value) AS v FROM holdings GROUP BY 1, 2) GROUP BY 1""", "holdings")
 def sector_concentration(t):
     return A.sector_concentration(V.holdings(t))
 
 
-@query("""SELECT portfolio, CASE WHEN count(*) > 1 THEN round((1 - count(DISTINCT lower(coalesce(category, ''))) / count(*)) * 100, 1) ELSE 0.0::DOUBLE END AS fund_overlap_pct FROM holdings GROUP BY 1""", "holdings")
+@query("""SELECT portfolio, CASE WHEN count(*) > 1 THEN round_even(round((1 - count(DISTINCT lower(coalesce(category, ''))) / count(*)) * 100, 9), 1) ELSE 0.0::DOUBLE END AS fund_overlap_pct FROM holdings GROUP BY 1""", "holdings")
 def fund_overlap(t):
     return A.fund_overlap(V.holdings(t))
 

@@ -185,7 +185,7 @@ def market_state_rows(t):
 def date_functions(t):
     from ..functions.scalars import epoch_ts, minute_of_day, parse_date, parse_ts
     e = t.events.withColumn("txt", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).withColumn("dmy", F.date_format("ts", "dd-MMM-yyyy"))
-    back = epoch_ts(F.unix_millis(F.col("ts").cast("timestamp")))
+    back = epoch_ts(F.unix_millis(F.col("ts").cast("timestamp")), "ms")
     return e.select("event_id", F.weekday(parse_ts("txt")).cast("bigint").alias("weekday"), minute_of_day(back).cast("bigint").alias("minute_of_day"), parse_date("dmy").alias("day"))
 
 

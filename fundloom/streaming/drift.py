@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,16 +20,16 @@ WINDOW, SEEN, MIN_SAMPLES, MEAN_LIMIT, SHARE_LIMIT, COOLDOWN = 50, 200, 12, -0.2
 def _advance(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     _, scores, seen, last_request = state.get if state.exists else (1, [], [], None)
     scores, seen = list(scores), list(seen)
-    tail = None
-    for pdf in frames:
-        # frames of one batch come in any order; only its newest unique signals can still matter, so keep just those
-        both = pdf if tail is None else pd.concat([tail, pdf], ignore_index=True)
-        tail = both.sort_values(["ts", "signature"]).drop_duplicates("signature").tail(SEEN)
-    for sig, score in tail[["signature", "direction"]].itertuples(index=False):
-        if sig not in seen:
-            seen = [*seen, sig][-SEEN:]
-            scores = [*scores, float(score)][-WINDOW:]
-    last = tail["ts"].max()
+    # frames of one batch come in any order; every signal goes through the ring in turn, so that the answer is the same
+    # however signals fall into batches. The trigger's own limits bound a batch.
+    batch = pd.concat(list(frames), ignore_index=True).sort_values(["ts", "signature"])
+    ring = deque(seen, maxlen=SEEN)
+    for sig, score in batch[["signature", "direction"]].itertuples(index=False):
+        if sig not in ring:
+            ring.append(sig)
+            scores.append(float(score))
+    seen, scores = list(ring), scores[-WINDOW:]
+    last = batch["ts"].max()
     n = len(scores)
     mean = sum(scores) / n if n else 0.0
     share = sum(s < 0 for s in scores) / n if n else 0.0

@@ -108,6 +108,6 @@ def append_parquet(df: DataFrame, path: str, checkpoint: str, **trigger):
     return _start(df.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint), **trigger)
 
 
-def latest_signals(df: DataFrame, ts: str, n: int = 20, cap: int = 250, ties: list[str] = ()) -> DataFrame:
-    """Newest signals of a sink's table, at most ``cap``."""
-    return df.orderBy(F.desc(ts), *ties).limit(min(n, cap))
+def latest_signals(df: DataFrame, ts: str, n: int = 20, cap: int | None = None, ties: list[str] = ()) -> DataFrame:
+    """The ``n`` newest signals of a sink's table; a buffer's size may be given as ``cap``."""
+    return df.orderBy(F.desc(ts), *ties).limit(n if cap is None else min(n, cap))

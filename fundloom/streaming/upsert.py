@@ -1,49 +1,110 @@
-"""Micro-batch upsert into a table of hash-bucket folders. Nothing is collected."""
+"""Micro-batch upsert into a table of hash buckets. A batch rewrites only the buckets it touches."""
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import upsert
 from ..operators.quality import dedupe
 from ..sources.files import path_exists
 
+#: Buckets of a new table; a table keeps the number it began with.
+BUCKETS = 32
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
 
-def _version(spark: SparkSession, path: str) -> int | None:
-    marks = f"{path}/_versions"
-    if not path_exists(spark, marks):
+def _marks(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
+    """(version, batch, file name) of every complete version, oldest first."""
+    if not path_exists(spark, f"{path}/_versions"):
+        return []
+    fs, p = _fs(spark, f"{path}/_versions")
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted((int(n.split("-", 1)[0]), n.split("-", 1)[1], n) for n in names if n[:1].isdigit())
+
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    """The newest version: its number, how many buckets the table has, and the folder of each bucket."""
+    marks = _marks(spark, path)
+    if not marks:
         return None
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(marks)
-    names = [s.getPath().getName() for s in fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(fs_path)]
-    done = [int(n) for n in names if n.isdigit()]
-    return max(done) if done else None
+    return json.loads("\n".join(r[0] for r in spark.read.text(f"{path}/_versions/{marks[-1][2]}").collect()))
+
+
+def _read(spark: SparkSession, path: str, folders) -> DataFrame:
+    return spark.read.parquet(*[f"{path}/{f}" for f in sorted(folders)])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest complete version."""
-    v = _version(spark, path)
-    return None if v is None else spark.read.parquet(f"{path}/v={v}")
+    now = _manifest(spark, path)
+    return None if now is None or not now["buckets"] else _read(spark, path, now["buckets"].values())
 
 
-def merge_batch(batch: DataFrame, batch_id: int, path: str, key: str, order: list, defaults: dict | None = None) -> None:
-    """Latest row per key of the batch merged into the table as version ``batch_id``.
+def merge_batch(batch: DataFrame, batch_id: int, path: str, key: str, order: list, defaults: dict | None = None, source: str = "") -> None:
+    """Latest row per key of the batch merged into the table as a new version.
 
-    A version counts once its mark exists. A batch that is run again finds its mark and does nothing, or, when the
-    earlier attempt died before the mark, writes the same version again from the one before it.
+    A version counts once its mark exists; the mark names the folder of every bucket and which batch of which ``source`` (a
+    stream's own id) it holds. A batch that is run again finds its mark and does nothing, or, when the earlier attempt
+    died before the mark, writes its buckets again. A stream that starts anew has another id, so its batches are merged
+    whatever their numbers. ``order`` ranks the rows of one batch; a later batch replaces what earlier ones wrote. The
+    version before stays for readers, older folders that no bucket uses are removed.
     """
     spark = batch.sparkSession
-    current = _version(spark, path)
-    if current is not None and current >= batch_id:
+    name = f"{source}-{batch_id}"
+    if any(b == name for _, b, _ in _marks(spark, path)):
+        return
+    now = _manifest(spark, path) or {"version": -1, "count": BUCKETS, "buckets": {}, "seen": {}}
+    if now["seen"].get(source, -1) >= batch_id:
         return
+    version = now["version"] + 1
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(now["count"])).cast("int")
     updates = dedupe(batch.filter(F.col(key).isNotNull()), [key], order, last=True)
-    base = None if current is None else spark.read.parquet(f"{path}/v={current}")
-    if base is None:
-        base = updates.limit(0)
-    upsert(base, updates, key, defaults).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_versions/{batch_id}")
-    mark.getFileSystem(spark._jsc.hadoopConfiguration()).create(mark, True).close()
+    # at most as many numbers as there are buckets
+    touched = [r[0] for r in updates.select(bucket.alias("b")).distinct().collect()]
+    old = [now["buckets"][str(b)] for b in touched if str(b) in now["buckets"]]
+    base = _read(spark, path, old) if old else updates.limit(0)
+    folder = f"v={version}-{uuid.uuid4().hex}"
+    if touched:
+        upsert(base, updates, key, defaults).withColumn("_bucket", bucket).write.partitionBy("_bucket").parquet(f"{path}/{folder}")
+    after = {"version": version, "count": now["count"], "buckets": now["buckets"] | {str(b): f"{folder}/_bucket={b}" for b in touched},
+             "seen": now["seen"] | {source: batch_id}}
+    fs, mark = _fs(spark, f"{path}/_versions/{version:012d}-{name}")
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_versions/.{uuid.uuid4().hex}")
+    out = fs.create(part, True)
+    out.write(json.dumps(after).encode())
+    out.close()
+    fs.rename(part, mark)
+    _tidy(spark, path, now, after)
+
+
+def _tidy(spark: SparkSession, path: str, before: dict, after: dict) -> None:
+    """Removes marks and bucket folders that neither the newest version nor the one before it uses."""
+    for number, _, name in _marks(spark, path):
+        if number < before["version"]:
+            fs, p = _fs(spark, f"{path}/_versions/{name}")
+            fs.delete(p, False)
+    used = {f.split("/")[0] for m in (before, after) for f in m["buckets"].values()}
+    fs, p = _fs(spark, path)
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if name.startswith("v=") and name not in used:
+            fs.delete(status.getPath(), True)
 
 
 def foreach_batch_upsert(stream: DataFrame, key: str, path: str, checkpoint: str, order: list, defaults: dict | None = None, **trigger):
-    writer = stream.writeStream.foreachBatch(lambda b, i: merge_batch(b, i, path, key, order, defaults)).option("checkpointLocation", checkpoint)
+    spark = stream.sparkSession
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        # the stream's id lives and dies with its checkpoint
+        source = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"].replace("-", "")
+        merge_batch(batch, batch_id, path, key, order, defaults, source)
+
+    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -165,6 +165,26 @@ def test_upsert_stream_over_batches(spark, tmp_path):
     assert {r["lead_id"]: r["City"] for r in upsert.read_table(spark, str(tmp_path / "t")).collect()} == {"L1": "C", "L2": "B"}
 
 
+def test_upsert_survives_a_reset_and_rewrites_only_touched_buckets(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "lead_id string, n int")
+    upsert.merge_batch(rows(*[(f"k{i}", 0) for i in range(200)]), 0, table, "lead_id", ["n"], source="a")
+    before = upsert._manifest(spark, table)["buckets"]
+    upsert.merge_batch(rows(("k1", 1)), 1, table, "lead_id", ["n"], source="a")
+    after = upsert._manifest(spark, table)["buckets"]
+    assert sum(before[b] != after[b] for b in before) == 1
+    # a checkpoint that was reset counts from 0 again, under another id
+    upsert.merge_batch(rows(("new", 2)), 0, table, "lead_id", ["n"], source="b")
+    for _ in range(2):
+        upsert.merge_batch(rows(("k1", 9)), 0, table, "lead_id", ["n"], source="a")
+    got = {r["lead_id"]: r["n"] for r in upsert.read_table(spark, table).collect()}
+    assert len(got) == 201 and got["k1"] == 1 and got["new"] == 2 and got["k0"] == 0
+    for i in range(1, 6):
+        upsert.merge_batch(rows(("k2", i)), i, table, "lead_id", ["n"], source="b")
+    assert upsert.read_table(spark, table).filter("lead_id = 'k2'").first()["n"] == 5
+    assert len(upsert._marks(spark, table)) == 2
+
+
 def test_drift_stream_keeps_state(spark, tmp_path):
     inbox, out = tmp_path / "in", str(tmp_path / "out")
     schema = "ts timestamp, title string, source string, sentiment string, confidence double"

@@ -152,3 +152,13 @@ def test_half_even(spark):
 def test_fixed_values_are_consistent():
     assert set(W.PERSONA_MULTIPLIER) == set(W.PERSONA_LIMITS)
     assert set(W.CATEGORY_BETA) == set(W.CATEGORY_RISK)
+
+
+def test_number_zero_is_no_amount_but_its_text_is(spark):
+    df = spark.createDataFrame([(0, 0.0, "0")], "a int, b double, c string")
+    assert df.select(*[S.parse_investment_amount(c) for c in "abc"]).first()[:] == (500_000.0, 500_000.0, 0.0)
+
+
+def test_epoch_units(spark):
+    df = spark.createDataFrame([(86_400, 86_400_000)], "s long, ms long")
+    assert df.select(S.epoch_ts("s") == S.epoch_ts("ms", "ms")).first()[0]

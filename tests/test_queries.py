@@ -39,4 +39,3 @@ def test_entry(spark):
 
 def test_names():
     assert set(ORACLES) <= set(QUERIES)
-    assert not any("pipeline" in n for n in QUERIES)
