@@ -114,7 +114,8 @@ def kb_retrieve(chat: DataFrame, kb: DataFrame, key: str, text_col: str, default
     """Best knowledge item per routed utterance.
 
     ``kb`` has title, audience, tags (array) and text. Only items for the utterance's audience (or ``both``) compete.
-    Tag hits add 0.04 each; a weak general question falls back to the default item.
+    Tag hits add 0.04 each. An utterance that shares no word with any of them gets the first by title, a weak general
+    question the default item.
     """
     counts = term_counts(kb, "title", "text", True, stop_words)
     n = kb.agg(F.count("*").alias("n")).scalar()
@@ -130,11 +131,20 @@ def kb_retrieve(chat: DataFrame, kb: DataFrame, key: str, text_col: str, default
     )
     best = topk(scored, [key], [F.desc(F.round("score", 9)), F.col("title")], 1)
     fallback = kb.filter(F.col("title") == default_title).select(F.struct("title", "audience").alias("s")).limit(1)
+    # one item per audience, of which there are a few
+    lead = kb.groupBy("audience").agg(F.min(F.struct("title", F.col("audience").alias("item_audience"), "tags")).alias("m"))
+    lead = lead.agg(F.map_from_entries(F.collect_list(F.struct("audience", "m")))).scalar()
+    own = F.when(F.col("audience") == "both", F.map_values("_lead")).otherwise(F.array(F.col("_lead")["both"], F.col("_lead")[F.col("audience")]))
+    out = chat.join(best, key, "left").withColumn("_d", fallback.scalar()).withColumn("_lead", lead)
+    out = out.withColumn("_first", F.array_min(F.filter(own, lambda m: m.isNotNull())))
+    none = F.col("title").isNull()
+    out = out.withColumns({c: F.when(none, F.col(f"_first.{c}")).otherwise(F.col(c)) for c in ("tags", "item_audience")}).withColumn(
+        "title", F.coalesce("title", "_first.title")).drop("_lead", "_first")
     hits = F.size(F.filter(F.coalesce("tags", F.array().cast("array<string>")), lambda t: F.contains(F.col("utterance"), t)))
-    out = chat.join(best, key, "left").withColumn("_d", fallback.scalar())
-    boosted = F.coalesce(F.when(hits > 0, F.least(F.lit(1.0), F.col("score") + 0.04 * hits)).otherwise(F.col("score")), F.lit(0.0))
+    base = F.coalesce("score", F.lit(0.0))
+    boosted = F.when(hits > 0, F.least(F.lit(1.0), base + 0.04 * hits)).otherwise(base)
     out = out.withColumn("score", boosted)
-    weak = F.col("title").isNull() | ((F.col("intent") == "general") & (F.col("score") < 0.12))
+    weak = F.col("title").isNull() | (F.coalesce(F.col("intent") == "general", F.lit(False)) & (F.col("score") < 0.12))
     out = out.withColumn("matched_topic", F.when(weak, F.col("_d.title")).otherwise(F.col("title"))).withColumn(
         "_aud", F.when(weak, F.col("_d.audience")).otherwise(F.col("item_audience")))
     conf = F.least(F.lit(0.97), 0.42 + F.col("score") * 2.0) + F.when(

@@ -349,6 +349,15 @@ def test_knowledge_retrieval(spark):
     assert got["3"][0] == "Leads"
 
 
+def test_only_general_questions_fall_back_to_the_default_item(spark):
+    kb = spark.createDataFrame([("General", "both", ["hello"], "general help"), ("Alpha", "investor", ["zzz"], "alpha text"), ("Beta", "distributor", [], "beta text")],
+                               "title string, audience string, tags array<string>, text string")
+    chat = spark.createDataFrame([("1", "zzz qqq", "tax", "investor"), ("2", "qqq", "tax", "distributor"), ("3", "qqq", "general", "both"), ("4", "qqq", "tax", "both")],
+                                 "cid string, utterance string, intent string, audience string")
+    got = {r["cid"]: r["matched_topic"] for r in S.kb_retrieve(chat, kb, "cid", "utterance", "General").collect()}
+    assert got == {"1": "Alpha", "2": "Beta", "3": "General", "4": "Alpha"}
+
+
 # ---- evaluation and models -----------------------------------------------------------------
 
 def test_report_with_an_empty_class(spark):
@@ -447,3 +456,11 @@ def test_no_cartesian_and_no_python(spark, folder, name):
 def test_statistics_stay_in_the_plan(tables):
     df = Q.impute(tables.orders.select("o_totalprice"), "mean", ["o_totalprice"])
     assert "Subquery" in plan(df)
+
+
+def test_sentiment_names_every_label(spark):
+    df = spark.createDataFrame([(f"word{i} of {i}x", f"l{i:03d}") for i in range(150) for _ in range(2)], "text string, label string")
+    from fundloom.operators import models as M
+    model = M.fit_sentiment(df, "text", "label", min_df=1, max_iter=60, strength=1000.0, buckets=1 << 12)
+    out = M.score_sentiment(df, model, "text")
+    assert out.filter("predicted_label = label").count() == 300 and "label" in out.columns
