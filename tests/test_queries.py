@@ -5,8 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, canon, close
+from fundloom.plans import all_queries, registry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+all_queries.load()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -38,4 +40,4 @@ def test_entry(spark):
 
 
 def test_names():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
