@@ -66,6 +66,13 @@ SUITABILITY = [
 ]
 SUITABILITY_OTHER = (50.0, "medium")
 
+# fixed values: client risk level -> funds to offer instead; the last entry serves every other level
+SUITABLE_FUNDS = [
+    (["conservative"], ["HDFC Liquid Fund", "ICICI Prudential Savings Fund", "UTI Nifty 50 Index Fund"]),
+    (["balanced", "moderate"], ["SBI Equity Hybrid Fund", "UTI Nifty 50 Index Fund", "Mirae Asset Large Cap Fund"]),
+    ([], ["Parag Parikh Flexi Cap Fund", "Mirae Asset Large Cap Fund", "Axis Small Cap Fund"]),
+]
+
 # fixed values: behavioural rule personas -> risk tolerance
 RULE_PERSONA_RISK = {
     "Cluster 0: Aggressive Growth": "High Risk",

@@ -95,13 +95,22 @@ def client_insights(df: DataFrame, n: int = 12, prob: str = "conversion_probabil
 
 
 def suitability(df: DataFrame, risk="risk_level", category="category", sentiment="sentiment") -> DataFrame:
-    """Checks a recommended fund category against the client's risk level and the market's sentiment."""
+    """Checks a recommended fund category against the client's risk level and the market's sentiment.
+
+    ``reason`` is the code of what speaks against it, or null; ``alternatives`` are funds to offer instead.
+    """
     cat, client, mood = F.lower(F.col(category)), F.lower(F.col(risk)), F.col(sentiment)
     rating, label = F, F
     for names, score, tag in W.SUITABILITY:
         rating, label = rating.when(cat.isin(names), score), label.when(cat.isin(names), F.lit(tag))
     rating, label = rating.otherwise(W.SUITABILITY_OTHER[0]), label.otherwise(W.SUITABILITY_OTHER[1])
     middle = client.isin("balanced", "moderate")
+    *known, (_, other) = W.SUITABLE_FUNDS
+    listed = lambda names: F.array(*[F.lit(n) for n in names])
+    funds = F
+    for levels, names in known:
+        funds = funds.when(client.isin(levels), listed(names))
+    funds = funds.otherwise(listed(other))
     clash = ((client == "conservative") & F.col("fund_risk_label").isin("high", "medium-high", "medium")) | (
         middle & (F.col("fund_risk_label") == "high"))
     alert = (mood == "bearish") & F.col("fund_risk_label").isin("high", "medium-high") & ~F.col("_clash")
@@ -114,6 +123,9 @@ def suitability(df: DataFrame, risk="risk_level", category="category", sentiment
                     F.when(F.col("fund_risk_label") == "low", 15.0).otherwise(5.0)).when(middle, 25.0).otherwise(40.0))
         .withColumn("outlook", F.when(mood.isin("neutral", "bearish"), "Staggered Systematic Entry Recommended")
                     .otherwise("Lump-sum / Accelerated SIP Permitted"))
+        .withColumn("reason", F.when(F.col("_clash") & (client == "conservative"), "too_volatile_for_conservative")
+                    .when(F.col("_clash"), "high_risk_for_balanced").when(F.coalesce(alert, F.lit(False)), "bearish_market"))
+        .withColumn("alternatives", funds)
         .drop("_clash")
     )
 

@@ -87,7 +87,8 @@ def risk_score(holdings: DataFrame, market: DataFrame, on: str | None = None, rf
 
 
 def risk_alerts(holdings: DataFrame, market: DataFrame, on: str | None = None, portfolios: DataFrame | None = None) -> DataFrame:
-    """Alert and recommendation codes in rule order. ``portfolios`` adds a row for each portfolio without holdings."""
+    """Alert and recommendation codes in rule order, and the values that alerts speak of: volatility index, size of the day's
+    move and equity share, both in percent. ``portfolios`` adds a row for each portfolio without holdings."""
     s = risk_score(holdings, market, on)
     share, who, vix, move, level = (
         safe_div(F.col("equity_value") * 100, "total", 0.0), F.col("persona"), F.col("m.vix"), F.col("m.change_pct"),
@@ -118,13 +119,14 @@ def risk_alerts(holdings: DataFrame, market: DataFrame, on: str | None = None, p
         F.when(vix > 25, F.lit("avoid_lump_sum")),
         F.when(F.col("holdings") < 3, F.lit("diversify_categories")),
     )
-    out = s.select(KEY, "portfolio_risk_score", "risk_level", alerts.alias("alerts"), advice.alias("recommendations"))
+    out = s.select(KEY, "portfolio_risk_score", "risk_level", alerts.alias("alerts"), advice.alias("recommendations"),
+                   vix.alias("vix"), round_even(F.abs(move), 1).alias("move_pct"), round_even(share, 0).alias("equity_pct"))
     if portfolios is None:
         return out
     return portfolios.select(KEY).distinct().join(out, KEY, "left").select(
         KEY, default("portfolio_risk_score", 0.0).alias("portfolio_risk_score"), default("risk_level", "low").alias("risk_level"),
         F.coalesce("alerts", F.array(F.lit("no_portfolio_data"))).alias("alerts"),
-        F.coalesce("recommendations", F.array(F.lit("add_funds"))).alias("recommendations"))
+        F.coalesce("recommendations", F.array(F.lit("add_funds"))).alias("recommendations"), "vix", "move_pct", "equity_pct")
 
 
 def portfolio_health(holdings: DataFrame, market: DataFrame, on: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import rules as R
+from ..functions import rules as R, words as W
 from ..functions.scalars import top_entries
 from ..operators import derive as D, impact as I, risk as K
 from . import views as V
@@ -39,7 +39,9 @@ RISKS = ["Conservative", "balanced", "Moderate", "growth"]
 
 @query(f"""SELECT snap, r AS fund_risk_rating, l AS fund_risk_label, NOT clash AS recommended, clash OR (sentiment = 'bearish' AND l IN ('high', 'medium-high')) AS mismatch_flag,
  CASE WHEN risk = 'conservative' THEN CASE WHEN l = 'low' THEN 15.0::DOUBLE ELSE 5.0::DOUBLE END WHEN risk IN ('balanced', 'moderate') THEN 25.0::DOUBLE ELSE 40.0::DOUBLE END AS suggested_allocation,
- CASE WHEN sentiment IN ('neutral', 'bearish') THEN 'Staggered Systematic Entry Recommended' ELSE 'Lump-sum / Accelerated SIP Permitted' END AS outlook FROM (
+ CASE WHEN sentiment IN ('neutral', 'bearish') THEN 'Staggered Systematic Entry Recommended' ELSE 'Lump-sum / Accelerated SIP Permitted' END AS outlook,
+ CASE WHEN clash AND risk = 'conservative' THEN 'too_volatile_for_conservative' WHEN clash THEN 'high_risk_for_balanced' WHEN sentiment = 'bearish' AND l IN ('high', 'medium-high') THEN 'bearish_market' END AS reason,
+ CASE {" ".join(f"WHEN risk IN ({', '.join(repr(x) for x in levels)}) THEN '{'|'.join(names)}'" for levels, names in W.SUITABLE_FUNDS[:-1])} ELSE '{"|".join(W.SUITABLE_FUNDS[-1][1])}' END AS alternatives FROM (
 SELECT *, (risk = 'conservative' AND l IN ('high', 'medium-high', 'medium')) OR (risk IN ('balanced', 'moderate') AND l = 'high') AS clash FROM (
 SELECT *, CASE WHEN cat IN ('small cap', 'sectoral') THEN 90.0::DOUBLE WHEN cat IN ('elss', 'flexi-cap') THEN 65.0::DOUBLE WHEN cat IN ('index', 'hybrid') THEN 45.0::DOUBLE WHEN cat IN ('debt', 'gilt') THEN 15.0::DOUBLE ELSE 50.0::DOUBLE END AS r,
  CASE WHEN cat IN ('small cap', 'sectoral') THEN 'high' WHEN cat IN ('elss', 'flexi-cap') THEN 'medium-high' WHEN cat IN ('index', 'hybrid') THEN 'medium' WHEN cat IN ('debt', 'gilt') THEN 'low' ELSE 'medium' END AS l FROM (
@@ -48,7 +50,8 @@ def suitability(t):
     at = lambda values, i: F.element_at(F.array(*[F.lit(v) for v in values]), i.cast("int"))
     s = F.col("snap")
     m = V.market(t).withColumn("category", at(CATS, s % 9 + 1)).withColumn("risk_level", at(RISKS, F.floor(s / 9) % 4 + 1))
-    return D.suitability(m).select("snap", "fund_risk_rating", "fund_risk_label", "recommended", "mismatch_flag", "suggested_allocation", "outlook")
+    return D.suitability(m).select("snap", "fund_risk_rating", "fund_risk_label", "recommended", "mismatch_flag", "suggested_allocation", "outlook", "reason",
+                                   F.array_join("alternatives", "|").alias("alternatives"))
 
 
 FUND_RISK = "CASE category WHEN 'equity' THEN 70 WHEN 'mid_cap' THEN 80 WHEN 'small_cap' THEN 90 WHEN 'debt' THEN 30 WHEN 'hybrid' THEN 50 WHEN 'index' THEN 65 ELSE 50 END"
@@ -107,13 +110,13 @@ def risk_scores(t):
  concat_ws(',', CASE WHEN persona = 'conservative' AND level IN ('high', 'critical') THEN 'raise_liquid_and_debt,pause_equity_sips' END, CASE WHEN persona = 'conservative' THEN 'keep_emergency_corpus' END,
  CASE WHEN persona = 'growth' AND sentiment = 'bearish' THEN 'raise_equity_sips_in_dip' END, CASE WHEN persona = 'growth' AND level = 'low' THEN 'add_mid_small_cap' END, CASE WHEN persona = 'growth' THEN 'stay_invested' END,
  CASE WHEN persona = 'balanced' THEN 'rebalance_60_40' END, CASE WHEN persona = 'balanced' AND level = 'high' THEN 'shift_to_balanced_advantage' END, CASE WHEN persona = 'balanced' THEN 'continue_stp' END,
- CASE WHEN persona = 'passive' THEN 'continue_index_sips,review_expense_ratios' END, CASE WHEN vix > 25 THEN 'avoid_lump_sum' END, CASE WHEN n < 3 THEN 'diversify_categories' END) AS recommendations FROM rl)
-SELECT p.portfolio, coalesce(alerts, 'no_portfolio_data') AS alerts, coalesce(recommendations, 'add_funds') AS recommendations
+ CASE WHEN persona = 'passive' THEN 'continue_index_sips,review_expense_ratios' END, CASE WHEN vix > 25 THEN 'avoid_lump_sum' END, CASE WHEN n < 3 THEN 'diversify_categories' END) AS recommendations, vix, round_even(round(abs(change_pct), 9), 1) AS move_pct, round_even(round(coalesce(ev * 100 / nullif(total, 0), 0), 9), 0) AS equity_pct FROM rl)
+SELECT p.portfolio, vix, move_pct, equity_pct, coalesce(alerts, 'no_portfolio_data') AS alerts, coalesce(recommendations, 'add_funds') AS recommendations
 FROM (SELECT portfolio FROM pmarket UNION SELECT -1 - s_suppkey FROM supplier) p LEFT JOIN al ON al.portfolio = p.portfolio""", RISK_VIEWS)
 def risk_alerts(t):
     every = t.customer.select(F.col("c_custkey").alias("portfolio")).unionByName(t.supplier.select((-1 - F.col("s_suppkey")).alias("portfolio")))
     r = K.risk_alerts(V.holdings(t), V.portfolio_market(t), "portfolio", every)
-    return r.select("portfolio", F.array_join("alerts", ",").alias("alerts"), F.array_join("recommendations", ",").alias("recommendations"))
+    return r.select("portfolio", "vix", "move_pct", "equity_pct", F.array_join("alerts", ",").alias("alerts"), F.array_join("recommendations", ",").alias("recommendations"))
 
 
 @query(f"""WITH {RISK} SELECT rl.portfolio, score AS portfolio_risk_score, round_even(greatest(0, least(100, 100 - score)), 1) AS portfolio_health_score, fund_overlap_pct, conc AS sector_concentration_pct,
