@@ -7,19 +7,19 @@ counted when the signatures of a candidate pair are compared. Pairs that agree o
 full shingle sets.
 
 Groups of copies never become all their pairs. Equal sets are one class from the start. In a posting list longer than
-``SMALL`` each document first meets a few hubs, the same ones in every list; what they link becomes one component, and
-after that only members of different components are compared, tile by tile.
+``SMALL`` each document first meets a few hubs, the same ones in every list; what they link becomes one component. After
+that, members of different components are compared tile by tile: signatures first, then the sets of those documents that
+have a partner there, and only links that join components leave the tile. A pair is looked at in one list only, that of
+the first coordinate which both have among their posted ones.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches, free_name, mix64, record, saved, text_of, worker_state
+from .common import batches, free_name, mix64, record, saved, spans_take, text_of, worker_state
 from .components import components
 from .shingles import shingle_sets
 
@@ -88,6 +88,11 @@ def _slots(keys: np.ndarray) -> np.ndarray:
     return (keys % np.uint64(SLOTS)).astype(np.int64)
 
 
+def _posted(keys: np.ndarray, weight: np.ndarray, prefix: int) -> np.ndarray:
+    """The coordinates under which each document is posted: the rarest pairs, ties by key."""
+    return np.lexsort((keys, weight[_slots(keys)]), axis=1)[:, :prefix]
+
+
 def _tally(source):
     seen = np.zeros(SLOTS, np.int64)
     for batch in source:
@@ -107,7 +112,7 @@ def _prefixes(common: np.ndarray, slots: np.ndarray, prefix: int):
             keys = _pair_keys(_matrix(batch.column(1)))
             if not len(keys):
                 continue
-            order = np.lexsort((keys, weight[_slots(keys)]), axis=1)[:, :prefix]
+            order = _posted(keys, weight, prefix)
             yield record(schema, _signed64(np.take_along_axis(keys, order, 1).ravel()), np.repeat(batch.column(0).to_numpy(), prefix))
     return run
 
@@ -141,23 +146,78 @@ def _confirm(percent: int):
     return run
 
 
-def _tiles(matches: int):
-    """Pairs of different components within one tile that agree in enough coordinates."""
+TILED = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("doc", pa.int64())])
+
+
+def _partners(table: pa.Table, common: np.ndarray, slots: np.ndarray, prefix: int, matches: int, percent: int):
+    """For each document on one side of a tile: those on the other that it may be linked with and that no other list has first."""
+    comp, part, size = (table.column(c).to_numpy() for c in ("comp", "part", "n"))
+    sig = _matrix(table.column("sig"))
+    keys = _pair_keys(sig)
+    weight = np.zeros(SLOTS, np.int64)
+    weight[slots] = common
+    posted = np.zeros(sig.shape, bool)
+    np.put_along_axis(posted, _posted(keys, weight, prefix), True, 1)
+    here = int(np.flatnonzero(_signed64(keys[0]) == table.column("key")[0].as_py())[0])
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    right = np.flatnonzero(part == j)
+    for x in np.flatnonzero(part == i):
+        y = right[right > x] if i == j else right
+        y = y[(comp[y] != comp[x]) & (100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x]))]
+        same = sig[y] == sig[x]
+        fits = same.sum(axis=1) >= matches
+        y, same = y[fits], same[fits]
+        if len(y):
+            y = y[(same & posted[y] & posted[x]).argmax(axis=1) == here]
+        if len(y):
+            yield int(x), y
+
+
+def _wanted(*how):
+    """The documents of a tile that have a partner in it."""
     def run(table: pa.Table) -> pa.Table:
-        doc, comp, part = (table.column(c).to_numpy() for c in ("doc", "comp", "part"))
-        sig, i, j = _matrix(table.column("sig")), table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        a, b = [], []
-        for x in left:
-            y = right[comp[right] != comp[x]]
-            y = y[(sig[y] == sig[x]).sum(axis=1) >= matches]
-            a.append(np.minimum(doc[x], doc[y]))
-            b.append(np.maximum(doc[x], doc[y]))
-        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
-        return pa.table([pa.array(a), pa.array(b)], schema=PAIR)
+        found = np.zeros(table.num_rows, bool)
+        for x, y in _partners(table, *how):
+            found[x] = True
+            found[y] = True
+        return table.select(TILED.names).filter(pa.array(found))
     return run
 
 
+def _resolve(*how):
+    """Links between components within a tile, confirmed on full sets; once two are joined no more between them."""
+    percent = how[-1]
+
+    def run(table: pa.Table) -> pa.Table:
+        doc, comp = table.column("doc").to_numpy(), table.column("comp").to_numpy().copy()
+        sets = [np.frombuffer(s, "<u8") for s in table.column("shingles").to_pylist()]
+        size = np.array([len(s) for s in sets])
+        first = np.concatenate(([0], np.cumsum(size)))
+        values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        a, b, mark = [], [], np.zeros(len(values), np.int64)
+        for x, y in _partners(table, *how):
+            y = y[comp[y] != comp[x]]
+            if not len(y):
+                continue
+            mark[:] = 0
+            mark[ids[first[x] : first[x + 1]]] = 1
+            places = spans_take(first[y], size[y])
+            both = np.add.reduceat(mark[ids[places]], np.concatenate(([0], np.cumsum(size[y])[:-1])))
+            for k in y[100 * both >= percent * (size[x] + size[y] - both)]:
+                if comp[k] != comp[x]:
+                    a.append(doc[x])
+                    b.append(doc[k])
+                    comp[comp == comp[k]] = comp[x]
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=PAIR)
+    return run
+
+
+def _sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """doc_id and the full set of each text of the wanted documents (doc)."""
+    return saved(texts.join(wanted, texts.doc_id == wanted.doc).select("doc_id", "text").mapInArrow(_shingled(width), "doc_id long, c1 long, shingles binary")
+                 .dropDuplicates(["doc_id", "c1"]), "sets")
+
+
 def _linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int, matches: int, percent: int) -> DataFrame:
     """Those of the candidate pairs that reach the similarity on their full sets."""
     side = lambda k: reps.select(F.col("doc").alias(k), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"s{k}"))
@@ -165,9 +225,7 @@ def _linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int, mat
     fits = pairs.distinct().join(side("a"), "a").join(side("b"), "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     near = saved(fits.select("a", "b", "sa", "sb").mapInArrow(_agree(matches), "a long, b long"), "near")
     wanted = near.select(F.col("a").alias("doc")).union(near.select(F.col("b").alias("doc"))).distinct()
-    sets = saved(
-        texts.join(wanted, texts.doc_id == wanted.doc).select("doc_id", "text").mapInArrow(_shingled(width), "doc_id long, c1 long, shingles binary")
-        .dropDuplicates(["doc_id", "c1"]), "sets")
+    sets = _sets_of(texts, wanted, width)
     of = lambda k: sets.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"s{k}"))
     return saved(near.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long"), "links")
 
@@ -208,13 +266,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coords:
     members = long.select("key", "doc").join(first.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("comp"))
     apart = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo != hi")
     apart = apart.select("key", F.ceil(F.col("size") / TILE).cast("int").alias("g"))
-    tiles = (
-        members.join(apart, "key").join(reps.select("doc", "sig"), "doc").withColumn("part", F.pmod(F.xxhash64("doc"), "g").cast("int"))
+    tiled = (
+        members.join(apart, "key").withColumn("part", F.pmod(F.xxhash64("doc"), "g").cast("int"))
         .withColumn("o", F.explode(F.expr("sequence(0, g - 1)")))
-        .select("key", "doc", "comp", "sig", "part", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"))
+        .select("key", "doc", "comp", "part", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"))
     )
-    rest = tiles.groupBy("key", "i", "j").applyInArrow(_tiles(matches), "a long, b long")
-    more = _linked(rest, reps, texts, width, matches, percent)
+    how = tally.column("n").to_numpy(), tally.column("slot").to_numpy(), prefix, matches, percent
+    facts = reps.select("doc", "n", "sig")
+    wanted = saved(tiled.join(facts, "doc").groupBy("key", "i", "j").applyInArrow(_wanted(*how), "key long, i int, j int, doc long"), "wanted")
+    whole = _sets_of(texts, wanted.select("doc").distinct(), width).select(F.col("doc_id").alias("doc"), "shingles")
+    more = saved(tiled.join(wanted, ["key", "i", "j", "doc"], "left_semi").join(facts, "doc").join(whole, "doc")
+                 .groupBy("key", "i", "j").applyInArrow(_resolve(*how), "a long, b long"), "more")
     same = sets.join(reps.select("c1", "c2", "doc"), ["c1", "c2"]).select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
     found = components(links.union(more).union(same))
     return rows.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
