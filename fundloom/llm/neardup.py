@@ -25,8 +25,9 @@ from .shingles import shingle_sets
 
 #: A list of at most so many documents is compared at once; in longer ones each document meets so many hubs first.
 SMALL, HUBS = 16, 6
-#: Members of a long list that one side of a tile holds, and counters of the sketch of how common a pair is.
-TILE, SLOTS = 512, 1 << 20
+#: Members of a long list that one side of a tile holds, counters of the sketch of how common a pair is, and slots of
+#: documents.
+TILE, SLOTS = 1024, 1 << 20
 
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("sig", pa.binary())])
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -213,9 +214,15 @@ def _resolve(*how):
 
 
 def _sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """doc_id and the full set of each text of the wanted documents (doc)."""
-    return saved(texts.join(wanted, texts.doc_id == wanted.doc).select("doc_id", "text").mapInArrow(_shingled(width), "doc_id long, c1 long, shingles binary")
-                 .dropDuplicates(["doc_id", "c1"]), "sets")
+    """doc_id and the full set of at least the wanted documents (doc); of several texts under one doc_id, one.
+
+    Texts stay where they are read: only those whose doc_id falls into a slot with a wanted one are cut into shingles.
+    The slots are at most ``SLOTS`` numbers, however many documents are wanted.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).alias("slot")
+    some = texts.select("doc_id", "text", slot("doc_id")).join(F.broadcast(wanted.select(slot("doc")).distinct()), "slot", "left_semi")
+    sets = some.select("doc_id", "text").mapInArrow(_shingled(width), "doc_id long, c1 long, shingles binary")
+    return sets.groupBy("doc_id").agg(F.min(F.struct("c1", "shingles")).alias("s")).select("doc_id", "s.shingles")
 
 
 def _linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int, matches: int, percent: int) -> DataFrame:
@@ -237,7 +244,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coords:
     (words: runs without space and 9 to 13, A-Z in lower case). component_id is the smallest doc_id that links reach,
     kept whether that is the document itself. A document shorter than a shingle has its whole word sequence as its one
     shingle; null and empty texts have an empty set and link with nothing. Rows that repeat a doc_id are one document
-    with several texts and share a component. Rows without a doc_id come back with a null component and kept = true.
+    and share a component; of its different texts, one is compared with others than equal ones. Rows without a doc_id come back with a null component and kept = true.
     At the threshold itself, a pair of different sets agrees in fewer than ``matches`` of ``coords`` coordinates about
     once in ten thousand times; equal sets always meet.
     """
