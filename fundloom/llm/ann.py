@@ -17,7 +17,7 @@ from .common import record, saved
 from .vectors import matrix, vectors
 
 #: Rows of the index and queries that meet in one task, and pivots whose files are read at a time.
-BLOCK, QUERIES, FILES = 8192, 2048, 32
+BLOCK, QUERIES, FILES = 8192, 2048, 8
 INDEXED = pa.schema([("id", pa.int64()), ("x", pa.list_(pa.float64())), ("places", pa.binary())])
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -66,17 +66,19 @@ def _search(k: int, share: float, length: int):
         qid, vid, q, v = left.column("id").to_numpy(), right.column("id").to_numpy(), matrix(left.column("x")), matrix(right.column("x"))
         rank = lambda t: np.frombuffer(b"".join(t.column("places").to_pylist()), "<u2").reshape(t.num_rows, -1)
         qrank = rank(left)
-        small = np.uint8 if qrank.shape[1] <= 256 else np.uint16
         # one row per pivot: its inverted file over this block
-        files, qrank = np.ascontiguousarray(rank(right).T.astype(small)), qrank.astype(small)
+        files, qrank = np.ascontiguousarray(rank(right).T.astype(np.int16)), qrank.astype(np.int16)
+        every = length >= qrank.shape[1]
         wanted, out = min(len(vid), max(k + 1, math.ceil(share * len(vid)))), []
         for row in range(len(qid)):
             near = np.argsort(qrank[row], kind="stable")[:length]
             far = np.zeros(len(vid), np.uint32)
             for at in range(0, len(near), FILES):
-                own = near[at : at + FILES]
-                mine, theirs = qrank[row, own][:, None], files[own]
-                far += (np.maximum(mine, theirs) - np.minimum(mine, theirs)).sum(axis=0, dtype=np.uint32)
+                own = slice(at, at + FILES) if every else near[at : at + FILES]
+                gap = files[own] - qrank[row, own][:, None]
+                np.abs(gap, out=gap)
+                # fewer than 65,536 in all: FILES times the number of pivots
+                far += np.add.reduce(gap.view(np.uint16), axis=0, dtype=np.uint16)
             # all that are as near as the last one wanted
             some = np.flatnonzero(far <= np.partition(far, wanted - 1)[wanted - 1])
             some = some[vid[some] != qid[row]]
@@ -99,6 +101,8 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 20, pivots: int = 256, l
     of a query the inverted files are read, and in each block of the index the ``share`` of rows that rank first, ties
     with the last of them included, is scored in full. Both grow with the data alike, so recall does not fall with size.
     """
+    if FILES * pivots >= 1 << 16:
+        raise ValueError("too many pivots for 16-bit sums")
     rows = vectors(df, key, col)
     asked = vectors(queries, key, col).groupBy("id").agg(F.min("x").alias("x"))
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
