@@ -53,8 +53,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has columns a and b of type long; loops, repeated edges and edges with a null are allowed and ignored.
     Large and small star rounds alternate until the edges are stars; the number of rounds grows with the logarithm of
-    the longest path. Each round is saved in the shared folder. Its aggregates combine before they shuffle, and Spark
-    can split the join of a hub.
+    the longest path. Each round is saved in the shared folder. Aggregates combine before they shuffle; the edges of one
+    hub, two numbers each, pass through one task as a sorted stream.
     """
     now = saved(edges.select("a", "b").filter("a != b").mapInArrow(_forests, "a long, b long"), "edges")
     before = None
