@@ -248,7 +248,7 @@ def stream_scoring(t):
     inbox, out = scratch(t, "leads"), scratch(t, "scored")
     num, cat = ["total_visits", "time_spent"], ["lead_source"]
     lead = V.leads(t).select("lead_id", "total_visits", "time_spent", "lead_source", "converted")
-    model = M.fit_lead_model(lead, num, cat, trees=5, depth=3)
+    model = M.fit_lead_model(lead, num, cat)
     lead.drop("converted").write.parquet(inbox)
     s = t.spark.readStream.schema(lead.drop("converted").schema).parquet(inbox)
     streams.append_parquet(M.score_leads(s, model, 0.5, num, cat), out, scratch(t, "ck"), **ONCE).awaitTermination()

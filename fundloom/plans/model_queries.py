@@ -11,6 +11,8 @@ from . import etl, views as V
 from .registry import query
 
 NUM, CAT = ["total_visits", "time_spent", "page_views", "activity"], ["lead_source", "lead_origin", "country"]
+#: The published grid of boosted trees: 32 points. MLlib draws its share of columns for each node rather than for each tree.
+LEAD_GRID = {"maxIter": [180, 240], "maxDepth": [5, 6], "stepSize": [0.04, 0.06], "subsamplingRate": [0.85, 0.95], "featureSubsetStrategy": ["0.85", "0.95"]}
 
 
 @query("""SELECT lead_id, CAST(lead_origin = 'origin_0' AS INTEGER) AS origin_0, CAST(lead_origin = 'origin_2' AS INTEGER) AS origin_2 FROM leads""", "leads")
@@ -97,7 +99,7 @@ def lead_model_scores(t):
 @query()
 def boosted_lead_model(t):
     data = _lead_data(t)
-    model = M.fit_lead_model(data.filter("not is_test"), NUM, CAT, "converted", algo="gbt", trees=5, depth=3)
+    model = M.fit_lead_model(data.filter("not is_test"), NUM, CAT, "converted", algo="gbt")
     s = M.score_leads(data.filter("is_test"), model, 0.5, NUM, CAT)
     return EV.classification_report(s, "converted", "pred_label")
 
@@ -111,15 +113,15 @@ def lead_feature_importance(t):
 @query()
 def lead_grid_search(t):
     data = E.class_weights(M.feature_frame(V.leads(t), NUM, CAT), "converted")
-    est = M.lead_estimator(NUM, CAT, "converted", trees=5, depth=3)
-    rf = est.getStages()[-1]
-    return M.grid_cv(data, est, M.param_grid({rf.maxDepth: [2, 3]}), "converted", "lead_id", folds=3)[1]
+    est = M.lead_estimator(NUM, CAT, "converted", algo="gbt")
+    gbt = est.getStages()[-1]
+    return M.grid_cv(data, est, M.param_grid({getattr(gbt, name): values for name, values in LEAD_GRID.items()}), "converted", "lead_id", folds=3)[1]
 
 
 @query()
 def activity_scores(t):
     lead = V.leads(t).withColumnsRenamed({"total_visits": "totalvisits", "time_spent": "total_time_spent_on_website", "page_views": "page_views_per_visit"})
-    model = M.fit_lead_model(lead, trees=10, depth=4)
+    model = M.fit_lead_model(lead)
     few = lead.select("lead_id", "totalvisits", "total_time_spent_on_website", "page_views_per_visit")
     return M.score_activity(few, model).select("lead_id", "pred_label", "pred_proba")
 
@@ -139,12 +141,12 @@ def investor_personas(t):
 
 @query()
 def choose_k(t):
-    return C.choose_k(V.traits(t), TRAITS, range(2, 6))[1]
+    return C.choose_k(V.traits(t), TRAITS)[1]
 
 
 @query()
 def cluster_stability(t):
-    return C.cluster_stability(V.traits(t), TRAITS, 3, n=3)
+    return C.cluster_stability(V.traits(t), TRAITS, 3)
 
 
 @query()
