@@ -32,6 +32,8 @@ WIDE = {
     "card": r"(?<![A-Za-z0-9])[0-9](?:[\x20./-]?[0-9]){11,18}+(?![A-Za-z0-9])",
     "phone": r"(?<![A-Za-z0-9])[+(]?[0-9](?:[\x20()./-]{0,2}[0-9]){6,14}+(?![A-Za-z0-9])",
 }
+#: Marks that are cut off the ends of a wide e-mail match, as it stands in a SQL string.
+MARKS = r"[\\[\\]{}*|!?.`]"
 #: A text that lacks this has no match of the kind, base or wide.
 NEEDS = {"email": r"@|[\[(](?:at|AT)[\])]", "ip": r"[0-9][.:][0-9]", "card": r"[0-9][\x20./-]?[0-9]", "phone": r"[0-9][\x20()./-]{0,2}[0-9]"}
 #: Words near a span that speak for a kind, and how far before it they may stand.
@@ -107,11 +109,16 @@ def base_spans(docs: DataFrame, text: str = "text", out: str = "base") -> DataFr
 
 
 def _candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds ``out``: wide matches that no base span touches, with the text around them."""
+    """Adds ``out``: wide matches other than the base spans themselves, with the text around them; they may overlap base spans and each other."""
     for kind in KINDS:
         docs = _matches(docs, text, kind, WIDE[kind], f"_{kind}")
-    apart = "filter(concat(_email, _ip, _card, _phone), c -> NOT exists(base, b -> b.start < c.end AND c.start < b.end))"
-    return _around(docs.withColumn(out, F.expr(apart)).drop(*[f"_{k}" for k in KINDS]), text, out, out)
+    # what closes a sentence or marks up an address is not part of it
+    docs = docs.withColumn("_email", F.expr(
+        f"transform(_email, c -> named_struct('kind', c.kind, 'start', c.start + length(regexp_extract(c.text, '^{MARKS}++', 0)), "
+        f"'end', c.end - length(regexp_extract(c.text, '(?<!{MARKS}){MARKS}++$', 0)), 'text', regexp_replace(c.text, '^{MARKS}++|(?<!{MARKS}){MARKS}++$', '')))"))
+    # as sets, so that texts with many spans stay cheap
+    new = "array_except(concat(_email, _ip, _card, _phone), base)"
+    return _around(docs.withColumn(out, F.expr(new)).drop(*[f"_{k}" for k in KINDS]), text, out, out)
 
 
 def _around(docs: DataFrame, text: str, spans: str, out: str) -> DataFrame:
