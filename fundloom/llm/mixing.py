@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import free_name, text_of
+from .common import free_name, saved, text_of
+from .tokens import encoder, word_bpe_path
 
 #: What falls under none of the targets' names.
 OTHER = "other"
@@ -26,9 +28,16 @@ def topic_of(text: Column) -> Column:
     )
 
 
-def words_of(text: Column) -> Column:
-    """How many runs without white space a text has: the token weight of a document."""
-    return F.regexp_count(text, F.lit(r"\S+")).cast("long")
+def words_of(text: Column, tokenizer: str | None = None) -> Column:
+    """How many token ids the words of a text have, by the public tokenizer that packing uses: the token weight of a document."""
+    path = tokenizer or word_bpe_path()
+
+    @F.arrow_udf("long")
+    def count(texts: pa.Array) -> pa.Array:
+        tokens = encoder(path)
+        return pa.array([len(tokens.encode(t.as_py() or "")) // tokens.width for t in texts], pa.int64())
+
+    return count(text)
 
 
 def rake(have: np.ndarray, targets: list[np.ndarray], rounds: int = 200, close: float = 1e-9) -> np.ndarray:
@@ -81,11 +90,13 @@ def probabilities(have: np.ndarray, weights: np.ndarray, keep: float) -> np.ndar
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, keep: float = 0.8, seed: int = 11, details: bool = True) -> DataFrame:
     """A sample of ``docs`` whose tokens have the target shares by source, language and topic.
 
-    Tokens of each (source, lang, topic) cell are counted over all rows; names outside the targets, and nulls, count as
+    Tokens (ids of whole texts) of each (source, lang, topic) cell are counted over all rows; names outside the targets, and nulls, count as
     ``other``. Raking gives every cell its weight, calibration its probability, and a row stays if a hash of its doc_id
     (of its text where that is null) lies below it, so repeated rows share their fate and a rerun keeps the same rows.
     ``keep`` is the expected share of tokens. With ``details`` the columns topic, n_tokens, weight and probability are
     added (in place of ones of the same name); without, columns stay as they are. An empty table stays empty.
+    Texts go through the tokenizer once: with ``details`` the rows are saved with their counts, without them only the cells
+    need counts.
 
     The cells are at most the product of the numbers of named categories, whatever the data hold; they go through the
     driver, and back as one array in the plan.
@@ -104,9 +115,12 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, keep: f
     index = F.lit(0)
     for axis, known in zip(axes, names):
         index = index * len(known) + place(axis, known)
-    marked = docs.withColumn(topic, topic_of(text)).withColumn(tokens, words_of(text)).withColumn(cell, index.cast("int"))
+    placed = docs.withColumn(topic, topic_of(text)).withColumn(cell, index.cast("int"))
+    counted = placed.withColumn(tokens, words_of(text))
+    if details:
+        placed = counted = saved(counted, "mixing")
     have = np.zeros(int(np.prod(shape)))
-    for row in marked.groupBy(cell).agg(F.sum(tokens).alias("n")).collect():
+    for row in counted.groupBy(cell).agg(F.sum(tokens).alias("n")).collect():
         have[row[cell]] = row.n
     weights = rake(have.reshape(shape), [np.array([targets[a].get(n, 0.0) for n in known]) for a, known in zip(axes, names)])
     chance = probabilities(have, weights.ravel(), keep)
@@ -114,9 +128,9 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, keep: f
     key = F.coalesce(F.xxhash64("doc_id", F.lit(seed)), F.lit(0)) if "doc_id" in docs.columns else F.xxhash64(text, F.lit(seed))
     if "doc_id" in docs.columns:
         key = F.when(F.col("doc_id").isNull(), F.xxhash64(text, F.lit(seed))).otherwise(key)
-    # tokens decide the mix; a text without any has no share to keep and stays
-    stays = (F.col(tokens) == 0) | (F.pmod(key, F.lit(1 << 30)) / float(1 << 30) < pick(chance))
-    out = marked.filter(stays)
+    # tokens decide the mix; a blank text has none, so no share to keep, and stays
+    stays = ~text.rlike(r"(?U)\S") | (F.pmod(key, F.lit(1 << 30)) / float(1 << 30) < pick(chance))
+    out = placed.filter(stays)
     if not details:
         return out.select(*docs.columns)
     added = {"topic": F.col(topic), "n_tokens": F.col(tokens), "weight": pick(weights.ravel()), "probability": pick(chance)}
