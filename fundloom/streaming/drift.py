@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import heapq
+import os
+import tempfile
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -14,27 +19,85 @@ from ..operators.timeseries import scored_signals
 OUTPUT = ("source string, samples long, mean_score double, negative_ratio double, drift_detected boolean, "
           "retrain_requested boolean, last_signal_at timestamp")
 STATE = "version int, scores array<double>, signatures array<string>, last_request double"
+#: Signals that are sorted in memory at a time, rows read back from a sorted file at a time, and files merged at a time.
+RUN, PART, FILES = 100_000, 4_096, 64
+NEVER = np.iinfo(np.int64).max
 WINDOW, SEEN, MIN_SAMPLES, MEAN_LIMIT, SHARE_LIMIT, COOLDOWN = 50, 200, 12, -0.20, 0.60, 1800.0
 
 
+def _write_run(path: str, rows: Iterator[tuple]) -> str:
+    schema = pa.schema([("ts", pa.int64()), ("signature", pa.string()), ("direction", pa.float64())])
+    with pa.OSFile(path, "wb") as f, pa.ipc.new_stream(f, schema) as out:
+        part: list[tuple] = []
+        for row in rows:
+            part.append(row)
+            if len(part) == PART:
+                out.write_batch(pa.record_batch([pa.array(c, t) for c, t in zip(zip(*part), schema.types)], schema=schema))
+                part = []
+        if part:
+            out.write_batch(pa.record_batch([pa.array(c, t) for c, t in zip(zip(*part), schema.types)], schema=schema))
+    return path
+
+
+def _read_run(path: str) -> Iterator[tuple]:
+    with pa.OSFile(path) as f, pa.ipc.open_stream(f) as batches:
+        for batch in batches:
+            yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def _in_order(frames: Iterator[pd.DataFrame], folder: str) -> Iterator[tuple]:
+    """(ts in ns, signature, direction) of all frames in order, by sorted files in ``folder``: memory holds one run, or a part of each file."""
+    runs: list[list[str]] = [[]]
+    held: list[pd.DataFrame] = []
+    files = n = 0
+
+    def ordered() -> Iterator[tuple]:
+        if not held:
+            return
+        rows = pd.concat(held, ignore_index=True)
+        ns = rows["ts"].astype("datetime64[ns]").astype("int64").where(rows["ts"].notna(), NEVER)
+        rows = rows.assign(ts=ns).sort_values(["ts", "signature"])
+        yield from rows[["ts", "signature", "direction"]].itertuples(index=False, name=None)
+
+    def add(rows: Iterator[tuple], level: int) -> None:
+        nonlocal files
+        if level == len(runs):
+            runs.append([])
+        files += 1
+        runs[level].append(_write_run(os.path.join(folder, str(files)), rows))
+        if len(runs[level]) == FILES:
+            full, runs[level] = runs[level], []
+            add(heapq.merge(*map(_read_run, full), key=lambda r: r[:2]), level + 1)
+            for path in full:
+                os.remove(path)
+
+    for frame in frames:
+        held.append(frame[["ts", "signature", "direction"]])
+        n += len(frame)
+        if n >= RUN:
+            add(ordered(), 0)
+            held, n = [], 0
+    yield from heapq.merge(ordered(), *(_read_run(p) for level in runs for p in level), key=lambda r: r[:2])
+
+
 def _advance(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     _, scores, seen, last_request = state.get if state.exists else (1, [], [], None)
-    scores, seen = list(scores), list(seen)
     # frames of one batch come in any order; every signal goes through the ring in turn, so that the answer is the same
-    # however signals fall into batches. The trigger's own limits bound a batch.
-    batch = pd.concat(list(frames), ignore_index=True).sort_values(["ts", "signature"])
-    ring = deque(seen, maxlen=SEEN)
-    for sig, score in batch[["signature", "direction"]].itertuples(index=False):
-        if sig not in ring:
-            ring.append(sig)
-            scores.append(float(score))
-    seen, scores = list(ring), scores[-WINDOW:]
-    last = batch["ts"].max()
+    # however signals fall into batches
+    ring, scores, latest = deque(seen, maxlen=SEEN), deque(scores, maxlen=WINDOW), None
+    with tempfile.TemporaryDirectory() as folder:
+        for ns, sig, score in _in_order(frames, folder):
+            latest = ns if ns != NEVER else latest
+            if sig not in ring:
+                ring.append(sig)
+                scores.append(float(score))
+    seen, scores = list(ring), list(scores)
+    last = pd.NaT if latest is None else pd.Timestamp(latest)
     n = len(scores)
     mean = sum(scores) / n if n else 0.0
     share = sum(s < 0 for s in scores) / n if n else 0.0
     drift = n >= MIN_SAMPLES and (mean <= MEAN_LIMIT or share >= SHARE_LIMIT)
-    request = bool(drift and (last_request is None or last.timestamp() - last_request >= COOLDOWN))
+    request = bool(drift and latest is not None and (last_request is None or last.timestamp() - last_request >= COOLDOWN))
     if request:
         last_request = last.timestamp()
     state.update((1, scores, seen, last_request))
@@ -45,7 +108,8 @@ def _advance(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFram
 def drift_stream(signals: DataFrame, ts: str = "ts") -> DataFrame:
     """Drift status per source after every batch that brings it signals; a retrain request at most every 30 minutes.
 
-    The state of a source is 50 scores and 200 signatures, whatever the volume.
+    The state of a source is 50 scores and 200 signatures, whatever the volume. A source's signals of a batch are put in order
+    through sorted files in the task's temporary folder, so its memory is bounded too; the files take the batch's size.
     """
     scored = scored_signals(signals).select("source", "signature", "direction", F.col(ts).alias("ts"))
     return scored.groupBy("source").applyInPandasWithState(_advance, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
