@@ -94,3 +94,9 @@ def op6_rans_tokens(t: Tables) -> DataFrame:
 def op5_token_counts(t: Tables) -> DataFrame:
     from .tokencount import token_counts
     return token_counts(t.documents)
+
+
+@llm_query
+def op13_piece_encoding(t: Tables) -> DataFrame:
+    from .pieces import digests
+    return digests(t.documents)

@@ -17,6 +17,7 @@ COLUMNS = {
     "op7_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op8_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op9_minhash_near_dedup": ["doc_id", "n_shingles", "component_id", "kept"],
+    "op13_piece_encoding": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op10_permutation_index": ["query_id", "rank", "vec_id", "score"],
 }
 
