@@ -100,3 +100,11 @@ def op5_token_counts(t: Tables) -> DataFrame:
 def op13_piece_encoding(t: Tables) -> DataFrame:
     from .pieces import digests
     return digests(t.documents)
+
+
+@llm_query
+def op12_merkle_manifest(t: Tables) -> DataFrame:
+    from .merkle import document_leaf, prove
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return prove(t.documents, document_leaf(), F.when(hit, document_leaf(lower)).otherwise(document_leaf()))

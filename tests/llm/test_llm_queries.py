@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op9_minhash_near_dedup": ["doc_id", "n_shingles", "component_id", "kept"],
     "op13_piece_encoding": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op12_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
     "op10_permutation_index": ["query_id", "rank", "vec_id", "score"],
 }
 
