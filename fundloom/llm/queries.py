@@ -108,3 +108,9 @@ def op12_merkle_manifest(t: Tables) -> DataFrame:
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return prove(t.documents, document_leaf(), F.when(hit, document_leaf(lower)).otherwise(document_leaf()))
+
+
+@llm_query
+def op11_conversation_repair(t: Tables) -> DataFrame:
+    from .repair import audit_all, damaged
+    return audit_all(damaged(t.conversations), t.conversations)

@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op9_minhash_near_dedup": ["doc_id", "n_shingles", "component_id", "kept"],
     "op13_piece_encoding": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op11_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
     "op12_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
     "op10_permutation_index": ["query_id", "rank", "vec_id", "score"],
 }
@@ -46,6 +47,8 @@ def test_columns_and_rows(spark, name):
         assert sorted(r.vec_id for r in got) == sorted(r.vec_id for r in rows(spark, "embeddings").collect())
     elif name == "op8_quality_classifier":
         assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) for r in got) and len(got) == len(docs)
+    elif name == "op11_conversation_repair":
+        assert sorted(r.conv_id for r in got) == sorted({r.conv_id for r in rows(spark, "conversations").collect()})
     elif name == "op10_permutation_index":
         ids = [r.vec_id for r in rows(spark, "embeddings").collect()]
         assert sorted({r.query_id for r in got}) == sorted(i for i in ids if i % 20 == 0) and len(got) == 20 * len({r.query_id for r in got})
