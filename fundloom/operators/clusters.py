@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.scratch import cut_lineage
-from .evaluation import silhouette
+from . import means
 from .filters import complete_cases
 from .ordered import global_rank
 
@@ -23,39 +23,47 @@ def persona_pipeline(cols: list[str], k: int, scale: str = "minmax", seed: int =
     return Pipeline(stages=[raw, scaler, KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster")])
 
 
-def fit_personas(df: DataFrame, cols: list[str], k: int = 4, scale: str = "minmax", seed: int = 42) -> PipelineModel:
-    return persona_pipeline(cols, k, scale, seed).fit(complete_cases(df, cols))
-
-
-def choose_k(df: DataFrame, cols: list[str], ks=range(2, 11), cap: int = 3, scale: str = "minmax") -> tuple[int, DataFrame]:
-    """Inertia and silhouette per k; the k of the best silhouette, at most ``cap``."""
-    prep = Pipeline(stages=persona_pipeline(cols, 2, scale).getStages()[:2])
-    data = complete_cases(df, cols)
-    scaled = prep.fit(data).transform(data).select("features").cache()
-    rows = []
-    for k in ks:
-        m = KMeans(k=k, seed=42, featuresCol="features", predictionCol="cluster").fit(scaled)
-        rows.append((k, float(m.summary.trainingCost), float(silhouette(m.transform(scaled), "features", "cluster"))))
-    scaled.unpersist()
-    best = max(rows, key=lambda r: r[2])[0]
-    return min(best, cap), df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
-
-
-def cluster_stability(df: DataFrame, cols: list[str], k: int, n: int = 100, frac: float = 0.8, scale: str = "minmax") -> DataFrame:
-    """Silhouette of ``n`` refits on resamples with replacement: mean, deviation, extremes."""
-    prep = Pipeline(stages=persona_pipeline(cols, 2, scale).getStages()[:2])
-    data = complete_cases(df, cols)
-    scaled = prep.fit(data).transform(data).select("features").cache()
-    rows = []
-    for i in range(n):
-        part = scaled.sample(True, frac, seed=i).cache()
-        m = KMeans(k=k, seed=42, featuresCol="features", predictionCol="cluster").fit(part)
-        rows.append((i, float(silhouette(m.transform(part), "features", "cluster"))))
-        part.unpersist()
-    scaled.unpersist()
-    runs = df.sparkSession.createDataFrame(rows, "run int, silhouette double")
-    return runs.agg(F.count("*").alias("runs"), F.avg("silhouette").alias("mean_silhouette"), F.stddev_pop("silhouette").alias("std_silhouette"),
-                    F.min("silhouette").alias("min_silhouette"), F.max("silhouette").alias("max_silhouette"))
+def fit_personas(df: DataFrame, cols: list[str], k: int = 4, scale: str = "minmax", seed: int = 42, starts: int = 10) -> means.PersonaModel:
+    """The cheapest of ``starts`` k-means models, all moved in the same passes."""
+    points, shape = means.scaled(df, cols, scale)
+    points = points.persist()
+    try:
+        found = means.best(means.settle(points, [means.Start(k, seed + i) for i in range(starts)], len(cols)))[0]
+    finally:
+        points.unpersist()
+    centres = () if found.centres is None else tuple(map(tuple, found.centres.tolist()))
+    return means.PersonaModel(tuple(cols), tuple(shape), centres, found.cost)
+
+
+def choose_k(df: DataFrame, cols: list[str], ks=range(2, 11), cap: int = 3, scale: str = "minmax", starts: int = 10) -> tuple[int, DataFrame]:
+    """Inertia and silhouette per k, best of ``starts``; the k of the best silhouette, at most ``cap``. All models share each pass."""
+    points, _ = means.scaled(df, cols, scale)
+    points = points.persist()
+    try:
+        chosen = means.best(means.settle(points, [means.Start(k, 42 + i) for k in ks for i in range(starts)], len(cols)))
+        rows = [(s.k, *r) for s, r in zip(chosen, means.silhouettes(points, chosen, len(cols)))]
+    finally:
+        points.unpersist()
+    return min(max(rows, key=lambda r: r[2])[0], cap), df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+
+
+def stability_runs(df: DataFrame, cols: list[str], k: int, n: int = 100, frac: float = 0.8, scale: str = "minmax", starts: int = 10) -> DataFrame:
+    """(run, silhouette) of ``n`` resamples with replacement, each fitted anew from ``starts`` starts; all share each pass."""
+    points, _ = means.scaled(df, cols, scale)
+    points = points.persist()
+    try:
+        chosen = means.best(means.settle(points, [means.Start(k, 42 + i, r) for r in range(n) for i in range(starts)], len(cols), frac))
+        rows = [(s.resample, r[1]) for s, r in zip(chosen, means.silhouettes(points, chosen, len(cols), frac))]
+    finally:
+        points.unpersist()
+    return df.sparkSession.createDataFrame(rows, "run int, silhouette double")
+
+
+def cluster_stability(df: DataFrame, cols: list[str], k: int, n: int = 100, frac: float = 0.8, scale: str = "minmax", starts: int = 10) -> DataFrame:
+    """Silhouettes over resamples: mean, deviation, extremes."""
+    return stability_runs(df, cols, k, n, frac, scale, starts).agg(
+        F.count("*").alias("runs"), F.avg("silhouette").alias("mean_silhouette"), F.stddev_pop("silhouette").alias("std_silhouette"),
+        F.min("silhouette").alias("min_silhouette"), F.max("silhouette").alias("max_silhouette"))
 
 
 def pca_2d(df: DataFrame, key: str, cols: list[str], scale: str = "minmax") -> DataFrame:

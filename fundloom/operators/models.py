@@ -40,7 +40,9 @@ def _encoder(num: list[str], cat: list[str]) -> list:
     return stages + [VectorAssembler(inputCols=[*num, *[f"{c}_vec" for c in cat]], outputCol="features")]
 
 
-def lead_estimator(num: list[str], cat: list[str], label: str, algo: str = "rf", trees: int = 200, depth: int = 12, seed: int = 42) -> Pipeline:
+def lead_estimator(num: list[str], cat: list[str], label: str, algo: str = "rf", trees: int = 200, depth: int | None = None, seed: int = 42) -> Pipeline:
+    """Forests are 12 levels deep and boosted trees 6 unless ``depth`` says otherwise."""
+    depth = depth or (12 if algo == "rf" else 6)
     common = dict(labelCol=label, featuresCol="features", weightCol="weight", seed=seed)
     clf = (RandomForestClassifier(numTrees=trees, maxDepth=depth, **common) if algo == "rf"
            else GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.06, subsamplingRate=0.85, **common))
@@ -48,7 +50,7 @@ def lead_estimator(num: list[str], cat: list[str], label: str, algo: str = "rf",
 
 
 def fit_lead_model(df: DataFrame, num: list[str] = LEAD_NUMERIC, cat: list[str] = LEAD_CATEGORICAL, label: str = "converted",
-                   algo: str = "rf", trees: int = 200, depth: int = 12, seed: int = 42) -> PipelineModel:
+                   algo: str = "rf", trees: int = 200, depth: int | None = None, seed: int = 42) -> PipelineModel:
     # every stage and every tree level passes over these columns again
     train = class_weights(feature_frame(df, num, cat).select(*num, *cat, label), label).persist()
     try:

@@ -6,13 +6,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.words import TRAITS
-from ..operators import clusters as C, evaluation as EV, features as E, models as M, quality as Q
+from ..operators import boosting as B, clusters as C, evaluation as EV, features as E, models as M, quality as Q
+from ..sources.scratch import cut_lineage
 from . import etl, views as V
 from .registry import query
 
 NUM, CAT = ["total_visits", "time_spent", "page_views", "activity"], ["lead_source", "lead_origin", "country"]
-#: The published grid of boosted trees: 32 points. MLlib draws its share of columns for each node rather than for each tree.
-LEAD_GRID = {"maxIter": [180, 240], "maxDepth": [5, 6], "stepSize": [0.04, 0.06], "subsamplingRate": [0.85, 0.95], "featureSubsetStrategy": ["0.85", "0.95"]}
+#: The published grid of boosted trees: 32 points.
+LEAD_GRID = {"rounds": [180, 240], "depth": [5, 6], "step": [0.04, 0.06], "rows": [0.85, 0.95], "columns": [0.85, 0.95]}
 
 
 @query("""SELECT lead_id, CAST(lead_origin = 'origin_0' AS INTEGER) AS origin_0, CAST(lead_origin = 'origin_2' AS INTEGER) AS origin_2 FROM leads""", "leads")
@@ -89,19 +90,23 @@ def _lead_data(t):
     return E.stratified_split(V.leads(t), "converted", "lead_id")
 
 
+def saved_split(t):
+    """The model's columns and the split, ranked once; fitting and scoring read the same table."""
+    return cut_lineage(M.feature_frame(_lead_data(t), NUM, CAT).select("lead_id", *NUM, *CAT, "converted", "is_test"))
+
+
 @query()
 def lead_model_scores(t):
-    data = _lead_data(t)
+    data = saved_split(t)
     model = M.fit_lead_model(data.filter("not is_test"), NUM, CAT, "converted")
     return M.score_leads(data.filter("is_test"), model, 0.5, NUM, CAT).select("lead_id", "converted", "pred_label", "pred_proba")
 
 
 @query()
 def boosted_lead_model(t):
-    data = _lead_data(t)
-    model = M.fit_lead_model(data.filter("not is_test"), NUM, CAT, "converted", algo="gbt")
-    s = M.score_leads(data.filter("is_test"), model, 0.5, NUM, CAT)
-    return EV.classification_report(s, "converted", "pred_label")
+    data = saved_split(t)
+    model = B.fit_boosted(data.filter("not is_test"), NUM, CAT, "converted", "lead_id")
+    return EV.classification_report(B.score_boosted(data.filter("is_test"), model), "converted", "pred_label")
 
 
 @query()
@@ -112,10 +117,8 @@ def lead_feature_importance(t):
 
 @query()
 def lead_grid_search(t):
-    data = E.class_weights(M.feature_frame(V.leads(t), NUM, CAT), "converted")
-    est = M.lead_estimator(NUM, CAT, "converted", algo="gbt")
-    gbt = est.getStages()[-1]
-    return M.grid_cv(data, est, M.param_grid({getattr(gbt, name): values for name, values in LEAD_GRID.items()}), "converted", "lead_id", folds=3)[1]
+    data = saved_split(t).filter("not is_test")
+    return B.boosted_grid(data, NUM, CAT, "converted", "lead_id", LEAD_GRID)
 
 
 @query()
