@@ -36,17 +36,21 @@ def complete_cases(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.dropna(subset=[c for c in cols if c in df.columns])
 
 
+def _lot(key: list[str], seed: int) -> Column:
+    """A row's lot as 32 hex digits: the same on every run, layout and engine that has MD5."""
+    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
+
+
 def sample(df: DataFrame, frac: float, seed: int = 42, key: list[str] | None = None) -> DataFrame:
     """Bernoulli sample; with ``key`` it is decided by a hash of the key, the same on every run and layout."""
     if key is None:
         return df.sample(withReplacement=False, fraction=frac, seed=seed)
-    slots = 1_000_000
-    return df.filter(F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(slots)) < int(frac * slots))
+    return df.filter(F.substring(_lot(key, seed), 1, 13) < f"{int(frac * 16**13):013x}") if frac < 1 else df
 
 
 def sample_n(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (or all), chosen by hash order: each task keeps only its own first ``n``."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+    return df.orderBy(_lot(key, seed), *key).limit(n)
 
 
 def filter_in(df: DataFrame, wanted: dict[str, list]) -> DataFrame:

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, HashingTF, IndexToString, NGram, Normalizer, OneHotEncoder,
                                 RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.scalars import default, to_number
 from ..functions.words import LEAD_CATEGORICAL, LEAD_NUMERIC
 from .features import class_weights, stratified_folds
-from .timeseries import sequences
 from .topk import union_all
 
 
@@ -190,21 +190,70 @@ def score_sentiment(df: DataFrame, model: PipelineModel, text_col: str, positive
 
 # ---- NAV forecast --------------------------------------------------------------------------
 
-def fit_nav_forecast(df: DataFrame, key="scheme", date="date", col="nav", lookback: int = 30, horizon: int = 5,
-                     reg: float = 1e-6) -> list[PipelineModel]:
-    """One linear regression per step ahead on the last ``lookback`` values of every series."""
-    samples = sequences(df, key, date, col, lookback, horizon).select(
-        array_to_vector(F.transform("x", lambda v: v.cast("double"))).alias("features"), "y").cache()
-    try:
-        return [Pipeline(stages=[LinearRegression(featuresCol="features", labelCol="target", predictionCol=f"step_{h + 1}", regParam=reg)])
-                .fit(samples.withColumn("target", F.col("y")[h].cast("double"))) for h in range(horizon)]
-    finally:
-        samples.unpersist()
-
+def lag_sums(df: DataFrame, key="scheme", date="date", col="nav", lookback: int = 30, horizon: int = 5) -> DataFrame:
+    """Per place of a row in its series: rows, their sum, and the sum of their products with the value ``d`` rows later.
 
-def apply_nav_forecast(samples: DataFrame, models: list[PipelineModel]) -> DataFrame:
-    """Adds ``step_1`` .. ``step_h`` to rows with a ``x`` array of the last values."""
-    out = samples.withColumn("features", array_to_vector(F.transform("x", lambda v: v.cast("double"))))
-    for m in models:
-        out = m.transform(out)
-    return out.drop("features")
+    Columns: head (rows before it, null from ``lookback + horizon`` on), tail (rows after it, likewise), n, s, p0, p1 ..
+    All lagged moments of the samples follow from these few rows: a moment is the sum over all rows less those too near
+    an end of their series. One pass, one window, no sample is built.
+    """
+    reach = lookback + horizon
+    w = Window.partitionBy(key).orderBy(date)
+    value = F.col(col).cast("double")
+    size = F.count("*").over(Window.partitionBy(key))
+    place = F.row_number().over(w) - 1
+    rows = df.select(place.alias("head"), (size - 1 - place).alias("tail"), value.alias("v"), *[F.lead(value, d).over(w).alias(f"v{d}") for d in range(1, reach)])
+    near = lambda c: F.when(F.col(c) < reach, F.col(c).cast("int")).alias(c)
+    return rows.groupBy(near("head"), near("tail")).agg(
+        F.count("*").alias("n"), F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("p0"), *[F.sum(F.col("v") * F.col(f"v{d}")).alias(f"p{d}") for d in range(1, reach)])
+
+
+@dataclass(frozen=True)
+class LagModel:
+    """One linear regression per step ahead: ``weights[h]`` over the last values, oldest first, and ``intercepts[h]``."""
+
+    intercepts: tuple[float, ...]
+    weights: tuple[tuple[float, ...], ...]
+
+
+def _moments(sums: list, lookback: int, horizon: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Number of samples, sums of their numbers (oldest first, targets last), and sums of products of these."""
+    reach = lookback + horizon
+    far = 10**9
+    head = np.array([far if r.head is None else r.head for r in sums])
+    tail = np.array([far if r.tail is None else r.tail for r in sums])
+    table = np.array([[r.n, r.s, *[r[f"p{d}"] or 0.0 for d in range(reach)]] for r in sums], np.float64).reshape(len(sums), reach + 2)
+    # number i of a sample is a row with i rows before it in the sample and reach - 1 - i after it
+    own = lambda i: (head >= i) & (tail >= reach - 1 - i)
+    first = np.array([table[own(i), 1].sum() for i in range(reach)])
+    second = np.zeros((reach, reach))
+    for i in range(reach):
+        for j in range(i, reach):
+            second[i, j] = second[j, i] = table[own(i), 2 + j - i].sum()
+    return float(table[own(0), 0].sum()), first, second
+
+
+def fit_nav_forecast(df: DataFrame, key="scheme", date="date", col="nav", lookback: int = 30, horizon: int = 5, reg: float = 1e-6) -> LagModel:
+    """One linear regression per step ahead on the last ``lookback`` values of every series.
+
+    The normal equations of all steps come from ``lag_sums`` and share one factor; ``reg`` is the penalty on weights of
+    columns scaled to unit variance. Without samples all weights are zero.
+    """
+    n, first, second = _moments(lag_sums(df.filter(F.col(col).isNotNull()), key, date, col, lookback, horizon).collect(), lookback, horizon)
+    if not n:
+        return LagModel((0.0,) * horizon, ((0.0,) * lookback,) * horizon)
+    mean = first / n
+    cov = second / n - np.outer(mean, mean)
+    x, xy = cov[:lookback, :lookback], cov[:lookback, lookback:]
+    weights = np.linalg.lstsq(x + reg * np.diag(np.maximum(np.diag(x), 0)), xy, rcond=None)[0]
+    return LagModel(tuple((mean[lookback:] - mean[:lookback] @ weights).tolist()), tuple(map(tuple, weights.T.tolist())))
+
+
+def apply_nav_forecast(df: DataFrame, model: LagModel, key="scheme", date="date", col="nav") -> DataFrame:
+    """Adds ``step_1`` .. ``step_h``, the forecast after each row; null where a series has no ``lookback`` values yet."""
+    w = Window.partitionBy(key).orderBy(date)
+    lookback = len(model.weights[0])
+    value = F.col(col).cast("double")
+    held = df.withColumn("_last", F.array(*[F.lag(value, lookback - 1 - i).over(w) if i < lookback - 1 else value for i in range(lookback)]))
+    step = lambda b, ws: F.aggregate(F.zip_with("_last", F.lit(list(ws)), lambda x, c: x * c), F.lit(float(b)), lambda s, v: s + v)
+    return held.withColumns({f"step_{h + 1}": step(b, ws) for h, (b, ws) in enumerate(zip(model.intercepts, model.weights))}).drop("_last")

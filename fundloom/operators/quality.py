@@ -147,18 +147,17 @@ def iqr_outliers(df: DataFrame, col: str, exact: bool = False, name: str = "is_o
 # ---- imputation and clipping ---------------------------------------------------------------
 
 def impute(df: DataFrame, strategy: str, cols: list[str], value=None) -> DataFrame:
-    """Fill missing cells with the ``mean``, approximate ``median``, most frequent (``mode``) or a ``const`` value."""
+    """Fill missing cells with the ``mean``, exact ``median``, most frequent (``mode``) or a ``const`` value."""
     have = _present(df, cols)
     if not have:
         return df
     if strategy == "const":
         return df.fillna({c: value for c in have})
-    how = {
-        "mean": lambda c: F.avg(F.when(~_missing(df, c), F.col(c))),
-        "median": lambda c: F.percentile_approx(F.when(~_missing(df, c), F.col(c)), 0.5, 10000).cast("double"),
-    }
-    if strategy in how:
-        fills = df.agg(F.struct(*[how[strategy](c).alias(c) for c in have]).alias("s"))
+    if strategy == "mean":
+        fills = df.agg(F.struct(*[F.avg(F.when(~_missing(df, c), F.col(c))).alias(c) for c in have]).alias("s"))
+    elif strategy == "median":
+        middle = exact_quantiles(df, have, [0.5])
+        fills = middle.agg(F.struct(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in have]).alias("s"))
     elif strategy == "mode":
         as_text = ", ".join(f"'{c}', cast(`{c}` as string)" for c in have)
         counts = (

@@ -6,6 +6,8 @@ however skewed the raw table is. Streams of events without that bound go through
 
 from __future__ import annotations
 
+from math import log10
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.rules import signal_score
@@ -161,16 +163,30 @@ def nav_preprocess(nav: DataFrame, key="scheme", date="date", col="nav") -> Data
 def ema(df: DataFrame, span: int, key="scheme", date="date", col="nav", name: str | None = None) -> DataFrame:
     """Exponential mean with weight 2/(span+1), started at the first value.
 
-    The recursion runs over a window long enough that older values weigh less than a double can show.
+    A scan in two steps: within a stretch of rows the recursion is a running sum of values that are scaled up by what
+    the mean forgets, so each row costs the same; each stretch hands on its last mean, which fades over the next one.
+    Stretches are as long as the scale fits a double. Rows are one per (entity, date); a null value leaves the mean as it was.
     """
     alpha = 2.0 / (span + 1)
-    reach = 1
-    while (1 - alpha) ** reach > 1e-17:
-        reach += 1
-    seen = F.collect_list(col).over(_w(key, date, -reach))
-    return df.withColumn("_seen", seen).withColumn(name or f"{col}_ema_{span}", F.aggregate(
-        F.slice("_seen", F.lit(2), F.size("_seen")), F.element_at("_seen", 1).cast("double"),
-        lambda acc, x: acc * (1 - alpha) + x * alpha)).drop("_seen")
+    keep = 1 - alpha
+    out = name or f"{col}_ema_{span}"
+    if keep <= 0:
+        return df.withColumn(out, F.last(F.col(col).cast("double"), ignorenulls=True).over(_w(key, date, Window.unboundedPreceding)))
+    stretch = max(1, min(512, int(-200 / log10(keep))))
+    # only rows with a value move the mean
+    seen = F.count(col).over(_w(key, date, Window.unboundedPreceding))
+    at = df.withColumn("_at", seen - 1).withColumn("_stretch", F.expr(f"_at div {stretch}")).withColumn("_k", F.pmod("_at", F.lit(stretch)))
+    weight = F.when(F.col("_at") == 0, 1.0).otherwise(alpha)
+    part = Window.partitionBy(key, "_stretch").orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
+    grown = F.sum(F.when(F.col(col).isNotNull(), F.col(col).cast("double") * weight / F.pow(F.lit(keep), F.col("_k")))).over(part)
+    own = at.withColumn("_own", grown * F.pow(F.lit(keep), F.col("_k")))
+    # the stretches' last means fade over the stretches after them; there are so few that they fit a list per entity
+    ends = own.filter("_at >= 0").groupBy(key, "_stretch").agg(F.max_by("_own", "_at").alias("_end"), (F.max("_k") + 1).alias("_n"))
+    listed = ends.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_stretch", "_end", "_n"))).alias("_ends"))
+    step = lambda acc, e: F.concat(acc, F.array(F.element_at(acc, -1) * F.pow(F.lit(keep), e["_n"]) + e["_end"]))
+    carried = listed.select(key, F.aggregate("_ends", F.array(F.lit(0.0)), step).alias("_carried"))
+    mean = F.col("_own") + F.element_at("_carried", F.col("_stretch").cast("int") + 1) * F.pow(F.lit(keep), F.col("_k") + 1)
+    return own.join(carried, key, "left").withColumn(out, F.when(F.col("_at") >= 0, mean)).drop("_at", "_stretch", "_k", "_own", "_carried")
 
 
 def nav_returns(df: DataFrame, key="scheme", date="date", col="nav", roll: int = 30) -> DataFrame:

@@ -132,11 +132,97 @@ def sentiment_etl(t):
     return t.spark.read.parquet(out).groupBy("sentiment").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT CASE WHEN conversion_probability >= 0.8 THEN 'Tier 1: Hot' WHEN conversion_probability >= 0.5 THEN 'Tier 2: Nurture' ELSE 'Tier 3: Cold' END AS lead_tier, count(*) AS n FROM leads GROUP BY 1""", "leads")
+TIERED = "CASE WHEN conversion_probability >= 0.8 THEN 'Tier 1: Hot' WHEN conversion_probability >= 0.5 THEN 'Tier 2: Nurture' ELSE 'Tier 3: Cold' END"
+
+
+@query(f"""WITH s AS (SELECT total_visits * 0.3::DOUBLE + time_spent * 0.0005::DOUBLE AS e FROM leads)
+SELECT 'distributor_dashboard' AS export, {TIERED} AS part, count(*) AS n FROM leads GROUP BY 2
+UNION ALL SELECT 'leads_for_bi', CASE WHEN e <= 10 THEN 'Low' WHEN e <= 30 THEN 'Medium' WHEN e > 30 THEN 'High' END, count(*) FROM s GROUP BY 2
+UNION ALL SELECT 'investor_dashboard', 'all', count(*) FROM traits UNION ALL SELECT 'sentiment_for_bi', CAST(quality AS VARCHAR), count(*) FROM labels GROUP BY 2
+UNION ALL SELECT 'summary_metrics', 'total_leads', count(*) FROM leads UNION ALL SELECT 'summary_metrics', 'converted_leads', CAST(sum(converted) AS BIGINT) FROM leads
+UNION ALL SELECT 'summary_metrics', 'total_investors', count(*) FROM traits UNION ALL SELECT 'summary_metrics', 'total_texts', count(*) FROM labels""", "leads traits")
 def bi_exports(t):
+    """All five exports, read back and counted by what they say."""
     out = scratch(t, "bi")
     etl.bi_exports(V.leads(t), V.traits(t), t.labels, out)
-    return files.read_csv_tree(t.spark, f"{out}/distributor_dashboard", "lead_id string, lead_origin string, lead_source string, time_spent double, converted int, conversion_probability double, lead_tier string, recommended_asset_class string").groupBy("lead_tier").agg(F.count("*").alias("n"))
+    back = lambda name: t.spark.read.option("header", True).csv(f"{out}/{name}")
+    count = lambda df, name, part: df.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select(F.lit(name).alias("export"), "part", "n")
+    made = count(back("distributor_dashboard"), "distributor_dashboard", F.col("lead_tier")).union(
+        count(back("leads_for_bi"), "leads_for_bi", F.col("engagement_tier"))).union(count(back("investor_dashboard"), "investor_dashboard", F.lit("all"))).union(
+        count(back("sentiment_for_bi"), "sentiment_for_bi", F.col("quality")))
+    long = back("summary_metrics/csv").filter("metric <> 'mean_conversion_probability'").select(F.lit("summary_metrics").alias("export"), F.col("metric").alias("part"), F.col("value").cast("double").cast("long").alias("n"))
+    return made.union(long)
+
+
+# ---- more readers --------------------------------------------------------------------------
+
+def _grouped_text(t, name: str, rows, group: str, line, head: str = "", tail: str = "", sep: str = "\n") -> str:
+    """One text file per group of a few rows."""
+    out = scratch(t, name)
+    body = rows.groupBy(group).agg(F.array_join(F.array_sort(F.collect_list(line)), sep).alias("b"))
+    body.select(F.concat(F.lit(head), "b", F.lit(tail)).alias("value"), group).repartition(group).write.partitionBy(group).option("lineSep", "\n").text(out)
+    return out
+
+
+@query("""SELECT c_mktsegment AS segment, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer GROUP BY 1""")
+def json_documents(t):
+    """JSON documents over many lines, one array of at most fifty objects a file."""
+    c = t.customer.withColumn("shard", F.floor(F.col("c_custkey") / 50))
+    line = F.concat(F.lit('  {\n    "id": '), F.col("c_custkey").cast("string"), F.lit(',\n    "segment": "'), "c_mktsegment", F.lit('",\n    "balance": '), F.col("c_acctbal").cast("string"), F.lit("\n  }"))
+    out = _grouped_text(t, "jsondocs", c, "shard", line, "[\n", "\n]\n", ",\n")
+    return files.read_json_docs(t.spark, out, "id long, segment string, balance double").groupBy("segment").agg(F.count("*").alias("n"), F.round(F.sum("balance"), 2).alias("balance"))
+
+
+@query("""SELECT 'scheme ' || (o_custkey % 12) AS scheme, count(*) AS n, min(CAST(o_orderdate AS DATE)) AS first_day, round(max(o_totalprice), 2) AS top FROM orders GROUP BY 1""")
+def entity_dir(t):
+    """One history file per entity, keyed by its name."""
+    raw, out = scratch(t, "entity-raw"), scratch(t, "entity-dir")
+    t.orders.select((F.col("o_custkey") % 12).alias("k"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("Date"), F.col("o_totalprice").alias(" Close ")).repartition("k").write.partitionBy("k").option("header", True).csv(raw)
+    hadoop = t.spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(raw).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(out))
+    for k in range(12):
+        for i, part in enumerate(fs.globStatus(hadoop.Path(f"{raw}/k={k}/part-*")) or []):
+            fs.rename(part.getPath(), hadoop.Path(f"{out}/scheme {k}{'_history' if k % 2 else ''}.csv" if i == 0 else f"{out}/more-{k}-{i}.csv"))
+    df = files.read_entity_dir(t.spark, out, "scheme", "Date string, Close double")
+    return df.groupBy("scheme").agg(F.count("*").alias("n"), F.min("date").alias("first_day"), F.round(F.max("close"), 2).alias("top"))
+
+
+@query("""SELECT k AS source, count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS total FROM customer, (SELECT unnest(['clean', 'empty clean', 'no clean']) AS k) GROUP BY 1""")
+def prefer_clean(t):
+    """The cleaned table where it has rows, else the raw file: all three cases."""
+    csv, full, empty = scratch(t, "raw-csv"), scratch(t, "clean"), scratch(t, "clean-empty")
+    rows = t.customer.select(F.col("c_custkey").alias("Cust Key"))
+    rows.write.option("header", True).csv(csv)
+    clean = rows.toDF("cust_key")
+    clean.write.parquet(full)
+    clean.limit(0).write.parquet(empty)
+    out = None
+    for name, path in (("clean", full), ("empty clean", empty), ("no clean", f"{full}-absent")):
+        one = files.read_prefer_clean(t.spark, path, csv).agg(F.count("*").alias("n"), F.sum(F.col("cust_key").cast("long")).alias("total")).select(F.lit(name).alias("source"), "n", "total")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query("""SELECT date_trunc('month', CAST(o_orderdate AS DATE))::DATE AS month, count(*) AS n, count(*) FILTER (o_orderkey % 2 = 1) AS with_volume, round(sum(o_totalprice), 2) AS closed FROM orders GROUP BY 1""")
+def merged_history(t):
+    """Two exports of one history: padded headers, other dates, and a column that only one of them has."""
+    old, new = scratch(t, "history-old"), scratch(t, "history-new")
+    o = t.orders.withColumn("day", F.to_date("o_orderdate"))
+    o.filter("o_orderkey % 2 = 0").select(F.date_format("day", "dd-MMM-yyyy").alias("Date "), F.col("o_totalprice").alias(" Close")).write.option("header", True).csv(old)
+    o.filter("o_orderkey % 2 = 1").select(F.date_format("day", "yyyy-MM-dd").alias(" Date"), F.col("o_totalprice").alias("Close"), F.lit(1).alias("Volume")).write.option("header", True).csv(new)
+    h = files.merge_history(t.spark, [old, new])
+    return h.groupBy(F.trunc("Date", "month").alias("month")).agg(F.count("*").alias("n"), F.count("Volume").alias("with_volume"), F.round(F.sum("Close"), 2).alias("closed"))
+
+
+@query("""SELECT lead_id, CAST(conversion_probability >= 0.65 AS INTEGER) AS pred_label, conversion_probability AS pred_proba FROM leads""", "leads")
+def batch_function_scores(t):
+    """A user's own model over Arrow batches; the schema is the input's with two fields more."""
+    lead = V.leads(t).select("lead_id", "conversion_probability")
+    scored = M.score_with_function(lead, lambda p: p["conversion_probability"], 0.65)
+    if [f.name for f in scored.schema] != [f.name for f in M.with_prediction_fields(lead.schema)]:
+        raise ValueError("scoring changed the schema")
+    return scored.select("lead_id", "pred_label", "pred_proba")
 
 
 # ---- streams -------------------------------------------------------------------------------
@@ -253,3 +339,44 @@ def stream_scoring(t):
     s = t.spark.readStream.schema(lead.drop("converted").schema).parquet(inbox)
     streams.append_parquet(M.score_leads(s, model, 0.5, num, cat), out, scratch(t, "ck"), **ONCE).awaitTermination()
     return t.spark.read.parquet(out).select("lead_id", "pred_label", "pred_proba")
+
+
+VALID = """lead_id IS NOT NULL AND total_visits >= 0 AND "Conversion_Probability" >= 0"""
+
+
+@query(f"""SELECT "City", count(*) AS leads, round(avg("Conversion_Probability"), 6) AS mean FROM lead_events WHERE {VALID} GROUP BY 1""", "lead_events")
+def stream_complete(t):
+    """Running totals per city, all of them after each batch."""
+    name = f"complete_{uuid.uuid4().hex}"
+    totals = streams.quality_stream(streams.lead_stream(t.spark, lead_inbox(t))).groupBy("City").agg(F.count("*").alias("leads"), F.round(F.avg("Conversion_Probability"), 6).alias("mean"))
+    streams.to_memory(totals, name, "complete", **ONCE).awaitTermination()
+    return t.spark.table(name)
+
+
+def _cycles(t, parts: int, run):
+    """Files that arrive in ``parts`` lots, with a run of the stream after each."""
+    inbox = scratch(t, "cycles")
+    for i in range(parts):
+        V.lead_events(t).filter(F.pmod(F.xxhash64("timestamp", "City"), F.lit(parts)) == i).write.mode("append").json(inbox)
+        run(i, streams.lead_stream(t.spark, inbox))
+
+
+@query(f"""SELECT "City", count(*) AS leads FROM lead_events WHERE {VALID} GROUP BY 1""", "lead_events")
+def stream_resume(t):
+    """A stream that stops and goes on from its checkpoint when more files are there: each row once."""
+    out, mark = scratch(t, "resumed"), scratch(t, "ck")
+    _cycles(t, 3, lambda i, s: streams.append_parquet(streams.quality_stream(s), out, mark, **ONCE).awaitTermination())
+    return t.spark.read.parquet(out).groupBy("City").agg(F.count("*").alias("leads"))
+
+
+@query(f"""SELECT (SELECT count(*) FROM lead_events WHERE {VALID}) AS leads, 3 AS cycles, true AS each_cycle_added""", "lead_events")
+def stream_cycles(t):
+    """A poll per cycle: what each adds to the sink's table, and all of them together."""
+    out, mark, seen = scratch(t, "polled"), scratch(t, "ck"), []
+
+    def poll(i, s):
+        streams.append_json(streams.quality_stream(s), out, mark, **ONCE).awaitTermination()
+        seen.append(t.spark.read.schema("lead_id string").json(out).count())
+    _cycles(t, 3, poll)
+    grew = all(a < b for a, b in zip([0, *seen], seen))
+    return t.spark.read.schema("lead_id string").json(out).agg(F.count("*").alias("leads"), F.lit(len(seen)).alias("cycles"), F.lit(grew).alias("each_cycle_added"))

@@ -197,14 +197,15 @@ def name_contains(t):
     return X.name_like(t.part, "p_name", "Widget").select("p_partkey", "p_name")
 
 
-@query()
+@query(f"""SELECT l_returnflag, count(*) AS sampled FROM lineitem
+WHERE substr(md5(l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|42'), 1, 13) < '{int(0.2 * 16**13):013x}' GROUP BY 1""")
 def hashed_sample(t):
-    """Repeatable 20 % sample of the order lines, counted per return flag (a sampling operator: no SQL twin)."""
+    """Repeatable 20 % sample of the order lines, counted per return flag."""
     s = X.sample(t.lineitem, 0.2, key=["l_orderkey", "l_linenumber", "l_partkey"])
     return s.groupBy("l_returnflag").agg(F.count("*").alias("sampled"))
 
 
-@query()
+@query("""SELECT o_orderkey, o_totalprice FROM orders ORDER BY md5(o_orderkey || '|42'), o_orderkey LIMIT 100""")
 def exact_sample(t):
     return X.sample_n(t.orders, 100, ["o_orderkey"]).select("o_orderkey", "o_totalprice")
 
@@ -242,12 +243,13 @@ def tier_summary(t):
     return A.tier_summary(V.leads(t))
 
 
-@query("""SELECT metric, value FROM (SELECT CAST(count(*) AS VARCHAR) AS total_leads, CAST(CAST(sum(converted) AS BIGINT) AS VARCHAR) AS converted_leads FROM leads)
-UNPIVOT (value FOR metric IN (total_leads, converted_leads))""", "leads")
+@query("""SELECT metric, CASE WHEN metric = 'mean_conversion_probability' THEN CAST(CAST(value AS DOUBLE) AS VARCHAR) ELSE value END AS value
+FROM (SELECT CAST(count(*) AS VARCHAR) AS total_leads, CAST(round(avg(conversion_probability), 4) AS VARCHAR) AS mean_conversion_probability,
+ CAST(CAST(sum(converted) AS BIGINT) AS VARCHAR) AS converted_leads, (SELECT CAST(count(*) AS VARCHAR) FROM traits) AS total_investors, (SELECT CAST(count(*) AS VARCHAR) FROM documents) AS total_texts FROM leads)
+UNPIVOT (value FOR metric IN (total_leads, mean_conversion_probability, converted_leads, total_investors, total_texts))""", "leads traits")
 def kpi_table(t):
     from ..sources.sinks import kpis_long
-    k = etl.kpis(V.leads(t), V.traits(t), t.documents)
-    return kpis_long(k.select("total_leads", "converted_leads"))
+    return kpis_long(etl.kpis(V.leads(t), V.traits(t), t.documents))
 
 
 @query("""SELECT lead_id, lead_source, time_spent, converted, CASE WHEN conversion_probability >= 0.8 THEN 'Tier 1: Hot' WHEN conversion_probability >= 0.5 THEN 'Tier 2: Nurture' ELSE 'Tier 3: Cold' END AS lead_tier,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions.words import TRAITS
 from ..operators import boosting as B, clusters as C, evaluation as EV, features as E, models as M, quality as Q
@@ -175,14 +175,33 @@ def density_clusters(t):
     return C.density_cluster(tr, "investor_id", ["Affordability_scaled", "Growth_scaled", "Liquidity_scaled"], eps=0.08, min_pts=8)
 
 
+def _nav_split(t):
+    from ..operators import timeseries as TS
+    return TS.temporal_split(TS.minmax_global(V.nav(t), name="y").select("scheme", "date", "y"))
+
+
+NAV_SPLIT = """y AS (SELECT scheme, date, (nav - min(nav) OVER ()) / (max(nav) OVER () - min(nav) OVER ()) AS y, row_number() OVER (PARTITION BY scheme ORDER BY date) - 1 AS i, count(*) OVER (PARTITION BY scheme) AS n FROM nav),
+train AS (SELECT scheme, date, y, i FROM y WHERE i < floor(n * 0.7::DOUBLE))"""
+
+
+@query(f"""WITH {NAV_SPLIT}, r AS (SELECT scheme, y, i, count(*) OVER (PARTITION BY scheme) - 1 - i AS j FROM train),
+p AS (SELECT a.i, a.j, b.i - a.i AS lag, a.y * b.y AS v FROM r a JOIN r b ON a.scheme = b.scheme AND b.i BETWEEN a.i AND a.i + 34)
+SELECT CAST(CASE WHEN i < 35 THEN i END AS INTEGER) AS head, CAST(CASE WHEN j < 35 THEN j END AS INTEGER) AS tail, count(*) FILTER (lag = 0) AS n,
+ {', '.join(f"round(sum(v) FILTER (lag = {d}), 7) AS p{d}" for d in (0, 1, 2, 5, 10, 20, 29, 30, 34))} FROM p GROUP BY 1, 2""", "nav")
+def nav_lag_sums(t):
+    s = M.lag_sums(_nav_split(t).filter("split = 'train'"), col="y", lookback=30, horizon=5)
+    return s.select("head", "tail", "n", *[F.round(f"p{d}", 7).alias(f"p{d}") for d in (0, 1, 2, 5, 10, 20, 29, 30, 34)])
+
+
 @query()
 def nav_lag_forecast(t):
-    from ..operators import timeseries as TS
-    nav = TS.minmax_global(V.nav(t), name="y").select("scheme", "date", "y")
-    split = TS.temporal_split(nav)
-    models = M.fit_nav_forecast(split.filter("split = 'train'"), col="y", lookback=30, horizon=5)
-    held = M.apply_nav_forecast(TS.sequences(split.filter("split = 'test'"), col="y"), models)
-    return EV.regression_metrics(held.withColumn("actual", F.col("y")[0]), "actual", "step_1")
+    split = cut_lineage(_nav_split(t))
+    model = M.fit_nav_forecast(split.filter("split = 'train'"), col="y", lookback=30, horizon=5)
+    held = M.apply_nav_forecast(split.filter("split = 'test'"), model, col="y")
+    after = Window.partitionBy("scheme").orderBy("date")
+    # as many values must follow as are forecast
+    whole = held.withColumns({"actual": F.lead("y", 1).over(after), "_fifth": F.lead("y", 5).over(after)}).filter("_fifth IS NOT NULL")
+    return EV.regression_metrics(whole, "actual", "step_1")
 
 
 @query()

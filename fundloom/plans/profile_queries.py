@@ -37,21 +37,30 @@ def hash_dedupe(t):
     return Q.dedupe_by_hash(t.events.select("event_type", (F.col("user_id") % 10).alias("shard")))
 
 
-@query()
+COUNTED = ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"]
+
+
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS "unique", true AS in_bound FROM lineitem""" for c in COUNTED))
 def approx_uniques(t):
-    return Q.approx_uniques(t.lineitem, ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"])
+    """The estimate of each column beside the count: within three standard errors."""
+    exact = t.lineitem.agg(*[F.count_distinct(c).alias(c) for c in COUNTED])
+    exact = exact.select(F.expr(f"stack({len(COUNTED)}, {', '.join(f'{chr(39)}{c}{chr(39)}, {c}' for c in COUNTED)}) as (column, unique)"))
+    found = Q.approx_uniques(t.lineitem, COUNTED, 0.05).join(exact, "column")
+    return found.select("column", "unique", (F.abs(F.col("approx_unique") - F.col("unique")) <= 3 * 0.05 * F.col("unique")).alias("in_bound"))
 
 
-DESCRIBED = {"o_totalprice": "DOUBLE", "o_custkey": "DOUBLE"}
+DESCRIBED = ["o_orderkey", "o_custkey", "o_totalprice"]
 
 
 @query(" UNION ALL ".join(f"""
 SELECT '{c}' AS "column", count({c}) AS count, count(DISTINCT {c}) AS "unique", (SELECT max(n) FROM (SELECT count(*) AS n FROM orders GROUP BY {c})) AS freq,
+ round((SELECT CAST(v AS DOUBLE) FROM (SELECT {c} AS v, count(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY 1) WHERE n = (SELECT max(n) FROM (SELECT count(*) AS n FROM orders GROUP BY {c})) ORDER BY CAST(v AS VARCHAR) LIMIT 1), 4) AS top,
  round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont({c}, 0.25), 4) AS p25,
  round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.75), 4) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM orders""" for c in DESCRIBED))
 def describe_columns(t):
-    d = Q.describe_all(t.orders, list(DESCRIBED)).drop("top")
-    return d.select("column", "count", "unique", "freq", *[F.round(c, 4).alias(c) for c in ("mean", "std")], "min",
+    """All numeric columns; of values that come equally often the first as text."""
+    d = Q.describe_all(t.orders, DESCRIBED)
+    return d.select("column", "count", "unique", "freq", F.round(F.col("top").cast("double"), 4).alias("top"), *[F.round(c, 4).alias(c) for c in ("mean", "std")], "min",
                     *[F.round(c, 4).alias(c) for c in ("p25", "p50", "p75")], "max")
 
 
@@ -67,9 +76,14 @@ def iqr_outliers(t):
     return Q.iqr_outliers(t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice"), "l_extendedprice", exact=True).drop("l_extendedprice")
 
 
-@query()
+@query("""SELECT count(*) AS n, true AS low_in_bound, true AS high_in_bound, true AS flags_follow FROM events""")
 def iqr_outliers_approx(t):
-    return Q.iqr_outliers(t.events, "value").groupBy("is_outlier").agg(F.count("*").alias("n"))
+    """The approximate quartiles miss by at most a hundredth of the rows, and every flag follows from them."""
+    flagged = Q.iqr_outliers(t.events, "value").withColumn("q", t.events.agg(F.percentile_approx("value", [0.25, 0.75], 100)).scalar())
+    q, v, reach = F.col("q"), F.col("value"), (F.col("q")[1] - F.col("q")[0]) * 1.5
+    near = lambda i, p: (F.count_if(v < q[i]) <= (p + 0.01) * F.count(v)) & (F.count_if(v <= q[i]) >= (p - 0.01) * F.count(v))
+    follows = F.col("is_outlier") == F.coalesce((v < q[0] - reach) | (v > q[1] + reach), F.lit(False))
+    return flagged.agg(F.count("*").alias("n"), near(0, 0.25).alias("low_in_bound"), near(1, 0.75).alias("high_in_bound"), F.min(follows).alias("flags_follow"))
 
 
 @query("""SELECT lead_id, round(coalesce(time_spent, (SELECT avg(time_spent) FROM leads)), 6) AS time_spent, round(coalesce(activity, (SELECT avg(activity) FROM leads)), 4) AS activity,
@@ -89,9 +103,10 @@ def impute_mode(t):
     return Q.impute(V.leads(t), "mode", ["lead_quality"]).select("lead_id", "lead_quality")
 
 
-@query()
+@query("""SELECT lead_id, round(coalesce(time_spent, (SELECT quantile_cont(time_spent, 0.5) FROM leads)), 6) AS time_spent,
+ coalesce(activity, (SELECT quantile_cont(activity, 0.5) FROM leads)) AS activity FROM leads""", "leads")
 def impute_median(t):
-    return Q.impute(V.leads(t), "median", ["time_spent"]).agg(F.count("*").alias("n"), F.count("time_spent").alias("filled"))
+    return Q.impute(V.leads(t), "median", ["time_spent", "activity"]).select("lead_id", F.round("time_spent", 6).alias("time_spent"), "activity")
 
 
 @query("""SELECT lead_id, round(CASE WHEN time_spent > q THEN q ELSE time_spent END, 6) AS time_spent FROM leads, (SELECT quantile_cont(time_spent, 0.99) AS q FROM leads)""", "leads")
@@ -168,11 +183,14 @@ def popular_items(t):
     return A.popular_items(A.interaction_pairs(V.interactions(t)), 10)
 
 
-@query("""SELECT "user", CAST(count(*) FILTER (item = 'Brand#1/ECONOMY') > 0 AS INTEGER) AS a, CAST(count(*) FILTER (item = 'Brand#2/LARGE') > 0 AS INTEGER) AS b FROM pairs GROUP BY 1""", "pairs")
+@query("""SELECT u."user", i.item, CAST(p.item IS NOT NULL AS INTEGER) AS bought FROM (SELECT DISTINCT "user" FROM pairs) u
+CROSS JOIN (SELECT DISTINCT p_brand || '/' || p_type AS item FROM part) i LEFT JOIN pairs p ON p."user" = u."user" AND p.item = i.item""", "pairs")
 def pivot_interactions(t):
-    items = ["Brand#1/ECONOMY", "Brand#2/LARGE"]
-    p = A.pivot_interactions(A.interaction_pairs(V.interactions(t)), items)
-    return p.select("user", F.col(f"`{items[0]}`").alias("a"), F.col(f"`{items[1]}`").alias("b"))
+    """The whole 0/1 matrix over the catalogue's items, one row per cell."""
+    items = sorted(r[0] for r in t.part.select(F.concat_ws("/", "p_brand", "p_type")).distinct().collect())
+    wide = A.pivot_interactions(A.interaction_pairs(V.interactions(t)), items)
+    return wide.unpivot(["user"], [f"`{i}`" for i in items], "item", "bought")
+
 
 
 @query("""SELECT portfolio, round_even(round(max(v) * 100 / sum(v), 9), 1) AS sector_concentration_pct, max(v) / sum(v) > 0.5 AS concentrated FROM (

@@ -51,7 +51,9 @@ def read_entity_dir(spark: SparkSession, path: str, key: str, schema=None, date_
     """One file per entity to one table; the key is the file stem without a ``_history`` ending. A single read, not one
     job per file."""
     raw = read_csv_tree(spark, path, schema)
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(_history)?\.csv$", 1)
+    # file names come as in a URL
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    stem = F.regexp_extract(name, r"^(.*?)(_history)?\.csv$", 1)
     df = raw.select(stem.alias(key), *[F.col(f"`{c}`").alias(c.strip().lower()) for c in raw.columns])
     if date_col in df.columns and not isinstance(df.schema[date_col].dataType, (T.DateType, T.TimestampType)):
         df = df.withColumn(date_col, parse_date(date_col))
@@ -80,9 +82,11 @@ def merge_history(spark: SparkSession, paths: str | list[str], date_col: str = "
     parts = []
     for p in [paths] if isinstance(paths, str) else paths:
         raw = spark.read.option("header", True).option("inferSchema", True).option("recursiveFileLookup", True).csv(p)
-        parts.append(raw.toDF(*[c.strip() for c in raw.columns]))
+        part = raw.toDF(*[c.strip() for c in raw.columns])
+        # parts may write dates in different ways
+        parts.append(part.withColumn(date_col, F.col(date_col).cast("string")) if date_col in part.columns else part)
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return df.withColumn(date_col, parse_date(F.col(date_col).cast("string"))).orderBy(date_col)
+    return df.withColumn(date_col, parse_date(date_col)).orderBy(date_col)
 
 
 def parse_nav_text(spark: SparkSession, path: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import datetime as dt
 import itertools
 import math
 import random
@@ -193,14 +194,46 @@ def test_temporal_split_truncates(spark):
     assert got == ["train"] * 7 + ["val"] + ["test"] * 3
 
 
-def test_ema_is_the_recursion(spark):
+@pytest.mark.parametrize("span,n", [(20, 1900), (2, 1500), (1, 50), (300, 1200)])
+def test_ema_is_the_recursion(spark, span, n):
     rnd = random.Random(2)
-    v = [rnd.random() for _ in range(900)]
-    got = [r["e"] for r in TS.ema(series(spark, v), 20, name="e").orderBy("date").collect()]
-    e, a = v[0], 2 / 21
+    v = [rnd.random() * 10 ** (i % 7 - 3) for i in range(n)]
+    got = [r["e"] for r in TS.ema(series(spark, v), span, name="e").orderBy("date").collect()]
+    e, a = v[0], 2 / (span + 1)
     for x, g in zip(v, got):
         e = e if x is v[0] else a * x + (1 - a) * e
-        assert g == pytest.approx(e, rel=1e-12)
+        assert g == pytest.approx(e, rel=1e-9)
+
+
+def test_ema_keeps_its_value_over_nulls(spark):
+    got = [r["e"] for r in TS.ema(series(spark, [None, 2.0, None, 4.0, None]), 3, name="e").orderBy("date").collect()]
+    assert got == [None, 2.0, 2.0, 3.0, 3.0]
+
+
+def test_lag_forecast_is_the_regression_on_all_samples(spark):
+    import numpy as np
+    from fundloom.operators import models as M
+    rnd = random.Random(5)
+    lengths = [3, 8, 9, 12, 40, 120]
+    data = [(f"s{k}", dt.date(2020, 1, 1) + dt.timedelta(days=i), rnd.random() + i / 50) for k, n in enumerate(lengths) for i in range(n)]
+    df = spark.createDataFrame(data, "scheme string, date date, nav double")
+    model = M.fit_nav_forecast(df, lookback=6, horizon=3, reg=0.0)
+    x, y, rows = [], [], {}
+    for s, _, v in data:
+        rows.setdefault(s, []).append(v)
+    for v in rows.values():
+        for i in range(len(v) - 8):
+            x.append([1.0, *v[i : i + 6]])
+            y.append(v[i + 6 : i + 9])
+    want = np.linalg.lstsq(np.array(x), np.array(y), rcond=None)[0]
+    assert np.array(model.intercepts) == pytest.approx(want[0], abs=1e-8)
+    assert np.array(model.weights).T == pytest.approx(want[1:], abs=1e-8)
+    got = M.apply_nav_forecast(df, model).filter("step_1 IS NOT NULL").orderBy("scheme", "date").collect()
+    assert len(got) == sum(max(0, n - 5) for n in lengths)
+    first = rows["s1"][:6]
+    assert next(r for r in got if r.scheme == "s1").step_2 == pytest.approx(want[0, 1] + np.dot(first, want[1:, 1]))
+    empty = M.fit_nav_forecast(df.limit(0), lookback=6, horizon=3)
+    assert set(empty.intercepts) == {0.0} and M.apply_nav_forecast(df, empty).count() == len(data)
 
 
 def test_rolling_drift_over_chunk_edges(spark):
