@@ -137,7 +137,27 @@ def routed_utterances(t):
     return routed(t).select("conv_id", "turn", "audience", "intent", "asks_about_screen")
 
 
-@query()
+WORDS_OF = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}_]{{2,}}')"
+WITH_PAIRS = "unnest(list_concat(w, CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE [] END))"
+
+
+@query(f"""WITH {routed_sql()}, kb AS (SELECT 'item ' || item_id AS title, CASE item_id % 3 WHEN 0 THEN 'both' WHEN 1 THEN 'investor' ELSE 'distributor' END AS aud, {WORDS_OF.format('text')} AS w FROM benchmark),
+kg AS (SELECT title, term, count(*) AS tf FROM (SELECT title, {WITH_PAIRS} AS term FROM kb) GROUP BY 1, 2),
+idf AS (SELECT term, ln((1 + (SELECT count(*) FROM kb)) / (1 + count(*))) + 1 AS idf FROM kg GROUP BY 1),
+kw AS (SELECT title, term, r / sqrt(sum(r * r) OVER (PARTITION BY title)) AS weight FROM (SELECT title, term, tf * idf AS r FROM kg JOIN idf USING (term))),
+us AS (SELECT conv_id || '-' || turn AS cid, audience, intent, u, {WORDS_OF.format('u')} AS w FROM ro),
+ug AS (SELECT cid, term, count(*) * any_value(idf) AS r FROM (SELECT cid, {WITH_PAIRS} AS term FROM us) JOIN idf USING (term) GROUP BY 1, 2),
+uw AS (SELECT cid, term, r / sqrt(sum(r * r) OVER (PARTITION BY cid)) AS weight FROM ug),
+sc AS (SELECT cid, kb.title, kb.aud, sum(uw.weight * kw.weight) AS score FROM uw JOIN kw USING (term) JOIN kb USING (title) JOIN us USING (cid)
+ WHERE us.audience = 'both' OR kb.aud = 'both' OR kb.aud = us.audience GROUP BY 1, 2, 3),
+be AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY round(score, 9) DESC, title) AS rn FROM sc) WHERE rn = 1),
+fi AS (SELECT us.cid, min(kb.title) AS title FROM us JOIN kb ON us.audience = 'both' OR kb.aud = 'both' OR kb.aud = us.audience GROUP BY 1),
+al AS (SELECT us.*, coalesce(be.title, fi.title) AS best, coalesce(be.score, 0) AS base FROM us LEFT JOIN be USING (cid) LEFT JOIN fi USING (cid)),
+hi AS (SELECT al.*, kb.aud, len(list_filter(kb.w[1:3], lambda x: contains(al.u, x))) AS hits FROM al LEFT JOIN kb ON kb.title = al.best),
+bo AS (SELECT *, CASE WHEN hits > 0 THEN least(1, base + 0.04::DOUBLE * hits) ELSE base END AS s FROM hi),
+we AS (SELECT *, best IS NULL OR intent = 'general' AND s < 0.12::DOUBLE AS weak FROM bo),
+fo AS (SELECT *, CASE WHEN weak THEN (SELECT title FROM kb WHERE title = 'item 0') ELSE best END AS topic, CASE WHEN weak THEN (SELECT aud FROM kb WHERE title = 'item 0') ELSE aud END AS of_topic FROM we)
+SELECT cid, audience, intent, topic AS matched_topic, round(least(least(0.97::DOUBLE, 0.42::DOUBLE + s * 2) + CASE WHEN audience <> 'both' AND of_topic = audience THEN 0.05::DOUBLE ELSE 0 END, 0.97::DOUBLE), 2) AS confidence FROM fo""", "chat")
 def knowledge_retrieval(t):
     """Best knowledge item per utterance; the knowledge base is derived from the benchmark passages."""
     k = F.col("item_id")
