@@ -308,9 +308,8 @@ def stream_drift(t):
     src, out = scratch(t, "signals"), scratch(t, "drift")
     V.signals(t).select(F.col("ts").cast("timestamp").alias("ts"), "title", "source", "sentiment", "market_impact", "confidence").write.parquet(src)
     s = t.spark.readStream.schema("ts timestamp, title string, source string, sentiment string, market_impact string, confidence double").parquet(src)
-    q = drift.drift_stream(s).writeStream.outputMode("update").foreachBatch(lambda b, i: b.write.mode("append").parquet(out)).option("checkpointLocation", scratch(t, "ck")).trigger(**ONCE).start()
-    q.awaitTermination()
-    return t.spark.read.parquet(out).select("source", "samples", "mean_score", "negative_ratio", "drift_detected")
+    drift.drift_sink(s, scratch(t, "drift-state"), out, scratch(t, "ck"), **ONCE).awaitTermination()
+    return drift.read_status(t.spark, out).select("source", "samples", "mean_score", "negative_ratio", "drift_detected")
 
 
 @query("""SELECT snap AS "index", vix FROM market""", "market")

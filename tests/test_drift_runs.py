@@ -1,48 +1,60 @@
-"""The drift task never holds a whole batch of a source, and gives the answer of one that does."""
+"""Drift over batches in order is drift over all signals at once, and a batch that is run again changes nothing."""
 
+import datetime as dt
 import random
 from collections import deque
 
-import pandas as pd
 import pytest
-
+from fundloom.operators.timeseries import scored_signals
 from fundloom.streaming import drift
-
-
-class State:
-    exists, value = False, None
-
-    def update(self, value):
-        self.value = value
-
-
-@pytest.mark.parametrize("run, files", [(50, 3), (100_000, 64)])
-def test_signals_go_in_order_whatever_the_frames(monkeypatch, run, files):
-    monkeypatch.setattr(drift, "RUN", run)
-    monkeypatch.setattr(drift, "FILES", files)
-    monkeypatch.setattr(drift, "PART", 7)
-    rng = random.Random(5)
-    rows = [(pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=rng.randrange(900)), f"s{rng.randrange(600)}", rng.choice([-1.0, 0.0, 1.0])) for _ in range(2000)]
-    rows.append((pd.NaT, "none", 1.0))
-    largest = 0
-    real = pd.concat
-
-    def concat(frames, **kw):
-        nonlocal largest
-        out = real(frames, **kw)
-        largest = max(largest, len(out))
-        return out
-
-    monkeypatch.setattr(drift.pd, "concat", concat)
-    state = State()
-    frames = (pd.DataFrame(rows[i:i + 20], columns=["ts", "signature", "direction"]) for i in range(0, len(rows), 20))
-    out = next(drift._advance(("a",), frames, state))
-    whole = pd.DataFrame(rows, columns=["ts", "signature", "direction"]).sort_values(["ts", "signature"], kind="stable")
-    ring, scores = deque(maxlen=drift.SEEN), []
-    for _, sig, score in whole.itertuples(index=False):
-        if sig not in ring:
-            ring.append(sig)
-            scores.append(score)
-    assert state.value[2] == list(ring) and len(state.value[1]) == drift.WINDOW == out["samples"][0]
-    assert out["last_signal_at"][0] == max(r[0] for r in rows[:-1])
-    assert largest <= run + 20
+from pyspark.sql import functions as F
+
+SCHEMA = "ts timestamp, title string, source string, sentiment string, market_impact string, confidence double"
+
+
+def signals(n, seed):
+    rng = random.Random(seed)
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [(start + dt.timedelta(seconds=3 * i), f"t{rng.randrange(300)}", rng.choice(["hot", "hot", "hot", "b", "c", None]), rng.choice(["positive", "negative", "neutral"]),
+             rng.choice(["bullish", "bearish", None]), rng.random()) for i in range(n)]
+    return rows + [(None, "late", "hot", "negative", None, 1.0)]
+
+
+def plain(rows):
+    """source -> ring and scores, one signal after the other."""
+    out = {}
+    for r in rows:
+        ring, scores = out.setdefault(r.source, (deque(maxlen=drift.SEEN), deque(maxlen=drift.WINDOW)))
+        if r.signature not in ring:
+            ring.append(r.signature)
+            scores.append(r.direction)
+    return out
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_batches_in_order_are_one_batch(spark, tmp_path, batches):
+    rows = signals(1500, 3)
+    state, out = str(tmp_path / "state"), str(tmp_path / "out")
+    size = -(-len(rows) // batches)
+    for k in range(batches):
+        part = spark.createDataFrame(rows[k * size : (k + 1) * size], SCHEMA).repartition(7)
+        drift.merge_batch(part, k, state, out)
+        if k == 1:
+            before = sorted(map(str, spark.read.parquet(f"{state}/version=1").collect()))
+            drift.merge_batch(part, k, state, out)
+            assert sorted(map(str, spark.read.parquet(f"{state}/version=1").collect())) == before
+    scored = scored_signals(spark.createDataFrame(rows, SCHEMA)).orderBy(F.col("ts").asc_nulls_last(), "signature").collect()
+    want = plain(scored)
+    got = {r.source: r for r in drift.read_state(spark, state, batches).collect()}
+    assert set(got) == set(want)
+    for source, (ring, scores) in want.items():
+        assert got[source].seen == list(ring) and got[source].scores == pytest.approx(list(scores))
+    status = {r.source: r for r in spark.read.parquet(f"{out}/batch={batches - 1}").collect()}
+    for source, r in status.items():
+        assert r.samples == len(want[source][1]) and r.mean_score == pytest.approx(round(sum(want[source][1]) / r.samples, 4))
+    assert status["hot"].last_signal_at == max(r[0] for r in rows[:-1] if r[2] == "hot").replace(tzinfo=None)
+
+
+def test_no_signals(spark, tmp_path):
+    drift.merge_batch(spark.createDataFrame([], SCHEMA), 0, str(tmp_path / "s"), str(tmp_path / "o"))
+    assert drift.read_state(spark, str(tmp_path / "s"), 1).count() == 0

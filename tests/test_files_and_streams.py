@@ -191,14 +191,13 @@ def test_drift_stream_keeps_state(spark, tmp_path):
 
     def feed(lo, hi, mood):
         drop(inbox, [{"ts": f"2024-01-01T10:{i:02d}:00Z", "title": f"t{i}", "source": "s", "sentiment": mood, "confidence": 1.0} for i in range(lo, hi)])
-        s = drift.drift_stream(spark.readStream.schema(schema).json(str(inbox)))
-        s.writeStream.outputMode("update").foreachBatch(lambda b, i: b.write.mode("append").parquet(out)).option(
-            "checkpointLocation", str(tmp_path / "ck")).trigger(**ONCE).start().awaitTermination()
+        s = spark.readStream.schema(schema).json(str(inbox))
+        drift.drift_sink(s, str(tmp_path / "state"), out, str(tmp_path / "ck"), **ONCE).awaitTermination()
 
     feed(0, 11, "negative")
     feed(11, 14, "negative")
     feed(14, 30, "negative")
-    got = [(r["samples"], r["drift_detected"], r["retrain_requested"]) for r in spark.read.parquet(out).orderBy("samples").collect()]
+    got = [(r["samples"], r["drift_detected"], r["retrain_requested"]) for r in drift.read_status(spark, out).orderBy("samples").collect()]
     # no drift below 12 samples; one request, the next one waits for the cooldown
     assert got == [(11, False, False), (14, True, True), (30, True, False)]
 
