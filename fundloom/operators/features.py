@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import safe_div
 from .aggregates import target_means
+from .joins import spread_lookup
 from .ordered import exact_quantiles, global_rank
 from .topk import topk
 
@@ -24,11 +25,17 @@ def onehot(df: DataFrame, cols: list[str], drop_first: bool = False) -> DataFram
     return Pipeline(stages=[index, hot]).fit(df).transform(df)
 
 
-def dummies(df: DataFrame, col: str, values: list | None = None, drop_first: bool = False) -> DataFrame:
-    """0/1 columns per category in alphabetical order. Columns are part of the schema, so the driver must know the
-    categories: from ``values`` or from a distinct. For very many, ``onehot`` gives a sparse vector instead."""
+def dummies(df: DataFrame, col: str, values: list | None = None, drop_first: bool = False, most: int = 256) -> DataFrame:
+    """0/1 columns per category in alphabetical order: columns are part of the schema, so the categories must be known.
+
+    They are ``values``, or those of the column if it has at most ``most``; a column with more raises an error, and
+    ``onehot`` gives it a sparse vector instead.
+    """
     if values is None:
-        values = sorted(r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().collect())
+        found = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{col} has more than {most} values: name them, or use onehot")
+        values = sorted(r[0] for r in found)
     values = values[1:] if drop_first else values
     return df.withColumns({f"{col}_{v}": F.coalesce((F.col(col) == v).cast("int"), F.lit(0)) for v in values})
 
@@ -37,11 +44,11 @@ def label_encode(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """Category to its alphabetical position from 0; null counts as the text ``nan``."""
     value = F.coalesce(F.col(col).cast("string"), F.lit("nan"))
     codes = global_rank(df.select(value.alias("_c")).distinct(), ["_c"], "_code")
-    return df.withColumn("_c", value).join(codes, "_c").withColumn(name or f"{col}_encoded", F.col("_code") - 1).drop("_c", "_code")
+    return spread_lookup(df.withColumn("_c", value), codes, "_c").withColumn(name or f"{col}_encoded", F.col("_code") - 1).drop("_c", "_code")
 
 
 def target_encode(df: DataFrame, cat: str, label: str, name: str | None = None) -> DataFrame:
-    return df.join(target_means(df, cat, label), cat, "left").withColumnRenamed("target_mean", name or f"{cat}_target")
+    return spread_lookup(df, target_means(df, cat, label), cat).withColumnRenamed("target_mean", name or f"{cat}_target")
 
 
 def minmax_vector(df: DataFrame, cols: list[str], out: str = "num_features") -> DataFrame:

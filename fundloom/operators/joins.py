@@ -29,6 +29,17 @@ def lookup(df: DataFrame, dim: DataFrame, on: str, defaults: dict | None = None)
     return out.fillna(defaults) if defaults else out
 
 
+def spread_lookup(df: DataFrame, dim: DataFrame, on: str, salts: int = 16) -> DataFrame:
+    """Left join with a table of one row per value of ``on``, each value spread over ``salts`` tasks; columns stay in order.
+
+    For columns where one value may hold a large part of all rows: the table is copied ``salts`` times, the rows are not.
+    """
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
+    extra = [c for c in dim.columns if c != on]
+    return salted.join(copies, [on, "_salt"], "left").select(*[F.col(f"`{c}`") for c in [*df.columns, *extra]])
+
+
 def exclude(df: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(seen.select(*keys), keys, "left_anti")
 

@@ -6,10 +6,14 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.text import terms, with_bigrams
+from ..sources.scratch import cut_lineage
 from .topk import topk
 
 
@@ -53,17 +57,73 @@ def tfidf(docs: DataFrame, key: str, text_col: str, bigrams: bool = True, min_df
     return _unit(counts.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw")), key)
 
 
+def _scored(k: int, docs_as: pa.DataType, asked_as: pa.DataType, step: int = 1 << 21):
+    """Best ``k`` documents of a block for each query of a block, from their postings alone."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        none = pa.table([pa.array([], asked_as), pa.array([], docs_as), pa.array([], pa.float64())], names=["q", "d", "score"])
+        if not left.num_rows or not right.num_rows:
+            return none
+        terms = right.column("term").combine_chunks().dictionary_encode()
+        asked, docs = right.column("q").combine_chunks().dictionary_encode(), left.column("d").combine_chunks().dictionary_encode()
+        n_asked, n_docs = len(asked.dictionary), len(docs.dictionary)
+        by_term = np.argsort(terms.indices.to_numpy(), kind="stable")
+        whose, qw = asked.indices.to_numpy()[by_term], right.column("qw").to_numpy()[by_term]
+        first = np.searchsorted(terms.indices.to_numpy()[by_term], np.arange(len(terms.dictionary) + 1))
+        at = pc.index_in(left.column("term"), terms.dictionary).combine_chunks()
+        hit = np.flatnonzero(~at.is_null().to_numpy(zero_copy_only=False))
+        term = at.fill_null(0).to_numpy()[hit]
+        row, weight = docs.indices.to_numpy()[hit], left.column("weight").to_numpy()[hit]
+        many = first[term + 1] - first[term]
+        score, ends, start = np.zeros(n_docs * n_asked), np.cumsum(many), 0
+        while start < len(term):
+            # so many products at a time
+            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + step, side="right")))
+            n = many[start:stop]
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[term[start:stop]], n)
+            score += np.bincount(np.repeat(row[start:stop], n) * n_asked + whose[place], np.repeat(weight[start:stop], n) * qw[place], len(score))
+            start = stop
+        score = np.floor(score.reshape(n_docs, n_asked) * 100 * 100 + 0.5) / 100
+        # ties go to the smaller document
+        order = pc.sort_indices(docs.dictionary).to_numpy()
+        score, out = score[order], []
+        for j in range(n_asked):
+            own = score[:, j]
+            last = np.partition(own, n_docs - min(k, n_docs))[n_docs - min(k, n_docs)]
+            some = np.flatnonzero((own >= last) & (own > 0))
+            some = some[np.argsort(-own[some], kind="stable")][:k]
+            out.append((np.full(len(some), j), order[some], own[some]))
+        q, d, s = (np.concatenate(c) for c in zip(*out))
+        return pa.table([asked.dictionary.take(pa.array(q)), docs.dictionary.take(pa.array(d)), pa.array(s)], names=["q", "d", "score"])
+    return run
+
+
 def tfidf_search(queries: DataFrame, corpus: DataFrame, qkey: str, qtext: str, key: str, text_col: str, k: int = 5,
-                 bigrams: bool = True, stop_words: list[str] | None = None) -> DataFrame:
-    """Top ``k`` documents per query by TF-IDF cosine, as a percentage; only documents sharing a term are scored."""
-    counts = term_counts(corpus, key, text_col, bigrams, stop_words)
-    n = corpus.agg(F.count("*").alias("n")).scalar()
-    idf = inverse_document_frequency(counts, key, n)
-    unit = lambda c, k: _unit(c.join(idf, "term").select(k, "term", (F.col("tf") * F.col("idf")).alias("raw")), k)
-    asked = unit(term_counts(queries, qkey, qtext, bigrams, stop_words), qkey).withColumnRenamed("weight", "qw")
-    scores = unit(counts, key).join(asked, "term").groupBy(qkey, key).agg(
-        F.round(F.sum(F.col("weight") * F.col("qw")) * 100, 2).alias("match_score")).filter("match_score > 0")
-    return topk(scores, [qkey], [F.desc("match_score"), F.col(key)], k, rank="rank")
+                 bigrams: bool = True, stop_words: list[str] | None = None, doc_block: int = 4096, query_block: int = 512) -> DataFrame:
+    """Top ``k`` documents per query by TF-IDF cosine, as a percentage; ties to the smaller key.
+
+    The corpus is counted once. Only postings of terms that some query has leave that table, and each block of documents
+    scores a block of queries from them as a sparse product and keeps ``k`` documents per query, so no row per query and
+    document exists anywhere. A term that nearly all documents have is spread over all blocks.
+    """
+    counts = cut_lineage(term_counts(corpus, key, text_col, bigrams, stop_words))
+    sizes = corpus.agg(F.count("*").alias("n")).first().n, queries.select(qkey).count()
+    idf = inverse_document_frequency(counts, key, F.lit(sizes[0]))
+    asked = _unit(term_counts(queries, qkey, qtext, bigrams, stop_words).join(idf, "term").select(qkey, "term", (F.col("tf") * F.col("idf")).alias("raw")), qkey)
+    asked = cut_lineage(asked.select(F.col(qkey).alias("q"), "term", F.col("weight").alias("qw")))
+    weighed = counts.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    length = weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_length"))
+    posted = weighed.join(asked.select("term").distinct(), "term", "left_semi").join(length, key).select(
+        F.col(key).alias("d"), "term", (F.col("raw") / F.col("_length")).alias("weight"))
+    nd, nq = max(1, ceil(sizes[0] / doc_block)), max(1, ceil(sizes[1] / query_block))
+    slot = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = posted.withColumn("db", slot("d", nd)).withColumn("qb", every(nq))
+    right = asked.withColumn("qb", slot("q", nq)).withColumn("db", every(nd))
+    kinds = queries.schema[qkey].dataType, corpus.schema[key].dataType
+    found = left.groupBy("db", "qb").cogroup(right.groupBy("db", "qb")).applyInArrow(
+        _scored(k, to_arrow_type(kinds[1]), to_arrow_type(kinds[0])), f"q {kinds[0].simpleString()}, d {kinds[1].simpleString()}, score double")
+    top = topk(found, ["q"], [F.desc("score"), F.col("d")], k, rank="rank")
+    return top.select(F.col("q").alias(qkey), F.col("d").alias(key), F.col("score").alias("match_score"), "rank")
 
 
 def _blocks(df: DataFrame, key: str, size: int) -> int:

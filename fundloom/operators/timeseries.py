@@ -119,9 +119,17 @@ def direction(df: DataFrame, key="scheme", date="date", col="nav") -> DataFrame:
     return df.withColumn("is_up", F.when(prev.isNotNull(), F.col(col) > prev))
 
 
-def rank_allocation(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
-    r = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return df.withColumn("rank", r).withColumn(
+def high_first(col: str) -> Column:
+    """A key by which larger numbers come first and nulls last."""
+    return F.struct(F.col(col).isNull(), -F.col(col))
+
+
+def rank_allocation(df: DataFrame, by: list[str], order: list) -> DataFrame:
+    """Rank within a group and the share it gets; ``order`` are ascending keys that leave no ties.
+
+    Ranks come from sums over key ranges, so a group that holds most rows is not one task's.
+    """
+    return global_rank(df, order, "rank", by=by).withColumn("rank", F.col("rank").cast("int")).withColumn(
         "allocation_pct", F.greatest(F.lit(8), F.least(F.lit(40), 24 - (F.col("rank") - 1) * 4)))
 
 

@@ -174,8 +174,8 @@ def fund_match_scores(t):
 
 @query("""SELECT scheme_code, rank, CAST(greatest(8, least(40, 24 - (rank - 1) * 4)) AS INTEGER) AS allocation_pct FROM (SELECT scheme_code, CAST(row_number() OVER (PARTITION BY category_group ORDER BY match_score DESC, aum DESC, scheme_code) AS INTEGER) AS rank FROM catalog)""", "catalog")
 def rank_allocation(t):
-    from ..operators.timeseries import rank_allocation as ra
-    return ra(V.catalog(t), ["category_group"], [F.desc("match_score"), F.desc("aum"), F.col("scheme_code")]).select("scheme_code", "rank", "allocation_pct")
+    from ..operators.timeseries import high_first, rank_allocation as ra
+    return ra(V.catalog(t), ["category_group"], [high_first("match_score"), high_first("aum"), F.col("scheme_code")]).select("scheme_code", "rank", "allocation_pct")
 
 
 @query("""SELECT p_brand, p_partkey, p_retailprice FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rn FROM part) WHERE rn <= 3""")

@@ -173,9 +173,12 @@ def dataset_inventory(spark: SparkSession, root: str) -> DataFrame:
 
 
 def duplicate_files(spark: SparkSession, root: str) -> DataFrame:
-    """Groups of files with the same content: copies and redundant bytes. Same-length files only are hashed together."""
+    """Groups of files with the same content: copies and redundant bytes. Only files whose length another has are read."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    hashed = f.select("length", F.md5("content").alias("content_md5"), "path")
+    # lengths come from the listing; equalities on the length reach the scan, which then opens no other file
+    sizes = [r[0] for r in f.groupBy("length").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "length").limit(501).collect()]
+    alike = f.filter(reduce(lambda a, b: a | b, [F.col("length") == n for n in sizes], F.lit(False))) if len(sizes) <= 500 else f
+    hashed = alike.select("length", F.md5("content").alias("content_md5"), "path")
     return hashed.groupBy("length", "content_md5").agg(F.count("*").alias("copies"), F.min("path").alias("first_path")).filter(
         "copies > 1").withColumn("redundant_bytes", (F.col("copies") - 1) * F.col("length"))
 
