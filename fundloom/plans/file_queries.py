@@ -283,7 +283,7 @@ def tumbling_windows(t):
 def stream_upsert(t):
     table = scratch(t, "upsert")
     inbox = streams.lead_stream(t.spark, lead_inbox(t)).filter("lead_id is not null").select("City", "lead_id", "timestamp")
-    upsert.foreach_batch_upsert(inbox, "City", table, scratch(t, "ck"), [F.concat("timestamp", "lead_id")], **ONCE).awaitTermination()
+    upsert.foreach_batch_upsert(inbox, "City", table, scratch(t, "ck"), [F.concat("timestamp", "lead_id")], 32, **ONCE).awaitTermination()
     return upsert.read_table(t.spark, table).select("City", "lead_id", "status")
 
 

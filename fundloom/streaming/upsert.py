@@ -5,14 +5,15 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import upsert
 from ..operators.quality import dedupe
 from ..sources.files import path_exists
 
-#: Buckets of a new table; a table keeps the number it began with.
-BUCKETS = 32
+#: How often a batch is merged anew because another writer was first.
+TRIES = 20
 
 
 def _fs(spark: SparkSession, path: str):
@@ -20,21 +21,40 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _marks(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
-    """(version, batch, file name) of every complete version, oldest first."""
+def _marks(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions that have a mark, oldest first."""
     if not path_exists(spark, f"{path}/_versions"):
         return []
     fs, p = _fs(spark, f"{path}/_versions")
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted((int(n.split("-", 1)[0]), n.split("-", 1)[1], n) for n in names if n[:1].isdigit())
+    return sorted(int(n) for n in (s.getPath().getName() for s in fs.listStatus(p)) if n.isdigit())
+
+
+def _mark(path: str, version: int) -> str:
+    return f"{path}/_versions/{version:012d}"
 
 
 def _manifest(spark: SparkSession, path: str) -> dict | None:
-    """The newest version: its number, how many buckets the table has, and the folder of each bucket."""
-    marks = _marks(spark, path)
-    if not marks:
-        return None
-    return json.loads("\n".join(r[0] for r in spark.read.text(f"{path}/_versions/{marks[-1][2]}").collect()))
+    """The newest whole version: its number, how many buckets the table has, the folder of each bucket, and the last batch of each source."""
+    for version in reversed(_marks(spark, path)):
+        try:
+            return json.loads("\n".join(r[0] for r in spark.read.text(_mark(path, version)).collect()))
+        except ValueError:  # its writer died while it wrote the mark
+            continue
+    return None
+
+
+def _commit(spark: SparkSession, path: str, after: dict) -> bool:
+    """Writes the mark of a version unless there is one: of two writers of a version the second is told no."""
+    fs, mark = _fs(spark, _mark(path, after["version"]))
+    try:
+        out = fs.create(mark, False)
+    except Py4JJavaError as exc:
+        if "FileAlreadyExists" in str(exc.java_exception) or fs.exists(mark):
+            return False
+        raise
+    out.write(json.dumps(after).encode())
+    out.close()
+    return True
 
 
 def _read(spark: SparkSession, path: str, folders) -> DataFrame:
@@ -47,64 +67,86 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return None if now is None or not now["buckets"] else _read(spark, path, now["buckets"].values())
 
 
-def merge_batch(batch: DataFrame, batch_id: int, path: str, key: str, order: list, defaults: dict | None = None, source: str = "") -> None:
+def merge_batch(batch: DataFrame, batch_id: int, path: str, key: str, order: list, buckets: int, defaults: dict | None = None, source: str = "") -> None:
     """Latest row per key of the batch merged into the table as a new version.
 
-    A version counts once its mark exists; the mark names the folder of every bucket and which batch of which ``source`` (a
-    stream's own id) it holds. A batch that is run again finds its mark and does nothing, or, when the earlier attempt
-    died before the mark, writes its buckets again. A stream that starts anew has another id, so its batches are merged
-    whatever their numbers. ``order`` ranks the rows of one batch; a later batch replaces what earlier ones wrote. The
-    version before stays for readers, older folders that no bucket uses are removed.
+    A version counts once its mark is written; the mark names the folder of every bucket and the last batch of each
+    ``source`` (a stream's own id). A batch that is run again finds itself there and does nothing, or, when the earlier
+    attempt died before the mark, writes its buckets again. A stream that starts anew has another id, so its batches are
+    merged whatever their numbers. If another writer has taken the version meanwhile, the batch is merged into that one's
+    table instead. ``order`` ranks the rows of one batch; a later batch replaces what earlier ones wrote. ``buckets`` is
+    the number a new table begins with; ``rebucket`` changes it. The version before stays for readers.
     """
     spark = batch.sparkSession
-    name = f"{source}-{batch_id}"
-    if any(b == name for _, b, _ in _marks(spark, path)):
-        return
-    now = _manifest(spark, path) or {"version": -1, "count": BUCKETS, "buckets": {}, "seen": {}}
-    if now["seen"].get(source, -1) >= batch_id:
-        return
-    version = now["version"] + 1
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(now["count"])).cast("int")
     updates = dedupe(batch.filter(F.col(key).isNotNull()), [key], order, last=True)
-    # at most as many numbers as there are buckets
-    touched = [r[0] for r in updates.select(bucket.alias("b")).distinct().collect()]
-    old = [now["buckets"][str(b)] for b in touched if str(b) in now["buckets"]]
-    base = _read(spark, path, old) if old else updates.limit(0)
-    folder = f"v={version}-{uuid.uuid4().hex}"
-    if touched:
-        upsert(base, updates, key, defaults).withColumn("_bucket", bucket).write.partitionBy("_bucket").parquet(f"{path}/{folder}")
-    after = {"version": version, "count": now["count"], "buckets": now["buckets"] | {str(b): f"{folder}/_bucket={b}" for b in touched},
-             "seen": now["seen"] | {source: batch_id}}
-    fs, mark = _fs(spark, f"{path}/_versions/{version:012d}-{name}")
-    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_versions/.{uuid.uuid4().hex}")
-    out = fs.create(part, True)
-    out.write(json.dumps(after).encode())
-    out.close()
-    fs.rename(part, mark)
-    _tidy(spark, path, now, after)
+    for _ in range(TRIES):
+        now = _manifest(spark, path) or {"version": -1, "count": buckets, "buckets": {}, "seen": {}}
+        if now["seen"].get(source, -1) >= batch_id:
+            return
+        # a mark that its writer did not finish keeps its number
+        version = max([now["version"], *_marks(spark, path)[-1:]]) + 1
+        bucket = _bucket(key, now["count"])
+        # at most as many numbers as there are buckets
+        touched = [r[0] for r in updates.select(bucket.alias("b")).distinct().collect()]
+        old = [now["buckets"][str(b)] for b in touched if str(b) in now["buckets"]]
+        base = _read(spark, path, old) if old else updates.limit(0)
+        folder = f"v={version}-{uuid.uuid4().hex}"
+        if touched:
+            upsert(base, updates, key, defaults).withColumn("_bucket", bucket).write.partitionBy("_bucket").parquet(f"{path}/{folder}")
+        after = {"version": version, "count": now["count"], "buckets": now["buckets"] | {str(b): f"{folder}/_bucket={b}" for b in touched},
+                 "seen": now["seen"] | {source: batch_id}}
+        if _commit(spark, path, after):
+            _tidy(spark, path, now, after)
+            return
+    raise RuntimeError(f"{path}: other writers were first {TRIES} times")
+
+
+def _bucket(key: str, count: int):
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(count)).cast("int")
+
+
+def rebucket(spark: SparkSession, path: str, key: str, buckets: int) -> None:
+    """The whole table dealt out to another number of buckets, as a new version; for a table that has grown."""
+    for _ in range(TRIES):
+        now = _manifest(spark, path)
+        if now is None or now["count"] == buckets:
+            return
+        version = max([now["version"], *_marks(spark, path)[-1:]]) + 1
+        folder, placed = f"v={version}-{uuid.uuid4().hex}", {}
+        if now["buckets"]:
+            rows = _read(spark, path, now["buckets"].values()).withColumn("_bucket", _bucket(key, buckets))
+            rows.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{path}/{folder}")
+            fs, p = _fs(spark, f"{path}/{folder}")
+            names = (s.getPath().getName() for s in fs.listStatus(p))
+            placed = {n.split("=")[1]: f"{folder}/{n}" for n in names if n.startswith("_bucket=")}
+        after = {**now, "version": version, "count": buckets, "buckets": placed}
+        if _commit(spark, path, after):
+            _tidy(spark, path, now, after)
+            return
+    raise RuntimeError(f"{path}: other writers were first {TRIES} times")
 
 
 def _tidy(spark: SparkSession, path: str, before: dict, after: dict) -> None:
-    """Removes marks and bucket folders that neither the newest version nor the one before it uses."""
-    for number, _, name in _marks(spark, path):
+    """Removes marks before the version before, and bucket folders of versions up to it that neither it nor the newest uses."""
+    fs, p = _fs(spark, path)
+    for number in _marks(spark, path):
         if number < before["version"]:
-            fs, p = _fs(spark, f"{path}/_versions/{name}")
-            fs.delete(p, False)
+            fs.delete(_fs(spark, _mark(path, number))[1], False)
     used = {f.split("/")[0] for m in (before, after) for f in m["buckets"].values()}
-    fs, p = _fs(spark, path)
     for status in fs.listStatus(p):
         name = status.getPath().getName()
-        if name.startswith("v=") and name not in used:
+        # another writer may be at work on a later version
+        if name.startswith("v=") and int(name[2:].split("-")[0]) <= before["version"] and name not in used:
             fs.delete(status.getPath(), True)
 
 
-def foreach_batch_upsert(stream: DataFrame, key: str, path: str, checkpoint: str, order: list, defaults: dict | None = None, **trigger):
+def foreach_batch_upsert(stream: DataFrame, key: str, path: str, checkpoint: str, order: list, buckets: int, defaults: dict | None = None, **trigger):
     spark = stream.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         # the stream's id lives and dies with its checkpoint
         source = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"].replace("-", "")
-        merge_batch(batch, batch_id, path, key, order, defaults, source)
+        merge_batch(batch, batch_id, path, key, order, buckets, defaults, source)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -148,7 +148,7 @@ def test_upsert_is_idempotent(spark, tmp_path):
     a = spark.createDataFrame([("1", "New", 1), ("1", "Hot", 2), ("2", None, 1), (None, "x", 1)], schema)
     b = spark.createDataFrame([("1", "Won", 3)], schema)
     for batch, i in ((a, 0), (b, 1), (b, 1), (a, 0)):
-        upsert.merge_batch(batch, i, table, "lead_id", ["t"])
+        upsert.merge_batch(batch, i, table, "lead_id", ["t"], 8)
     got = {r["lead_id"]: (r["status"], r["notes"]) for r in upsert.read_table(spark, table).collect()}
     assert got == {"1": ("Won", ""), "2": ("New", "")}
 
@@ -157,7 +157,7 @@ def test_upsert_stream_over_batches(spark, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()
     s = streams.lead_stream(spark, str(inbox), 1).select("lead_id", "City", "timestamp")
-    run = lambda: upsert.foreach_batch_upsert(s, "lead_id", str(tmp_path / "t"), str(tmp_path / "ck"), ["timestamp"], **ONCE).awaitTermination()
+    run = lambda: upsert.foreach_batch_upsert(s, "lead_id", str(tmp_path / "t"), str(tmp_path / "ck"), ["timestamp"], 8, **ONCE).awaitTermination()
     drop(inbox, [lead(1, "A"), lead(2, "B")])
     run()
     drop(inbox, [lead(1, "C", ts="2024-01-02 10:00:00")])
@@ -168,23 +168,61 @@ def test_upsert_stream_over_batches(spark, tmp_path):
 def test_upsert_survives_a_reset_and_rewrites_only_touched_buckets(spark, tmp_path):
     table = str(tmp_path / "t")
     rows = lambda *r: spark.createDataFrame(list(r), "lead_id string, n int")
-    upsert.merge_batch(rows(*[(f"k{i}", 0) for i in range(200)]), 0, table, "lead_id", ["n"], source="a")
+    upsert.merge_batch(rows(*[(f"k{i}", 0) for i in range(200)]), 0, table, "lead_id", ["n"], 32, source="a")
     before = upsert._manifest(spark, table)["buckets"]
-    upsert.merge_batch(rows(("k1", 1)), 1, table, "lead_id", ["n"], source="a")
+    upsert.merge_batch(rows(("k1", 1)), 1, table, "lead_id", ["n"], 32, source="a")
     after = upsert._manifest(spark, table)["buckets"]
     assert sum(before[b] != after[b] for b in before) == 1
     # a checkpoint that was reset counts from 0 again, under another id
-    upsert.merge_batch(rows(("new", 2)), 0, table, "lead_id", ["n"], source="b")
+    upsert.merge_batch(rows(("new", 2)), 0, table, "lead_id", ["n"], 32, source="b")
     for _ in range(2):
-        upsert.merge_batch(rows(("k1", 9)), 0, table, "lead_id", ["n"], source="a")
+        upsert.merge_batch(rows(("k1", 9)), 0, table, "lead_id", ["n"], 32, source="a")
     got = {r["lead_id"]: r["n"] for r in upsert.read_table(spark, table).collect()}
     assert len(got) == 201 and got["k1"] == 1 and got["new"] == 2 and got["k0"] == 0
     for i in range(1, 6):
-        upsert.merge_batch(rows(("k2", i)), i, table, "lead_id", ["n"], source="b")
+        upsert.merge_batch(rows(("k2", i)), i, table, "lead_id", ["n"], 32, source="b")
     assert upsert.read_table(spark, table).filter("lead_id = 'k2'").first()["n"] == 5
     assert len(upsert._marks(spark, table)) == 2
 
 
+def test_two_writers_of_one_version_lose_nothing(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "lead_id string, n int")
+    upsert.merge_batch(rows(("a", 0)), 0, table, "lead_id", ["n"], 4, source="x")
+    real, other = upsert._commit, []
+
+    def late(session, path, after):
+        if not other:
+            # another writer takes the version first
+            other.append(after["version"])
+            upsert.merge_batch(rows(("b", 7), ("a", 5)), 0, table, "lead_id", ["n"], 4, source="y")
+        return real(session, path, after)
+    monkeypatch.setattr(upsert, "_commit", late)
+    upsert.merge_batch(rows(("c", 1), ("a", 9)), 1, table, "lead_id", ["n"], 4, source="x")
+    assert {r["lead_id"]: r["n"] for r in upsert.read_table(spark, table).collect()} == {"a": 9, "b": 7, "c": 1}
+    assert upsert._manifest(spark, table)["version"] == 2 and upsert._manifest(spark, table)["seen"] == {"x": 1, "y": 0}
+
+
+def test_a_mark_that_was_not_finished_does_not_count(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "lead_id string, n int")
+    upsert.merge_batch(rows(("a", 0)), 0, table, "lead_id", ["n"], 4)
+    (tmp_path / "t" / "_versions" / f"{1:012d}").write_text('{"version": 1, "cou')
+    assert upsert.read_table(spark, table).count() == 1
+    upsert.merge_batch(rows(("b", 1)), 1, table, "lead_id", ["n"], 4)
+    assert upsert.read_table(spark, table).count() == 2 and upsert._manifest(spark, table)["version"] == 2
+
+
+def test_a_table_that_has_grown_gets_more_buckets(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = spark.range(300).selectExpr("cast(id as string) as lead_id", "cast(id as int) as n")
+    upsert.merge_batch(rows, 0, table, "lead_id", ["n"], 3)
+    upsert.rebucket(spark, table, "lead_id", 12)
+    assert len(upsert._manifest(spark, table)["buckets"]) == 12 and upsert.read_table(spark, table).count() == 300
+    upsert.merge_batch(spark.createDataFrame([("5", 77)], "lead_id string, n int"), 1, table, "lead_id", ["n"], 3)
+    assert upsert.read_table(spark, table).filter("lead_id = '5'").first()["n"] == 77 and upsert.read_table(spark, table).count() == 300
+
+
 def test_drift_stream_keeps_state(spark, tmp_path):
     inbox, out = tmp_path / "in", str(tmp_path / "out")
     schema = "ts timestamp, title string, source string, sentiment string, confidence double"
