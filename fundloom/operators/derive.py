@@ -78,10 +78,10 @@ def survey_persona_numeric(answers: DataFrame, key: str = "investor_id", value:
         key, R.survey_average_persona("_avg").alias("persona"))
 
 
-def client_insights(df: DataFrame, n: int = 12, prob: str = "conversion_probability", key: str = "lead_id") -> DataFrame:
+def client_insights(df: DataFrame, n: int = 12, prob: str = "conversion_probability", key: str = "lead_id", name: str = "name") -> DataFrame:
     p = F.coalesce(F.col(prob), F.lit(0.5))
     out = df.select(
-        F.col(key).alias("client_id"), p.alias("probability"),
+        F.col(key).alias("client_id"), default(name, "Client").alias("name") if name in df.columns else F.lit("Client").alias("name"), p.alias("probability"),
         round_even(1.0 - p, 2).alias("sip_drop_probability"), (p < 0.45).alias("inactive_flag"),
         round_even(0.1 + 0.5 * (1.0 - p), 2).alias("redemption_likelihood"),
         F.when(p < 0.5, "Decreasing due to Volatility").when(p < 0.85, "Stable").otherwise("Increasing")

@@ -26,6 +26,7 @@ def build_fund_catalog(schemes: DataFrame, order: list[str]) -> DataFrame:
             R.fund_rating("category_group", "aum").alias("rating"), F.array("category_group").alias("personas"),
             *[R.fund_return("category_group", "aum", "nav", y).alias(f"r{y}") for y in (1, 3, 5)],
             R.fund_match("category_group").alias("match_score"))
+        .withColumn("description", F.concat("scheme_name", F.lit(" from "), F.coalesce(F.trim("amc"), F.lit("the AMC")), F.lit(" · launched "), F.coalesce(F.col("launch_year").cast("string"), F.lit("unknown"))))
     )
 
 

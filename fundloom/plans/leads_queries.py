@@ -135,12 +135,12 @@ def survey_personas_numeric(t):
 
 
 @query("""
-SELECT lead_id AS client_id, p AS probability, round_even(1.0::DOUBLE - p, 2) AS sip_drop_probability, p < 0.45 AS inactive_flag,
+SELECT lead_id AS client_id, name, p AS probability, round_even(1.0::DOUBLE - p, 2) AS sip_drop_probability, p < 0.45 AS inactive_flag,
        round_even(0.1::DOUBLE + 0.5::DOUBLE * (1.0::DOUBLE - p), 2) AS redemption_likelihood,
        CASE WHEN p < 0.5 THEN 'Decreasing due to Volatility' WHEN p < 0.85 THEN 'Stable' ELSE 'Increasing' END AS risk_appetite_change,
        round_even(50 + p * 45, 1) AS portfolio_health_score, round_even(1.0::DOUBLE - p, 2) > 0.60 AS retention_alert,
        CASE WHEN p > 0.8 THEN 'Equity SIP Top-up' WHEN p > 0.6 THEN 'Tax Saving ELSS Plan' ELSE 'Liquid Safe Harbor Parking' END AS upsell_opportunity
-FROM (SELECT lead_id, conversion_probability AS p FROM leads) ORDER BY p DESC, lead_id LIMIT 12""", "leads")
+FROM (SELECT lead_id, name, conversion_probability AS p FROM leads) ORDER BY p DESC, lead_id LIMIT 12""", "leads")
 def client_insights(t):
     return D.client_insights(V.leads(t))
 

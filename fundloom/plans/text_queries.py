@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import rules as R, text as X
+from ..functions import rules as R, text as X, words as W
 from ..functions.scalars import any_in, bad_json, clean_text, contains_any, first_n, row_md5, signature, squash_ws, tokens
 from ..functions.vectors import cosine, dot, norm
 from ..operators import derive as D, evaluation as EV, search as S
@@ -12,10 +12,7 @@ from ..sources import files, topics
 from . import views as V
 from .registry import query
 
-POS_L = "['good','bull','growth','buy','up','high','positive','gain','profit','recommend','great','best','benefit','outperform','bullish','strong']"
-NEG_L = "['bad','bear','loss','sell','down','low','negative','drop','risk','panic','crash','fall','pause','drawdown','bearish','weak']"
-POS_S = "['good','bull','growth','buy','up','positive','gain','profit','strong']"
-NEG_S = "['bad','bear','loss','sell','down','negative','drop','risk','crash','weak']"
+POS_L, NEG_L, POS_S, NEG_S = map(str, (W.POSITIVE_LONG, W.NEGATIVE_LONG, W.POSITIVE_SHORT, W.NEGATIVE_SHORT))
 
 
 def lex(p, n, text="lower(text)"):
@@ -111,15 +108,12 @@ def vector_arithmetic(t):
 
 # ---- chat ----------------------------------------------------------------------------------
 
-INV = "['sip','mutual fund','portfolio','risk','retirement','tax','invest','lumpsum']"
-DIS = "['lead','objection','arn','amfi','compliance','nism','call script','pitch']"
-SCREEN = """['graph','graphs','chart','charts','screen','explain','what does','show me','what is shown','numbers','on screen','display','visible','what are these','describe','interpret','analysis shown','dashboard','kpi','metrics','frontier','radar','benchmark','allocation']"""
+INV, DIS, SCREEN = map(str, (W.INVESTOR_TERMS, W.DISTRIBUTOR_TERMS, W.SCREEN_TERMS))
 TOPICS = ["sip and tax", "my lead has an objection", "sebi compliance", "explain the chart", "best fund for retirement", "buy now or lumpsum", "portfolio rebalance", ""]
 
 
 def routed_sql():
-    from ..functions.words import INTENTS
-    whens = " ".join("WHEN " + " OR ".join(f"contains(u, '{w}')" for w in ws) + f" THEN '{n}'" for n, ws in INTENTS)
+    whens = " ".join("WHEN " + " OR ".join(f"contains(u, '{w}')" for w in ws) + f" THEN '{n}'" for n, ws in W.INTENTS)
     n = lambda ws: f"len(list_filter({ws}, lambda w: contains(u, w)))"
     return f"""ut AS (SELECT conv_id, turn, trim(regexp_replace(lower(list_extract({TOPICS}, CAST((conv_id + turn) % 8 + 1 AS BIGINT)) || ' ' || text), '[ \\t\\n\\v\\f\\r]+', ' ', 'g')) AS u FROM chat),
 ro AS (SELECT conv_id, turn, u, CASE WHEN conv_id % 10 = 0 THEN 'distributor' WHEN {n(DIS)} > {n(INV)} THEN 'distributor' WHEN {n(INV)} > {n(DIS)} THEN 'investor' ELSE 'both' END AS audience,

@@ -127,7 +127,8 @@ SELECT scheme_code, scheme_name, amc, scheme_category AS category, g AS category
        round_even(CASE g WHEN 'conservative' THEN 6.6 WHEN 'passive' THEN 11.8 WHEN 'balanced' THEN 15.4 ELSE 24.8 END + b + nb * 0.15, 1) AS r1,
        round_even(CASE g WHEN 'conservative' THEN 6.2 WHEN 'passive' THEN 13.2 WHEN 'balanced' THEN 14.3 ELSE 19.5 END + b * 0.8 + nb * 0.12, 1) AS r3,
        round_even(CASE g WHEN 'conservative' THEN 5.8 WHEN 'passive' THEN 12.6 WHEN 'balanced' THEN 13.5 ELSE 17.2 END + b * 0.6 + nb * 0.1, 1) AS r5,
-       CASE WHEN g IN ('balanced', 'passive') THEN 0.45::DOUBLE ELSE 0.55::DOUBLE END AS match_score
+       CASE WHEN g IN ('balanced', 'passive') THEN 0.45::DOUBLE ELSE 0.55::DOUBLE END AS match_score,
+       scheme_name || ' from ' || coalesce(trim(amc), 'the AMC') || ' · launched ' || coalesce(CAST(launch_year AS VARCHAR), 'unknown') AS description
 FROM (SELECT *, CASE WHEN aum >= 1000 THEN 0.5::DOUBLE ELSE 0::DOUBLE END AS b, least(greatest(nav / 1000, 0), 2) AS nb FROM (
   SELECT scheme_code, scheme_name, amc, scheme_category, CAST(nav AS DOUBLE) AS nav,
          CASE WHEN average_aum_cr = '-' THEN 0 ELSE CAST(average_aum_cr AS DOUBLE) END AS aum,
