@@ -41,7 +41,8 @@ def _forests(source):
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One round of linking each node's neighbours to the smallest of them: the larger ones, or the others and the node."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
-    low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # as a table of its own the smaller side is a plain shuffle, so that Spark can split the edges of a hub
+    low = saved(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "low")
     near = both.join(low, "a")
     if large:
         return near.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -53,8 +54,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has columns a and b of type long; loops, repeated edges and edges with a null are allowed and ignored.
     Large and small star rounds alternate until the edges are stars; the number of rounds grows with the logarithm of
-    the longest path. Each round is saved in the shared folder. Aggregates combine before they shuffle; the edges of one
-    hub, two numbers each, pass through one task as a sorted stream.
+    the longest path. Each round is saved in the shared folder. Aggregates combine before they shuffle, and the join that
+    tells the edges of a node its smallest neighbour is one that Spark splits where a node has very many.
     """
     now = saved(edges.select("a", "b").filter("a != b").mapInArrow(_forests, "a long, b long"), "edges")
     before = None

@@ -6,11 +6,12 @@ of ``coords`` coordinates share one of their ``coords - matches + 1`` first pair
 counted when the signatures of a candidate pair are compared. Pairs that agree often enough are confirmed on their
 full shingle sets.
 
-Groups of copies never become all their pairs. Equal sets are one class from the start. In a posting list longer than
-``SMALL`` each document first meets a few hubs, the same ones in every list; what they link becomes one component. After
-that, members of different components are compared tile by tile: signatures first, then the sets of those documents that
-have a partner there, and only links that join components leave the tile. A pair is looked at in one list only, that of
-the first coordinate which both have among their posted ones.
+Groups of copies never become all their pairs. Equal sets are one class from the start, and classes are what is posted,
+compared and linked; rows meet their class at the end. A class with posting lists longer than ``SMALL`` first meets at
+most ``DRAWS`` hubs, drawn from its long lists; what they link becomes one component. After that, members
+of different components are compared tile by tile: signatures first, then the sets of those that have a partner there,
+and only links that join components leave the tile. A pair is looked at in one list only, that of the first coordinate
+which both have among their posted ones.
 """
 
 from __future__ import annotations
@@ -23,15 +24,16 @@ from .common import batches, free_name, mix64, record, saved, spans_take, text_o
 from .components import components
 from .shingles import shingle_sets
 
-#: A list of at most so many documents is compared at once; in longer ones each document meets so many hubs first.
-SMALL, HUBS = 16, 6
+#: A list of at most so many classes is compared at once; longer ones have so many hubs, and a class with longer ones
+#: meets the hubs of so many draws from its lists first.
+SMALL, HUBS, DRAWS = 16, 6, 24
 #: Members of a long list that one side of a tile holds, counters of the sketch of how common a pair is, and slots of
 #: documents.
 TILE, SLOTS = 1024, 1 << 20
 
-SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("sig", pa.binary())])
+SIGNED = pa.schema([("doc_id", pa.int64()), ("said", pa.int64()), ("n_shingles", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("sig", pa.binary())])
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-SETS = pa.schema([("doc_id", pa.int64()), ("c1", pa.int64()), ("shingles", pa.binary())])
+SETS = pa.schema([("doc_id", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("shingles", pa.binary())])
 
 
 def _signed64(x) -> np.ndarray:
@@ -62,17 +64,17 @@ def _sign(width: int, coords: int):
     def run(source):
         state = worker_state("words", dict)
         for batch in batches(source, 1 << 20):
-            sets = shingle_sets(_texts(batch.column(1)), width, state)
+            sets = shingle_sets(_texts(batch.column(2)), width, state)
             ids = [_identity(s) for s in sets]
-            yield record(SIGNED, batch.column(0), [len(s) for s in sets], _signed64([i[0] % 2**64 for i in ids]), _signed64([i[1] % 2**64 for i in ids]),
+            yield record(SIGNED, batch.column(0), batch.column(1), [len(s) for s in sets], _signed64([i[0] % 2**64 for i in ids]), _signed64([i[1] % 2**64 for i in ids]),
                          [_signature(s, factors) for s in sets])
     return run
 
 
 def signatures(docs: DataFrame, width: int, coords: int) -> DataFrame:
-    """doc_id, n_shingles, 128 bits that name the set, and the signature of each document."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
-        _sign(width, coords), "doc_id long, n_shingles long, c1 long, c2 long, sig binary")
+    """doc_id, a hash of the text, n_shingles, 128 bits that name the set, and the signature of each document."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("said"), text_of().alias("text")).mapInArrow(
+        _sign(width, coords), "doc_id long, said long, n_shingles long, c1 long, c2 long, sig binary")
 
 
 def _matrix(column) -> np.ndarray:
@@ -131,7 +133,8 @@ def _shingled(width: int):
         state = worker_state("words", dict)
         for batch in batches(source, 1 << 20):
             sets = shingle_sets(_texts(batch.column(1)), width, state)
-            yield record(SETS, batch.column(0), _signed64([_identity(s)[0] % 2**64 for s in sets]), [s.astype("<u8").tobytes() for s in sets])
+            ids = [_identity(s) for s in sets]
+            yield record(SETS, batch.column(0), _signed64([i[0] % 2**64 for i in ids]), _signed64([i[1] % 2**64 for i in ids]), [s.astype("<u8").tobytes() for s in sets])
     return run
 
 
@@ -213,16 +216,18 @@ def _resolve(*how):
     return run
 
 
-def _sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """doc_id and the full set of at least the wanted documents (doc); of several texts under one doc_id, one.
+def _sets_of(texts: DataFrame, wanted: DataFrame, reps: DataFrame, width: int) -> DataFrame:
+    """doc and the full set of each wanted class (doc), from the text of its first document.
 
     Texts stay where they are read: only those whose doc_id falls into a slot with a wanted one are cut into shingles.
-    The slots are at most ``SLOTS`` numbers, however many documents are wanted.
+    The slots are at most ``SLOTS`` numbers, however many classes are wanted.
     """
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).alias("slot")
-    some = texts.select("doc_id", "text", slot("doc_id")).join(F.broadcast(wanted.select(slot("doc")).distinct()), "slot", "left_semi")
-    sets = some.select("doc_id", "text").mapInArrow(_shingled(width), "doc_id long, c1 long, shingles binary")
-    return sets.groupBy("doc_id").agg(F.min(F.struct("c1", "shingles")).alias("s")).select("doc_id", "s.shingles")
+    names = reps.select("doc", "doc_id", "c1", "c2").join(wanted, "doc", "left_semi")
+    some = texts.select("doc_id", "text", slot("doc_id")).join(F.broadcast(names.select(slot("doc_id")).distinct()), "slot", "left_semi")
+    sets = some.select("doc_id", "text").mapInArrow(_shingled(width), "doc_id long, c1 long, c2 long, shingles binary")
+    # rows that repeat a doc_id with the same set
+    return sets.join(names, ["doc_id", "c1", "c2"]).groupBy("doc").agg(F.min("shingles").alias("shingles"))
 
 
 def _linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int, matches: int, percent: int) -> DataFrame:
@@ -232,29 +237,23 @@ def _linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int, mat
     fits = pairs.distinct().join(side("a"), "a").join(side("b"), "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     near = saved(fits.select("a", "b", "sa", "sb").mapInArrow(_agree(matches), "a long, b long"), "near")
     wanted = near.select(F.col("a").alias("doc")).union(near.select(F.col("b").alias("doc"))).distinct()
-    sets = _sets_of(texts, wanted, width)
-    of = lambda k: sets.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"s{k}"))
+    sets = _sets_of(texts, wanted, reps, width)
+    of = lambda k: sets.select(F.col("doc").alias(k), F.col("shingles").alias(f"s{k}"))
     return saved(near.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb").mapInArrow(_confirm(percent), "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coords: int = 48, matches: int = 28) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text; other columns are not read).
+def grouped(docs: DataFrame, width: int = 5, percent: int = 80, coords: int = 48, matches: int = 28) -> DataFrame:
+    """doc_id, said (a hash of the text), n_shingles, c1 and c2 (which name the set), component_id and first for each row.
 
-    Documents are linked if 100 * intersection >= ``percent`` * union of their sets of distinct ``width``-word shingles
-    (words: runs without space and 9 to 13, A-Z in lower case). component_id is the smallest doc_id that links reach,
-    kept whether that is the document itself. A document shorter than a shingle has its whole word sequence as its one
-    shingle; null and empty texts have an empty set and link with nothing. Rows that repeat a doc_id are one document
-    and share a component; of its different texts, one is compared with others than equal ones. Rows without a doc_id come back with a null component and kept = true.
-    At the threshold itself, a pair of different sets agrees in fewer than ``matches`` of ``coords`` coordinates about
-    once in ten thousand times; equal sets always meet.
+    component_id is the smallest doc_id of the row's group; first, whether the row's set is the one of the group that has it.
     """
-    spark = docs.sparkSession
     prefix = coords - matches + 1
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = saved(signatures(docs, width, coords), "signatures")
     sets = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    # a class is a number that is written once
     reps = saved(sets.groupBy("c1", "c2").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("r"))
-                 .select(F.col("r.doc_id").alias("doc"), "c1", "c2", F.col("r.n_shingles").alias("n"), F.col("r.sig").alias("sig")), "classes")
+                 .select(F.monotonically_increasing_id().alias("doc"), "c1", "c2", F.col("r.doc_id").alias("doc_id"), F.col("r.n_shingles").alias("n"), F.col("r.sig").alias("sig")), "classes")
     # at most SLOTS rows, however large the input is
     tally = reps.select("sig").mapInArrow(_tally, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).filter("n > 8").toArrow()
     posts = saved(reps.select("doc", "sig").mapInArrow(
@@ -265,8 +264,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coords:
         posts.join(lists.filter(F.col("size") <= SMALL).select("key"), "key").groupBy("key").agg(F.sort_array(F.collect_set("doc")).alias("d"))
         .select(F.posexplode("d").alias("p", "a"), "d").select("a", F.explode(F.expr("slice(d, p + 2, size(d))")).alias("b"))
     )
-    long = saved(posts.join(lists.filter(F.col("size") > SMALL), "key").select("key", "doc", F.array(*[f"hub{k}.d" for k in range(HUBS)]).alias("hubs")), "long")
-    star = long.select("doc", F.explode("hubs").alias("hub")).filter("doc != hub").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b"))
+    long = saved(posts.join(lists.filter(F.col("size") > SMALL), "key").select("key", "doc", *[F.col(f"hub{k}.d").alias(f"hub{k}") for k in range(HUBS)]), "long")
+    # a draw takes a hub of the list whose key comes first in its own order, so copies draw alike
+    drawn = long.groupBy("doc").agg(*[F.min(F.struct(F.xxhash64("key", F.lit(k)).alias("o"), F.col(f"hub{k % HUBS}").alias("d"))).alias(f"draw{k}") for k in range(DRAWS)])
+    star = drawn.select("doc", F.explode(F.array_distinct(F.array(*[f"draw{k}.d" for k in range(DRAWS)]))).alias("hub")).filter("doc != hub").select(
+        F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b"))
     links = _linked(short.union(star), reps, texts, width, matches, percent)
     first = components(links)
     # what is still apart in a long list
@@ -281,20 +283,50 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coords:
     how = tally.column("n").to_numpy(), tally.column("slot").to_numpy(), prefix, matches, percent
     facts = reps.select("doc", "n", "sig")
     wanted = saved(tiled.join(facts, "doc").groupBy("key", "i", "j").applyInArrow(_wanted(*how), "key long, i int, j int, doc long"), "wanted")
-    whole = _sets_of(texts, wanted.select("doc").distinct(), width).select(F.col("doc_id").alias("doc"), "shingles")
+    whole = _sets_of(texts, wanted.select("doc").distinct(), reps, width)
     more = saved(tiled.join(wanted, ["key", "i", "j", "doc"], "left_semi").join(facts, "doc").join(whole, "doc")
                  .groupBy("key", "i", "j").applyInArrow(_resolve(*how), "a long, b long"), "more")
-    same = sets.join(reps.select("c1", "c2", "doc"), ["c1", "c2"]).select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
-    found = components(links.union(more).union(same))
-    return rows.select("doc_id", "n_shingles").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    found = components(links.union(more)).withColumnRenamed("node", "doc")
+    classes = reps.select("doc", "c1", "c2", "doc_id").join(found, "doc", "left").select("doc", "c1", "c2", "doc_id", F.coalesce("component", "doc").alias("component"))
+    lowest = classes.groupBy("component").agg(F.min(F.struct("doc_id", "doc")).alias("low"))
+    named = saved(classes.join(lowest, "component").select("c1", "c2", F.col("low.doc_id").alias("component_id"), (F.col("low.doc") == F.col("doc")).alias("first")), "named")
+    return rows.drop("sig").join(named, ["c1", "c2"], "left").select("doc_id", "said", "n_shingles", "c1", "c2", "component_id", "first")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, coords: int = 48, matches: int = 28) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text; other columns are not read).
+
+    Documents are linked if 100 * intersection >= ``percent`` * union of their sets of distinct ``width``-word shingles
+    (words: runs without space and 9 to 13, A-Z in lower case). component_id is the smallest doc_id that links reach,
+    kept whether that is the document itself. A document shorter than a shingle has its whole word sequence as its one
+    shingle; null and empty texts have an empty set and link with nothing. Rows that repeat a doc_id are rows of their
+    own: their texts are linked or not like those of any two documents. Rows without a doc_id come back with a null
+    component and kept = true; they and an empty table link nothing. A very long text is one set of 8 bytes a shingle.
+    At the threshold itself, a pair of different sets agrees in fewer than ``matches`` of ``coords`` coordinates about
+    once in ten thousand times; equal sets always meet.
+    """
+    out = grouped(docs, width, percent, coords, matches)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates; columns stay. Of rows that repeat a doc_id one stays."""
-    kept, rows = free_name(docs, "_kept"), free_name(docs, "_rows")
-    found = near_duplicates(docs, **options).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias(kept), F.count("*").alias(rows))
-    out = docs.join(found, "doc_id", "left").filter(F.coalesce(F.col(kept), F.lit(True)))
-    once, again = out.filter(F.coalesce(F.col(rows), F.lit(1)) == 1), out.filter(F.col(rows) > 1).dropDuplicates(["doc_id"])
+    """``docs`` with one row of each group of near-duplicates, the one with the smallest doc_id; columns stay.
+
+    Rows decide for themselves: of two unlike texts under one doc_id both stay if each is the first of its group. Of rows
+    with the same doc_id and set, one stays; of those without a set (null and empty texts) all different texts. Rows
+    without a doc_id all stay.
+    """
+    said, kept, rows = (free_name(docs, c) for c in ("_said", "_kept", "_rows"))
+    groups = grouped(docs, **options).filter("doc_id IS NOT NULL")
+    # of one doc_id and set, the text with the smallest hash
+    lowest = groups.groupBy("doc_id", "c1", "c2").agg(
+        F.min("said").alias(said), F.first("component_id").alias("component_id"), F.first("first").alias("first"), F.max("n_shingles").alias("n"))
+    own = lowest.filter("n > 0").select("doc_id", said, ((F.col("component_id") == F.col("doc_id")) & F.col("first")).alias(kept))
+    bare = groups.filter("n_shingles = 0").select("doc_id", F.col("said").alias(said), F.lit(True).alias(kept)).distinct()
+    stays = own.filter(kept).union(bare)
+    often = groups.groupBy("doc_id", F.col("said").alias(said)).agg(F.count("*").alias(rows))
+    marked = docs.withColumn(said, F.xxhash64(text_of())).join(stays.join(often, ["doc_id", said]), ["doc_id", said], "left")
+    out = marked.filter(F.col(kept) | F.col("doc_id").isNull())
+    once, again = out.filter(F.coalesce(F.col(rows), F.lit(1)) == 1), out.filter(F.col(rows) > 1).dropDuplicates(["doc_id", said])
     return once.unionByName(again).select(*docs.columns)

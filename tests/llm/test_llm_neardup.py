@@ -96,6 +96,25 @@ def test_keep_one(few, none):
     assert neardup.keep_one(none).count() == 0
 
 
+def test_two_texts_under_one_doc_id(spark):
+    """Unlike texts stay although the other text of their doc_id is a near copy; repeated rows go."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    base = rng.choices(words, k=60)
+    copies = []
+    for i in range(40):
+        copy = base[:]
+        copy[rng.randrange(60)] = rng.choice(words)
+        copies.append((i, " ".join(copy)))
+    alone = [(i, " ".join(rng.choices(words, k=50))) for i in range(10, 20)] + [(0, " ".join(rng.choices(words, k=50)))]
+    rows = copies + alone + alone[:3] + [(12, alone[2][1].upper())]
+    out = neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), width=4)
+    got = sorted((r.doc_id, r.text.lower()) for r in out.collect())
+    assert got == sorted([copies[0], *alone])
+    seen = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()
+    assert len(seen) == len(rows) and sum(r.component_id == 0 for r in seen) == 41
+
+
 def test_words_are_split_anywhere_alike():
     rng = random.Random(3)
     texts = ["".join(rng.choice("ab \n\té") for _ in range(rng.randint(0, 50))).encode() for _ in range(200)] + [b"x" * 3_000_000 + b" y", b""]
