@@ -15,9 +15,14 @@ from ..sources.scratch import checkpoint_dir
 
 
 def worker_state(name: str, make: Callable):
-    """An object that a Python worker keeps from task to task. Functions travel by value, so their globals do not last."""
+    """An object that a Python worker keeps from task to task. Functions travel by value, so their globals do not last.
+
+    A worker keeps one such object: what operators remember in the stages of a job does not add up.
+    """
     home = sys.modules.setdefault("_fundloom_worker", types.ModuleType("_fundloom_worker"))
     if not hasattr(home, name):
+        for old in [k for k in vars(home) if not k.startswith("__")]:
+            delattr(home, old)
         setattr(home, name, make())
     return getattr(home, name)
 
