@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..sources.scratch import checkpoint_dir
 from .features import stratified_folds
 
-#: Bins of a numeric column, kept values of a text column (the commonest; the others share one), rows of a block.
-BINS, VALUES, BLOCK = 64, 62, 4096
+#: Bins of a numeric column, kept values of a text column (the commonest; the others share one), rows of a block, and
+#: blocks of a task.
+BINS, VALUES, BLOCK, TASK = 64, 62, 4096, 8
 #: Rounds between checkpoints, and what a gradient of one counts.
-CUT, UNIT = 60, float(1 << 20)
+CUT, UNIT = 10, float(1 << 20)
 DEFAULTS = {"rounds": 200, "depth": 6, "step": 0.06, "rows": 0.85, "columns": 1.0}
 
 
@@ -210,7 +211,7 @@ def boost(df: DataFrame, binned: Binning, specs: list[Spec], rounds: int, label:
     checkpoint_dir(df.sparkSession)
     blocks = _blocks(df, binned, label, key, weight, fold, len(specs)).persist(StorageLevel.MEMORY_AND_DISK)
     # as many tasks as the data fill, at most those of a shuffle
-    tasks = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // 8)))
+    tasks = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // TASK)))
     dealt = blocks.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
     blocks, before = dealt, blocks
     grown: list[_Trees] = []
@@ -227,7 +228,10 @@ def boost(df: DataFrame, binned: Binning, specs: list[Spec], rounds: int, label:
             active = [m for m, s in enumerate(specs) if s.depth > level and (level == 0 or (trees.column[m, 2 ** (level - 1) - 1 : 2**level - 1] >= 0).any())]
             if not active:
                 break
-            found = blocks.mapPartitions(_sums(trees, specs, turn, level, active, first_text)).reduceByKey(np.add, min(tasks, len(active))).map(_best(specs, turn, binned)).collect()
+            sums = blocks.mapPartitions(_sums(trees, specs, turn, level, active, first_text))
+            # one task has nothing to add up
+            sums = sums if tasks == 1 else sums.reduceByKey(np.add, min(tasks, len(active)))
+            found = sums.map(_best(specs, turn, binned)).collect()
             if level == 0 and before is not None:
                 before.unpersist()
                 before = None

@@ -140,11 +140,14 @@ def test_rounds_match_plain_boosting(leads):
     assert ((margin > 0) == (y == 1)).mean() > 0.9
 
 
-def test_models_of_a_grid_are_models_alone(leads):
+@pytest.mark.parametrize("task", [1, 8])
+def test_models_of_a_grid_are_models_alone(leads, monkeypatch, task):
+    monkeypatch.setattr(B, "TASK", task)
     binned = B.binning(leads, NUM, CAT)
     data = leads.withColumn("fold", (F.col("id").cast("int") % 3))
     specs = [B.Spec(d, s, r, c, f) for d in (2, 3) for s, r, c in ((0.1, 0.7, 0.6), (0.3, 1.0, 1.0)) for f in range(3)]
     many, counts = B.boost(data, binned, specs, 5, "y", "id", fold="fold", stages=[3, 5])
+    monkeypatch.setattr(B, "TASK", 8)
     assert sorted(counts) == [3, 5] and (counts[5].sum(axis=1) > 0).all()
     for m in (0, 5, 7, 11):
         alone, own = B.boost(data.repartition(3), binned, [specs[m]], 5, "y", "id", fold="fold", stages=[3])
