@@ -99,3 +99,26 @@ def test_few_candidates(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [3.0, 0.0]), (2, [3.0, 0.0]), (2, [-1.0, 0.0])], "vec_id long, embedding array<double>")
     got = [(r.rank, r.vec_id, r.score) for r in ann.nearest(df, df.filter("vec_id = 0")).orderBy("rank").collect()]
     assert got == [(1, 1, 3.0), (2, 2, 3.0), (3, 2, -1.0)]
+
+
+def test_files_sum_the_truncated_footrule():
+    rng = np.random.default_rng(4)
+    near = np.array([rng.permutation(12)[:5] for _ in range(60)])
+    files = ann.Files(near, 12)
+    assert sorted(zip(files.row[files.first[3] : files.first[4]], files.place[files.first[3] : files.first[4]])) == sorted((r, list(n).index(3)) for r, n in enumerate(near) if 3 in n)
+    for query in near[:10]:
+        far = files.distances(query)
+        for r, n in enumerate(near):
+            assert far[r] == sum(abs(list(n).index(p) - i) if p in n else 5 for i, p in enumerate(query))
+
+
+def test_a_query_reads_only_the_files_of_its_pivots(tables, monkeypatch):
+    df = tables.embeddings
+    rows = [(r.vec_id, r.embedding) for r in df.orderBy("vec_id").collect()]
+    x = np.array([e for _, e in rows], float)
+    longest = np.linalg.norm(x, axis=1).max()
+    pivots = ann.choose_pivots(ann.lifted(x[:400], longest), 64)
+    files = ann.Files(ann.nearest_pivots(ann.lifted(x, longest), pivots, 6).astype(int), len(pivots))
+    query = ann.nearest_pivots(np.hstack([x[:1], [[0.0]]]), pivots, 6)[0].astype(int)
+    read = sum(files.first[p + 1] - files.first[p] for p in query)
+    assert read < len(x) * 6 / 2 and (files.distances(query) == 36).sum() > len(x) / 4
