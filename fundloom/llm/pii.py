@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import free_name, saved, text_of
+from .common import saved, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: What counts as personal data in any case. A match starts where a run of its characters starts or where
@@ -34,8 +34,9 @@ WIDE = {
 }
 #: Marks that are cut off the ends of a wide e-mail match, as it stands in a SQL string.
 MARKS = r"[\\[\\]{}*|!?.`]"
-#: A text that lacks this has no match of the kind, base or wide.
+#: A text that lacks this has no wide match of the kind, and no base match either but for phones, whose base pattern allows any gap.
 NEEDS = {"email": r"@|[\[(](?:at|AT)[\])]", "ip": r"[0-9][.:][0-9]", "card": r"[0-9][\x20./-]?[0-9]", "phone": r"[0-9][\x20()./-]{0,2}[0-9]"}
+BASE_NEEDS = {**NEEDS, "phone": r"\+[0-9]"}
 #: Words near a span that speak for a kind, and how far before it they may stand.
 WORDS = {
     "email": "mail|contact|write to|@", "ip": r"\bip\b|host|server|address|addr", "card": "card|visa|master|amex|credit|debit|karte|carte|tarjeta",
@@ -59,12 +60,12 @@ def running(array: str, block: int = 256) -> str:
     return f"if(size({array}) = 0, cast(array() as array<bigint>), element_at(transform(array({sums}), p -> flatten({whole})), 1))"
 
 
-def _matches(df: DataFrame, text: str, kind: str, pattern: str, out: str) -> DataFrame:
-    """Adds ``out``: kind, start, end (code points, end exclusive) and text of every leftmost match.
+def _matches(df: DataFrame, text: str, kind: str, pattern: str, needs: str, out: str) -> DataFrame:
+    """Adds ``out``: kind, start, end (code points, end exclusive) and text of every leftmost match; a text without ``needs`` has none.
 
     The pieces between matches come from splitting at the same pattern; running lengths give the places.
     """
-    has = f"rlike({text}, {_quoted(NEEDS[kind])})"
+    has = f"rlike({text}, {_quoted(needs)})"
     df = df.withColumns({
         "_hits": F.expr(f"if({has}, regexp_extract_all({text}, {_quoted(pattern)}, 0), cast(array() as array<string>))"),
         "_gaps": F.expr(f"if({has}, split({text}, {_quoted(pattern)}, -1), cast(array() as array<string>))"),
@@ -98,10 +99,26 @@ def _valid(kind: str, x: str) -> str:
     }[kind]
 
 
-def base_spans(docs: DataFrame, text: str = "text", out: str = "base") -> DataFrame:
-    """Adds ``out``, the base spans in order of start and then of kind as in ``KINDS``."""
+def _beside(docs: DataFrame, text: str, work, *new: str) -> DataFrame:
+    """``docs`` with the columns ``new`` that ``work`` adds to a frame of the text alone; no column of ``docs`` is in its way."""
+    held = "_row"
+    done = work(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(held), text_of(f"`{text}`").alias("_text")))
+    lower = {c.lower() for c in new}
+    return done.select(*[F.col("_text").alias(c) if c == text else F.col(held)[c].alias(c) for c in docs.columns if c.lower() not in lower], *new)
+
+
+def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Adds ``base``, the base spans in order of start and then of kind as in ``KINDS``.
+
+    Null texts become empty and have none; repeated rows and ties each have theirs; an empty table stays empty. A column
+    of that name is replaced, all others stay as they are. A very long text is one row with all its spans.
+    """
+    return _beside(docs, text, lambda df: _base_spans(df, "_text", "base"), "base")
+
+
+def _base_spans(docs: DataFrame, text: str, out: str) -> DataFrame:
     for kind in KINDS:
-        docs = _matches(docs, text, kind, BASE[kind], f"_{kind}")
+        docs = _matches(docs, text, kind, BASE[kind], BASE_NEEDS[kind], f"_{kind}")
         docs = docs.withColumn(f"_{kind}", F.expr(f"filter(_{kind}, x -> {_valid(kind, 'x')})"))
     order = "array_position(array('email', 'ip', 'card', 'phone'), {0}.kind)"
     both = f"(a, b) -> if(a.start != b.start, if(a.start < b.start, -1, 1), if({order.format('a')} < {order.format('b')}, -1, if({order.format('a')} > {order.format('b')}, 1, 0)))"
@@ -111,7 +128,7 @@ def base_spans(docs: DataFrame, text: str = "text", out: str = "base") -> DataFr
 def _candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``: wide matches other than the base spans themselves, with the text around them; they may overlap base spans and each other."""
     for kind in KINDS:
-        docs = _matches(docs, text, kind, WIDE[kind], f"_{kind}")
+        docs = _matches(docs, text, kind, WIDE[kind], NEEDS[kind], f"_{kind}")
     # what closes a sentence or marks up an address is not part of it
     docs = docs.withColumn("_email", F.expr(
         f"transform(_email, c -> named_struct('kind', c.kind, 'start', c.start + length(regexp_extract(c.text, '^{MARKS}++', 0)), "
@@ -191,15 +208,39 @@ def _tree_sql(node) -> str:
     return f"if(f.{FEATURES[split.featureIndex()]} <= {float(split.threshold()):.17g}D, {_tree_sql(node.leftChild())}, {_tree_sql(node.rightChild())})"
 
 
-def fit(docs: DataFrame, sample: int = 4_000, trees: int = 8, depth: int = 4, precision: float = 0.995, seed: int = 3) -> PiiModel:
+def _sampled(docs: DataFrame, sample: int, per_text: int) -> DataFrame:
+    """h and near (spans with what stands around them) of the ``sample`` documents with base spans whose hashes are least.
+
+    Documents are searched by slices of their hash until there are enough, each document once at most, so that few texts
+    are matched where spans are common; the outcome is that of a search over all.
+    """
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn("h", F.xxhash64("doc_id", "text"))
+    mixed = "transform(array_sort(transform(base, s -> named_struct('o', xxhash64(s.start, s.kind), 's', s))), x -> x.s)"
+    low, high, taken, n = 0.0, min(1.0, 4 * sample / max(1, docs.count())), None, 0
+    place = lambda share: int(share * 2**64) - 2**63
+    while True:
+        some = plain.filter(F.col("h") >= place(low)) if low else plain
+        some = some.filter(F.col("h") < place(high)) if high < 1 else some
+        found = _base_spans(some, "text", "base").filter("size(base) > 0")
+        near = _around(found, "text", f"slice({mixed}, 1, {per_text})", "near").select("h", "doc_id", "near")
+        part = saved(near.orderBy("h", "doc_id").limit(sample), "spans")
+        taken = part if taken is None else taken.union(part)
+        n += part.count()
+        if high >= 1 or n >= sample:
+            return taken.orderBy("h", "doc_id").limit(sample).select("h", "near")
+        # as far as the share of documents with spans so far says, and a little further
+        low, high = high, min(1.0, high * max(1.2, 1.1 * sample / max(1, n)))
+
+
+def fit(docs: DataFrame, sample: int = 4_000, per_text: int = 64, trees: int = 8, depth: int = 4, precision: float = 0.995, seed: int = 3) -> PiiModel:
     """Boosted trees from base spans, other ways to write them and look-alikes of them.
 
-    At most ``sample`` documents with base spans, chosen by hash, give the rows, each by its first 64 spans; a fifth of them set the threshold: the
-    lowest at which the selected rows are right with ``precision``. Without such rows nothing but base spans is found.
+    At most ``sample`` documents with base spans give the rows, each by at most ``per_text`` of its spans, both chosen by
+    hash; a fifth of them set the threshold: the lowest at which the selected rows are right with ``precision``. Without
+    such rows, as in an empty table, nothing but base spans is found. Null texts count as empty; rows that repeat count
+    as often as they come; other columns than doc_id and text are not read.
     """
-    found = base_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))).filter("size(base) > 0")
-    near = _around(found, "text", "slice(base, 1, 64)", "near").select(F.xxhash64("doc_id", "text").alias("h"), "doc_id", "near")
-    spans = near.orderBy("h", "doc_id").limit(sample).select("h", F.explode("near").alias("s"))
+    spans = _sampled(docs, sample, per_text).select("h", F.explode("near").alias("s"))
     rows = spans.withColumn("v", F.explode(F.expr(_variants()))).select(
         F.expr("pmod(h, 5) = 0").alias("held"), F.col("v.y").alias("y"),
         F.expr("named_struct('kind', v.kind, 'text', v.text, 'before', s.before, 'after', s.after)").alias("c"))
@@ -229,9 +270,16 @@ def fit(docs: DataFrame, sample: int = 4_000, trees: int = 8, depth: int = 4, pr
 def find(docs: DataFrame, model: PiiModel, text: str = "text") -> DataFrame:
     """Adds ``base`` and ``spans`` (all, base ones among them), both in order of start and then of kind.
 
-    A span has kind, start, end (code points, end exclusive) and text. Null texts count as empty and have none.
+    A span has kind, start, end (code points, end exclusive) and text. Null texts become empty and have none; repeated
+    rows each have theirs; an empty table stays empty; a very long text is one row with all its spans. Columns named
+    ``base`` and ``spans`` are replaced, all others stay as they are.
     """
-    docs = base_spans(docs.withColumn(text, text_of(text)), text)
+    return _beside(docs, text, lambda df: _found(df, model), "base", "spans")
+
+
+def _found(docs: DataFrame, model: PiiModel) -> DataFrame:
+    text = "_text"
+    docs = _base_spans(docs, text, "base")
     order = "array_position(array('email', 'ip', 'card', 'phone'), {0}.kind)"
     if model.expression is None:
         return docs.withColumn("spans", F.col("base"))
@@ -251,13 +299,12 @@ def redacted(text: str = "text", spans: str = "spans") -> Column:
 
 
 def redact(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced; all rows and columns stay, and null texts stay null.
+    """``docs`` with personal data in ``text`` replaced; all rows and columns stay, also repeated ones, and null texts stay null.
 
-    Where there is a column n_chars, it follows texts that changed.
+    Where there is a column n_chars, it follows texts that changed. An empty table stays empty.
     """
-    held, row = free_name(docs, "_row"), "_text"
-    marked = find(docs.select(F.struct(*docs.columns).alias(held), text_of().alias(row)), fit(docs, **options), row)
-    marked = marked.withColumn("_new", redacted(row))
+    held = "_row"
+    marked = _found(docs.select(F.struct(*docs.columns).alias(held), text_of().alias("_text")), fit(docs, **options)).withColumn("_new", redacted("_text"))
     hit = F.size("spans") > 0
     new = {"text": F.when(hit, F.col("_new")).otherwise(F.col(held)["text"])}
     if "n_chars" in docs.columns:

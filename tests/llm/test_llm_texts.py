@@ -90,7 +90,7 @@ def plain_spans(text):
 
 def noise(rng):
     some = ["a@b.co", "a@b", "@", "x.y+z@q-r.example.com", "+1 (988) 555-2485", "4111 1111 1111 1111", "4111111111111112", "1.2.3.4.5.6.7.8", "999.1.1.1", "é", "😀", " ", ".", "+", "-", "(", "12", "7",
-            "00000000000000000000000000000000255.1.1.1", "b@c.d+e@f.g", "\n", "4984250489669609", "0"]
+            "00000000000000000000000000000000255.1.1.1", "b@c.d+e@f.g", "\n", "4984250489669609", "0", " - ", ". ", "+1 - 2 - 3 - 4 - 5 - 6 - 7 - 8 - 9", "+4 (5"]
     return "".join(rng.choice(some) for _ in range(rng.randint(0, 40)))
 
 
@@ -104,6 +104,31 @@ def test_base_spans_match_plain_search(spark, few, none):
     assert pii.find(none.select("doc_id", "text"), pii.fit(none)).count() == 0
 
 
+def test_phones_with_wide_gaps(spark):
+    texts = ["call +1 - 2 - 3 - 4 - 5 - 6 - 7 - 8 - 9 now", "+1" + " " * 40 + "23456789", "+1 - 2 - 3", "1 - 2 - 3 - 4 - 5 - 6 - 7 - 8 - 9"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: [tuple(s) for s in r.base] for r in pii.base_spans(df).collect()} == {i: plain_spans(t) for i, t in enumerate(texts)}
+    assert [len(plain_spans(t)) for t in texts] == [1, 1, 0, 0]
+
+
+def test_columns_of_a_table_stay(spark):
+    df = spark.sql("SELECT 1L AS doc_id, 'mail a@b.co' AS text, 7 AS _email, 'x' AS _row, 2 AS _text, 3 AS `a b`, 'old' AS spans, 'h' AS _hits, 5 AS n_chars")
+    out = pii.find(df, pii.PiiModel(None, 2.0))
+    assert out.columns == ["doc_id", "text", "_email", "_row", "_text", "a b", "_hits", "n_chars", "base", "spans"]
+    r = out.first()
+    assert (r._email, r._row, r._text, r["a b"], r._hits, r.spans[0].text) == (7, "x", 2, 3, "h", "a@b.co")
+    red = pii.redact(df)
+    assert red.columns == df.columns and red.first().text == "mail [EMAIL]" and red.first().spans == "old" and red.first()._text == 2
+
+
+def test_sample_is_the_same_at_every_share(spark):
+    df = spark.range(3000).selectExpr("id AS doc_id", "if(id % 50 = 0, concat('mail a', id, '@b.co and c@d.ef'), 'nothing') AS text")
+    found = sorted(tuple(r) for r in pii._sampled(df, 20, 1).select("h", F.size("near")).collect())
+    every = pii._sampled(df, 60, 64).select("h", F.size("near")).collect()
+    low = sorted(every, key=lambda r: r[0])[:20]
+    assert found == sorted((r[0], 1) for r in low) and all(r[1] == 2 for r in every) and len(every) == 60
+
+
 def test_model_adds_and_leaves_alone(spark):
     rng = random.Random(4)
     number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
