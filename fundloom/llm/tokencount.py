@@ -16,8 +16,10 @@ from .common import batches, record, text_of, worker_state
 
 #: Stands for the space before a word.
 START = "▁"
-#: Nodes and words that a worker keeps before it starts anew; what is forgotten is computed again.
-NODES, WORDS = 300_000, 500_000
+#: Nodes, words and characters of words that a worker keeps before it starts anew; what is forgotten is computed again.
+NODES, WORDS, CHARS = 300_000, 500_000, 1 << 25
+#: A longer word shares hardly anything with others: it is walked through without nodes of its own.
+LONG = 256
 
 
 def piece_path() -> str:
@@ -43,7 +45,7 @@ class Trie:
     """Best score and number of pieces of every prefix that was seen, and the counts of whole words."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.words = vocabulary, {}
+        self.vocabulary, self.words, self.chars = vocabulary, {}, 0
         self.clear()
 
     def clear(self) -> None:
@@ -73,16 +75,35 @@ class Trie:
             path.append(below)
         return self.count[path[-1]]
 
+    def walk(self, word: str) -> int:
+        """The same number with the scores of no more prefixes than the longest piece reaches back to."""
+        voc, longest = self.vocabulary, self.vocabulary.longest
+        scores, ring = voc.scores, longest + 1
+        back = [(0.0, 0)] * ring
+        for at, c in enumerate(word, 1):
+            size = len(c.encode("utf-8", "surrogatepass"))
+            score, less = back[(at - 1) % ring]
+            best = score + size * voc.byte, less - size
+            for first in range(max(0, at - longest), at):
+                s = scores.get(word[first:at])
+                if s is not None:
+                    best = max(best, (back[first % ring][0] + s, back[first % ring][1] - 1))
+            back[at % ring] = best
+        return -back[len(word) % ring][1]
+
     def counts(self, words: list[str]) -> None:
         """Makes sure that all these words are known."""
         new = sorted(set(words).difference(self.words))
-        if len(self.words) + len(new) > WORDS:
+        size = sum(map(len, new))
+        if len(self.words) + len(new) > WORDS or self.chars + size > CHARS:
             self.words.clear()
             new = sorted(set(words))
+            self.chars, size = 0, sum(map(len, new))
+        self.chars += size
         for word in new:
             if len(self.score) > NODES:
                 self.clear()
-            self.words[word] = self.insert(START + word)
+            self.words[word] = self.insert(START + word) if len(word) <= LONG else self.walk(START + word)
 
 
 def _count(path: str):
@@ -105,8 +126,9 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, n_words and n_tokens of each row of ``docs`` (doc_id, text; other columns are not read).
 
     Words are what white space parts, each with a mark for the space before it. Whole texts are counted where they are
-    read, without a shuffle; a worker keeps bounded numbers of trie nodes and words. Null and empty texts have no words
-    and no tokens; a repeated row is counted again.
+    read, without a shuffle; a worker keeps bounded numbers of trie nodes, words and characters, and a word without end,
+    such as a text without spaces, takes no more than its own text. Null and empty texts have no words and no tokens; a
+    repeated row is counted again; an empty table gives an empty table.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return rows.mapInArrow(_count(vocabulary or piece_path()), "doc_id long, n_words long, n_tokens long")

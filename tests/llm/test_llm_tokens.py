@@ -169,3 +169,26 @@ def test_counts_match_words_alone(spark, few, none, tables, monkeypatch):
     for w in ("the", "then", "there", "日本", "the"):
         small.counts([w])
         assert small.words[w] == plain_count("▁" + w, voc)
+
+
+def test_long_words_keep_no_nodes():
+    voc = tokencount.Vocabulary(tokencount.piece_path())
+    rng = random.Random(6)
+    trie = tokencount.Trie(voc)
+    for n in (1, 5, 255, 256, 257, 300, 900):
+        word = "".join(rng.choice("abcdeé日thin") for _ in range(n))
+        assert trie.walk("▁" + word) == plain_count("▁" + word, voc)
+        trie.counts([word])
+        assert trie.words[word] == plain_count("▁" + word, voc)
+    assert len(trie.score) < 2 + 5 + 255 + 256 + 10
+    before = len(trie.score)
+    trie.counts(["x" * 100_000])
+    assert len(trie.score) == before
+
+
+def test_kept_characters_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokencount, "CHARS", 1000)
+    trie = tokencount.Trie(tokencount.Vocabulary(tokencount.piece_path()))
+    for k in range(30):
+        trie.counts([f"{k}" + "y" * 100])
+        assert sum(map(len, trie.words)) <= 1000
