@@ -152,9 +152,24 @@ def cluster_stability(t):
     return C.cluster_stability(V.traits(t), TRAITS, 3)
 
 
-@query()
+SCALED = ", ".join(f"({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ())" for c in TRAITS)
+MOMENTS = ", ".join("[" + ", ".join(f"covar_samp(x[{i}], x[{j}])" for j in range(1, 8)) + "]" for i in range(1, 8))
+
+
+@query(f"""WITH RECURSIVE c AS (SELECT investor_id, [{SCALED}] AS x FROM traits WHERE Technology IS NOT NULL), m AS (SELECT [{MOMENTS}] AS m FROM c),
+tr AS (SELECT m[1][1] + m[2][2] + m[3][3] + m[4][4] + m[5][5] + m[6][6] + m[7][7] AS t FROM m),
+p1(k, v) AS (SELECT 0, [1.0::DOUBLE, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4] UNION ALL
+ SELECT k + 1, list_transform(w, lambda y: y / sqrt(list_dot_product(w, w))) FROM (SELECT k, list_transform(m, lambda r: list_dot_product(r, v)) AS w FROM p1, m) WHERE k < 3000),
+e1 AS (SELECT v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS l FROM p1, m WHERE k = 3000),
+m2 AS (SELECT list_transform(range(1, 8), lambda i: list_transform(range(1, 8), lambda j: m[i][j] - l * v[i] * v[j])) AS m FROM m, e1),
+p2(k, v) AS (SELECT 0, [0.4::DOUBLE, -0.9, 0.8, 0.7, -0.6, 0.5, 1.0] UNION ALL
+ SELECT k + 1, list_transform(w, lambda y: y / sqrt(list_dot_product(w, w))) FROM (SELECT k, list_transform(m, lambda r: list_dot_product(r, v)) AS w FROM p2, m2) WHERE k < 3000),
+e2 AS (SELECT v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS l FROM p2, m2 WHERE k = 3000)
+SELECT investor_id, round(abs(list_dot_product(x, e1.v)), 5) AS pc1, round(abs(list_dot_product(x, e2.v)), 5) AS pc2, round(e1.l / t, 6) AS share1, round(e2.l / t, 6) AS share2 FROM c, e1, e2, tr""", "traits")
 def pca_components(t):
-    return C.pca_2d(V.traits(t), "investor_id", TRAITS)
+    """A component's direction has no sign, so places along it are compared without one."""
+    p = C.pca_2d(V.traits(t), "investor_id", TRAITS)
+    return p.select("investor_id", *[F.round(F.abs(c), 5).alias(c) for c in ("pc1", "pc2")], *[F.round(c, 6).alias(c) for c in ("share1", "share2")])
 
 
 SIL = ["Affordability", "Growth", "Trustworthiness"]
@@ -169,10 +184,24 @@ def silhouette_points(t):
     return EV.silhouette_points(tr, "investor_id", SIL, "cluster").withColumn("silhouette", F.round("silhouette", 6))
 
 
-@query()
+DENSE = ["Affordability", "Growth", "Liquidity"]
+EPS, DENSE_POINTS = 0.08, 8
+SIDE = EPS / 3 ** 0.5 * (1 - 1e-9)
+NEAR = f"pow(p.a - q.a, 2) + pow(p.g - q.g, 2) + pow(p.l - q.l, 2) <= {EPS * EPS!r}::DOUBLE"
+
+
+@query(f"""WITH RECURSIVE z AS (SELECT investor_id AS id, {', '.join(f'({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) AS {n}' for c, n in zip(DENSE, 'agl'))} FROM traits),
+pt AS (SELECT *, concat_ws(',', {', '.join(f'CAST(CAST(floor({n} / {SIDE!r}::DOUBLE) AS BIGINT) AS VARCHAR)' for n in 'agl')}) AS cell FROM z WHERE a IS NOT NULL AND g IS NOT NULL AND l IS NOT NULL),
+core AS (SELECT pt.* FROM pt JOIN (SELECT p.id FROM pt p JOIN pt q ON {NEAR} GROUP BY 1 HAVING count(*) >= {DENSE_POINTS}) USING (id)),
+e AS (SELECT DISTINCT p.cell AS a, q.cell AS b FROM core p JOIN core q ON {NEAR}),
+cc(cell, low) AS (SELECT DISTINCT cell, cell FROM core UNION SELECT e.b, cc.low FROM cc JOIN e ON e.a = cc.cell WHERE cc.low < e.b),
+own AS (SELECT core.id, c.low FROM core JOIN (SELECT cell, min(low) AS low FROM cc GROUP BY 1) c USING (cell)),
+edge AS (SELECT p.id, min(own.low) AS low FROM pt p JOIN core q ON {NEAR} JOIN own ON own.id = q.id WHERE p.id NOT IN (SELECT id FROM core) GROUP BY 1),
+named AS (SELECT * FROM own UNION ALL SELECT * FROM edge), no AS (SELECT low, row_number() OVER (ORDER BY low) - 1 AS no FROM (SELECT DISTINCT low FROM own))
+SELECT pt.id AS investor_id, coalesce(no, -1) AS cluster FROM pt LEFT JOIN named USING (id) LEFT JOIN no USING (low)""", "traits")
 def density_clusters(t):
-    tr = E.minmax_scale(V.traits(t), ["Affordability", "Growth", "Liquidity"])
-    return C.density_cluster(tr, "investor_id", ["Affordability_scaled", "Growth_scaled", "Liquidity_scaled"], eps=0.08, min_pts=8)
+    tr = E.minmax_scale(V.traits(t), DENSE)
+    return C.density_cluster(tr, "investor_id", [f"{c}_scaled" for c in DENSE], eps=EPS, min_pts=DENSE_POINTS)
 
 
 def _nav_split(t):

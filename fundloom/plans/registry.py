@@ -38,7 +38,8 @@ def query(sql: str | None = None, views: str = ""):
             ctes = [f"{v} AS ({VIEW_SQL[v]})" for v in needs(views.split())]
             body = sql.strip()
             if ctes:
-                body = "WITH " + ",\n".join(ctes) + ("\n, " + body[5:].strip() if body.upper().startswith("WITH ") else "\n" + body)
+                again = "RECURSIVE " if body.upper().startswith("WITH RECURSIVE ") else ""
+                body = f"WITH {again}" + ",\n".join(ctes) + ("\n, " + body[5 + len(again):].strip() if body.upper().startswith("WITH ") else "\n" + body)
             ORACLES[fn.__name__] = body
         return fn
     return add
