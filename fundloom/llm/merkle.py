@@ -190,7 +190,8 @@ def prove(rows: DataFrame, leaf: Column, claimed: Column | None = None, group: s
 
     Null groups are a group of their own, the first; null keys come first in their group; ties are in order of their
     hashes, and rows that repeat are leaves of their own. Null and empty texts have different leaves. A group of one row
-    is its own root. An empty table gives no rows. Other columns are not read; their names may be anything.
+    is its own root. A very long text is hashed where it is read, and only its hash moves. An empty table gives no rows.
+    Other columns are not read; their names may be anything.
     """
     named = rows.select(F.col(group).cast("string").alias("grp"), F.col(order).cast("long").alias("key"), leaf.alias("leaf"), (leaf if claimed is None else claimed).alias("claimed"))
     leaves = saved(placed(named).withColumn("block", F.expr(f"at div {block}")), "blocks")

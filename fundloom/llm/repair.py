@@ -373,7 +373,7 @@ class Repair:
     after at most one system row. Blank and duplicate rows must go. Rows without a conv_id are one conversation. An empty
     table gives empty tables.
 
-    Memory: a task holds one chunk of rows. A conversation within a range of rows never leaves it; of the others, chunks
+    Memory: a task holds one chunk of rows; a very long text is a chunk by itself. A conversation within a range of rows never leaves it; of the others, chunks
     are solved in parallel, what meets by conversation are four numbers a chunk, and only the hash reads their texts in
     order, in one task, as a stream.
     """
