@@ -101,7 +101,8 @@ def format_turns(rows: DataFrame, template: Template = Template()) -> DataFrame:
     are put in order of conv_id and turn by ranges, so a long conversation spreads over as many tasks as it needs; each
     range hands on the state it ends in, one row per range. Ties in ``turn`` are ordered by role and text, and a row
     that repeats is a turn of its own. Null roles and texts count as empty; a role the machine does not know is formatted
-    and not allowed. Rows without a conv_id form one conversation of their own. Other columns are not read.
+    and not allowed. Rows without a conv_id form one conversation of their own. A very long text is one row; an empty table
+    gives no turns. Other columns are not read.
     """
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     plain = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), empty("role").alias("role"), empty("text").alias("text"))

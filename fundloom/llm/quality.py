@@ -222,7 +222,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, hidden: int =
 
 
 def score(docs: DataFrame, model: QualityModel, name: str = "quality_score") -> DataFrame:
-    """``docs`` with a column ``name``: the probability of label 1 from the text alone. Null texts count as empty."""
+    """``docs`` with a column ``name``: the probability of label 1 from the text alone.
+
+    Null and empty texts get the score of an empty text; rows that repeat get the same score each; texts of any length
+    count as a whole; an empty table stays empty. Other columns stay, whatever their names but ``name``.
+    """
     text = free_name(docs, "_text")
 
     def run(source):
@@ -236,6 +240,9 @@ def score(docs: DataFrame, model: QualityModel, name: str = "quality_score") ->
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``; columns stay as they are."""
+    """The rows of ``docs`` that score at least ``threshold``; columns stay as they are, whatever their names.
+
+    Null and empty texts share one score; of rows that repeat, all stay or none; an empty table stays empty.
+    """
     name = free_name(docs, "_quality")
     return score(docs, fit(docs, labels, **options), name).filter(F.col(name) >= threshold).drop(name)

@@ -231,7 +231,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
 
     ``folder`` must be shared by the driver and all executors. Null texts are empty and give one id, ``end_id``;
     documents without a doc_id come first, ties are in order of their text, a repeated row is written again, other columns
-    are not read. As many files as the session has shuffle partitions, empty ones where there are fewer documents. Texts
+    are not read. As many files as the session has shuffle partitions, empty ones where there are fewer documents or none.
+    A file's ids, those of a very long text included, are held while it is coded. Texts
     are tokenised once: their ids wait in the folder until the table, at most as long as the vocabulary, is known, and are
     removed when they are encoded.
     """
