@@ -54,3 +54,33 @@ def test_every_id_is_packed(spark, steps):
 def test_run_gives_the_stages_rows(spark, steps):
     key = lambda df: sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in df.select("doc_id", "start", "length", "ids_crc32").collect())
     assert sum(k[2] for k in key(entry.queries()["pipeline"](spark, FOLDER))) == sum(k[2] for k in key(steps[-1]))
+
+
+@pytest.fixture(scope="module")
+def odd(spark, steps):
+    """The smallest scale with nulls in every column, empty and long texts, repeated rows and columns that clash with work columns."""
+    extra = [(None, None, None, None, None), (90001, None, "en", "src0", 0), (90002, "", None, None, None), (90003, "", "xx", "src0", 0), (None, "a text of its own " * 9, "en", "src1", 9),
+             (90004, "word " * 60_000, "en", "src0", 300_000), (90005, "z" * 200_000, "en", "src0", 200_000)]
+    docs = steps[0].limit(60)
+    rows = docs.union(docs.limit(5)).union(spark.createDataFrame(extra + extra[1:3], docs.schema))
+    return rows.selectExpr("*", "7 AS _text", "'x' AS kept", "1 AS _rows", "2 AS base")
+
+
+def test_stages_on_odd_rows(spark, odd):
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs.count()
+        docs = saved(stage(spark, docs, FOLDER), name)
+        assert docs.columns == odd.columns and 0 < docs.count() <= before
+        assert docs.filter("_text <> 7 OR kept <> 'x' OR _rows <> 1 OR base <> 2").count() == 0
+        if name == "near_dedup":
+            seen = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count()
+            assert seen.filter("count > 1").count() == 0
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert pieces.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_stages_on_an_empty_table(spark, steps):
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, steps[0].limit(0), FOLDER)
+        assert out.count() == 0 and (name == "pack" or out.columns == steps[0].columns)
