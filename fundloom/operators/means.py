@@ -9,15 +9,22 @@ built. A start is k-means++ over a bounded sample of points (``INIT``).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .filters import complete_cases
 
-#: Points from which starts are drawn, chosen by hash; and numbers that a block of distances may hold.
-INIT, CELLS = 2048, 1 << 21
+#: Points from which starts are drawn, chosen by hash; numbers that a block of distances may hold; and points whose
+#: distances to all centres are taken at once.
+INIT, CELLS, STEP = 2048, 1 << 21, 512
+#: Tasks whose sums are added up in one step.
+WIDE = 64
+#: Rows of a task: at least (unless there are fewer) and at most, however many cores there are.
+FEW, MANY = 1 << 10, 1 << 18
 
 
 @dataclass
@@ -33,16 +40,22 @@ class Start:
 
 
 def scaled(df: DataFrame, cols: list[str], scale: str = "minmax") -> tuple[DataFrame, list[tuple[float, float]]]:
-    """x (array of scaled columns) and h (hash of the row) of the rows without gaps; and (offset, divisor) per column."""
+    """x (array of scaled columns) and h (hash of the row) of the rows without gaps; and (offset, divisor) per column.
+
+    The points are dealt evenly over the cores, in tasks of bounded size: many passes follow.
+    """
     rows = complete_cases(df, cols)
     number = [F.col(c).cast("double") for c in cols]
     if scale == "minmax":
-        s = rows.agg(*[F.struct(F.min(c), F.max(c)) for c in number]).first()
+        n, *s = rows.agg(F.count("*"), *[F.struct(F.min(c), F.max(c)) for c in number]).first()
         shape = [(0.0, 1.0) if r[0] is None else (r[0], (r[1] - r[0]) or 1.0) for r in s]
     else:
-        s = rows.agg(*[F.struct(F.avg(c), F.stddev_samp(c)) for c in number]).first()
+        n, *s = rows.agg(F.count("*"), *[F.struct(F.avg(c), F.stddev_samp(c)) for c in number]).first()
         shape = [(r[0] or 0.0, r[1] or 1.0) for r in s]
-    return rows.select(_place(cols, shape).alias("x"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("h")), shape
+    tasks = max(1, ceil(n / MANY), min(df.sparkSession.sparkContext.defaultParallelism, ceil(n / FEW)))
+    points = rows.select(_place(cols, shape).alias("x"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("h"))
+    # by the rows' turn, so that many equal rows are no large task
+    return points.repartition(tasks), shape
 
 
 def _place(cols: list[str], shape: list[tuple[float, float]]) -> Column:
@@ -96,27 +109,78 @@ def _grouped(models: list[Start]) -> list[tuple[list[int], np.ndarray, list]]:
     return [(at, np.stack([models[m].centres for m in at]), [models[m].resample for m in at]) for at in by_k.values()]
 
 
-def assigned(points: DataFrame, models: list[Start], share: float, d: int) -> dict[tuple[int, int], np.ndarray]:
-    """(model, cluster) -> weight, cost, sum of squares and sums of its points, from one pass."""
-    groups = _grouped(models)
-    names = ["n", "cost", "q", *[f"s{j}" for j in range(d)]]
+def _blocks(points: DataFrame, d: int) -> RDD:
+    """(coordinates, hashes) by blocks of rows, kept for the passes; an RDD, because a pass is too short to plan a query for each."""
+    def run(source):
+        for batch in source:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.binary()) for b in (x.tobytes(), batch.column(1).to_numpy(zero_copy_only=False).tobytes())], names=["x", "h"])
+
+    def unpacked(row):
+        return np.frombuffer(row.x).reshape(-1, d), np.frombuffer(row.h, np.int64)
+    return points.select("x", "h").mapInArrow(run, "x binary, h binary").rdd.map(unpacked).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _owners(point: np.ndarray, centres: np.ndarray):
+    """For each cluster in turn: 1 where it is the first of the nearest of its model (down) to a point (across), else 0.
+
+    ``point`` has the coordinates and a 1, ``centres`` (cluster, model) -2 times the coordinates and the square.
+    """
+    far = [c @ point for c in centres]
+    least = far[0]
+    for f in far[1:]:
+        least = np.minimum(least, f)
+    free = np.ones(least.shape, bool)
+    for f in far:
+        own = (f <= least) & free
+        free &= ~own
+        yield own.astype(np.float64)
+
+
+def assigned(blocks: RDD, models: list[Start], share: float, d: int) -> dict[tuple[int, int], np.ndarray]:
+    """(model, cluster) -> weight, cost, sum of squares and sums of its points, from one pass.
+
+    Sums are products of 0/1 rows with the points, models of one resample together. Costs follow from the sums.
+    """
+    groups, drawn = [], list(dict.fromkeys(s.resample for s in models))
+    by: dict[tuple, list[int]] = {}
+    for m, s in enumerate(models):
+        by.setdefault((s.k, s.resample), []).append(m)
+    for k in sorted({k for k, _ in by}):
+        mine = [(drawn.index(r), at) for (j, r), at in by.items() if j == k]
+        places = [m for _, at in mine for m in at]
+        centres = np.stack([models[m].centres for m in places], axis=1)
+        ends = np.cumsum([len(at) for _, at in mine])
+        groups.append((places, np.concatenate([-2 * centres, (centres**2).sum(axis=2)[:, :, None]], axis=2),
+                       [(j, slice(e - len(at), e)) for (j, at), e in zip(mine, ends)]))
 
     def run(source):
-        total = [np.zeros((c.shape[0] * c.shape[1], 3 + d)) for _, c, _ in groups]
-        for x, h in _parts(source, sum(c.shape[0] * c.shape[1] for _, c, _ in groups)):
-            square = (x**2).sum(axis=1)
-            for out, (_, centres, resamples) in zip(total, groups):
-                far = _distances(x, centres)
-                near, w = far.argmin(axis=2), weights(h, resamples, share)
-                at = (near + np.arange(centres.shape[0]) * centres.shape[1]).ravel()
-                for j, v in enumerate([w, w * far.min(axis=2), w * square[:, None], *[w * x[:, i : i + 1] for i in range(d)]]):
-                    out[:, j] += np.bincount(at, v.ravel(), len(out))
-        for out, (places, centres, _) in zip(total, groups):
-            m, c = np.repeat(places, centres.shape[1]), np.tile(np.arange(centres.shape[1]), centres.shape[0])
-            yield pa.RecordBatch.from_arrays([pa.array(m, pa.int32()), pa.array(c, pa.int32()), *[pa.array(out[:, j]) for j in range(3 + d)]], names=["m", "c", *names])
-    sums = points.mapInArrow(run, "m int, c int, " + ", ".join(f"{n} double" for n in names)).groupBy("m", "c").agg(*[F.sum(n).alias(n) for n in names])
+        total = [np.zeros((*c.shape[:2], 2 + d)) for _, c, _ in groups]
+        for points, h in source:
+            drawn_rows = weights(h, drawn, share)
+            for i in range(0, len(points), STEP):
+                x, w = points[i : i + STEP], drawn_rows[i : i + STEP]
+                row = np.column_stack([np.ones(len(x)), (x**2).sum(axis=1), x])
+                weighed = [w[:, j : j + 1] * row for j in range(len(drawn))]
+                point = np.column_stack([x, np.ones(len(x))]).T.copy()
+                for out, (_, centres, parts) in zip(total, groups):
+                    for c, own in enumerate(_owners(point, centres)):
+                        for j, at in parts:
+                            out[c, at] += own[at] @ weighed[j]
+        yield np.concatenate([t.ravel() for t in total])
     # models times clusters, however many points there are
-    return {(r[0], r[1]): np.array(r[2:]) for r in sums.collect()}
+    sums = blocks.mapPartitions(run)
+    sums = sums.reduce(np.add) if blocks.getNumPartitions() <= WIDE else sums.treeReduce(np.add)
+    found, start = {}, 0
+    for places, centres, _ in groups:
+        shape = (*centres.shape[:2], 2 + d)
+        size = int(np.prod(shape))
+        for c, row in enumerate(sums[start : start + size].reshape(shape)):
+            for m, (n, q, *s) in zip(places, row):
+                s, centre = np.array(s), models[m].centres[c]
+                found[m, c] = np.array([n, max(0.0, q - 2 * (centre @ s) + n * (centre @ centre)), q, *s])
+        start += size
+    return found
 
 
 def _start(x: np.ndarray, w: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -141,16 +205,20 @@ def settle(points: DataFrame, models: list[Start], d: int, share: float = 1.0, t
     for s in models:
         w = drawn[s.resample]
         s.centres = _start(x, w if w.any() else np.ones(len(x)), s.k, s.seed)
-    for _ in range(rounds):
-        open_ = [s for s in models if not s.settled]
-        if not open_:
-            break
-        sums = assigned(points, open_, share, d)
-        for m, s in enumerate(open_):
-            rows = np.stack([sums[m, c] for c in range(s.k)])
-            new = np.where(rows[:, :1] > 0, rows[:, 3:] / np.maximum(rows[:, :1], 1e-300), s.centres)
-            s.settled = bool((((new - s.centres) ** 2).sum(axis=1) <= tolerance**2).all())
-            s.cost, s.centres = float(rows[:, 1].sum()), new
+    blocks = _blocks(points, d)
+    try:
+        for _ in range(rounds):
+            open_ = [s for s in models if not s.settled]
+            if not open_:
+                break
+            sums = assigned(blocks, open_, share, d)
+            for m, s in enumerate(open_):
+                rows = np.stack([sums[m, c] for c in range(s.k)])
+                new = np.where(rows[:, :1] > 0, rows[:, 3:] / np.maximum(rows[:, :1], 1e-300), s.centres)
+                s.settled = bool((((new - s.centres) ** 2).sum(axis=1) <= tolerance**2).all())
+                s.cost, s.centres = float(rows[:, 1].sum()), new
+    finally:
+        blocks.unpersist()
     return models
 
 
@@ -166,7 +234,11 @@ def best(models: list[Start]) -> list[Start]:
 
 def silhouettes(points: DataFrame, models: list[Start], d: int, share: float = 1.0) -> list[tuple[float, float]]:
     """(cost, mean silhouette) of each model by squared distance, from per-cluster sums: two passes for all models."""
-    sums = assigned(points, models, share, d)
+    blocks = _blocks(points, d)
+    try:
+        sums = assigned(blocks, models, share, d)
+    finally:
+        blocks.unpersist()
     groups = []
     for places, centres, resamples in _grouped(models):
         rows = np.stack([[sums[m, c] for c in range(centres.shape[1])] for m in places])

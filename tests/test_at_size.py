@@ -1,6 +1,9 @@
 """Steps whose work outgrows their input are dealt over many tasks, and give the same results as plain versions."""
 
-from fundloom.operators import joins as J
+import numpy as np
+import pandas as pd
+import pytest
+from fundloom.operators import joins as J, means
 from pyspark.sql import functions as F
 
 
@@ -14,3 +17,27 @@ def test_distributors_are_matched_in_many_tasks(spark):
     # a repeated distributor stays repeated
     want = [(r.investor_id, d.s, d.persona, 95 if r.persona == d.persona else 75) for r in inv.collect() for d in dist.collect() if d.persona in (r.persona, "balanced") and d.persona]
     assert sorted(map(tuple, got.select("investor_id", "s", "distributor_persona", "match_score").collect())) == sorted(want)
+
+
+def test_points_of_one_file_are_moved_by_many_tasks(spark):
+    points = spark.range(0, 40_000, 1, 1).select("id", (F.col("id") % 101).alias("a"), (F.col("id") % 7).alias("b"))
+    xs, _ = means.scaled(points, ["a", "b"])
+    assert xs.rdd.getNumPartitions() >= 8
+    sizes = xs.rdd.glom().map(len).collect()
+    assert sum(sizes) == 40_000 and max(sizes) < 2 * 40_000 / len(sizes)
+
+
+def test_sums_by_products_are_sums_by_points(spark):
+    rng = np.random.default_rng(3)
+    x = np.round(rng.random((1500, 2)), 1)
+    h = rng.integers(-(2**62), 2**62, 1500)
+    frame = spark.createDataFrame(pd.DataFrame({"x": list(x), "h": h}), "x array<double>, h long").repartition(5)
+    models = [means.Start(k, 0, r, rng.choice(x, k)) for k in (1, 3, 2) for r in (None, 4, 9)]
+    got = means.assigned(means._blocks(frame, 2), models, 0.8, 2)
+    assert len(got) == sum(s.k for s in models)
+    for m, s in enumerate(models):
+        far = ((x[:, None] - s.centres) ** 2).sum(axis=2)
+        w = means.weights(h, [s.resample], 0.8)[:, 0]
+        cost = sum(got[m, c][1] for c in range(s.k))
+        assert cost == pytest.approx((w * far.min(axis=1)).sum()) and sum(got[m, c][0] for c in range(s.k)) == w.sum()
+        assert sum(got[m, c][3:] for c in range(s.k)) == pytest.approx(w @ x)
