@@ -24,8 +24,8 @@ from ..sources.scratch import checkpoint_dir
 from .features import stratified_folds
 
 #: Bins of a numeric column, kept values of a text column (the commonest; the others share one), rows of a block, and
-#: blocks of a task.
-BINS, VALUES, BLOCK, TASK = 64, 62, 4096, 8
+#: rows that a task has at least and at most, however many cores there are.
+BINS, VALUES, BLOCK, FEW, MANY = 64, 62, 4096, 1 << 11, 1 << 18
 #: Rounds between checkpoints, and what a gradient of one counts.
 CUT, UNIT = 10, float(1 << 20)
 DEFAULTS = {"rounds": 200, "depth": 6, "step": 0.06, "rows": 0.85, "columns": 1.0}
@@ -93,14 +93,16 @@ class _Trees:
 
     def walk(self, codes: np.ndarray, first_text: int, levels: int) -> np.ndarray:
         """The node that each row (down) reaches in the tree of each model (across)."""
-        models = np.arange(len(self.column))
-        node = np.zeros((len(codes), len(models)), np.int64)
-        rows = np.arange(len(codes))[:, None]
+        base = np.arange(len(self.column)) * self.column.shape[1]
+        column, cut = self.column.ravel(), self.bin.ravel()
+        node = np.zeros((len(codes), len(base)), np.int64)
+        flat, rows = codes.ravel(), np.arange(len(codes))[:, None] * codes.shape[1]
         for _ in range(levels):
-            column = self.column[models, node]
-            x, cut = codes[rows, np.maximum(column, 0)], self.bin[models, node]
-            right = np.where(column >= first_text, x == cut, x > cut)
-            node = np.where(column >= 0, 2 * node + 1 + right, node)
+            at = node + base
+            f, b = column.take(at), cut.take(at)
+            x = flat.take(rows + np.maximum(f, 0))
+            right = np.where(f >= first_text, x == b, x > b)
+            node = np.where(f >= 0, 2 * node + 1 + right, node)
         return node
 
 
@@ -127,13 +129,15 @@ def _sums(trees: _Trees, specs: list[Spec], turn: int, level: int, active: list[
             codes = block["codes"]
             g, h = (d[:, active] for d in _gradients(block, specs, turn))
             node = trees.walk(codes, first_text, level)[:, active] - (nodes - 1)
-            g, h, node = np.where(node < 0, 0, g), np.where(node < 0, 0, h), np.maximum(node, 0)
-            place = (np.arange(len(active)) * nodes + node) * BINS
+            # only rows that a tree draws and that reach the level
+            row, model = np.nonzero((node >= 0) & ((g != 0) | (h != 0)))
+            g, h = g[row, model], h[row, model]
+            place = (model * nodes + node[row, model]) * BINS
             out = np.empty((codes.shape[1], 2, len(active) * nodes * BINS))
             for f in range(codes.shape[1]):
-                at = (place + codes[:, f : f + 1]).ravel()
-                out[f, 0] = np.bincount(at, g.ravel(), out.shape[2])
-                out[f, 1] = np.bincount(at, h.ravel(), out.shape[2])
+                at = place + codes[row, f]
+                out[f, 0] = np.bincount(at, g, out.shape[2])
+                out[f, 1] = np.bincount(at, h, out.shape[2])
             total = out if total is None else total + out
         if total is not None:
             shaped = total.reshape(len(total), 2, len(active), nodes, BINS)
@@ -209,11 +213,12 @@ def boost(df: DataFrame, binned: Binning, specs: list[Spec], rounds: int, label:
     depth, first_text = max(s.depth for s in specs), len(binned.num)
     sc = df.sparkSession.sparkContext
     checkpoint_dir(df.sparkSession)
-    blocks = _blocks(df, binned, label, key, weight, fold, len(specs)).persist(StorageLevel.MEMORY_AND_DISK)
-    # as many tasks as the data fill, at most those of a shuffle
-    tasks = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // TASK)))
-    dealt = blocks.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
-    blocks, before = dealt, blocks
+    # as many tasks as there are cores, if the data fill them: each sends its sums, so more would only shuffle more
+    df = df.filter(F.col(label).isNotNull())
+    n = df.count()
+    tasks = max(1, -(-n // MANY), min(sc.defaultParallelism, -(-n // FEW)))
+    blocks = _blocks(df.repartition(tasks), binned, label, key, weight, fold, len(specs)).persist(StorageLevel.MEMORY_AND_DISK)
+    before = None
     grown: list[_Trees] = []
     counts: dict[int, np.ndarray] = {}
 
