@@ -24,8 +24,8 @@ from ..sources.scratch import checkpoint_dir
 from .features import stratified_folds
 
 #: Bins of a numeric column, kept values of a text column (the commonest; the others share one), rows of a block, and
-#: rows that a task has at least and at most, however many cores there are.
-BINS, VALUES, BLOCK, FEW, MANY = 64, 62, 4096, 1 << 11, 1 << 18
+#: rows that a task has at least (in lots of ``LOT``) and at most, however many cores there are.
+BINS, VALUES, BLOCK, TASK, LOT, MANY = 64, 62, 4096, 8, 256, 1 << 18
 #: Rounds between checkpoints, and what a gradient of one counts.
 CUT, UNIT = 10, float(1 << 20)
 DEFAULTS = {"rounds": 200, "depth": 6, "step": 0.06, "rows": 0.85, "columns": 1.0}
@@ -216,7 +216,7 @@ def boost(df: DataFrame, binned: Binning, specs: list[Spec], rounds: int, label:
     # as many tasks as there are cores, if the data fill them: each sends its sums, so more would only shuffle more
     df = df.filter(F.col(label).isNotNull())
     n = df.count()
-    tasks = max(1, -(-n // MANY), min(sc.defaultParallelism, -(-n // FEW)))
+    tasks = max(1, -(-n // MANY), min(sc.defaultParallelism, -(-n // (TASK * LOT))))
     blocks = _blocks(df.repartition(tasks), binned, label, key, weight, fold, len(specs)).persist(StorageLevel.MEMORY_AND_DISK)
     before = None
     grown: list[_Trees] = []
