@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from itertools import product
 from math import ceil
 
 import numpy as np
@@ -116,12 +117,68 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     return known.withColumn(name, F.col("_weights")[F.col(label)]).drop("_weights")
 
 
-def knn_impute(df: DataFrame, key: str, cols: list[str], k: int = 5, block: int = 8192) -> DataFrame:
+def _patterns(v: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Which columns are present, and the rows for which it is these."""
+    kinds, which = np.unique(~np.isnan(v), axis=0, return_inverse=True)
+    return [(have, np.flatnonzero(which.ravel() == i)) for i, have in enumerate(kinds)]
+
+
+def _boxes(v: np.ndarray, most: int) -> list[np.ndarray]:
+    """Rows in boxes of at most ``most``, halved along the widest side."""
+    todo, done = [np.arange(len(v))], []
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= most:
+            done.append(rows)
+            continue
+        part = v[rows]
+        half = len(rows) // 2
+        cut = np.argpartition(part[:, np.argmax(part.max(axis=0) - part.min(axis=0))], half)
+        todo += [rows[cut[:half]], rows[cut[half:]]]
+    return done
+
+
+def _closest(x: np.ndarray, y: np.ndarray, ida: np.ndarray, idb: np.ndarray, k: int, by: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of x, row of y, distance) of the ``k`` nearest of other ids to each x, equal distances by id; squares count ``by``."""
+    far = _boxes(y, 256)
+    low, high = (np.array([f(y[rows], axis=0) for rows in far]) for f in (np.min, np.max))
+    found = []
+    for mine in _boxes(x, 64):
+        p, names = x[mine], ida[mine]
+        # no pair of the two boxes is nearer; the sums are rounded, so a hair is left
+        gap = np.maximum(0, np.maximum(low - p.max(axis=0), p.min(axis=0) - high))
+        least = np.sqrt((gap**2).sum(axis=1) * by) * (1 - 1e-9)
+        row, to, dist = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        reach = np.full(len(mine), np.inf)
+        for box in np.argsort(least, kind="stable"):
+            if least[box] > reach.max():
+                break
+            rows = far[box]
+            # the columns one by one, so that equal rows have equal distances whatever the box
+            total = np.zeros((len(mine), len(rows)))
+            for c in range(p.shape[1]):
+                total += (y[rows, c] - p[:, c : c + 1]) ** 2
+            near = np.sqrt(total * by)
+            i, j = np.nonzero((near <= reach[:, None]) & (idb[rows] != names[:, None]))
+            row, to, dist = np.concatenate([row, i]), np.concatenate([to, rows[j]]), np.concatenate([dist, near[i, j]])
+            order = np.lexsort((idb[to], dist, row))
+            row, to, dist = row[order], to[order], dist[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            keep = place < k
+            last = place == k - 1
+            reach[row[last]] = dist[last]
+            row, to, dist = row[keep], to[keep], dist[keep]
+        found.append((mine[row], to, dist))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def knn_impute(df: DataFrame, key: str, cols: list[str], k: int = 5, block: int = 1 << 17) -> DataFrame:
     """Missing cells become the mean of the ``k`` nearest rows that have the value.
 
     Distance is Euclidean over the columns both rows have, scaled up for the missing ones; equal distances go to the
     smaller key. A column without any value becomes 0; a cell with no comparable row takes the column mean. Incomplete
-    rows meet all donors block by block; each block pair returns only its best ``k`` per cell.
+    rows meet all donors block by block; each block pair returns only its best ``k`` per cell and set of columns that
+    donors have. Within a pair, rows and donors lie in small boxes, and boxes too far to hold one of the best are skipped.
     """
     d = len(cols)
     as_d = [F.col(c).cast("double").alias(c) for c in cols]
@@ -138,21 +195,13 @@ def knn_impute(df: DataFrame, key: str, cols: list[str], k: int = 5, block: int
     def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(a) and len(b):
-            ids = b["_id"].to_numpy()
-            y = np.array([[np.nan if v is None else v for v in r] for r in b["v"]], dtype=np.float64)
-            have_y, y0 = ~np.isnan(y), np.nan_to_num(y)
-            for rid, v in zip(a["_id"], a["v"]):
-                x = np.array([np.nan if t is None else t for t in v], dtype=np.float64)
-                have = ~np.isnan(x)
-                common = have_y & have
-                shared = common.sum(axis=1)
-                sq = (((y0 - np.nan_to_num(x)) ** 2) * common).sum(axis=1)
-                dist = np.where(shared > 0, np.sqrt(sq * d / np.maximum(shared, 1)), np.inf)
-                for c in np.flatnonzero(~have):
-                    ok = np.flatnonzero(have_y[:, c] & np.isfinite(dist) & (ids != rid))
-                    ok = ok[np.lexsort((ids[ok], dist[ok]))][:k]
-                    if len(ok):
-                        out.append(pd.DataFrame({"_id": rid, "c": int(c), "dist": dist[ok], "donor": ids[ok], "val": y[ok, c]}))
+            (ida, x), (idb, y) = ((p["_id"].to_numpy(), np.array(p["v"].tolist(), dtype=np.float64)) for p in (a, b))
+            for (need, rows), (has, donors) in product(_patterns(x), _patterns(y)):
+                shared, cells = np.flatnonzero(need & has), np.flatnonzero(~need & has)
+                if len(shared) and len(cells):
+                    at, to, dist = _closest(x[rows][:, shared], y[donors][:, shared], ida[rows], idb[donors], k, d / len(shared))
+                    at, to = rows[at], donors[to]
+                    out += [pd.DataFrame({"_id": ida[at], "c": np.int32(c), "dist": dist, "donor": idb[to], "val": y[to, c]}) for c in cells]
         if out:
             return pd.concat(out, ignore_index=True)
         return pd.DataFrame({"_id": a["_id"][:0], "c": pd.Series(dtype="int32"), "dist": pd.Series(dtype="float64"),

@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from fundloom.operators import joins as J, means
+from fundloom.operators import boosting as B, features as E, joins as J, means, models as M
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,37 @@ def test_sums_by_products_are_sums_by_points(spark):
         cost = sum(got[m, c][1] for c in range(s.k))
         assert cost == pytest.approx((w * far.min(axis=1)).sum()) and sum(got[m, c][0] for c in range(s.k)) == w.sum()
         assert sum(got[m, c][3:] for c in range(s.k)) == pytest.approx(w @ x)
+
+
+def test_a_grid_is_boosted_by_many_tasks(spark, monkeypatch):
+    real, seen = B._blocks, []
+    monkeypatch.setattr(B, "_blocks", lambda df, *a: seen.append(df.rdd.getNumPartitions()) or real(df, *a))
+    data = spark.range(0, 40_000, 1, 1).select("id", (F.col("id") % 11).cast("double").alias("a"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    grown, _ = B.boost(data, B.binning(data, ["a"], []), [B.Spec(2, 0.1, 1.0, 1.0)], 1, "y", "id")
+    assert seen[0] >= 8 and len(grown) == 1
+
+
+def test_forests_are_grown_by_as_many_tasks_as_cores(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(M, "lead_estimator", lambda *a: type("Fits", (), {"fit": lambda _, df: seen.append(df.rdd.getNumPartitions())})())
+    M.fit_lead_model(spark.range(0, 1000, 1, 1).select(F.col("id").alias("a"), (F.col("id") % 2).alias("y")), ["a"], [], "y")
+    assert seen == [spark.sparkContext.defaultParallelism]
+
+
+def test_neighbours_in_boxes_are_neighbours(monkeypatch):
+    rng = np.random.default_rng(5)
+    # few places and repeated ids, so that many distances are equal
+    x, y = np.round(rng.random((300, 2)), 1), np.round(rng.random((3000, 2)), 1)
+    ida, idb = np.arange(300), rng.permutation(3000)
+    row, to, dist = E._closest(x, y, ida, idb, 5, 1.5)
+    for i in range(300):
+        far = np.sqrt(((y[:, 0] - x[i, 0]) ** 2 + (y[:, 1] - x[i, 1]) ** 2) * 1.5)
+        far[idb == ida[i]] = np.inf
+        want = np.lexsort((idb, far))[:5]
+        assert list(to[row == i]) == list(want) and list(dist[row == i]) == list(far[want])
+    # spread out points meet few boxes only
+    x, y, met = rng.random((64, 2)) * 0.01, rng.random((100_000, 2)), []
+    real = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: met.append(1) or real(keys))
+    E._closest(x, y, np.arange(64), np.arange(100_000) + 64, 5, 1.0)
+    assert len(met) < 40
