@@ -52,7 +52,9 @@ def lead_estimator(num: list[str], cat: list[str], label: str, algo: str = "rf",
 def fit_lead_model(df: DataFrame, num: list[str] = LEAD_NUMERIC, cat: list[str] = LEAD_CATEGORICAL, label: str = "converted",
                    algo: str = "rf", trees: int = 200, depth: int | None = None, seed: int = 42) -> PipelineModel:
     # every stage and every tree level passes over these columns again
-    train = class_weights(feature_frame(df, num, cat).select(*num, *cat, label), label).persist()
+    train = class_weights(feature_frame(df, num, cat).select(*num, *cat, label), label)
+    # dealt over the cores: each task sends the sums of all nodes of a level, so more tasks would only shuffle more
+    train = train.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
     try:
         return lead_estimator(num, cat, label, algo, trees, depth, seed).fit(train)
     finally:
