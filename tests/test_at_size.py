@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from fundloom.operators import boosting as B, features as E, joins as J, means, models as M
+from fundloom.operators import boosting as B, features as E, joins as J, means, models as M, search as S
 from pyspark.sql import functions as F
 
 
@@ -75,3 +75,11 @@ def test_neighbours_in_boxes_are_neighbours(monkeypatch):
     monkeypatch.setattr(np, "lexsort", lambda keys: met.append(1) or real(keys))
     E._closest(x, y, np.arange(64), np.arange(100_000) + 64, 5, 1.0)
     assert len(met) < 40
+
+
+def test_vectors_move_for_few_blocks_of_queries(spark, monkeypatch):
+    real, sizes = S._blocks, []
+    monkeypatch.setattr(S, "_blocks", lambda df, key, size: sizes.append(size) or real(df, key, size))
+    vectors = spark.createDataFrame([(i, [float(i % 5), 1.0]) for i in range(50)], "id int, embedding array<double>")
+    top = S.cosine_topk(vectors, vectors, "id", "id", k=2).collect()
+    assert len(top) == 100 and min(sizes) >= 4096
