@@ -1,8 +1,9 @@
-"""Text and vector search: TF-IDF over an inverted index, cosine top-k over blocks of vectors."""
+"""Text and vector search: TF-IDF over blocks of documents, cosine top-k over blocks of vectors."""
 
 from __future__ import annotations
 
 from math import ceil
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -48,13 +49,172 @@ def _unit(weights: DataFrame, key: str) -> DataFrame:
     return weights.select(key, "term", (F.col("raw") / size).alias("weight"))
 
 
+# ---- terms of blocks of documents ----------------------------------------------------------
+
+#: Characters of text in a block, and documents in a row of its postings.
+BLOCK_CHARS, SLICE = 1 << 23, 512
+
+
+def _n_blocks(docs: DataFrame, text_col: str, most: int | None = None) -> tuple[int, int]:
+    """(rows, blocks of so many characters, and of ``most`` rows)."""
+    n, chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length(text_col)), F.lit(0))).first()
+    return n, max(1, ceil(chars / BLOCK_CHARS), ceil(n / most) if most else 1)
+
+
+def _in_blocks(docs: DataFrame, key: str, text_col: str, n: int, stop_words: list[str] | None) -> DataFrame:
+    """(block, key, words): texts move once, and their words are taken where they arrive."""
+    moved = docs.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("block"), F.col(key).alias("key"), F.col(text_col).alias("text")).repartition(n, "block")
+    words = terms("text")
+    if stop_words:
+        stops = F.array(*[F.lit(w) for w in stop_words])
+        words = F.filter(words, lambda w: ~F.array_contains(stops, w))
+    return moved.select("block", "key", words.alias("words"))
+
+
+class _Block:
+    """Terms of a block in an order that its rows' order does not change, and which document has which term how often.
+
+    A word is a number, a pair of neighbours the number of both: only distinct terms become strings. Terms are dealt over
+    ``parts`` by their words, alike in all blocks.
+    """
+
+    def __init__(self, table: pa.Table, bigrams: bool, parts: int):
+        who = table.column("key").combine_chunks().dictionary_encode("encode")
+        lists = table.column("words").combine_chunks()
+        many = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(many)), many)
+        words = lists.flatten().dictionary_encode()
+        order = pc.sort_indices(words.dictionary).to_numpy()
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        self.words, n = words.dictionary.take(pa.array(order)), len(order)
+        code, doc = rank[words.indices.to_numpy()], who.indices.to_numpy()[row].astype(np.int64)
+        if bigrams:
+            pair = np.flatnonzero(row[1:] == row[:-1])
+            code, doc = np.concatenate([code, n + code[pair] * n + code[pair + 1]]), np.concatenate([doc, doc[pair]])
+        codes, term = np.unique(code, return_inverse=True)
+        at, self.tf = np.unique(doc * max(1, len(codes)) + term, return_counts=True)
+        self.keys, self.doc, self.term = who.dictionary, at // max(1, len(codes)), at % max(1, len(codes))
+        self.df = np.bincount(self.term, minlength=len(codes))
+        self.single = int(np.searchsorted(codes, n))
+        self.first = np.concatenate([codes[:self.single], (codes[self.single:] - n) // max(1, n)])
+        self.second = (codes[self.single:] - n) % max(1, n)
+        sums = np.array([crc32(w.encode()) for w in self.words.to_pylist()], dtype=np.uint64)
+        mixed = sums[self.first]
+        mixed[self.single:] += sums[self.second] * np.uint64(2654435761)
+        part = (mixed % np.uint64(parts)).astype(np.int64)
+        self.order = np.argsort(part, kind="stable")
+        self.cuts = np.searchsorted(part[self.order], np.arange(parts + 1))
+
+    def strings(self) -> pa.Array:
+        pairs = pc.binary_join_element_wise(self.words.take(pa.array(self.first[self.single:])), self.words.take(pa.array(self.second)), " ")
+        return pa.concat_arrays([self.words.take(pa.array(self.first[:self.single])), pairs])
+
+    def take(self, found: pa.Table) -> np.ndarray:
+        """Puts the counts of all blocks in place; the numbers of asked terms, -1 for the others."""
+        ids = np.full(len(self.df), -1, dtype=np.int64)
+        if found.num_rows:
+            at, df, asked = (found.column(c).combine_chunks() for c in ("at", "df", "asked"))
+            place = self.order[np.repeat(self.cuts[found.column("part").to_numpy()], pc.list_value_length(at).to_numpy(zero_copy_only=False)) + at.flatten().to_numpy()]
+            self.df[place], ids[place] = df.flatten().to_numpy(), asked.flatten().to_numpy()
+        return ids
+
+    def weigh(self, n_docs: int, min_df: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, term, weight) of kept terms, each document's of unit length."""
+        kept = (self.df >= max(1, min_df))[self.term]
+        doc, term = self.doc[kept], self.term[kept]
+        raw = self.tf[kept] * (np.log((1 + n_docs) / (1 + self.df)) + 1)[term]
+        return doc, term, raw / np.sqrt(np.bincount(doc, raw * raw, len(self.keys)))[doc]
+
+
+def _ranges(cuts: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, kind))
+
+
+def _block_terms(blocks: DataFrame, bigrams: bool, parts: int, asked: bool = False) -> DataFrame:
+    """(part, block, terms, docs): the distinct terms of a block in its order, with their documents; asked blocks count from -1 down."""
+    def run(table: pa.Table) -> pa.Table:
+        b = _Block(table, bigrams, parts)
+        own = table.column("block")[0].as_py()
+        return pa.table([
+            pa.array(np.arange(parts), pa.int32()), pa.array(np.full(parts, -1 - own if asked else own), pa.int32()),
+            pa.ListArray.from_arrays(pa.array(b.cuts, pa.int32()), b.strings().take(pa.array(b.order))), _ranges(b.cuts, b.df[b.order], pa.int32()),
+        ], names=["part", "block", "terms", "docs"])
+    return blocks.groupBy("block").applyInArrow(run, "part int, block int, terms array<string>, docs array<int>")
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """(part, block, at, df, asked): documents over all blocks of the terms of a part that their block cannot know alone."""
+    text, own = table.column("terms").combine_chunks(), table.column("docs").combine_chunks().flatten().to_numpy()
+    many = pc.list_value_length(text).to_numpy(zero_copy_only=False)
+    coded = text.flatten().dictionary_encode()
+    code, row = coded.indices.to_numpy(), np.repeat(np.arange(len(many)), many)
+    at = np.arange(len(code)) - np.repeat(np.cumsum(many) - many, many)
+    asks = (table.column("block").to_numpy() < 0)[row]
+    df = np.bincount(code, np.where(asks, 0, own), len(coded.dictionary)).astype(np.int64)
+    wanted = np.zeros(len(coded.dictionary), dtype=bool)
+    wanted[code[asks]] = True
+    send = np.flatnonzero(asks | (df[code] != own) | wanted[code])
+    cuts, code, part = np.searchsorted(send, np.concatenate([[0], np.cumsum(many)])), code[send], table.column("part").to_numpy()
+    number = np.where(wanted[code], (part[0].astype(np.int64) << 32) + code, -1) if len(part) else code
+    return pa.table([table.column("part"), table.column("block"), _ranges(cuts, at[send], pa.int32()), _ranges(cuts, df[code], pa.int64()), _ranges(cuts, number, pa.int64())],
+                    names=["part", "block", "at", "df", "asked"])
+
+
+def _counts(terms: DataFrame, parts: int) -> DataFrame:
+    return terms.repartition(parts, "part").groupBy("part").applyInArrow(_shared, "part int, block int, at array<int>, df array<bigint>, asked array<bigint>")
+
+
 def tfidf(docs: DataFrame, key: str, text_col: str, bigrams: bool = True, min_df: int = 1,
           max_features: int | None = None, stop_words: list[str] | None = None) -> DataFrame:
-    """(key, term, weight) with each document's weights of unit length."""
-    counts = term_counts(docs, key, text_col, bigrams, stop_words)
-    n = docs.agg(F.count("*").alias("n")).scalar()
-    idf = inverse_document_frequency(counts, key, n, min_df, max_features)
-    return _unit(counts.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw")), key)
+    """(key, term, weight) with each document's weights of unit length.
+
+    A block of documents sends out each of its terms once, and gets back the counts of those that other blocks have too:
+    no row per document and term is shuffled. With ``max_features`` the few kept terms are joined instead.
+    """
+    if max_features:
+        counts = term_counts(docs, key, text_col, bigrams, stop_words)
+        idf = inverse_document_frequency(counts, key, docs.agg(F.count("*").alias("n")).scalar(), min_df, max_features)
+        return _unit(counts.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw")), key)
+    rows, n = _n_blocks(docs, text_col)
+    blocks, kind = _in_blocks(docs, key, text_col, n, stop_words), docs.schema[key].dataType
+    found = _counts(_block_terms(blocks, bigrams, n), n)
+
+    def run(table: pa.Table, found: pa.Table) -> pa.Table:
+        b = _Block(table, bigrams, n)
+        b.take(found)
+        doc, term, weight = b.weigh(rows, min_df)
+        names, pieces = b.strings(), range(0, max(1, len(doc)), 1 << 16)
+        return pa.concat_tables([pa.table([b.keys.take(pa.array(doc[i:i + (1 << 16)])), names.take(pa.array(term[i:i + (1 << 16)])), pa.array(weight[i:i + (1 << 16)])],
+                                          names=[key, "term", "weight"]) for i in pieces])
+    return blocks.groupBy("block").cogroup(found.repartition(n, "block").groupBy("block")).applyInArrow(run, f"`{key}` {kind.simpleString()}, term string, weight double")
+
+
+def _postings(blocks: DataFrame, found: DataFrame, kind, bigrams: bool, parts: int, n_docs: int, n: int, asked: bool = False) -> DataFrame:
+    """(block, keys, row, term, weight): postings of asked terms, so many documents a row."""
+    def run(table: pa.Table, found: pa.Table) -> pa.Table:
+        b = _Block(table, bigrams, parts)
+        ids = b.take(found)
+        doc, term, weight = b.weigh(n_docs, 1)
+        # only queries may go without a name
+        some = (ids[term] >= 0) & (asked | b.keys.is_valid().to_numpy(zero_copy_only=False)[doc])
+        doc, term, weight = doc[some], ids[term[some]], weight[some]
+        firsts = np.arange(0, len(b.keys), SLICE)
+        cuts = np.searchsorted(doc, np.append(firsts, len(b.keys)))
+        return pa.table([
+            pa.array(np.full(len(firsts), table.column("block")[0].as_py()), pa.int32()), pa.ListArray.from_arrays(pa.array(np.append(firsts, len(b.keys)), pa.int32()), b.keys),
+            _ranges(cuts, doc % SLICE, pa.int32()), _ranges(cuts, term, pa.int64()), _ranges(cuts, weight, pa.float64()),
+        ], names=["block", "keys", "row", "term", "weight"])
+    own = found.filter("block < 0").withColumn("block", -1 - F.col("block")) if asked else found.filter("block >= 0")
+    return blocks.groupBy("block").cogroup(own.repartition(n, "block").groupBy("block")).applyInArrow(
+        run, f"block int, keys array<{kind.simpleString()}>, row array<int>, term array<bigint>, weight array<double>")
+
+
+def _unpacked(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    keys, row, term, weight = (table.column(c).combine_chunks() for c in ("keys", "row", "term", "weight"))
+    sizes = pc.list_value_length(keys).to_numpy(zero_copy_only=False)
+    start = np.repeat(np.cumsum(sizes) - sizes, pc.list_value_length(row).to_numpy(zero_copy_only=False))
+    return keys.flatten(), start + row.flatten().to_numpy(), term.flatten().to_numpy(), weight.flatten().to_numpy()
 
 
 def _scored(k: int, docs_as: pa.DataType, asked_as: pa.DataType, step: int = 1 << 21):
@@ -63,16 +223,17 @@ def _scored(k: int, docs_as: pa.DataType, asked_as: pa.DataType, step: int = 1 <
         none = pa.table([pa.array([], asked_as), pa.array([], docs_as), pa.array([], pa.float64())], names=["q", "d", "score"])
         if not left.num_rows or not right.num_rows:
             return none
-        terms = right.column("term").combine_chunks().dictionary_encode()
-        asked, docs = right.column("q").combine_chunks().dictionary_encode(), left.column("d").combine_chunks().dictionary_encode()
-        n_asked, n_docs = len(asked.dictionary), len(docs.dictionary)
-        by_term = np.argsort(terms.indices.to_numpy(), kind="stable")
-        whose, qw = asked.indices.to_numpy()[by_term], right.column("qw").to_numpy()[by_term]
-        first = np.searchsorted(terms.indices.to_numpy()[by_term], np.arange(len(terms.dictionary) + 1))
-        at = pc.index_in(left.column("term"), terms.dictionary).combine_chunks()
-        hit = np.flatnonzero(~at.is_null().to_numpy(zero_copy_only=False))
-        term = at.fill_null(0).to_numpy()[hit]
-        row, weight = docs.indices.to_numpy()[hit], left.column("weight").to_numpy()[hit]
+        (docs, row, term, weight), (asked, whose, theirs, qw) = _unpacked(left), _unpacked(right)
+        n_asked, n_docs = len(asked), len(docs)
+        by_term = np.argsort(theirs, kind="stable")
+        whose, qw = whose[by_term], qw[by_term]
+        names, first = np.unique(theirs[by_term], return_index=True)
+        first = np.append(first, len(theirs))
+        if not len(names):
+            return none
+        at = np.minimum(np.searchsorted(names, term), len(names) - 1)
+        hit = np.flatnonzero(names[at] == term)
+        term, row, weight = at[hit], row[hit], weight[hit]
         many = first[term + 1] - first[term]
         score, ends, start = np.zeros(n_docs * n_asked), np.cumsum(many), 0
         while start < len(term):
@@ -80,11 +241,15 @@ def _scored(k: int, docs_as: pa.DataType, asked_as: pa.DataType, step: int = 1 <
             stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + step, side="right")))
             n = many[start:stop]
             place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[term[start:stop]], n)
-            score += np.bincount(np.repeat(row[start:stop], n) * n_asked + whose[place], np.repeat(weight[start:stop], n) * qw[place], len(score))
+            spots, product = np.repeat(row[start:stop], n) * n_asked + whose[place], np.repeat(weight[start:stop], n) * qw[place]
+            # postings come by document, so the products lie within few documents
+            low = int(row[start:stop].min()) * n_asked
+            high = (int(row[start:stop].max()) + 1) * n_asked
+            score[low:high] += np.bincount(spots - low, product, high - low)
             start = stop
         score = np.floor(score.reshape(n_docs, n_asked) * 100 * 100 + 0.5) / 100
         # ties go to the smaller document
-        order = pc.sort_indices(docs.dictionary).to_numpy()
+        order = pc.sort_indices(docs).to_numpy()
         score, out = score[order], []
         for j in range(n_asked):
             own = score[:, j]
@@ -93,7 +258,7 @@ def _scored(k: int, docs_as: pa.DataType, asked_as: pa.DataType, step: int = 1 <
             some = some[np.argsort(-own[some], kind="stable")][:k]
             out.append((np.full(len(some), j), order[some], own[some]))
         q, d, s = (np.concatenate(c) for c in zip(*out))
-        return pa.table([asked.dictionary.take(pa.array(q)), docs.dictionary.take(pa.array(d)), pa.array(s)], names=["q", "d", "score"])
+        return pa.table([asked.take(pa.array(q)), docs.take(pa.array(d)), pa.array(s)], names=["q", "d", "score"])
     return run
 
 
@@ -101,28 +266,21 @@ def tfidf_search(queries: DataFrame, corpus: DataFrame, qkey: str, qtext: str, k
                  bigrams: bool = True, stop_words: list[str] | None = None, doc_block: int = 4096, query_block: int = 512) -> DataFrame:
     """Top ``k`` documents per query by TF-IDF cosine, as a percentage; ties to the smaller key.
 
-    The corpus is counted once. Only postings of terms that some query has leave that table, and each block of documents
-    scores a block of queries from them as a sparse product and keeps ``k`` documents per query, so no row per query and
-    document exists anywhere. A term that nearly all documents have is spread over all blocks.
+    Blocks of documents and of queries send out each of their terms once. What comes back are counts over the corpus and
+    the numbers of terms that some query has; only postings of these leave a block, some hundred documents in a row, and
+    each block of documents scores a block of queries from them as a sparse product and keeps ``k`` documents per query.
     """
-    counts = cut_lineage(term_counts(corpus, key, text_col, bigrams, stop_words))
-    sizes = corpus.agg(F.count("*").alias("n")).first().n, queries.select(qkey).count()
-    idf = inverse_document_frequency(counts, key, F.lit(sizes[0]))
-    asked = _unit(term_counts(queries, qkey, qtext, bigrams, stop_words).join(idf, "term").select(qkey, "term", (F.col("tf") * F.col("idf")).alias("raw")), qkey)
-    asked = cut_lineage(asked.select(F.col(qkey).alias("q"), "term", F.col("weight").alias("qw")))
-    weighed = counts.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("raw"))
-    length = weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_length"))
-    posted = weighed.join(asked.select("term").distinct(), "term", "left_semi").join(length, key).select(
-        F.col(key).alias("d"), "term", (F.col("raw") / F.col("_length")).alias("weight"))
-    nd, nq = max(1, ceil(sizes[0] / doc_block)), max(1, ceil(sizes[1] / query_block))
-    slot = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = posted.withColumn("db", slot("d", nd)).withColumn("qb", every(nq))
-    right = asked.withColumn("qb", slot("q", nq)).withColumn("db", every(nd))
+    (n_docs, nd), (_, nq) = _n_blocks(corpus, text_col, doc_block), _n_blocks(queries, qtext, query_block)
+    docs, asks = _in_blocks(corpus, key, text_col, nd, stop_words), _in_blocks(queries, qkey, qtext, nq, stop_words)
+    found = cut_lineage(_counts(_block_terms(docs, bigrams, nd).unionByName(_block_terms(asks, bigrams, nd, True)), nd))
     kinds = queries.schema[qkey].dataType, corpus.schema[key].dataType
-    found = left.groupBy("db", "qb").cogroup(right.groupBy("db", "qb")).applyInArrow(
+    left = _postings(docs, found, kinds[1], bigrams, nd, n_docs, nd).withColumnRenamed("block", "db")
+    right = _postings(asks, found, kinds[0], bigrams, nd, n_docs, nq, True).withColumnRenamed("block", "qb")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left, right = left.withColumn("qb", every(nq)), right.withColumn("db", every(nd))
+    scored = left.groupBy("db", "qb").cogroup(right.groupBy("db", "qb")).applyInArrow(
         _scored(k, to_arrow_type(kinds[1]), to_arrow_type(kinds[0])), f"q {kinds[0].simpleString()}, d {kinds[1].simpleString()}, score double")
-    top = topk(found, ["q"], [F.desc("score"), F.col("d")], k, rank="rank")
+    top = topk(scored, ["q"], [F.desc("score"), F.col("d")], k, rank="rank")
     return top.select(F.col("q").alias(qkey), F.col("d").alias(key), F.col("score").alias("match_score"), "rank")
 
 

@@ -83,3 +83,53 @@ def test_vectors_move_for_few_blocks_of_queries(spark, monkeypatch):
     vectors = spark.createDataFrame([(i, [float(i % 5), 1.0]) for i in range(50)], "id int, embedding array<double>")
     top = S.cosine_topk(vectors, vectors, "id", "id", k=2).collect()
     assert len(top) == 100 and min(sizes) >= 4096
+
+
+ODD_TEXTS = [(1, "a bb cc bb cc"), (2, None), (3, ""), (4, "bb bb Bb é"), (5, "cc bb, dd_1 bb cc"), (5, "cc éé"), (6, "solo"), (None, "bb cc")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_row_per_document_and_term_is_shuffled_for_weights(spark, monkeypatch):
+    docs = spark.createDataFrame(ODD_TEXTS, "id int, t string")
+    for chars in (4, 1 << 20):
+        monkeypatch.setattr(S, "BLOCK_CHARS", chars, raising=False)
+        for bigrams, least in ((True, 1), (False, 1), (True, 2)):
+            w = S.tfidf(docs, "id", "t", bigrams=bigrams, min_df=least)
+            plan = _plan(w)
+            assert "hashpartitioning(term" not in plan and "hashpartitioning(id" not in plan
+            counts = S.term_counts(docs, "id", "t", bigrams)
+            idf = S.inverse_document_frequency(counts, "id", F.lit(len(ODD_TEXTS)), least)
+            want = S._unit(counts.join(idf, "term").select("id", "term", (F.col("tf") * F.col("idf")).alias("raw")), "id")
+            got = {(r.id, r.term): r.weight for r in w.collect()}
+            assert got and got == pytest.approx({(r.id, r.term): r.weight for r in want.collect()})
+    assert S.tfidf(docs.limit(0), "id", "t").collect() == []
+
+
+def test_search_over_blocks_is_search_over_all(spark, monkeypatch):
+    docs = spark.createDataFrame(ODD_TEXTS + [(i, f"word{i % 7} bb word{i % 3} cc") for i in range(7, 60)], "id long, t string")
+    asks = spark.createDataFrame([(f"q{i}", f"bb word{i} nowhere") for i in range(9)] + [("none", "nowhere"), ("null", None)], "q string, u string")
+    monkeypatch.setattr(S, "SLICE", 3, raising=False)
+    seen = []
+    for chars, block in ((1 << 20, 4096), (40, 5)):
+        monkeypatch.setattr(S, "BLOCK_CHARS", chars, raising=False)
+        monkeypatch.setattr(S, "cut_lineage", lambda df: seen.append(df.columns) or df)
+        found = S.tfidf_search(asks, docs, "q", "u", "id", "t", 4, doc_block=block, query_block=3)
+        got = sorted(map(tuple, found.select("q", "id", "match_score", "rank").collect()))
+        n = docs.count()
+        counts = S.term_counts(docs, "id", "t")
+        idf = S.inverse_document_frequency(counts, "id", F.lit(n))
+        unit = lambda c, k: {(r[0], r[1]): r[2] for r in S._unit(c.join(idf, "term").select(k, "term", (F.col("tf") * F.col("idf")).alias("raw")), k).collect()}
+        mine, theirs, want = unit(counts, "id"), unit(S.term_counts(asks, "q", "u"), "q"), []
+        for q in {q for q, _ in theirs}:
+            sums = {}
+            for (d, term), w in mine.items():
+                if d is not None and (q, term) in theirs:
+                    sums[d] = sums.get(d, 0) + w * theirs[q, term]
+            best = sorted((-np.floor(v * 100 * 100 + 0.5) / 100, d) for d, v in sums.items())[:4]
+            want += [(q, d, -s, i + 1) for i, (s, d) in enumerate(best)]
+        assert got == sorted(want)
+    # what is written are counts of shared terms, not the postings
+    assert all("term" not in c and "tf" not in c for c in seen)
