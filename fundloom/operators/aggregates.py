@@ -40,8 +40,17 @@ def interaction_pairs(txns: DataFrame, user="user", item="item", amount="amount"
 
 
 def pivot_interactions(pairs: DataFrame, items: list[str]) -> DataFrame:
-    """0/1 matrix over a given small list of items."""
-    return pairs.groupBy("user").pivot("item", items).agg(F.lit(1)).fillna(0, items)
+    """0/1 matrix over a given small list of items.
+
+    A user's row is aggregated as one bit per item, not as one value per item, and spread out afterwards.
+    """
+    slot = F.element_at(F.create_map(*[F.lit(x) for i, name in enumerate(items) for x in (name, i)]), F.col("item")) if items else F.lit(None).cast("int")
+    words = (len(items) + 62) // 63
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_slot") % 63)
+    bits = [F.bit_or(F.when((F.col("_slot") >= 63 * w) & (F.col("_slot") < 63 * (w + 1)), bit)).alias(f"_w{w}") for w in range(words)]
+    held = pairs.select("user", slot.alias("_slot")).groupBy("user")
+    out = held.agg(*bits) if bits else pairs.select("user").distinct()
+    return out.select("user", *[F.coalesce(F.getbit(F.col(f"_w{i // 63}"), F.lit(i % 63)).cast("int"), F.lit(0)).alias(name) for i, name in enumerate(items)])
 
 
 def melt(df: DataFrame, ids: list[str], var: str = "year", value: str = "value") -> DataFrame:
