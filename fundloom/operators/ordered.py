@@ -80,19 +80,18 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], accuracy
     sketch = df.agg(F.struct(*[
         F.struct(F.count(v).alias("n"), F.percentile_approx(v, ends, accuracy).alias("e")).alias(c) for c, v in clean.items()
     ]).alias("s"))
-    spots = []
+    limits, at = [], F.col("s")
     for c in cols:
-        for i, p in enumerate(probs):
-            few = F.col(f"_s.`{c}`.n") <= accuracy
-            lo = F.when(few, float("-inf")).otherwise(F.col(f"_s.`{c}`.e")[2 * i])
-            hi = F.when(few, float("inf")).otherwise(F.col(f"_s.`{c}`.e")[2 * i + 1])
-            v = F.col(f"_c.`{c}`")
-            spots.append(F.when(v <= hi, F.struct(
-                F.lit(c).alias("column"), F.lit(float(p)).alias("prob"), F.when(v >= lo, v).alias("value"))))
+        few = at[c]["n"] <= accuracy
+        limits += [F.struct(F.lit(c).alias("_of"), F.lit(float(p)).alias("prob"), F.when(few, float("-inf")).otherwise(at[c]["e"][2 * i]).alias("_lo"),
+                            F.when(few, float("inf")).otherwise(at[c]["e"][2 * i + 1]).alias("_hi")) for i, p in enumerate(probs)]
+    # a join with these few rows is code that the JVM compiles; one expression over all brackets is too long for that
+    limits = sketch.select(F.inline(F.array(*limits)))
+    values = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), v.alias("_v")) for c, v in clean.items()]))).filter("_v is not null")
     counts = (
-        df.select(F.struct(*[v.alias(c) for c, v in clean.items()]).alias("_c"))
-        .withColumn("_s", sketch.scalar()).select(F.explode(F.array(*spots)).alias("k")).filter("k is not null")
-        .groupBy("k.column", "k.prob", "k.value").agg(F.count("*").alias("cnt"))
+        # a handful of rows; dealt by column, all values of one would meet in one task
+        values.join(F.broadcast(limits), (F.col("column") == F.col("_of")) & (F.col("_v") <= F.col("_hi")))
+        .groupBy("column", "prob", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("value")).agg(F.count("*").alias("cnt"))
     )
     ranked = running_totals(counts, ["value"], {"cum": F.col("cnt")}, by=["column", "prob"], aggregated=True)
     size = F

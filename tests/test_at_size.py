@@ -3,7 +3,8 @@
 import numpy as np
 import pandas as pd
 import pytest
-from fundloom.operators import boosting as B, features as E, joins as J, means, models as M, search as S
+from fundloom.operators import aggregates as A, boosting as B, features as E, joins as J, means, models as M, search as S
+from fundloom.operators.ordered import exact_quantiles
 from pyspark.sql import functions as F
 
 
@@ -133,3 +134,24 @@ def test_search_over_blocks_is_search_over_all(spark, monkeypatch):
         assert got == sorted(want)
     # what is written are counts of shared terms, not the postings
     assert all("term" not in c and "tf" not in c for c in seen)
+
+
+def test_a_users_row_is_aggregated_as_bits(spark):
+    items = [f"i{k}" for k in range(130)] + ["a.b"]
+    held = [("u", i) for i in ("i0", "i62", "i63", "i125", "i126", "i0")] + [("v", "other"), (None, "a.b"), ("u", None)]
+    wide = A.pivot_interactions(spark.createDataFrame(held, "user string, item string"), items)
+    assert "pivotfirst" not in _plan(wide).lower()
+    want = [(u, *[int((u, i) in held) for i in items]) for u in ("u", "v", None)]
+    assert sorted(map(tuple, wide.collect()), key=str) == sorted(want, key=str)
+
+
+def test_values_below_a_bracket_are_compared_in_a_join_not_one_by_one(spark):
+    xs = np.round(np.random.default_rng(2).random(30_000) * 1000, 1)
+    frame = spark.createDataFrame(pd.DataFrame({"a": xs, "b": xs % 7}), "a double, b double").unionByName(
+        spark.createDataFrame([(None, float("nan"))], "a double, b double"))
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = exact_quantiles(frame, ["a", "b"], probs)
+    plan = _plan(got)
+    assert "_lo" in plan and "BroadcastHashJoin [column" in plan
+    assert {(r.column, r.prob): r.value for r in got.collect()} == pytest.approx(
+        {(c, p): np.quantile(v, p) for c, v in (("a", xs), ("b", xs % 7)) for p in probs})
