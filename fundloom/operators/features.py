@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, MinMaxScaler, OneHotEncoder, RegexTokenizer, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.scalars import safe_div
 from .aggregates import target_means
@@ -87,6 +87,11 @@ def hashing_tfidf(df: DataFrame, text_col: str, features: int = 1 << 16) -> Pipe
                             IDF(inputCol="tf", outputCol="tfidf")]).fit(df)
 
 
+def positive_entries(col: str) -> Column:
+    """How many entries of a vector are above zero; only stored entries are visited, not one slot per feature."""
+    return F.udf(lambda v: None if v is None else int((v.values > 0).sum()), T.IntegerType())(col)
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, seed: int = 42) -> DataFrame:
     """``is_test`` marks ceil(test * n) rows of every class, chosen by a hash of the key."""
     take = _by_class(df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.ceil(F.count("*") * test).alias("_take")), label, "_take")

@@ -82,7 +82,7 @@ def class_weights(t):
 @query()
 def hashed_tfidf(t):
     m = E.hashing_tfidf(t.documents, "text")
-    return m.transform(t.documents).select("doc_id", F.size(F.filter(vector_to_array("tfidf"), lambda v: v > 0)).alias("terms"))
+    return m.transform(t.documents).select("doc_id", E.positive_entries("tfidf").alias("terms"))
 
 
 def _lead_data(t):

@@ -155,3 +155,14 @@ def test_values_below_a_bracket_are_compared_in_a_join_not_one_by_one(spark):
     assert "_lo" in plan and "BroadcastHashJoin [column" in plan
     assert {(r.column, r.prob): r.value for r in got.collect()} == pytest.approx(
         {(c, p): np.quantile(v, p) for c, v in (("a", xs), ("b", xs % 7)) for p in probs})
+
+
+def test_terms_of_a_hashed_vector_are_counted_without_its_zeros(spark, tables):
+    from fundloom.plans import all_queries, registry
+    from pyspark.ml.functions import vector_to_array
+    all_queries.load()
+    got = registry.QUERIES["hashed_tfidf"](spark, tables.folder)
+    assert "vector_to_array" not in _plan(got).lower() and got.schema["terms"].dataType.simpleString() == "int"
+    m = E.hashing_tfidf(tables.documents, "text").transform(tables.documents)
+    want = m.select("doc_id", F.size(F.filter(vector_to_array("tfidf"), lambda v: v > 0)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
