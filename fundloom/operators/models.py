@@ -5,14 +5,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, HashingTF, IndexToString, NGram, Normalizer, OneHotEncoder,
+from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, IndexToString, NGram, Normalizer, OneHotEncoder,
                                 RegexTokenizer, SQLTransformer, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.param.shared import HasInputCol, HasNumFeatures, HasOutputCol
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.scalars import default, to_number
@@ -143,6 +148,72 @@ def top_features(model: PipelineModel, df: DataFrame, num: list[str], cat: list[
 
 # ---- sentiment model -----------------------------------------------------------------------
 
+#: Words whose terms are counted together; a single text is never cut.
+SLICE_WORDS = 1 << 20
+
+
+def _murmur3(terms: pa.Array, seed: int = 42) -> np.ndarray:
+    """MurmurHash3 (32 bits, as a signed number) of each string's UTF-8 bytes: the hash of ``HashingTF``."""
+    at = np.frombuffer(terms.buffers()[1], np.int32)[terms.offset:terms.offset + len(terms) + 1].astype(np.int64)
+    start, size = at[:-1], np.diff(at)
+    data = np.concatenate([np.frombuffer(terms.buffers()[2] or b"", np.uint8), np.zeros(4, np.uint8)]).astype(np.uint32)
+    word = lambda i: data[i] | data[i + 1] << 8 | data[i + 2] << 16 | data[i + 3] << 24
+    turn = lambda x, r: x << np.uint32(r) | x >> np.uint32(32 - r)
+    mix = lambda k: turn(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+    h = np.full(len(terms), seed, np.uint32)
+    for i in range(int(size.max(initial=0)) // 4):
+        on = np.flatnonzero(size >= 4 * i + 4)
+        h[on] = turn(h[on] ^ mix(word(start[on] + 4 * i)), 13) * np.uint32(5) + np.uint32(0xE6546B64)
+    rest = (size % 4).astype(np.uint32)
+    h ^= mix(word(start + size - size % 4) & ((np.uint32(1) << rest * np.uint32(8)) - np.uint32(1)))
+    h ^= size.astype(np.uint32)
+    h = (h ^ h >> np.uint32(16)) * np.uint32(0x85EBCA6B)
+    h = (h ^ h >> np.uint32(13)) * np.uint32(0xC2B2AE35)
+    return (h ^ h >> np.uint32(16)).view(np.int32)
+
+
+def _term_vectors(lists: pa.Array, buckets: int) -> pa.Array:
+    """Sparse counts of the words and bigrams of each list, as ``VectorUDT`` stores them."""
+    many = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(many)), many)
+    words = lists.flatten().dictionary_encode()
+    code, names = words.indices.to_numpy().astype(np.int64), words.dictionary
+    # a word is a number, a pair of neighbours the number of both: only distinct terms are strings
+    first = np.flatnonzero(row[1:] == row[:-1])
+    pairs, pair = np.unique(code[first] * len(names) + code[first + 1], return_inverse=True)
+    joined = pc.binary_join_element_wise(names.take(pa.array(pairs // max(1, len(names)))), names.take(pa.array(pairs % max(1, len(names)))), " ")
+    slot = np.concatenate([_murmur3(names)[code], _murmur3(joined)[pair]]).astype(np.int64) % buckets
+    at, times = np.unique(np.concatenate([row, row[first]]) * buckets + slot, return_counts=True)
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(at // buckets, minlength=len(many)))]).astype(np.int32))
+    parts = [pa.array(np.zeros(len(many), np.int8)), pa.array(np.full(len(many), buckets, np.int32)),
+             pa.ListArray.from_arrays(ends, pa.array((at % buckets).astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(times.astype(np.float64)))]
+    return pa.StructArray.from_arrays(parts, names=["type", "size", "indices", "values"])
+
+
+class TermHasher(Transformer, HasInputCol, HasOutputCol, HasNumFeatures, DefaultParamsReadable, DefaultParamsWritable):
+    """Counts of a word list's words and bigrams in hashed buckets, the vectors of ``NGram`` and ``HashingTF``.
+
+    Those turn every term of every text into a string and hash it; here a batch hashes each of its distinct terms once.
+    """
+
+    def __init__(self, inputCol: str | None = None, outputCol: str | None = None, numFeatures: int = 1 << 18):
+        super().__init__()
+        self._setDefault(numFeatures=1 << 18)
+        self._set(inputCol=inputCol, outputCol=outputCol, numFeatures=numFeatures)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        buckets, limit = self.getNumFeatures(), SLICE_WORDS
+
+        def count(lists: pa.Array) -> pa.Array:
+            ends = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).cumsum()
+            cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(ends // limit)) + 1, [len(ends)]]))
+            return pa.concat_arrays([_term_vectors(lists[a:b], buckets) for a, b in zip(cuts, cuts[1:])] or [_term_vectors(lists, buckets)])
+
+        # named by value, so that workers need not find the annotations of this module
+        count.__annotations__ = {"lists": pa.Array, "return": pa.Array}
+        return dataset.withColumn(self.getOutputCol(), F.arrow_udf(count, VectorUDT())(self.getInputCol()))
+
+
 def fit_sentiment(df: DataFrame, text_col: str, label_col: str, max_features: int | None = None, min_df: int = 2, max_iter: int = 200,
                   vector_col: str | None = None, strength: float = 1.0, buckets: int = 1 << 18) -> PipelineModel:
     """Word and bigram TF-IDF (or a given vector column) into a class-weighted multinomial regression.
@@ -153,19 +224,22 @@ def fit_sentiment(df: DataFrame, text_col: str, label_col: str, max_features: in
     stages = [StringIndexer(inputCol=label_col, outputCol="_label", handleInvalid="skip", stringOrderType="alphabetAsc")]
     if vector_col is None:
         stages += [
-            RegexTokenizer(inputCol=text_col, outputCol="w1", pattern=r"(?U)\b\w\w+\b", gaps=False),
-            NGram(n=2, inputCol="w1", outputCol="w2"),
-            SQLTransformer(statement="SELECT *, concat(w1, w2) AS grams FROM __THIS__"),
-            CountVectorizer(inputCol="grams", outputCol="tf", vocabSize=max_features, minDF=min_df) if max_features
-            else HashingTF(inputCol="grams", outputCol="tf", numFeatures=buckets),
+            # a run of word characters ends at word boundaries, so the pattern need not look for them
+            RegexTokenizer(inputCol=text_col, outputCol="w1", pattern=r"(?U)\w\w+", gaps=False),
+            *([NGram(n=2, inputCol="w1", outputCol="w2"), SQLTransformer(statement="SELECT *, concat(w1, w2) AS grams FROM __THIS__"),
+               CountVectorizer(inputCol="grams", outputCol="tf", vocabSize=max_features, minDF=min_df)] if max_features
+              else [TermHasher(inputCol="w1", outputCol="tf", numFeatures=buckets)]),
         ]
     # the label is only needed for fitting: the scoring model leaves its indexer out
     train = df.withColumn(text_col, default(text_col, "")) if vector_col is None else df
     train = class_weights(train.select(vector_col or text_col, label_col), label_col).persist()
+    counted = None
     try:
         shaped = Pipeline(stages=stages).fit(train)
         rows, done = shaped.transform(train), list(shaped.stages)
         if vector_col is None:
+            # three passes read the counts; on disk they leave the memory to the blocks that every step of the regression reads
+            rows = counted = rows.select("_label", "weight", "tf").persist(StorageLevel.DISK_ONLY)
             idf = IDF(inputCol="tf", outputCol="_idf").fit(rows)
             seen = np.array(idf.docFreq) >= min_df
             weigh = ElementwiseProduct(inputCol="tf", outputCol="_w", scalingVec=Vectors.dense(np.where(seen, idf.idf.toArray() + 1, 0.0)))
@@ -175,6 +249,8 @@ def fit_sentiment(df: DataFrame, text_col: str, label_col: str, max_features: in
         done.append(lr.fit(rows))
     finally:
         train.unpersist()
+        if counted is not None:
+            counted.unpersist()
     # names by code come from the indexer, however many there are
     return PipelineModel([*done[1:], IndexToString(inputCol="prediction", outputCol="predicted_label", labels=shaped.stages[0].labels)])
 

@@ -166,3 +166,22 @@ def test_terms_of_a_hashed_vector_are_counted_without_its_zeros(spark, tables):
     m = E.hashing_tfidf(tables.documents, "text").transform(tables.documents)
     want = m.select("doc_id", F.size(F.filter(vector_to_array("tfidf"), lambda v: v > 0)))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_terms_are_hashed_by_batch_and_as_by_hashing_tf(spark, monkeypatch):
+    from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer
+    texts = ["a bb cc bb cc", "", "é über 你好吗 你好 x́y ab‍cd foo_bar ²½ ٣٤ bb cc", "solo", "q" * 37 + " zz", "\U0001d400\U0001d401 ‿‿ à", "̀́ -́b ć"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "id int, t string").repartition(2)
+    words = RegexTokenizer(inputCol="t", outputCol="w1", pattern=r"(?U)\b\w\w+\b", gaps=False).transform(docs)
+    grams = NGram(n=2, inputCol="w1", outputCol="w2").transform(words).withColumn("grams", F.concat("w1", "w2"))
+    plain = RegexTokenizer(inputCol="t", outputCol="w1", pattern=r"(?U)\w\w+", gaps=False).transform(docs)
+    for buckets, limit in ((1 << 18, 1 << 20), (100, 4)):
+        monkeypatch.setattr(M, "SLICE_WORDS", limit)
+        want = HashingTF(inputCol="grams", outputCol="tf", numFeatures=buckets).transform(grams)
+        got = M.TermHasher("w1", "tf", buckets).transform(plain)
+        assert sorted(got.select("id", "w1", "tf").collect()) == sorted(want.select("id", "w1", "tf").collect())
+    # passes of the fit read saved counts, not texts
+    real, seen = IDF.fit, []
+    monkeypatch.setattr(IDF, "fit", lambda self, df: seen.append(df.storageLevel.useDisk) or real(self, df))
+    data = spark.createDataFrame([("great profit up", "1"), ("bad loss down", "0")] * 20, "t string, label string")
+    assert "HashingTF" not in str(M.fit_sentiment(data, "t", "label").stages) and seen == [True]
