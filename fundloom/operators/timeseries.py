@@ -6,12 +6,13 @@ however skewed the raw table is. Streams of events without that bound go through
 
 from __future__ import annotations
 
-from math import log10
+from math import ceil, log10
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.rules import signal_score
 from ..functions.scalars import clamp, round_even, safe_div, signature
+from ..session import shuffle_width
 from .ordered import global_rank, last_rows_window, running_totals
 from .quality import dedupe
 
@@ -26,6 +27,16 @@ def _w(key: str, date: str, lo: int | None = None, hi: int = 0):
     return w if lo is None else w.rowsBetween(lo, hi)
 
 
+#: Days of calendars that a task sorts.
+TASK_DAYS = 1 << 21
+
+
+def dealt_by_days(df: DataFrame, key: str, date: str) -> DataFrame:
+    """Entities dealt over so many tasks that the days between their first and last rows, summed, are about ``TASK_DAYS`` in each."""
+    days = df.groupBy(key).agg((F.datediff(F.max(date), F.min(date)) + 1).alias("n")).agg(F.sum("n").alias("n")).first()["n"] or 0
+    return df.repartition(max(shuffle_width(df.sparkSession), ceil(days / TASK_DAYS)), key)
+
+
 def sma(df: DataFrame, n: int, key="scheme", date="date", col="nav", min_periods: int = 1, name: str | None = None) -> DataFrame:
     w = _w(key, date, -(n - 1))
     out = F.when(F.count(col).over(w) >= min_periods, F.avg(col).over(w))
@@ -156,9 +167,13 @@ def inverse_minmax(scaled, lo, hi) -> Column:
     return s * (hi - lo) + lo
 
 
-def nav_preprocess(nav: DataFrame, key="scheme", date="date", col="nav") -> DataFrame:
-    """Per scheme: daily calendar with forward fill, 7- and 30-day means, scaling to [0, 1]. One job for all schemes."""
-    one = daily(nav, key, date)
+def nav_preprocess(nav: DataFrame, key="scheme", date="date", col="nav", dealt: bool = False) -> DataFrame:
+    """Per scheme: daily calendar with forward fill, 7- and 30-day means, scaling to [0, 1]. One job for all schemes.
+
+    A job before it sizes the tasks, unless ``dealt`` says that ``nav`` already comes from ``dealt_by_days``.
+    """
+    # rows that a task reads become the days that it sorts; duplicates, windows and bounds need no other shuffle
+    one = daily(nav if dealt else dealt_by_days(nav, key, date), key, date)
     full = forward_fill(one, key, date, col)
     full = sma(full, 7, key, date, col, name="nav_sma_7")
     full = sma(full, 30, key, date, col, name="nav_sma_30")

@@ -34,7 +34,7 @@ def forward_fill(t):
 SELECT scheme, date, nav, round(avg(nav) OVER (PARTITION BY scheme ORDER BY date ROWS 6 PRECEDING), 6) AS nav_sma_7, round(avg(nav) OVER (PARTITION BY scheme ORDER BY date ROWS 29 PRECEDING), 6) AS nav_sma_30,
  round((nav - lo) / (hi - lo), 8) AS nav_scaled FROM filled JOIN r USING (scheme)""", "nav")
 def nav_preprocess(t):
-    p = TS.nav_preprocess(V.nav(t))
+    p = TS.nav_preprocess(V.nav(t, TS.dealt_by_days), dealt=True)
     return p.select("scheme", "date", "nav", F.round("nav_sma_7", 6).alias("nav_sma_7"), F.round("nav_sma_30", 6).alias("nav_sma_30"), F.round("nav_scaled", 8).alias("nav_scaled"))
 
 

@@ -149,9 +149,10 @@ def catalog(t: Tables) -> DataFrame:
 @view("nav", """
 SELECT l_suppkey AS scheme, CAST(l_shipdate AS DATE) AS date, max(sqrt(l_extendedprice / l_quantity)) AS nav
 FROM lineitem GROUP BY 1, 2""")
-def nav(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy(F.col("l_suppkey").alias("scheme"), F.to_date("l_shipdate").alias("date")).agg(
-        F.max(F.sqrt(F.col("l_extendedprice") / F.col("l_quantity"))).alias("nav"))
+def nav(t: Tables, deal=lambda df, key, date: df) -> DataFrame:
+    """``deal`` may spread the raw rows by scheme before they are grouped, so that no other shuffle is needed."""
+    raw = t.lineitem.select(F.col("l_suppkey").alias("scheme"), F.to_date("l_shipdate").alias("date"), "l_extendedprice", "l_quantity")
+    return deal(raw, "scheme", "date").groupBy("scheme", "date").agg(F.max(F.sqrt(F.col("l_extendedprice") / F.col("l_quantity"))).alias("nav"))
 
 
 @view("bench", "SELECT CAST(l_shipdate AS DATE) AS date, max(sqrt(l_extendedprice / l_quantity)) AS close FROM lineitem GROUP BY 1")

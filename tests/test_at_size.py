@@ -185,3 +185,22 @@ def test_terms_are_hashed_by_batch_and_as_by_hashing_tf(spark, monkeypatch):
     monkeypatch.setattr(IDF, "fit", lambda self, df: seen.append(df.storageLevel.useDisk) or real(self, df))
     data = spark.createDataFrame([("great profit up", "1"), ("bad loss down", "0")] * 20, "t string, label string")
     assert "HashingTF" not in str(M.fit_sentiment(data, "t", "label").stages) and seen == [True]
+
+
+def test_days_of_calendars_are_dealt_over_tasks(spark, tables, monkeypatch):
+    from fundloom.operators import timeseries as TS
+    from fundloom.plans import all_queries, registry
+    all_queries.load()
+    nav = spark.sql("SELECT id % 40 AS scheme, date_add(DATE'2020-01-01', CAST(id * 37 % 900 AS INT)) AS date, id / 7.0D AS nav FROM range(1000)")
+    whole = TS.nav_preprocess(nav)
+    monkeypatch.setattr(TS, "TASK_DAYS", 1000)
+    many = TS.nav_preprocess(nav)
+    # 40 schemes of up to 900 days each; neither windows, bounds nor duplicates are shuffled again
+    days = whole.count()
+    assert _plan(many).count("hashpartitioning(") == 2 == _plan(many).count("REPARTITION_BY_NUM")
+    assert many.rdd.getNumPartitions() == -(-days // 1000) > 16
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, whole.collect()))
+    # the query groups raw rows where they were dealt
+    plan = _plan(registry.QUERIES["nav_preprocess"](spark, tables.folder))
+    assert plan.count("hashpartitioning(") == 2 == plan.count("REPARTITION_BY_NUM")
+    assert TS.nav_preprocess(nav.limit(0)).collect() == []
