@@ -107,8 +107,9 @@ def density_cluster(df: DataFrame, key: str, cols: list[str], eps: float = 0.35,
 
     Points lie in cells so small that all points of a cell are neighbours: a full cell is core without any distance.
     For the rest, space is cut into tiles; a tile's points meet those of the tile and of an ``eps`` rim around it, in
-    chunks of bounded size, and a meeting returns one count, one label or one edge per cell pair. Clusters are numbered
-    by their smallest cell; a border point joins the smallest cluster in reach.
+    chunks of bounded size, and a meeting returns one count, one label or one edge per cell pair. Cells of core points
+    meet by their outermost points first, so dense cells are not compared point by point. Clusters are numbered by their
+    smallest cell; a border point joins the smallest cluster in reach.
     """
     d, kt = len(cols), df.schema[key].dataType.simpleString()
     side = eps / d ** 0.5 * (1 - 1e-9)
@@ -126,8 +127,7 @@ def density_cluster(df: DataFrame, key: str, cols: list[str], eps: float = 0.35,
     counts = _meet(pts.filter("not full"), pts, sides, eps, chunk, _count_near(eps), f"id {kt}, n long")
     counted = counts.groupBy("id").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_pts).select("id")
     core = cut_lineage(pts.filter("full").unionByName(pts.filter("not full").join(counted, "id", "left_semi")))
-    edges = _meet(core, core, sides, eps, chunk, _touching(eps), "a string, b string")
-    comp = connected_components(core.select(F.col("cell").alias("node")).distinct(), edges)
+    comp = _linked_cells(core, d, sides, eps, side, chunk)
     owned = core.join(comp.withColumnRenamed("node", "cell"), "cell")
     rest = pts.join(core.select("id"), "id", "left_anti")
     border = _meet(rest, owned, sides, eps, chunk, _nearest_label(eps), f"id {kt}, component string")
@@ -137,6 +137,31 @@ def density_cluster(df: DataFrame, key: str, cols: list[str], eps: float = 0.35,
     return pts.select("id").join(named, "id", "left").select(F.col("id").alias(key), F.coalesce("cluster", F.lit(-1)).alias("cluster"))
 
 
+def _linked_cells(core: DataFrame, d: int, sides: list[float], eps: float, side: float, chunk: int) -> DataFrame:
+    """(node, component) of the cells of core points; two cells are linked if a point of one is near a point of the other.
+
+    One row per cell settles nearly all pairs: the outermost points of two cells are near, or their boxes are too far
+    apart. Points only meet for pairs that this leaves open and that lie in different components so far.
+    """
+    ends = [f("x", F.col("x")[i]) for i in range(d) for f in (F.min_by, F.max_by)]
+    # rows are found by the first of their points, which lies anywhere in the cell
+    reach = eps + 2 * side
+    wide = [max(w, reach * (1 + 1e-9)) for w in sides]
+    cells = core.groupBy("cell").agg(F.flatten(F.array(*ends)).alias("x")).withColumn("id", F.col("cell"))
+    cells = cut_lineage(cells.withColumn("tile", F.array(*[F.floor(F.col("x")[i] / w) for i, w in enumerate(wide)])))
+    nodes = cells.select(F.col("cell").alias("node"))
+    met = cut_lineage(_meet(cells, cells, wide, reach, chunk, _outer_points_near(eps, d), "a string, b string, sure boolean"))
+    sure = met.filter("sure").select("a", "b")
+    comp = connected_components(nodes, sure)
+    of = lambda c: comp.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))
+    left = met.filter("not sure").join(of("a"), "a").join(of("b"), "b").filter("a_of <> b_of")
+    left = cut_lineage(left.select(F.explode(F.array("a", "b")).alias("cell")).distinct())
+    if left.isEmpty():
+        return comp
+    some = core.join(left, "cell", "left_semi")
+    return connected_components(nodes, sure.unionByName(_meet(some, some, sides, eps, chunk, _touching(eps), "a string, b string")))
+
+
 def _meet(left: DataFrame, right: DataFrame, sides: list[float], eps: float, chunk: int, fn, schema: str) -> DataFrame:
     """Runs ``fn`` on a chunk of a tile's left points and a chunk of the right points in the tile or its rim."""
     l = left.select("id", "x", "cell", "tile")
@@ -178,6 +203,22 @@ def _count_near(eps: float):
     return run
 
 
+def _outer_points_near(eps: float, d: int):
+    """Pairs of cells whose boxes are near, and whether points on their outside surely are."""
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(a) and len(b):
+            x, y = _mat(a["x"]).reshape(len(a), -1, d), _mat(b["y"]).reshape(len(b), -1, d)
+            names, others, low, high = a["cell"].to_numpy(), b["other"].to_numpy(), y.min(axis=1), y.max(axis=1)
+            for name, p in zip(names, x):
+                gap = np.maximum(np.maximum(low - p.max(axis=0), p.min(axis=0) - high), 0)
+                at = np.flatnonzero(((gap ** 2).sum(axis=1) <= eps * eps) & (others > name))
+                near = ((y[at][:, :, None, :] - p) ** 2).sum(axis=3) <= eps * eps
+                out += zip([name] * len(at), others[at], near.any(axis=(1, 2)))
+        return pd.DataFrame(out, columns=["a", "b", "sure"]).astype({"sure": bool})
+    return run
+
+
 def _touching(eps: float):
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         found = set()

@@ -204,3 +204,33 @@ def test_days_of_calendars_are_dealt_over_tasks(spark, tables, monkeypatch):
     plan = _plan(registry.QUERIES["nav_preprocess"](spark, tables.folder))
     assert plan.count("hashpartitioning(") == 2 == plan.count("REPARTITION_BY_NUM")
     assert TS.nav_preprocess(nav.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("chunk", [2048, 16])
+def test_dense_cells_meet_by_their_outer_points(spark, monkeypatch, chunk):
+    from fundloom.operators import clusters as C
+    rng = np.random.default_rng(8)
+    # two dense lines, a bent chain whose cells' outermost points are far from each other, and single points
+    lines = np.concatenate([np.column_stack([rng.random(900), np.full(900, v)]) for v in (0.0, 0.5)])
+    chain = np.concatenate([rng.normal((1.4 + 0.05 * i, 0.3 + 0.045 * (i % 3)), 0.012, (12, 2)) for i in range(9)])
+    pts = np.concatenate([lines, chain, rng.random((60, 2)) * (2, 1)])
+    eps, need = 0.08, 6
+    met, real = [], C._touching
+    monkeypatch.setattr(C, "_touching", lambda e: met.append(1) or real(e))
+    frame = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(pts)], "id int, a double, b double")
+    got = {r["id"]: r["cluster"] for r in C.density_cluster(frame, "id", ["a", "b"], eps, need, chunk).collect()}
+    near = ((pts[:, None] - pts[None]) ** 2).sum(2) <= eps * eps
+    core, comp = near.sum(1) >= need, np.arange(len(pts))
+    while True:
+        low = np.where(near & core[None], comp[None], len(pts)).min(1)
+        new = np.where(core, np.minimum(low, comp), comp)
+        if (new == comp).all():
+            break
+        comp = new
+    for i in np.flatnonzero(core):
+        assert all((got[i] == got[j]) == (comp[i] == comp[j]) for j in np.flatnonzero(core)[::7])
+    assert all((got[i] >= 0) == (near[i] & core).any() for i in range(len(pts)))
+    # dense lines alone need no meeting of points
+    met.clear()
+    C.density_cluster(frame.filter(f"id < {len(lines)}"), "id", ["a", "b"], eps, need, chunk).collect()
+    assert met == []
