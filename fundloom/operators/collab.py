@@ -73,7 +73,12 @@ def cooccurrence_scores(pairs: DataFrame, counts: DataFrame | None = None, mine:
     matrix product, so no row per (user, own item, candidate) is ever shuffled. While all items fit one block the task
     sees a user's every score and cuts to ``k`` itself.
     """
-    pairs = cut_lineage(pairs.select("user", "item"))
+    return _saved_scores(cut_lineage(pairs.select("user", "item")), counts, mine, k, user_block, item_block)
+
+
+def _saved_scores(pairs: DataFrame, counts: DataFrame | None = None, mine: DataFrame | None = None, k: int | None = None,
+                  user_block: int = 4096, item_block: int = 2048) -> DataFrame:
+    """``cooccurrence_scores`` over pairs that are saved already."""
     blocks = _blocks(pairs, user_block, item_block)
     nu, ni = blocks
     counts = cooccurrence(pairs, blocks=blocks) if counts is None else counts
@@ -119,10 +124,11 @@ def cooccurrence_scores(pairs: DataFrame, counts: DataFrame | None = None, mine:
 
 def collab_recommend(pairs: DataFrame, users: DataFrame, k: int = 5) -> DataFrame:
     """Top ``k`` items per user by co-occurrence; users without history get the most popular items."""
-    pairs = pairs.select("user", "item")
+    # read for their size, counts, scores, popular items and users with a history: derived once
+    pairs = cut_lineage(pairs.select("user", "item"))
     wanted = users.select(F.col("user").cast("string").alias("user")).distinct()
     mine = pairs.join(wanted, "user", "left_semi")
-    own = topk(cooccurrence_scores(pairs, mine=mine, k=k), ["user"], [F.desc("score"), F.col("item")], k, rank="rank")
+    own = topk(_saved_scores(pairs, mine=mine, k=k), ["user"], [F.desc("score"), F.col("item")], k, rank="rank")
     top = popular_items(pairs, k).agg(F.array_sort(F.collect_list(
         F.struct((-F.col("score")).alias("neg"), F.col("item").alias("item")))).alias("p")).scalar()
     cold = wanted.join(pairs.select("user").distinct(), "user", "left_anti").select("user", top.alias("_p"))

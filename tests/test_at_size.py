@@ -234,3 +234,27 @@ def test_dense_cells_meet_by_their_outer_points(spark, monkeypatch, chunk):
     met.clear()
     C.density_cluster(frame.filter(f"id < {len(lines)}"), "id", ["a", "b"], eps, need, chunk).collect()
     assert met == []
+
+
+def test_pairs_are_derived_once_for_recommendations(spark, monkeypatch):
+    from collections import Counter
+    from fundloom.operators import collab as CO
+    pairs = spark.range(300).select((F.col("id") * 7 % 40).cast("string").alias("user"), F.concat(F.lit("i"), F.col("id") * 11 % 13).alias("item")).distinct()
+    users = spark.createDataFrame([(str(i),) for i in (*range(0, 40, 2), 77, 78)], "user string")
+    cuts, real = [], CO.cut_lineage
+    monkeypatch.setattr(CO, "cut_lineage", lambda df: cuts.append(1) or real(df))
+    out = CO.collab_recommend(pairs, users, 3)
+    assert "Range (" not in _plan(out) and len(cuts) == 1
+    held = {}
+    for u, i in pairs.collect():
+        held.setdefault(u, set()).add(i)
+    count = Counter(i for items in held.values() for i in items)
+    want = []
+    for u in [r.user for r in users.collect()]:
+        score = Counter()
+        for mine in held.get(u, ()):
+            for items in held.values():
+                score.update(items - held[u] if mine in items else ())
+        best = sorted((score if u in held else count).items(), key=lambda e: (-e[1], e[0]))[:3]
+        want += [(u, i, float(s), n + 1) for n, (i, s) in enumerate(best)]
+    assert want and sorted(map(tuple, out.collect())) == sorted(want)
