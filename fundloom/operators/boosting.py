@@ -7,6 +7,10 @@ smaller number of rounds is read off on the way. The blocks are an RDD because a
 a new column for each of many models; they are kept between rounds and written to the checkpoint folder every ``CUT``
 rounds, so a lost executor costs at most that many. Sums are of whole numbers (gradients times ``UNIT``), so that no order
 of rows or tasks changes a split.
+
+A table of up to ``ALONE`` rows is small as codes, its work is not: there the models are dealt over the tasks, each task gets
+the codes of all rows and grows its models to the end, with no job in between. A set of columns whose
+bins fit ``JOINT`` together is summed in one go, and of two children only the smaller is summed, the other is the parent's rest.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..sources.scratch import checkpoint_dir
+from ..sources.scratch import checkpoint_dir, cut_lineage
 from .features import stratified_folds
 
 #: Bins of a numeric column, kept values of a text column (the commonest; the others share one), rows of a block, and
@@ -28,6 +32,10 @@ from .features import stratified_folds
 BINS, VALUES, BLOCK, TASK, LOT, MANY = 64, 62, 4096, 8, 256, 1 << 18
 #: Rounds between checkpoints, and what a gradient of one counts.
 CUT, UNIT = 10, float(1 << 20)
+#: Rows up to which a task holds all of them, bins of columns summed together, and rows of a node from which that pays.
+ALONE, JOINT, FEW = 1 << 21, 2048, 512
+#: Second derivative that either side of a split has at least.
+LEAST = 1.0
 DEFAULTS = {"rounds": 200, "depth": 6, "step": 0.06, "rows": 0.85, "columns": 1.0}
 
 
@@ -112,10 +120,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _draw(key: np.ndarray, turn: int) -> np.ndarray:
+    """A number from 0 to 1 for each row and round."""
+    return _mixed(key ^ _mixed(np.full(1, turn + 1, np.uint64))).astype(np.float64) / 2.0**64
+
+
 def _gradients(block: dict, specs: list[Spec], turn: int) -> tuple[np.ndarray, np.ndarray]:
     """Whole-numbered first and second derivatives of the loss, zero for rows that a model's tree does not draw."""
     p = 1 / (1 + np.exp(-block["margin"]))
-    draw = _mixed(block["key"] ^ _mixed(np.full(1, turn + 1, np.uint64))).astype(np.float64) / 2.0**64
+    draw = _draw(block["key"], turn)
     seen = (draw[:, None] < np.array([s.rows for s in specs])) & (block["fold"][:, None] != np.array([s.fold for s in specs]))
     w = block["weight"][:, None] * seen
     return np.rint(UNIT * w * (p - block["label"][:, None])), np.rint(UNIT * w * p * (1 - p))
@@ -146,32 +159,40 @@ def _sums(trees: _Trees, specs: list[Spec], turn: int, level: int, active: list[
     return run
 
 
-def _best(specs: list[Spec], turn: int, binned: Binning, keep: float = 1.0, least: float = 1.0):
+def _allowed(spec: Spec, turn: int, binned: Binning, candidates: list[tuple[int, int]]) -> np.ndarray:
+    """The columns and bins that a model's tree may split at."""
+    draw = np.random.default_rng(spec.seed(turn)).permutation(len(candidates))[: max(1, round(spec.columns * len(candidates)))]
+    allowed = np.zeros((binned.width, BINS), bool)
+    for k in draw:
+        f, v = candidates[k]
+        allowed[f, slice(None) if v < 0 else v] = True
+    return allowed
+
+
+def _split(sums: np.ndarray, allowed: np.ndarray, n_num: int, keep: float = 1.0, least: float = LEAST):
     """The best split of each node: column, bin and sums on both sides; the first of equals, column -1 if none gains."""
-    candidates, n_num = binned.candidates(), len(binned.num)
+    sums = np.moveaxis(sums, 2, 0) / UNIT
+    whole = sums[:, 0].sum(axis=-1)
+    # left of a numeric cut is up to and with the bin; left of a text value is everything else
+    left = np.cumsum(sums, axis=-1)
+    left[:, n_num:] = whole[:, None, :, None] - sums[:, n_num:]
+    right = whole[:, None, :, None] - left
+    score = lambda s: s[:, :, 0] ** 2 / (s[:, :, 1] + keep)
+    gain = score(left) + score(right) - (whole[:, 0] ** 2 / (whole[:, 1] + keep))[:, None, None]
+    gain = np.where(allowed & (left[:, :, 1] >= least) & (right[:, :, 1] >= least), gain, -1.0).reshape(len(whole), -1)
+    at = gain.argmax(axis=1)
+    some = gain[np.arange(len(whole)), at] > 1e-9
+    f, b = at // BINS, at % BINS
+    nodes = np.arange(len(whole))
+    return np.where(some, f, -1), b, left[nodes, f, :, b], right[nodes, f, :, b], whole
+
+
+def _best(specs: list[Spec], turn: int, binned: Binning):
+    candidates = binned.candidates()
 
     def run(item):
         m, sums = item
-        spec = specs[m]
-        draw = np.random.default_rng(spec.seed(turn)).permutation(len(candidates))[: max(1, round(spec.columns * len(candidates)))]
-        allowed = np.zeros((binned.width, BINS), bool)
-        for k in draw:
-            f, v = candidates[k]
-            allowed[f, slice(None) if v < 0 else v] = True
-        sums = np.moveaxis(sums, 2, 0) / UNIT
-        whole = sums[:, 0].sum(axis=-1)
-        # left of a numeric cut is up to and with the bin; left of a text value is everything else
-        left = np.cumsum(sums, axis=-1)
-        left[:, n_num:] = whole[:, None, :, None] - sums[:, n_num:]
-        right = whole[:, None, :, None] - left
-        score = lambda s: s[:, :, 0] ** 2 / (s[:, :, 1] + keep)
-        gain = score(left) + score(right) - (whole[:, 0] ** 2 / (whole[:, 1] + keep))[:, None, None]
-        gain = np.where(allowed & (left[:, :, 1] >= least) & (right[:, :, 1] >= least), gain, -1.0).reshape(len(whole), -1)
-        at = gain.argmax(axis=1)
-        some = gain[np.arange(len(whole)), at] > 1e-9
-        f, b = at // BINS, at % BINS
-        nodes = np.arange(len(whole))
-        return m, np.where(some, f, -1), b, left[nodes, f, :, b], right[nodes, f, :, b], whole
+        return m, *_split(sums, _allowed(specs[m], turn, binned, candidates), len(binned.num))
     return run
 
 
@@ -204,6 +225,143 @@ def _blocks(df: DataFrame, binned: Binning, label: str, key: str, weight: str |
     return plain.mapInArrow(run, ", ".join(f"{n} binary" for n in names)).rdd.map(unpacked)
 
 
+class _Rows:
+    """All rows of some blocks, column by column: first those that the models of a fold see, then the fold's own."""
+
+    def __init__(self, blocks: list[dict], binned: Binning, fold: int):
+        empty = {"codes": np.empty((0, binned.width), np.uint8), "label": np.empty(0), "key": np.empty(0, np.uint64), "weight": np.empty(0)}
+        parts = [[{n: b[n][(b["fold"] == fold) == own] for n in empty} for b in blocks] or [empty] for own in (False, True)]
+        join = lambda name, *of: np.concatenate([p[name] for k in of for p in parts[k]])
+        self.codes, self.label = np.ascontiguousarray(join("codes", 0, 1).T), join("label", 0, 1)
+        self.key, self.scale = join("key", 0), UNIT * join("weight", 0)
+        self.seen = len(self.key)
+        sizes = [len(e) + 1 for e in binned.ends] + [len(v) + 1 for v in binned.values]
+        sets: list[list[int]] = []
+        for f in sorted(range(len(sizes)), key=lambda f: -sizes[f]):
+            fits = next((s for s in sets if sizes[f] * np.prod([sizes[k] for k in s]) <= JOINT), None)
+            fits.append(f) if fits else sets.append([f])
+        self.sets = [(s, [sizes[f] for f in s], np.ravel_multi_index([self.codes[f, : self.seen] for f in s], [sizes[f] for f in s]).astype(np.uint16)) for s in sets]
+
+    def sums(self, g: np.ndarray, h: np.ndarray, rows: np.ndarray | None = None, node: np.ndarray | int = 0, nodes: int = 1) -> np.ndarray:
+        """Sums of both derivatives over some of the seen rows (None: all) by node, column and bin."""
+        out = np.zeros((nodes, len(self.codes), 2, BINS))
+        if rows is not None:
+            g, h = g[rows], h[rows]
+        if len(g) < FEW * nodes:
+            codes = self.codes[:, : self.seen] if rows is None else self.codes[:, rows]
+            at = (codes + (node * len(codes) + np.arange(len(codes))[:, None]) * BINS).ravel()
+            for k, d in enumerate((g, h)):
+                out[:, :, k] = np.bincount(at, np.tile(d, len(codes)), nodes * len(codes) * BINS).reshape(nodes, -1, BINS)
+            return out
+        for columns, shape, joint in self.sets:
+            bins = int(np.prod(shape))
+            at = joint.astype(np.intp) if rows is None else node * bins + joint[rows]
+            for k, d in enumerate((g, h)):
+                table = np.bincount(at, d, nodes * bins).reshape(nodes, *shape)
+                for i, f in enumerate(columns):
+                    out[:, f, k, : shape[i]] = table.sum(axis=tuple(1 + j for j in range(len(shape)) if j != i))
+        return out
+
+
+def _tree(rows: _Rows, spec: Spec, allowed: np.ndarray, n_num: int, g: np.ndarray, h: np.ndarray, tree: tuple) -> np.ndarray:
+    """Grows a tree into ``tree`` (column, bin and value by node); what it adds to each row's margin.
+
+    Rows have the number of their node in its level. At a leaf they go on to the left, so all end at the lowest level.
+    """
+    columns, bins, values = tree
+    n = rows.seen
+    at = np.zeros(len(rows.label), np.uint8 if spec.depth <= 8 else np.uint32)
+    worth = lambda s: -spec.step * s[0] / (s[1] + 1.0)
+    sums, ends = {0: rows.sums(g, h)[0]}, np.zeros(1)
+    for depth in range(spec.depth):
+        column, cut, left, right, whole = _split(np.stack(list(sums.values()), axis=2), allowed, n_num)
+        if depth == 0:
+            values[0] = ends[0] = worth(whole[0])
+        if (column < 0).all():
+            break
+        ends, first = np.repeat(ends, 2), 2**depth - 1
+        goes, few, below = np.zeros(len(at), bool), np.zeros(n, bool), []
+        for i, (node, whole_sums) in enumerate(sums.items()):
+            if column[i] < 0:
+                continue
+            f, b = int(column[i]), int(cut[i])
+            columns[first + node], bins[first + node] = f, b
+            inside = at == node
+            over = rows.codes[f] == b if f >= n_num else rows.codes[f] > b
+            over &= inside
+            goes |= over
+            grows = []
+            for k, s in enumerate((left[i], right[i])):
+                values[2 * first + 1 + 2 * node + k] = ends[2 * node + k] = worth(s)
+                # a node can be split only if both sides can have their least
+                if depth + 1 < spec.depth and s[1] >= 2 * LEAST:
+                    grows.append(k)
+            if grows:
+                # mostly the side of fewer rows
+                small = int(right[i, 1] < left[i, 1])
+                few |= over[:n] if small else np.bitwise_xor(inside[:n], over[:n], out=inside[:n])
+                below.append((node, small, grows, whole_sums))
+        at += at
+        at += goes
+        if not below:
+            break
+        number = np.zeros(2 ** (depth + 1), np.intp)
+        number[[2 * node + small for node, small, *_ in below]] = range(len(below))
+        picked = np.flatnonzero(few)
+        some, sums = rows.sums(g, h, picked, number[at[picked]], len(below)), {}
+        for k, (node, small, grows, whole_sums) in enumerate(below):
+            sums |= {2 * node + side: some[k] if side == small else whole_sums - some[k] for side in grows}
+    return ends[at]
+
+
+def _whole_models(binned: Binning, specs: list[Spec], dealt: list[list[int]], rounds: int, stages: list[int]):
+    """All rounds of the models dealt to a task, from the blocks of all rows: (model, trees by round, counts by stage)."""
+    candidates, n_num = binned.candidates(), len(binned.num)
+    size = 2 ** (max(s.depth for s in specs) + 1) - 1
+
+    def run(task, source):
+        mine = dealt[task] if task < len(dealt) else []
+        blocks = [block for _, block in source] if mine else []
+        for fold in sorted({specs[m].fold for m in mine}):
+            models = [m for m in mine if specs[m].fold == fold]
+            rows = _Rows(blocks, binned, fold)
+            n, true = rows.seen, rows.label[rows.seen :] == 1
+            margins = {m: np.zeros(len(rows.label)) for m in models}
+            trees = {m: (np.full((rounds, size), -1, np.int16), np.zeros((rounds, size), np.int16), np.zeros((rounds, size))) for m in models}
+            counts: dict[int, list] = {m: [] for m in models}
+            for turn in range(rounds):
+                draw = _draw(rows.key, turn)
+                for m in models:
+                    p = 1 / (1 + np.exp(-margins[m][:n]))
+                    drawn = draw < specs[m].rows
+                    g, h = np.rint(rows.scale * (p - rows.label[:n])) * drawn, np.rint(rows.scale * p * (1 - p)) * drawn
+                    margins[m] += _tree(rows, specs[m], _allowed(specs[m], turn, binned, candidates), n_num, g, h, tuple(t[turn] for t in trees[m]))
+                    if turn + 1 in stages:
+                        said = margins[m][n:] > 0
+                        counts[m].append([int((said & true).sum()), int((said & ~true).sum()), int((~said & true).sum())])
+            for m in models:
+                yield m, trees[m], counts[m]
+    return run
+
+
+def _boost_alone(blocks, binned: Binning, specs: list[Spec], rounds: int, stages: list[int], cores: int):
+    """The same as the rounds of ``boost``, by tasks that have all rows and some of the models."""
+    # models of a fold share its rows and draws; deep ones and others take turns, so that tasks cost about the same
+    order = sorted(range(len(specs)), key=lambda m: (specs[m].fold, specs[m].step, specs[m].rows, specs[m].columns, specs[m].depth))
+    dealt = [[int(m) for m in part] for part in np.array_split(order, min(len(specs), 2 * cores))]
+    stages = sorted(s for s in set(stages) if 1 <= s <= rounds)
+    copies = blocks.flatMap(lambda block: [(k, block) for k in range(len(dealt))]).partitionBy(len(dealt), int)
+    depth = max(s.depth for s in specs)
+    grown = [_Trees(len(specs), depth) for _ in range(rounds)]
+    counts = {s: np.zeros((len(specs), 3), np.int64) for s in stages}
+    for m, trees, said in copies.mapPartitionsWithIndex(_whole_models(binned, specs, dealt, rounds, stages)).collect():
+        for into, column, cut, value in zip(grown, *trees):
+            into.column[m], into.bin[m], into.value[m] = column, cut, value
+        for s, three in zip(stages, said):
+            counts[s][m] = three
+    return grown, counts
+
+
 def boost(df: DataFrame, binned: Binning, specs: list[Spec], rounds: int, label: str, key: str, weight: str | None = None, fold: str | None = None, stages: list[int] = ()):
     """Trees of all models, one ``_Trees`` a round, and {round: (models, 3)} true, false and missed positives on each model's own fold.
 
@@ -217,7 +375,11 @@ def boost(df: DataFrame, binned: Binning, specs: list[Spec], rounds: int, label:
     df = df.filter(F.col(label).isNotNull())
     n = df.count()
     tasks = max(1, -(-n // MANY), min(sc.defaultParallelism, -(-n // (TASK * LOT))))
-    blocks = _blocks(df.repartition(tasks), binned, label, key, weight, fold, len(specs)).persist(StorageLevel.MEMORY_AND_DISK)
+    alone = n <= ALONE
+    blocks = _blocks(df.repartition(tasks), binned, label, key, weight, fold, 0 if alone else len(specs))
+    if alone:
+        return _boost_alone(blocks, binned, specs, rounds, stages, sc.defaultParallelism)
+    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     before = None
     grown: list[_Trees] = []
     counts: dict[int, np.ndarray] = {}
@@ -306,7 +468,8 @@ def boosted_grid(df: DataFrame, num: list[str], cat: list[str], label: str, key:
     points = [DEFAULTS | dict(zip(names, v)) for v in product(*(values[n] for n in names))]
     spec = lambda p, fold: Spec(p["depth"], p["step"], p["rows"], p["columns"], fold)
     specs = sorted({spec(p, fold) for p in points for fold in range(folds)}, key=repr)
-    data = stratified_folds(df.filter(F.col(label).isNotNull()), label, key, folds).select(*num, *cat, label, key, "fold", *([weight] if weight else []))
+    # read by each column's binning, the count and the blocks
+    data = cut_lineage(stratified_folds(df.filter(F.col(label).isNotNull()), label, key, folds).select(*num, *cat, label, key, "fold", *([weight] if weight else [])))
     stages = sorted({p["rounds"] for p in points})
     _, counts = boost(data, binning(data, num, cat), specs, stages[-1], label, key, weight, "fold", stages)
     at = {s: m for m, s in enumerate(specs)}

@@ -20,15 +20,21 @@ def range_bucket(df: DataFrame, key: list, n: int | None = None, name: str = "_b
     """
     n = n or shuffle_width(df.sparkSession)
     keyed = df.withColumn("_key", F.struct(*[as_col(k) for k in key]))
+    # a key is compared with every ``step``-th cut and then with those from there on, not with all
+    step = max(1, round(n ** 0.5))
     cuts = (
         keyed.orderBy(F.xxhash64(*(df.columns if aggregated else ["_key"])), "_key").limit(n)
         .agg(F.array_sort(F.collect_set("_key")).alias("cuts"))
+        .select(F.struct("cuts", F.filter("cuts", lambda _, i: i % step == 0).alias("firsts")).alias("cuts"))
     )
+    below = lambda some: F.size(F.filter(some, lambda c: c < F.col("_key")))
+    start = F.greatest((F.col("_firsts") - 1) * step, F.lit(0))
     return (
         keyed.withColumn("_cuts", cuts.scalar())
+        .withColumn("_firsts", below("_cuts.firsts"))
         # never null, or the join on it would push a null test of this expression below the aggregation
-        .withColumn(name, F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_key"))), F.lit(0)))
-        .drop("_cuts", "_key")
+        .withColumn(name, F.coalesce(start + below(F.slice("_cuts.cuts", start + 1, step)), F.lit(0)))
+        .drop("_cuts", "_key", "_firsts")
     )
 
 

@@ -85,14 +85,12 @@ def hashed_tfidf(t):
     return m.transform(t.documents).select("doc_id", E.positive_entries("tfidf").alias("terms"))
 
 
-def _lead_data(t):
-    # the label must not be a function of a feature: converted follows the account balance, features the orders
-    return E.stratified_split(V.leads(t), "converted", "lead_id")
-
-
 def saved_split(t):
     """The model's columns and the split, ranked once; fitting and scoring read the same table."""
-    return cut_lineage(M.feature_frame(_lead_data(t), NUM, CAT).select("lead_id", *NUM, *CAT, "converted", "is_test"))
+    # the label must not be a function of a feature: converted follows the account balance, features the orders;
+    # the split reads its rows several times, so the leads' joins are saved before it
+    lead = cut_lineage(M.feature_frame(V.leads(t), NUM, CAT).select("lead_id", *NUM, *CAT, "converted"))
+    return cut_lineage(E.stratified_split(lead, "converted", "lead_id").select("lead_id", *NUM, *CAT, "converted", "is_test"))
 
 
 @query()

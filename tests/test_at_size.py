@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from fundloom.operators import aggregates as A, boosting as B, features as E, joins as J, means, models as M, search as S
-from fundloom.operators.ordered import exact_quantiles
+from fundloom.operators.ordered import exact_quantiles, range_bucket
 from pyspark.sql import functions as F
 
 
@@ -52,6 +52,51 @@ def test_a_grid_is_boosted_by_many_tasks(spark, monkeypatch):
     assert seen[0] >= 8 and len(grown) == 1
 
 
+def test_models_grown_whole_are_those_grown_level_by_level(spark, monkeypatch):
+    data = spark.range(0, 3000, 1, 3).select(
+        "id", F.rand(5).alias("a"), (F.col("id") % 23).cast("double").alias("b"), F.concat(F.lit("s"), (F.col("id") % 5).cast("string")).alias("c"),
+        (F.col("id") * 7 % 3).cast("int").alias("fold"), (1 + F.col("id") % 2).alias("w")).withColumn("y", (F.col("a") * 2 + F.col("b") / 23 + (F.col("c") == "s1").cast("int") > 1.6).cast("int")).persist()
+    binned = B.binning(data, ["a", "b"], ["c"])
+    specs = [B.Spec(d, 0.2, r, 0.7, k) for d in (2, 5) for r in (0.6, 1.0) for k in (0, 1, -1)]
+    found, real = [], B._sums
+    monkeypatch.setattr(B, "_sums", lambda *a: found.append(a) or real(*a))
+    whole, few = B.boost(data, binned, specs, 4, "y", "id", "w", "fold", [2, 4])
+    # no job for a level; large and small nodes are summed alike
+    assert not found
+    monkeypatch.setattr(B, "ALONE", 0)
+    levels, many = B.boost(data, binned, specs, 4, "y", "id", "w", "fold", [2, 4])
+    assert found and few.keys() == many.keys() and all((few[k] == many[k]).all() for k in few)
+    for a, b in zip(whole, levels):
+        assert (a.column == b.column).all() and (a.value == b.value).all() and (a.bin == b.bin).all()
+    assert max((t.column >= 0).sum() for t in whole) > 40
+
+
+def test_rows_are_summed_together_as_column_by_column(monkeypatch):
+    rng = np.random.default_rng(4)
+    binned = B.Binning(("a", "b"), ("c",), (tuple(range(40)), tuple(range(63))), (("u", "v"),))
+    n = 5000
+    block = {"codes": np.stack([rng.integers(0, k, n) for k in (41, 64, 3)], axis=1).astype(np.uint8), "label": np.zeros(n), "key": np.arange(n).astype(np.uint64), "weight": np.ones(n), "fold": np.arange(n) % 4}
+    rows = B._Rows([block], binned, 3)
+    g, h = rng.integers(-99, 99, rows.seen).astype(float), rng.integers(0, 99, rows.seen).astype(float)
+    picked, node = np.arange(0, rows.seen, 3), np.arange(0, rows.seen, 3) % 2
+    together = rows.sums(g, h), rows.sums(g, h, picked, node, 2)
+    monkeypatch.setattr(B, "FEW", 1 << 30)
+    apart = rows.sums(g, h), rows.sums(g, h, picked, node, 2)
+    assert rows.seen == 3750 and len(rows.sets) < 3 and all((a == b).all() for a, b in zip(together, apart))
+    assert together[1][1, 0, 0, 7] == g[picked[(node == 1) & (rows.codes[0, picked] == 7)]].sum()
+
+
+def test_a_key_range_is_found_with_few_comparisons(spark):
+    for n, parts in ((0, 3), (1, 3), (500, 7), (500, 16)):
+        df = spark.range(n).select((F.col("id") * 37 % 101).alias("v"), "id")
+        got = range_bucket(df, ["v", "id"], parts).collect()
+        at = sorted((r.v, r.id, r._bucket) for r in got)
+        # ranges are in order and none is passed over
+        assert [b for *_, b in at] == sorted(b for *_, b in at) and {b for *_, b in at} == set(range(min(parts, n) + 1 if n > 1 else n))
+    plan = range_bucket(df, ["v", "id"], 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" in plan
+
+
 def test_forests_are_grown_by_as_many_tasks_as_cores(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(M, "lead_estimator", lambda *a: type("Fits", (), {"fit": lambda _, df: seen.append(df.rdd.getNumPartitions())})())
