@@ -32,7 +32,8 @@ def fit_personas(df: DataFrame, cols: list[str], k: int = 4, scale: str = "minma
     finally:
         points.unpersist()
     centres = () if found.centres is None else tuple(map(tuple, found.centres.tolist()))
-    return means.PersonaModel(tuple(cols), tuple(shape), centres, found.cost)
+    # digits after the twelfth depend on which models shared a product
+    return means.PersonaModel(tuple(cols), tuple(shape), centres, float(f"{found.cost:.12g}"))
 
 
 def choose_k(df: DataFrame, cols: list[str], ks=range(2, 11), cap: int = 3, scale: str = "minmax", starts: int = 10) -> tuple[int, DataFrame]:
